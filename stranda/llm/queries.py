@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .near_dups import near_duplicates
 from .packing import pack_documents
+from .quality import quality_rules
 from .sharding import shard_documents
 from .token_files import encode_documents
 
@@ -16,6 +18,14 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -27,7 +37,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op3_token_files, op8_best_fit_packing, op10_sharding)
+        for f in (op3_token_files, op5_quality_rules, op6_near_duplicates, op8_best_fit_packing, op10_sharding)
     }
 
 
