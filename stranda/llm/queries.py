@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import leaks
 from .near_dups import near_duplicates
 from .packing import pack_documents
 from .quality import quality_rules
@@ -26,6 +27,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -37,7 +42,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op3_token_files, op5_quality_rules, op6_near_duplicates, op8_best_fit_packing, op10_sharding)
+        for f in (op3_token_files, op5_quality_rules, op6_near_duplicates, op7_decontamination, op8_best_fit_packing, op10_sharding)
     }
 
 

@@ -22,17 +22,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and the offset of each text's first word (one more at the end).
+def word_codes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words, the code of each word of all texts, and the offset of each text's first word.
 
-    Words are runs of bytes other than white space U+0009-U+000D and U+0020.
+    Words are runs of bytes other than white space U+0009-U+000D and U+0020. There is one more offset at
+    the end.
     """
     split = [t.split() for t in texts]
     edges = np.concatenate(([0], np.cumsum([len(s) for s in split]))).astype(np.int64)
     if not edges[-1]:
-        return np.zeros(0, np.uint64), edges
+        return [], np.zeros(0, np.int64), edges
     coded = pa.array(list(chain.from_iterable(split)), pa.binary()).dictionary_encode()
-    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), edges
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of ``texts`` and the offset of each text's first word (one more at the end)."""
+    words, codes, edges = word_codes(texts)
+    if not words:
+        return np.zeros(0, np.uint64), edges
     known = list(map(_hashes.get, words))
     if None in known:
         if len(_hashes) > REMEMBERED:
@@ -40,7 +48,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         for k, h in enumerate(known):
             if h is None:
                 known[k] = _hashes[words[k]] = xxhash.xxh64_intdigest(words[k])
-    return np.array(known, np.uint64)[coded.indices.to_numpy()], edges
+    return np.array(known, np.uint64)[codes], edges
 
 
 def windows(hashes: np.ndarray, edges: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
