@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import leaks
+from .line_dedup import line_report
 from .near_dups import near_duplicates
 from .packing import pack_documents
 from .quality import quality_rules
@@ -15,6 +16,10 @@ from .sharding import shard_documents
 from .token_files import encode_documents
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -42,7 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op3_token_files, op5_quality_rules, op6_near_duplicates, op7_decontamination, op8_best_fit_packing, op10_sharding)
+        for f in (op2_line_dedup, op3_token_files, op5_quality_rules, op6_near_duplicates, op7_decontamination, op8_best_fit_packing, op10_sharding)
     }
 
 
