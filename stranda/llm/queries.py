@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import leaks
+from .html_wrappers import extract_pages
 from .line_dedup import line_report
 from .near_dups import near_duplicates
 from .packing import pack_documents
@@ -16,6 +17,10 @@ from .sharding import shard_documents
 from .token_files import encode_documents
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -47,7 +52,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op2_line_dedup, op3_token_files, op5_quality_rules, op6_near_duplicates, op7_decontamination, op8_best_fit_packing, op10_sharding)
+        for f in (op1_html_extraction, op2_line_dedup, op3_token_files, op5_quality_rules, op6_near_duplicates, op7_decontamination, op8_best_fit_packing, op10_sharding)
     }
 
 
