@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import leaks
 from .html_wrappers import extract_pages
+from .licenses import scan_licenses
 from .line_dedup import line_report
 from .near_dups import near_duplicates
 from .packing import pack_documents
 from .quality import quality_rules
+from .secrets import scan_secrets
 from .sharding import shard_documents
 from .token_files import encode_documents
 
@@ -29,6 +31,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
@@ -45,15 +51,28 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_html_extraction, op2_line_dedup, op3_token_files, op5_quality_rules, op6_near_duplicates, op7_decontamination, op8_best_fit_packing, op10_sharding)
-    }
+    found = (
+        op1_html_extraction,
+        op2_line_dedup,
+        op3_token_files,
+        op4_secret_scan,
+        op5_quality_rules,
+        op6_near_duplicates,
+        op7_decontamination,
+        op8_best_fit_packing,
+        op9_license_scan,
+        op10_sharding,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
