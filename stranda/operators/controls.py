@@ -106,5 +106,5 @@ def random_controls(
                         break
         return pd.DataFrame(out, columns=list(rows.columns))[columns]
 
-    groups = typed.groupBy(F.lit(1)) if exact else typed.groupBy("chrom")
-    return groups.applyInPandas(place, anchors.schema)
+    keyed = typed.withColumn("_all", F.when(F.lit(exact), F.lit("")).otherwise(F.col("chrom")))
+    return keyed.groupBy("_all").applyInPandas(place, anchors.schema)

@@ -47,7 +47,7 @@ def scan_bed(
     rows = numbered_lines(spark, path).withColumn("f", F.transform(_fields(F.col("line")), _unquoted))
     rows = rows.filter((F.size("f") >= 3) & ~F.col("line").startswith("#"))
     field = lambda k, default: F.coalesce(F.get("f", F.lit(k)), default)
-    a, b = (F.get("f", F.lit(k)).cast("long") for k in (1, 2))
+    a, b = (F.when(F.size("f") >= 3, F.get("f", F.lit(k)).cast("long")) for k in (1, 2))
     out = rows.select(
         normalize_contig(F.get("f", F.lit(0)), known).alias("chrom"), F.least(a, b).alias("start"), F.greatest(a, b).alias("end"),
         field(3, F.lit(category)).alias("name"), field(4, F.lit("0")).cast("double").alias("score"), field(5, F.lit(".")).alias("strand"),
