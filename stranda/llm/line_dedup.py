@@ -1,10 +1,12 @@
 """Line deduplication: equal lines, and lines within a small edit distance by a segment-partition join.
 
-Equal lines are counted first, so every further step sees a distinct line once however often it occurs. A
-line is cut into ``DISTANCE + 1`` segments of nearly equal length; two lines within the distance share one
+Lines are known by hashes; texts are shuffled only for lines that may be in a pair, and pairs are decided on texts.
+A line is cut into ``DISTANCE + 1`` segments of nearly equal length; two lines within the distance share one
 of them unchanged. Segments are indexed under their line's length and their number. Lines probe the
 indexes of their own and up to ``DISTANCE`` shorter lengths with the few substrings that multi-match-aware
-selection leaves. Candidates that also agree in some letter counts are verified with banded bit-parallel edit distance.
+selection leaves. The index holds the smallest and the largest line of each segment: where they are one, a
+probe that meets it is a candidate pair; where several lines share a segment, they are joined with those that
+probe it under a bound on their letter counts. Candidates are verified with banded bit-parallel edit distance.
 Only DataFrame functions are used.
 """
 
@@ -20,10 +22,12 @@ from .components import connected_components
 DISTANCE = 2
 #: Shorter lines are left alone.
 LEAST_CHARS = 20
-#: Letters that are counted to rule out candidates; an edit changes the sum of differences by two at most.
-COUNTED = ("eE", "nN", "aA", "oO")
+#: Letters that are counted where many lines share a segment; an edit changes the sum of differences by two at most.
+COUNTED = "etaoinshrdlu"
 #: Residues of line hashes that the broadcast filter of verified lines may hold.
 RESIDUES = 1 << 20
+#: A line with more than this share of all lines is probed once; there are at most so many such lines.
+FREQUENT = 1 << 16
 
 
 def _pos() -> Column:
@@ -42,48 +46,53 @@ def occurrences(docs: DataFrame) -> DataFrame:
     )
 
 
-def _segment(n: Column, k: int, distance: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``k`` of a line of ``n`` code points; the last ones are longer."""
-    parts = distance + 1
-    short, rest = F.floor(n / parts), n % parts
-    longer = F.greatest(F.lit(0), F.lit(k - parts) + rest)
-    return short * k + longer, short + F.when(F.lit(k) >= F.lit(parts) - rest, 1).otherwise(0)
+def _shifts(distance: int) -> list[tuple[int, int, int]]:
+    """(how much shorter, segment, shift) of all substrings a line is probed with; the first ones are its own segments."""
+    found = [
+        (shorter, k, shift)
+        for shorter in range(distance + 1)
+        for k in range(distance + 1)
+        for shift in range(max(-k, shorter - (distance - k)), min(k, shorter + (distance - k)) + 1)
+    ]
+    return sorted(found, key=lambda x: (x[0], x[2] != 0, x))
 
 
-def _index_keys(line: Column, n: Column, distance: int) -> Column:
-    keys = []
-    for k in range(distance + 1):
-        start, size = _segment(n, k, distance)
-        keys.append(F.xxhash64(n, F.lit(k), F.substr(line, (start + 1).cast("int"), size.cast("int"))))
-    return F.array(*keys)
+def _keys(lines: DataFrame, distance: int, own: bool) -> DataFrame:
+    """(key, id, own) for the segments of each of ``lines`` (line, id), or for all substrings it is probed with.
 
-
-def _probe_keys(line: Column, n: Column, distance: int) -> Column:
-    """Keys under which a line of ``n`` code points looks for lines of n, n-1, ... n-distance code points."""
-    keys = []
-    for shorter in range(distance + 1):
-        for k in range(distance + 1):
-            start, size = _segment(n - shorter, k, distance)
-            for shift in range(max(-k, shorter - (distance - k)), min(k, shorter + (distance - k)) + 1):
-                at = (start + 1 + shift).cast("int")
-                keys.append(F.struct(F.xxhash64(n - shorter, F.lit(k), F.substr(line, at, size.cast("int"))).alias("key"), F.lit(shorter == 0).alias("level")))
-    return F.array(*keys)
-
-
-def _letters(line: Column, n: Column) -> Column:
-    """The letter counts modulo 256 in one number."""
-    packed = F.lit(0).cast("long")
-    for pair in COUNTED:
-        packed = packed * 256 + (n - F.char_length(F.translate(line, pair, ""))) % 256
-    return packed
-
-
-def _near_letters(a: Column, b: Column, distance: int) -> Column:
+    A row for each place comes first and its key after, so the generated code stays small.
+    """
+    places = _shifts(distance)[: distance + 1 if own else None]
+    rows = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(k).alias("k"), F.lit(h).alias("h")) for d, k, h in places))
+    spread = lines.select("line", "id", F.char_length("line").alias("n")).select("line", "id", "n", F.explode(rows).alias("x"))
+    k, parts = F.col("x.k"), distance + 1
+    m = F.col("n") - F.col("x.d")
+    short, rest = F.call_function("div", m, F.lit(parts)), m % parts
+    start = short * k + F.greatest(F.lit(0), rest + k - parts) + F.col("x.h")
+    size = short + (rest >= parts - k).cast("int")
+    key = F.xxhash64(m, k, F.substr("line", (start + 1).cast("int"), size.cast("int")))
+    mine = (F.col("x.d") == 0) & (F.col("x.h") == 0)
+    return spread.select(key.alias("key"), "id", mine.alias("own"))
+
+
+def _letters(line: Column) -> list[Column]:
+    """The letter counts modulo 256, six in a number."""
+    out = []
+    for six in (COUNTED[:6], COUNTED[6:]):
+        packed = F.lit(0).cast("long")
+        for letter in six:
+            packed = packed * 256 + (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 256
+        out.append(packed)
+    return out
+
+
+def _near_letters(a: str, b: str, distance: int) -> Column:
     total = F.lit(0)
-    for k in range(len(COUNTED)):
-        byte = lambda x, k=k: F.shiftright(x, 8 * k).bitwiseAND(255)
-        gap = F.abs(byte(a) - byte(b))
-        total = total + F.least(gap, 256 - gap)
+    for half in ("0", "1"):
+        for k in range(6):
+            byte = lambda x, k=k: F.shiftright(x, 8 * k).bitwiseAND(F.lit(255).cast("long"))
+            gap = F.abs(byte(F.col(a + half)) - byte(F.col(b + half)))
+            total = total + F.least(gap, 256 - gap)
     return total <= 2 * distance
 
 
@@ -146,33 +155,51 @@ def edit_distance(long: Column, short: Column, distance: int) -> Column:
     return F.aggregate(cells, start, step, lambda s: s["score"])
 
 
-def distinct_lines(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("line").agg(F.min("pos").alias("pos"), F.count("*").alias("held")).select(
-        "line", "pos", "held", F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2")
-    )
-
-
-def similar_lines(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs (a, b) of hashes of different lines within ``distance``; every such pair of ``distinct`` is found."""
-    n = F.char_length("line")
-    sized = distinct.select("line", "id", n.alias("n"))
-    letters = _letters(F.col("line"), F.col("n")).alias("letters")
-    index = sized.select("id", letters, F.explode(_index_keys(F.col("line"), F.col("n"), distance)).alias("key"))
-    probe = sized.select("id", letters, F.explode(_probe_keys(F.col("line"), F.col("n"), distance)).alias("p"))
-    probe = probe.select(F.col("id").alias("b"), F.col("letters").alias("b_letters"), "p.*")
-    index = index.select(F.col("id").alias("a"), F.col("letters").alias("a_letters"), F.col("key").alias("a_key"))
-    near = (F.col("a") != F.col("b")) & (~F.col("level") | (F.col("a") < F.col("b")))
-    near = near & _near_letters(F.col("a_letters"), F.col("b_letters"), distance)
-    found = index.join(probe, (F.col("a_key") == F.col("key")) & near).select("a", "b").distinct()
-    pairs = materialize(found, "line-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    # at most RESIDUES rows; it only spares the join lines that cannot be in a pair
+def line_classes(lines: DataFrame) -> DataFrame:
+    """The hashes of each distinct line, its first place and how often it occurs."""
+    return lines.groupBy("id", "id2").agg(F.min("pos").alias("first"), F.count("*").alias("held"))
+
+
+def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs (a, b) of hashes of different lines within ``distance``; every such pair of ``lines`` is linked."""
+    total = classes.agg(F.sum("held")).head()[0] or 0
+    # at most FREQUENT rows
+    frequent = classes.filter(F.col("held") > max(8, total // FREQUENT)).select("id", "id2", "first")
+    once = lines.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id")
+    index = _keys(once, distance, True).groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last"))
+    index = materialize(index, "segments")
+    probe = _keys(once, distance, False).select("key", F.col("id").alias("b"), "own")
+    hits = probe.join(index.hint("shuffle_hash"), "key").filter("a <> last or a <> b")
+    shared = F.col("a") != F.col("last")
+    met = materialize(
+        hits.select(F.when(shared, F.col("key")).alias("key"), F.when(~shared, F.col("a")).alias("a"), "b", (F.col("own") & shared).alias("own")).distinct(),
+        "line-hits",
+    )
+    wanted = met.select(F.col("b").alias("id")).union(met.filter("a is not null").select("a")).distinct()
+    # at most RESIDUES rows; they only spare the join lines that cannot be in a pair
     residues = wanted.select(F.pmod("id", F.lit(RESIDUES)).alias("residue")).distinct()
-    some = distinct.select("id", "line").join(F.broadcast(residues), F.pmod("id", F.lit(RESIDUES)) == F.col("residue"), "left_semi")
-    texts = materialize(some.join(wanted, "id", "left_semi"), "line-texts")
+    some = lines.select("id", "line").join(F.broadcast(residues), F.pmod("id", F.lit(RESIDUES)) == F.col("residue"), "left_semi")
+    low, high = _letters(F.col("line"))
+    texts = materialize(
+        some.groupBy("id", "line").agg(F.count("*")).select("id", "line").join(wanted, "id", "left_semi").withColumns({"l0": low, "l1": high}),
+        "line-texts",
+    )
+    counts = texts.select("id", F.char_length("line").alias("n"), "l0", "l1").distinct()
+    members = met.filter("own").select("key", "b").distinct().join(counts, F.col("b") == F.col("id"))
+    members = members.select("key", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("l0").alias("a0"), F.col("l1").alias("a1"))
+    seekers = met.filter("key is not null").select(F.col("key").alias("b_key"), "b").distinct().join(counts, F.col("b") == F.col("id"))
+    seekers = seekers.select("b_key", "b", F.col("n").alias("b_n"), F.col("l0").alias("b0"), F.col("l1").alias("b1"))
+    near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
+    near = near & (F.col("b_n") - F.col("a_n") <= distance) & _near_letters("a", "b", distance)
+    crowded = members.join(seekers, (F.col("key") == F.col("b_key")) & near).select("a", "b")
+    pairs = met.filter("a is not null").select("a", "b").union(crowded).distinct()
     a, b = (texts.select(F.col("id").alias(s), F.col("line").alias(f"{s}_line")) for s in "ab")
-    distance_ab = edit_distance(F.col("b_line"), F.col("a_line"), distance)
-    return pairs.join(a, "a").join(b, "b").filter(distance_ab <= distance).select("a", "b").distinct()
+    both = pairs.join(a, "a").join(b, "b")
+    shorter = F.char_length("a_line") <= F.char_length("b_line")
+    both = both.select(
+        "a", "b", F.when(shorter, F.col("a_line")).otherwise(F.col("b_line")).alias("s"), F.when(shorter, F.col("b_line")).otherwise(F.col("a_line")).alias("t")
+    ).filter(F.char_length("t") - F.char_length("s") <= distance)
+    return both.filter(edit_distance(F.col("t"), F.col("s"), distance) <= distance).select("a", "b").distinct()
 
 
 def duplicate_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -184,10 +211,10 @@ def duplicate_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     with such lines have a row.
     """
     lines = occurrences(docs)
-    distinct = distinct_lines(lines)
-    links = materialize(similar_lines(distinct, distance), "line-links")
+    classes = materialize(line_classes(lines), "line-classes")
+    links = materialize(similar_lines(lines, classes, distance), "line-links")
     groups = materialize(connected_components(links), "line-groups").withColumnRenamed("node", "id")
-    known = distinct.select("id", "id2", "pos", "held").join(groups, "id", "left")
+    known = classes.withColumnRenamed("first", "pos").join(groups, "id", "left")
     linked = known.filter("component is not null")
     firsts = linked.groupBy("component").agg(F.min("pos").alias("first"))
     near = linked.join(firsts, "component").select("id", "id2", "first")
