@@ -101,58 +101,68 @@ def _bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Code points compared at once where two lines begin alike.
+CHUNK = 16
+
+
+def _unlike(long: Column, short: Column) -> tuple[Column, Column]:
+    """Both texts without the chunks that they begin with in common."""
+    piece = lambda x, i: F.substr(x, (i * CHUNK + 1).cast("int"), F.lit(CHUNK))
+    chunks = F.sequence(F.lit(0), F.call_function("div", F.char_length(short), F.lit(CHUNK)).cast("int"))
+    first = F.coalesce(F.get(F.filter(chunks, lambda i: piece(long, i) != piece(short, i)), F.lit(0)), F.lit(0))
+    return F.substr(long, first * CHUNK + 1), F.substr(short, first * CHUNK + 1)
+
+
 def edit_distance(long: Column, short: Column, distance: int) -> Column:
     """Edit distance of two texts if it is at most ``distance`` (30 at most), else some larger number.
 
     ``short`` must not be longer than ``long``, nor shorter by more than ``distance``. Bits of a word are the
     cells of a band around the diagonal: differences between neighbouring rows of a column, which one round
-    of additions and logical operations carries to the next column.
+    of additions and logical operations carries to the next column. Values on the diagonal never fall, so a
+    pair that has passed ``distance`` is carried on without further work.
     """
     k = distance
     mask = (1 << (2 * k + 1)) - 1
-    x, y = F.split(long, ""), F.split(short, "")
-
-    def equal_cells(letters: Column) -> Column:
-        def cell(c: Column, j: Column) -> Column:
-            bits = F.lit(0).cast("long")
-            for b in range(2 * k + 1):
-                same = F.coalesce(F.get(letters, j + F.lit(b - k)) == c, F.lit(False))
-                bits = bits.bitwiseOR(F.when(same, F.lit(1 << b).cast("long")).otherwise(F.lit(0).cast("long")))
-            return bits
-
-        return F.transform(y, cell)
-
-    diagonal = k + F.char_length(long) - F.char_length(short)
-
-    def step(state: Column, equal: Column) -> Column:
-        flip = lambda c: F.bitwise_not(c).bitwiseAND(F.lit(mask))
+    zero = F.lit(0).cast("long")
+    flip = lambda c: F.bitwise_not(c).bitwiseAND(F.lit(mask))
+
+    def next_column(v: Column, state: Column, at: Column) -> Column:
+        equal = zero
+        for b in range(2 * k + 1):
+            same = F.coalesce(F.get(v["x"], at["j"] + F.lit(b - k)) == at["c"], F.lit(False))
+            equal = equal.bitwiseOR(F.when(same, F.lit(1 << b).cast("long")).otherwise(zero))
         up = F.shiftright(state["up"], 1).bitwiseOR(F.lit(1 << (2 * k)).cast("long"))
         down = F.shiftright(state["down"], 1)
-
-        def with_up(v: Column) -> Column:
-            zero = (equal.bitwiseAND(v["up"]) + v["up"]).bitwiseXOR(v["up"]).bitwiseOR(equal).bitwiseOR(v["down"])
-            return _bind(zero.bitwiseAND(F.lit(mask)), lambda d: with_zero(v, d))
-
-        def with_zero(v: Column, d: Column) -> Column:
-            right = F.shiftleft(v["down"].bitwiseOR(flip(d.bitwiseOR(v["up"]))), 1).bitwiseOR(F.lit(1))
-            return _bind(right.bitwiseAND(F.lit(mask)), lambda h: with_right(v, d, h))
-
-        def with_right(v: Column, d: Column, h: Column) -> Column:
-            left = F.shiftleft(v["up"].bitwiseAND(d), 1).bitwiseAND(F.lit(mask))
-            moved = F.expr("0L") + F.when(d.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), diagonal.cast("int"))) != 0, 0).otherwise(1)
-            return F.struct(
-                left.bitwiseOR(flip(d.bitwiseOR(h))).alias("up"), d.bitwiseAND(h).alias("down"), (state["score"] + moved).alias("score")
-            )
-
-        return _bind(F.struct(up.alias("up"), down.alias("down")), with_up)
-
-    first_up = mask & ~((1 << (k + 1)) - 1)
-    start = F.struct(
-        F.lit(first_up).cast("long").alias("up"), F.lit(0).cast("long").alias("down"),
-        (F.char_length(long) - F.char_length(short)).cast("long").alias("score"),
-    )
-    cells = _bind(x, equal_cells)
-    return F.aggregate(cells, start, step, lambda s: s["score"])
+        parts = F.struct(up.alias("up"), down.alias("down"), equal.alias("equal"))
+        return _bind(parts, lambda p: with_parts(v, state, p))
+
+    def with_parts(v: Column, state: Column, p: Column) -> Column:
+        level = (p["equal"].bitwiseAND(p["up"]) + p["up"]).bitwiseXOR(p["up"]).bitwiseOR(p["equal"]).bitwiseOR(p["down"])
+        return _bind(level.bitwiseAND(F.lit(mask)), lambda d: with_level(v, state, p, d))
+
+    def with_level(v: Column, state: Column, p: Column, d: Column) -> Column:
+        right = F.shiftleft(p["down"].bitwiseOR(flip(d.bitwiseOR(p["up"]))), 1).bitwiseOR(F.lit(1))
+        return _bind(right.bitwiseAND(F.lit(mask)), lambda h: with_right(v, state, p, d, h))
+
+    def with_right(v: Column, state: Column, p: Column, d: Column, h: Column) -> Column:
+        left = F.shiftleft(p["up"].bitwiseAND(d), 1).bitwiseAND(F.lit(mask))
+        moved = F.when(d.bitwiseAND(v["diagonal"]) != 0, zero).otherwise(F.lit(1).cast("long"))
+        return F.struct(
+            left.bitwiseOR(flip(d.bitwiseOR(h))).alias("up"), d.bitwiseAND(h).alias("down"), (state["score"] + moved).alias("score")
+        )
+
+    def run(v: Column) -> Column:
+        start = F.struct(
+            F.lit(mask & ~((1 << (k + 1)) - 1)).cast("long").alias("up"), zero.alias("down"), (F.size(v["x"]) - F.size(v["y"])).cast("long").alias("score")
+        )
+        columns = F.transform(v["y"], lambda c, j: F.struct(c.alias("c"), j.alias("j")))
+        step = lambda s, at: F.when(s["score"] > k, s).otherwise(next_column(v, s, at))
+        return F.aggregate(columns, start, step, lambda s: s["score"])
+
+    letters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
+    diagonal = F.call_function("shiftleft", F.lit(1).cast("long"), (k + F.char_length(long) - F.char_length(short)).cast("int"))
+    rest = _unlike(long, short)
+    return _bind(F.struct(letters(rest[0]).alias("x"), letters(rest[1]).alias("y"), diagonal.alias("diagonal")), run)
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
