@@ -18,10 +18,14 @@ from stranda.llm.packing import pack_documents
 from stranda.llm.quality import quality_rules
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the row as one value, so that its other columns may have any names."""
+    return docs.select("doc_id", "text", F.struct("*").alias("row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep. Null and empty texts go."""
-    judged = quality_rules(docs, table(spark, sf_dir, "labels"), tuple(docs.columns))
-    return judged.filter("kept").select(*docs.columns)
+    return quality_rules(whole(docs), table(spark, sf_dir, "labels"), ("row",)).filter("kept").select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +36,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; rows with a null doc_id stay."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no item of the benchmark."""
-    found = screen(docs, table(spark, sf_dir, "benchmark"), tuple(docs.columns))
-    return found.filter(F.size("leaks") == 0).select(*docs.columns)
+    return screen(whole(docs), table(spark, sf_dir, "benchmark"), ("row",)).filter(F.size("leaks") == 0).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -248,9 +248,11 @@ def dedup_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     All columns stay. Documents that had no text before stay as they are.
     """
-    removed = duplicate_lines(docs, distance).withColumnRenamed("doc_id", "_doc_id").withColumnRenamed("removed", "_removed")
-    joined = docs.join(removed, docs["doc_id"].cast("long") == F.col("_doc_id"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains(F.col("_removed"), k))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    whole = joined.withColumn("text", text).filter(F.col("_removed").isNull() | F.col("text").rlike(r"\S"))
-    return whole.select(*docs.columns)
+    removed = duplicate_lines(docs, distance).select(F.col("doc_id").alias("key"), "removed")
+    # the row travels as one value, so its other columns may have any names
+    whole = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text"), F.struct("*").alias("row"))
+    joined = whole.join(removed, "key", "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains(F.col("removed"), k))
+    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    cut = joined.select("removed", text.alias("text"), "row").filter(F.col("removed").isNull() | F.col("text").rlike(r"\S"))
+    return cut.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")

@@ -1,0 +1,206 @@
+import html
+import random
+import re
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from stranda.llm import decontaminate, html_wrappers, licenses, quality, secrets
+
+from .helpers import WORD, corpus, prose
+
+
+def counts(text):
+    text = text or ""
+    w = WORD.findall(text)
+    seen = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    covered = {j for k in range(len(w) - 4) if seen[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality(spark, llm):
+    rng = random.Random(6)
+    rows = corpus() + [(300, "a b c d e f\n" * 6), (301, "#* $% &| <> \n\nx y z x y z x y z x y"), (302, " ".join(f"{prose(rng, 1)}%%%" for _ in range(60)))]
+    labels = spark.createDataFrame([(d, int(d < 100), 0) for d, t in rows if d is not None] * 2 + [(None, 1, None)], "doc_id long, quality int, toxic int")
+    got = quality.quality_rules(llm(rows).select("doc_id", "text"), labels, ("doc_id", "text")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = counts(r.text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert not (r.kept and r.base_failed)
+    kept = {r.doc_id: r.kept for r in got if not r.base_failed}
+    assert all(kept[k] for k in range(60) if k in kept)
+    assert not kept[302]
+    none = quality.quality_rules(llm(rows), labels.limit(0)).collect()
+    assert all(r.kept == (not r.base_failed) for r in none)
+    assert quality.quality_rules(llm([]), labels).collect() == []
+
+
+def test_log_ratio_is_length_normalised():
+    ratio = quality.log_ratio(np.array([10, 10, 80]), np.array([10, 0, 0]))
+    assert ratio[0] > 0 > ratio[1]
+    from stranda.llm.words import word_hashes
+
+    h, e = word_hashes([b"a b c", b"a b c a b c a b c"])
+    big = np.zeros(1 << 10)
+    assert np.array_equal(quality.gram_scores(h, e, big), [0.0, 0.0])
+
+
+def score(passage, item):
+    best = 0
+    rows = [[0] * (len(passage) + 1)]
+    for w in item:
+        row = [0]
+        for j, x in enumerate(passage, 1):
+            row.append(max(0, rows[-1][j - 1] + (2 if x == w else -1), rows[-1][j] - 1, row[-1] - 1))
+        rows.append(row)
+        best = max(best, *row)
+    return best
+
+
+def test_alignment():
+    rng = random.Random(8)
+    for _ in range(60):
+        item = [rng.randrange(6) for _ in range(rng.randint(1, 12))]
+        passage = [rng.randrange(-1, 6) for _ in range(rng.randint(1, 20))]
+        got, first, end = decontaminate.align(np.array(passage), np.array(item))
+        assert got == score(passage, item)
+        assert score(passage[first:end], item) == got
+
+
+def test_decontamination(spark, llm):
+    rng = random.Random(9)
+    items = [(k, prose(rng, rng.randint(12, 40))) for k in range(20)] + [(20, "too short"), (21, None), (22, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows, planted = list(corpus()), set()
+    for k in range(20):
+        words = items[k][1].split(" ")
+        if k % 3 == 1:
+            for _ in range(len(words) // 10):
+                words[rng.randrange(len(words))] = prose(rng, 1)
+        if k % 3 == 2:
+            words[len(words) // 2 : len(words) // 2] = [prose(rng, 1)]
+            words = [w.upper() + "," for w in words]
+        rows.append((500 + k, f"{prose(rng, 80)} {' '.join(words)} {prose(rng, 50)}"))
+        planted.add((500 + k, k))
+    for block in (decontaminate.BLOCK_WORDS, 200):
+        found = decontaminate.screen(llm(rows).select("doc_id", "text"), bench, ("doc_id", "text"), block).collect()
+        assert len(found) == len(rows)
+        got = {(r.doc_id, x.item_id) for r in found for x in r.leaks}
+        assert got == planted
+    for r in found:
+        for x in r.leaks:
+            words = decontaminate.normal(r.text.encode()).decode().split()
+            item = decontaminate.normal(items[x.item_id][1].encode()).decode().split()
+            passage = words[x.first_word : x.first_word + x.n_words]
+            assert abs(score(passage, item) / (2 * len(item)) - x.score) < 1e-9
+            assert x.score == score(words, item) / (2 * len(item))
+    assert decontaminate.leaks(llm([]), bench).collect() == []
+    assert decontaminate.leaks(llm(rows), bench.limit(0)).collect() == []
+
+
+def test_secrets(spark, llm):
+    key, sha = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "9a1fee807a05366fcb8b6c95c7c565ede51a72aa"
+    rows = [
+        (1, f'é lead token = "{key}" more words'), (2, f"see commit {sha} for the change"), (3, "in /usr/share/lib2/python3/site/module_name.txt here"), (4, None), (5, ""),
+        (6, 'api_key: "your_example_key_1234567890" '), (None, f"secret={key}, and password: {key[::-1]} "), (7, "id 9807915762804490 and 123e4567-e89b-12d3-a456-426614174000"), (8, "word " * 30_000),
+        (8, "word " * 30_000),
+    ]
+    got = secrets.scan_secrets(llm(rows)).collect()
+    texts = {d: t for d, t in rows}
+    assert all(texts[r.doc_id][r.start : r.start + r.length] == r.candidate for r in got)
+    verdict = {(r.doc_id, r.candidate): r.is_secret for r in got}
+    assert verdict[1, key]
+    assert verdict[None, key]
+    assert verdict[None, key[::-1]]
+    assert not any(v for (d, _), v in verdict.items() if d in (2, 3, 6, 7))
+    assert secrets.scan_secrets(llm([])).collect() == []
+
+
+def test_forest_on_held_out_findings(spark):
+    rows = secrets.labelled_findings(spark).withColumn("part", F.abs(F.xxhash64("candidate")) % 4)
+    model = secrets.train(rows.filter("part > 0"))
+    out = model.transform(secrets._with_features(rows.filter("part = 0")))
+    right, n = out.agg(F.count_if(F.col("prediction") == F.col("label")), F.count("*")).head()
+    assert right / n > 0.95
+
+
+def test_licenses(spark, llm):
+    rows = [
+        (1, "Some prose.\nReleased under the MIT License.\nMore"), (2, "This work is licensed under the GNU General Public License, version 3."), (3, "Licensed under CC BY-NC 4.0."),
+        (4, "He lost his driver's license in the rain and wanted it back."), (5, None), (6, ""), (7, "No cue at all"), (None, "Licensed under the Apache License, Version 2.0."),
+        (7, "word " * 20_000), (9, "A note: Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. Thanks."),
+    ]
+    got = {(r.doc_id, r.paragraph_no): (r.family, r.confirmed) for r in licenses.scan_licenses(llm(rows)).collect()}
+    assert got == {(1, 1): ("MIT", True), (2, 0): ("GPL", True), (3, 0): ("CC-BY-NC", True), (4, 0): ("unknown", False), (None, 0): ("Apache-2.0", True), (9, 0): ("Apache-2.0", True)}
+    assert licenses.scan_licenses(llm([])).collect() == []
+
+
+def test_licenses_held_out(spark):
+    model, least = licenses.train(spark)
+    rows = licenses._with_grams(licenses.training_rows(spark, 8).filter("family <> 'unknown' and variant % 4 = 3"))
+    out = model.transform(rows)
+    right, n = out.agg(F.count_if(F.col("prediction") == F.col("label")), F.count("*")).head()
+    assert right / n > 0.9
+    assert 0.5 <= least < 1
+
+
+SHELL = '<!DOCTYPE html><html><head><title>{t}</title><style>p{{}}</style><script>x="<p>no</p>"</script></head><body class="home"><nav><ul><li><a href="/">Home</a></li><li><a href="/b">B</a></li></ul></nav>{b}<footer>&copy; all</footer></body></html>'
+
+
+def block_texts(rng, n):
+    return [prose(rng, rng.randint(3, 20)) for _ in range(n)]
+
+
+def page(rng, kind, k):
+    blocks = block_texts(rng, rng.randint(1, 6))
+    text = "\n".join(blocks)
+    paras = "".join(f"<p>{html.escape(b)}{'</p>' if rng.random() < 0.7 else ''}" for b in blocks)
+    extra = '<div class="ad">Buy now</div><aside><p>Aside</p></aside><form><p>Mail</p><input></form><section class="comments"><p>First!</p></section>'
+    if kind == "article":
+        body = f"<header><p>Site</p></header>{extra}<article>{paras}{extra if k % 2 else ''}</article>{extra}"
+    elif kind == "main":
+        body = f'<div class="sidebar">Side</div><main><!-- <p>gone</p> -->{paras}</main>{extra}'
+    else:
+        body = f'<div class="wrap"><div id="top"><a href="/x">Top link</a></div><div class="x{k}"><div>{paras}</div></div><div>Fixed words on every page</div></div>{extra}'
+    return SHELL.format(t="Title", b=body), text
+
+
+def test_extraction(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for kind in ("article", "main", "plain"):
+        for k in range(12):
+            h, t = page(rng, kind, k)
+            n = len(rows)
+            rows.append((n, f"https://{kind}.example.com/{k}", h))
+            want[n] = t
+    tail = SHELL.format(t="x", b='<article><h1>A &amp; B&nbsp;&lt;c&gt;</h1><p>two\n  spaces <b>bold</b><i>er</i><br>next<p>unclosed &am')[:-40]
+    for n, url, h, t in (
+        (100, None, None, ""), (101, "http://a.b/", "", ""), (102, None, tail.split("<footer>")[0], "A & B <c>\ntwo spaces bolder\nnext\nunclosed &am"), (103, "nonsense", "just words", "just words"),
+        (104, "http://long.example.com/", "<article>" + "<p>word</p>" * 20_000 + "</article>", "\n".join(["word"] * 20_000)), (100, None, None, ""),
+    ):
+        rows.append((n, url, h))
+        want[n] = t
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).withColumn("host", F.lit("clash")).repartition(5)
+    got = html_wrappers.extract_pages(pages).collect()
+    assert len(got) == len(rows)
+    bad = [(r.page_id, r.text[:200], want[r.page_id][:200]) for r in got if r.text != want[r.page_id] or r.n_chars != len(r.text)]
+    assert bad == []
+    assert html_wrappers.extract_pages(pages.limit(0)).collect() == []
+
+
+def test_alignment_gives_groups_options_and_slots():
+    w = html_wrappers
+    tree = lambda h: w.wrapper_of(w.page_tree(h))
+    a = tree('<div class="x"><p>one</p><p>two</p></div><div class="y"><p>same</p></div>')
+    b = tree('<div class="x"><p>three</p></div><div class="z">new</div><div class="y"><p>same</p></div>')
+    both = w.align(a, b)
+    x, z, y = both.children
+    assert (x.label, x.optional, x.children[0].repeated, x.children[0].constant) == ("div x", False, True, None)
+    assert (z.label, z.optional) == ("div z", True)
+    assert (y.optional, y.children[0].constant) == (False, "same")
+    assert w.dump(w.load(w.dump(both))) == w.dump(both)
