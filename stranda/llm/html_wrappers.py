@@ -55,7 +55,7 @@ MAIN_WORDS = frozenset("article articlebody content entry main post postbody sto
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""",
+    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>|<[a-zA-Z!?/][^<>]*\Z""",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMED = re.compile(r"""\b(class|id|role|hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -321,10 +321,16 @@ def _rule(text: str) -> Node:
 
 
 def extract(page: str, rule: str | None) -> str:
-    """The texts of a page in the slots that its host's rule names, joined by line ends."""
+    """The texts of a page in the slots that its host's rule names, joined by line ends.
+
+    A page that has none of these slots, unlike the others of its host, is read by a wrapper of its own.
+    """
     tree = page_tree(page)
-    if rule is None:
-        rule = rule_of(wrapper_of(tree))
+    out = _texts(tree, rule) if rule is not None else []
+    return "\n".join(out or _texts(tree, rule_of(wrapper_of(tree))))
+
+
+def _texts(tree: Node, rule: str) -> list[str]:
     out: list[str] = []
 
     def walk(node: Node, by: Node) -> None:
@@ -346,7 +352,7 @@ def extract(page: str, rule: str | None) -> str:
                 walk(child, slot)
 
     walk(tree, _rule(rule))
-    return "\n".join(out)
+    return out
 
 
 def _host() -> F.Column:

@@ -22,7 +22,7 @@ TREES, DEPTH, SEED = 24, 7, 7
 FINDINGS = 4_000
 THRESHOLD = 0.5
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/=.\-])(?=[A-Za-z_+/=.\-]{0,200}[0-9])[A-Za-z0-9_+/=.\-]{15,}[A-Za-z0-9_+/=]"
+CANDIDATE = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]{0,200}[0-9])[A-Za-z0-9_+/.\-]{15,}[A-Za-z0-9_+/](?:={1,2}(?![A-Za-z0-9]))?"
 
 # Words and prefixes that tell secrets from other identifiers.
 KEY_WORDS = "token|secret|passwd|password|pwd|apikey|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?|client[_-]?secret|signing[_-]?key"

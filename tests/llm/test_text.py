@@ -178,9 +178,9 @@ def test_extraction(spark):
             n = len(rows)
             rows.append((n, f"https://{kind}.example.com/{k}", h))
             want[n] = t
-    tail = SHELL.format(t="x", b='<article><h1>A &amp; B&nbsp;&lt;c&gt;</h1><p>two\n  spaces <b>bold</b><i>er</i><br>next<p>unclosed &am')[:-40]
+    tail = SHELL.format(t="x", b='<article><h1>A &amp; B&nbsp;&lt;c&gt;</h1><p>two\n  spaces <b>bold</b><i>er</i><br>next<p>unclosed &am')[:-41]
     for n, url, h, t in (
-        (100, None, None, ""), (101, "http://a.b/", "", ""), (102, None, tail.split("<footer>")[0], "A & B <c>\ntwo spaces bolder\nnext\nunclosed &am"), (103, "nonsense", "just words", "just words"),
+        (100, None, None, ""), (101, "http://a.b/", "", ""), (105, "http://cut.example.com", tail + '<p class="x', "A & B <c>\ntwo spaces bolder\nnext\nunclosed &am"), (102, None, tail, "A & B <c>\ntwo spaces bolder\nnext\nunclosed &am"), (103, "nonsense", "just words", "just words"),
         (104, "http://long.example.com/", "<article>" + "<p>word</p>" * 20_000 + "</article>", "\n".join(["word"] * 20_000)), (100, None, None, ""),
     ):
         rows.append((n, url, h))
