@@ -19,7 +19,7 @@ def inputs(spark, tmp_path_factory):
     rows += [(90 + k, f"{prose(rng, 60)}\n{boiler}\n{prose(rng, 60)}", "en", "s", 0) for k in range(4)]
     rows += [(95, None, None, None, None), (96, "", "en", "s", 0), (97, "same words here\n" * 40, "en", "s", 0), (None, prose(rng, 80), "en", "s", 0)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(d / "documents.parquet"))
-    spark.createDataFrame([(r[0], 1, 0) for r in rows[:40]], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
+    spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] is not None and r[0] < 95], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
     return str(d), rows
 
