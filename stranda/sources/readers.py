@@ -123,13 +123,14 @@ def scan_bed_tree(spark: SparkSession, root: str, categories: list[str], contigs
 
 
 def scan_codon_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Wide rows of label positions; ``.`` is null."""
+    """Wide rows of label positions; ``.`` is null but for strands, where it is a value."""
     kinds = ["string"] * 4 + ["long"] * 9
     names = (
         "chrom transcript_id gene_id strand label1_start_pos label2_noncoding_near_pos label2_delta_bp label3_noncoding_far_pos "
         "label3_delta_bp label4_same_inframe_met_pos label4_delta_bp label5_same_outframe_atg_pos label5_delta_bp"
     ).split()
-    return spark.read.csv(path, header=True, sep="\t", nullValue=".", schema=", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    rows = spark.read.csv(path, header=True, sep="\t", nullValue=".", schema=", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    return rows.withColumn("strand", F.coalesce("strand", F.lit(".")))
 
 
 def scan_repeat_table(spark: SparkSession, path: str) -> DataFrame:
