@@ -5,12 +5,16 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch sent to a Python worker. Small, because one text may be very long.
 ARROW_ROWS = 256
+#: Bytes of text that are put together for a step whose cost falls with the size of its batch.
+GATHERED_BYTES = 2 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -74,3 +78,19 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 def text_bytes(df: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     """The key columns and the whole text as UTF-8 bytes; a null text is empty."""
     return df.select(*[F.col(k) for k in keys], F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_bytes"))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], least: int = GATHERED_BYTES) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches put together until their texts (``_bytes``) have ``least`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column("_bytes").nbytes
+        if size >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+

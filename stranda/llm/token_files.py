@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_path, small_batches, text_bytes
+from .common import gathered, materialize, shared_path, small_batches, text_bytes
 from .simple8b import Reader, Writer
 from .tokens import encoder, vocabulary
 
@@ -55,9 +55,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = out = writer = None
         part = TaskContext.get().partitionId()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in gathered(batches):
             if writer is None:
                 store, base = open_store(folder)
                 store.create_dir(base, recursive=True)

@@ -17,6 +17,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
+from . import words
+
 _encoders: dict[str, PieceEncoder] = {}
 
 #: The pre-tokenizer's pattern for which pieces are cut here. A fixed value of the public vocabulary file.
@@ -33,6 +35,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each worker process, kept between tasks."""
+    words.forget()
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
     return _encoders[path]
@@ -76,7 +79,7 @@ def cut_by_pieces(spec: dict) -> bool:
 class PieceEncoder:
     """Ids of texts; ``max_pieces`` and ``max_ids`` bound what is remembered, never what is encoded."""
 
-    def __init__(self, path: str, max_pieces: int = 1_000_000, max_ids: int = 8_000_000):
+    def __init__(self, path: str, max_pieces: int = 400_000, max_ids: int = 4_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -94,6 +97,24 @@ class PieceEncoder:
         self.used = 0
         self.starts = np.zeros(1024, np.int64)
         self.counts = np.zeros(1024, np.int64)
+        self.hits = np.zeros(1024, np.int64)
+
+    def _keep_frequent(self) -> None:
+        """Forget pieces that only one batch had; all, if that does not free half."""
+        keep = np.flatnonzero(self.hits[: len(self.slot)] > 1)
+        if 2 * len(keep) > self.max_pieces or 2 * int(self.counts[keep].sum()) > self.max_ids:
+            self._forget()
+            return
+        pieces, counts = list(self.slot), self.counts[keep]
+        ends = np.cumsum(counts)
+        n = int(ends[-1]) if len(ends) else 0
+        pool = self.pool[np.repeat(self.starts[keep] - ends + counts, counts) + np.arange(n)]
+        self._forget()
+        self.slot = {pieces[k]: new for new, k in enumerate(keep.tolist())}
+        self.pool, self.used = np.concatenate((pool, np.zeros(1024, np.uint32))), n
+        spare = np.zeros(1024, np.int64)
+        self.starts, self.counts = np.concatenate((ends - counts, spare)), np.concatenate((counts, spare))
+        self.hits = np.zeros(len(self.starts), np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
         encode, letters = self.tokenizer.model.tokenize, self.letters
@@ -108,6 +129,7 @@ class PieceEncoder:
         if n + m > len(self.starts):
             self.starts = np.concatenate((self.starts, np.zeros(len(self.starts) + m, np.int64)))
             self.counts = np.concatenate((self.counts, np.zeros(len(self.counts) + m, np.int64)))
+            self.hits = np.concatenate((self.hits, np.zeros(len(self.hits) + m, np.int64)))
         self.pool[self.used : self.used + len(new)] = new
         self.counts[n : n + m] = lengths
         self.starts[n : n + m] = self.used + np.cumsum(lengths) - lengths
@@ -126,11 +148,13 @@ class PieceEncoder:
         if None in known:
             missing = [p for p, k in zip(pieces, known, strict=True) if k is None]
             if len(self.slot) + len(missing) > self.max_pieces or self.used > self.max_ids:
-                self._forget()
-                missing = pieces
+                self._keep_frequent()
+                missing = [p for p in pieces if p not in self.slot]
             self._learn(missing)
             known = list(map(self.slot.__getitem__, pieces))
-        slots = np.array(known, np.int64)[coded.indices.to_numpy()]
+        distinct = np.array(known, np.int64)
+        self.hits[distinct] += 1
+        slots = distinct[coded.indices.to_numpy()]
         counts = self.counts[slots]
         ends = np.cumsum(counts)
         ids = self.pool[np.repeat(self.starts[slots] - ends + counts, counts) + np.arange(ends[-1])]

@@ -11,10 +11,15 @@ import xxhash
 _U64 = np.uint64
 
 #: Words remembered by a worker process with their hashes; bounds memory, never results.
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 _hashes: dict[bytes, int] = {}
 
 
+def forget() -> None:
+    """Free what is remembered, before other work in the same process."""
+    _hashes.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed permutation of 64-bit numbers that spreads every bit (the public splitmix64 finalizer)."""
     x = (x ^ (x >> _U64(30))) * _U64(0xBF58476D1CE4E5B9)
