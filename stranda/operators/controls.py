@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import shifted_flank, within_contig
 from ..schemas import FLANK_DISTANCE
+from ..sources.scratch import scratch_path
 from .intervals import overlap_anti
 from .selection import Occupied
 
@@ -21,9 +22,13 @@ def dense_pair_id(rows: DataFrame, *order: str, name: str = "pair_id", ranges: i
     """Ids 0, 1, 2, ... in the order of ``order``, without a single task that sees all rows.
 
     Rows are dealt into ranges of the order, numbered within their range, and moved up by the sizes of the ranges
-    before.
+    before. The dealt rows are written once: ranges come from a sample, which another evaluation might draw
+    otherwise.
     """
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "ranges")
     dealt = rows.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id())
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
     sizes = dealt.groupBy("_part").count()
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # at most ``ranges`` rows
     bases = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
