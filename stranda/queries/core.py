@@ -539,13 +539,13 @@ def differing_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- score statistics ----
 
-_STATS = """round(avg(x), 4) as mean, round(stddev_pop(x), 4) as std, round(avg(case when x > 0 then 1.0::double else 0 end), 4) as frac_pos,
- round(avg(case when x < 0 then 1.0::double else 0 end), 4) as frac_neg, round(coalesce(avg(case when x > 0 then x end), 0), 4) as mean_pos, round(coalesce(avg(case when x < 0 then x end), 0), 4) as mean_neg"""
+_STATS = """round(avg(x), 8) as mean, round(stddev_pop(x), 8) as std, round(avg(case when x > 0 then 1.0::double else 0 end), 8) as frac_pos,
+ round(avg(case when x < 0 then 1.0::double else 0 end), 8) as frac_neg, round(coalesce(avg(case when x > 0 then x end), 0), 8) as mean_pos, round(coalesce(avg(case when x < 0 then x end), 0), 8) as mean_neg"""
 _BASES = "bases as (select span_id, coalesce(score, 0) as x from (select span_id, chrom, unnest(range(rs, re)) as p from spans) b left join track t on t.chrom = b.chrom and t.pos = b.p)"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select("span_id", *(F.round(c, 4).alias(c) for c in df.columns if c != "span_id"))
+    return df.select("span_id", *(F.round(c, 8).alias(c) for c in df.columns if c != "span_id"))
 
 
 @query(f"with {s.SCORE_SPANS}, spans as (select *, {_ROI} from score_spans), {_BASES} select span_id, {_STATS} from bases group by span_id")
