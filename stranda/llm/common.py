@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import make_importable
+from . import words
+
 #: Rows of one Arrow batch sent to a Python worker. Small, because one text may be very long.
 ARROW_ROWS = 256
 #: Bytes of text that are put together for a step whose cost falls with the size of its batch.
@@ -70,7 +75,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of very long texts still fits a worker."""
+    """Before Python work: bound the rows of an Arrow batch, so that one of very long texts still fits a worker."""
+    make_importable(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
@@ -94,3 +100,25 @@ def gathered(batches: Iterator[pa.RecordBatch], least: int = GATHERED_BYTES) ->
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
+
+def _release() -> None:
+    """Give memory that a worker process no longer uses back to the system."""
+    words.forget()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` for one task, after which its process is left idle and small."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            _release()
+
+    return run

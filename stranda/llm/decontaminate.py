@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, text_bytes
+from .common import small_batches, text_bytes, tidy
 from .words import word_codes
 
 SEED = 3
@@ -165,6 +165,7 @@ def _counted(docs: DataFrame, items: Items) -> np.ndarray:
     """Occurrences of the vocabulary's words in all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         total = np.zeros(len(own.vocab), np.int64)

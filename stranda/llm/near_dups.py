@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, text_bytes
+from .common import materialize, small_batches, text_bytes, tidy
 from .components import connected_components
 from .words import mix, windows, word_hashes
 
@@ -86,6 +86,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, two fingerprints of the set, and the left and right groups."""
     small_batches(docs.sparkSession)
 
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets, edges = shingles(batch.column("_bytes").to_pylist())
@@ -110,9 +111,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _keys(classes: DataFrame) -> DataFrame:
     return (
-        classes.select("rep", "n", "right", F.posexplode("left").alias("i", "l"))
-        .select("rep", "n", "i", "l", F.posexplode("right").alias("j", "r"))
-        .select(F.xxhash64("i", "j", "l", "r").alias("key"), "rep", "n")
+        classes.select("rep", "right", F.posexplode("left").alias("i", "l"))
+        .select("rep", "i", "l", F.posexplode("right").alias("j", "r"))
+        .select(F.xxhash64("i", "j", "l", "r").alias("key"), "rep")
     )
 
 
@@ -123,6 +124,7 @@ def _near_sizes(a: Column, b: Column) -> Column:
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The sorted shingle hashes of the documents in ``wanted`` (rep)."""
 
+    @tidy
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets, edges = shingles(batch.column("_bytes").to_pylist())
@@ -170,8 +172,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text, ...).
 
     A null or empty text, or one of white space, has no shingles and is linked with nothing. Rows with a
-    null doc_id are linked with nothing either: their component is null and they are kept. Repeated doc_ids
-    count as one document. An empty table gives no rows. Other columns are ignored.
+    null doc_id are linked with nothing either: their component is null and they are kept. Repeated rows
+    count as one document; a doc_id with several texts is one node that has the links of each, confirmed on one
+    of them. An empty table gives no rows. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     signed = materialize(signatures(docs), "signatures")
@@ -185,12 +188,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     keys = _keys(classes)
     shared = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"), F.count("*").alias("held"))
-    leaders = classes.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n")).dropDuplicates(["leader"])
+    sizes = classes.select("rep", "n")
+    leaders = sizes.toDF("leader", "leader_n")
     buckets = materialize(
         keys.join(shared.filter("leader < last").select("key", "leader", "held"), "key"), "buckets"
     )
     pairs = materialize(
-        buckets.filter("rep <> leader").select("leader", "rep", "n").distinct().join(leaders, "leader")
+        buckets.filter("rep <> leader").select("leader", "rep").distinct().join(sizes, "rep").join(leaders, "leader")
         .filter(_near_sizes(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(),
         "pairs",
     )
@@ -201,7 +205,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     held = buckets.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     torn = held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     left_over = materialize(
-        held.join(torn.select("key"), "key", "left_semi").select("key", "held", "rep", "n", "component"), "left-over"
+        held.join(torn.select("key"), "key", "left_semi").join(sizes, "rep").select("key", "held", "rep", "n", "component"), "left-over"
     )
     a, b = (
         left_over.filter(F.col("held") <= SMALL_BUCKET).select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component")))
