@@ -34,9 +34,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else cut
 
 
+#: Least similarity, in percent, of documents that count as near duplicates in the pipeline.
+NEAR_PERCENT = 80
+
+
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; rows with a null doc_id stay."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    gone = near_duplicates(docs, NEAR_PERCENT).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
 
 

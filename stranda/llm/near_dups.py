@@ -2,8 +2,8 @@
 
 Two small collections of ``GROUPS`` groups of ``DEPTH`` minhashes are computed for each document; every pair of
 a group from one and a group from the other is the key of a table. ``2 * GROUPS * DEPTH`` minhashes thus serve
-``GROUPS ** 2`` tables of ``2 * DEPTH`` minhashes each. At the threshold of 0.85 a pair shares no table with
-probability ``2 * (1 - 0.85**DEPTH) ** GROUPS`` at most.
+``GROUPS ** 2`` tables of ``2 * DEPTH`` minhashes each. At a threshold ``t`` a pair shares no table with
+probability ``2 * (1 - t**DEPTH) ** GROUPS`` at most; lower thresholds take more groups (``groups_for``).
 
 Documents with equal sets are one class from the start. In each bucket all classes are compared with the
 bucket's smallest only, links are confirmed on full sets, and components are formed. What this
@@ -26,14 +26,23 @@ from .components import connected_components
 from .words import mix, windows, word_hashes
 
 WORDS = 5
-#: Least similarity, in percent.
+#: Least similarity, in percent, where the caller names none.
 PERCENT = 85
 GROUPS, DEPTH = 9, 2
+#: Largest probability that a pair at the threshold shares no table.
+MISSED = 2e-5
 #: Buckets of at most so many classes are compared pair by pair where they join several components.
 SMALL_BUCKET = 8
 
 _U64 = np.uint64
-_SEEDS = mix(np.arange(1, 2 * GROUPS * DEPTH + 1).astype(_U64) * _U64(0x9E3779B97F4A7C15))
+
+
+def groups_for(percent: int) -> int:
+    """Groups on each side, GROUPS at least, with which a pair at the threshold is missed with probability MISSED at most."""
+    g = GROUPS
+    while percent < 100 and 2 * (1 - (percent / 100) ** DEPTH) ** g > MISSED:
+        g += 1
+    return g
 
 
 def shingles(texts: list[bytes], n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -70,19 +79,20 @@ def _per_text(ufunc: np.ufunc, values: np.ndarray, edges: np.ndarray, empty: np.
     return out
 
 
-def minhash_groups(sets: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """A row for each text, of the hashes of its ``2 * GROUPS`` groups of ``DEPTH`` minhashes."""
+def minhash_groups(sets: np.ndarray, edges: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """A row for each text, of the hashes of its ``2 * groups`` groups of ``DEPTH`` minhashes."""
+    seeds = mix(np.arange(1, 2 * groups * DEPTH + 1).astype(_U64) * _U64(0x9E3779B97F4A7C15))
     empty = np.diff(edges) == 0
-    out = np.zeros((len(edges) - 1, 2 * GROUPS), _U64)
-    for g in range(2 * GROUPS):
+    out = np.zeros((len(edges) - 1, 2 * groups), _U64)
+    for g in range(2 * groups):
         for d in range(DEPTH):
-            seed = _SEEDS[g * DEPTH + d]
+            seed = seeds[g * DEPTH + d]
             least = _per_text(np.minimum, (sets ^ seed) * (seed | _U64(1)), edges, empty)
             out[:, g] = mix(out[:, g] * _U64(31) + least)
     return out
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, groups_a_side: int = GROUPS) -> DataFrame:
     """doc_id, n_shingles, two fingerprints of the set, and the left and right groups."""
     small_batches(docs.sparkSession)
 
@@ -91,16 +101,16 @@ def signatures(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sets, edges = shingles(batch.column("_bytes").to_pylist())
             empty = np.diff(edges) == 0
-            groups = minhash_groups(sets, edges).astype(np.int64)
-            side = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), GROUPS).cast(pa.list_(pa.int64()))
+            groups = minhash_groups(sets, edges, groups_a_side).astype(np.int64)
+            side = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), groups_a_side).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(np.diff(edges)),
                     pa.array(_per_text(np.add, mix(sets), edges, empty).astype(np.int64)),
                     pa.array(_per_text(np.bitwise_xor, mix(~sets), edges, empty).astype(np.int64)),
-                    side(groups[:, :GROUPS]),
-                    side(groups[:, GROUPS:]),
+                    side(groups[:, :groups_a_side]),
+                    side(groups[:, groups_a_side:]),
                 ],
                 ["doc_id", "n_shingles", "set_sum", "set_xor", "left", "right"],
             )
@@ -117,8 +127,8 @@ def _keys(classes: DataFrame) -> DataFrame:
     )
 
 
-def _near_sizes(a: Column, b: Column) -> Column:
-    return (100 * F.least(a, b)) >= (PERCENT * F.greatest(a, b))
+def _near_sizes(a: Column, b: Column, percent: int) -> Column:
+    return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -135,19 +145,19 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return text_bytes(own, "rep").mapInArrow(read, "rep long, shingles array<long>").dropDuplicates(["rep"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left, right = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
     both = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - both
-    return pairs.join(left, "a").join(right, "b").filter(100 * both >= PERCENT * union).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(100 * both >= percent * union).select("a", "b")
 
 
-def _rare_prefix_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``members`` (rep, n, component) in different components that share a rare shingle.
 
-    Shingles are ordered by how many members have them. Two sets of which one is at least PERCENT of their
-    union share one of the first ``n - ceil(n * PERCENT / 100) + 1`` shingles of each.
+    Shingles are ordered by how many members have them. Two sets of which one is at least ``percent`` of their
+    union share one of the first ``n - ceil(n * percent / 100) + 1`` shingles of each.
     """
     own = sets.join(members, "rep").select("rep", "n", "component", F.explode("shingles").alias("shingle"))
     held = own.groupBy("shingle").agg(F.count("*").alias("df"))
@@ -155,29 +165,30 @@ def _rare_prefix_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
         own.join(held, "shingle")
         .groupBy("rep", "n", "component")
         .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))  # one set, bounded by its text
-        .withColumn("k", (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))
+        .withColumn("k", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
         .select("rep", "n", "component", F.posexplode(F.expr("slice(s, 1, k)")).alias("at", "x"))
         .filter("x.df > 1")
         .select("rep", "n", "component", "at", F.col("x.shingle").alias("shingle"))
     )
     a, b = (ranked.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", "at"))) for s in "ab")
     rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    needed = F.ceil((F.col("n_a") + F.col("n_b")) * PERCENT / (100 + PERCENT))
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     near = (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
-    near = near & _near_sizes(F.col("n_a"), F.col("n_b")) & (rest >= needed)
+    near = near & _near_sizes(F.col("n_a"), F.col("n_b"), percent) & (rest >= needed)
     return a.join(b, (a["shingle"] == b["shingle"]) & near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text, ...).
 
+    Documents are linked where their sets share ``percent`` of their union or more.
     A null or empty text, or one of white space, has no shingles and is linked with nothing. Rows with a
     null doc_id are linked with nothing either: their component is null and they are kept. Repeated rows
     count as one document; a doc_id with several texts is one node that has the links of each, confirmed on one
     of them. An empty table gives no rows. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    signed = materialize(signatures(docs), "signatures")
+    signed = materialize(signatures(docs, groups_for(percent)), "signatures")
     linked = signed.filter("doc_id is not null and n_shingles > 0")
     of_set = ["set_sum", "set_xor", "n_shingles"]
     named = linked.groupBy(*of_set).agg(F.min("doc_id").alias("rep"))
@@ -195,11 +206,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     pairs = materialize(
         buckets.filter("rep <> leader").select("leader", "rep").distinct().join(sizes, "rep").join(leaders, "leader")
-        .filter(_near_sizes(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(),
+        .filter(_near_sizes(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(),
         "pairs",
     )
     sets = materialize(_full_sets(docs, buckets.select("rep").distinct()), "sets")
-    links = materialize(_confirmed(pairs, sets), "confirmed")
+    links = materialize(_confirmed(pairs, sets, percent), "confirmed")
     first = materialize(connected_components(links).withColumnRenamed("node", "rep"), "components")
 
     held = buckets.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -212,11 +223,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         for s in "ab"
     )
     near = (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
-    near = near & _near_sizes(F.col("n_a"), F.col("n_b"))
+    near = near & _near_sizes(F.col("n_a"), F.col("n_b"), percent)
     direct = a.join(b, (a["key"] == b["key"]) & near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     members = left_over.filter(F.col("held") > SMALL_BUCKET).select("rep", "n", "component").distinct()
-    more = materialize(direct.union(_rare_prefix_pairs(members, sets)).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    late = materialize(_confirmed(more, sets), "confirmed")
+    more = materialize(direct.union(_rare_prefix_pairs(members, sets, percent)).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    late = materialize(_confirmed(more, sets, percent), "confirmed")
     joined = materialize(connected_components(links.union(late)).withColumnRenamed("node", "rep"), "components")
 
     of_class = named.join(joined, "rep", "left").select(*of_set, F.coalesce("component", "rep").alias("component"))
