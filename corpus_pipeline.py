@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stranda.llm.common import materialize, table
 from stranda.llm.decontaminate import screen
-from stranda.llm.line_dedup import dedup_lines
+from stranda.llm.line_dedup import EQUAL_CHARS, dedup_lines
 from stranda.llm.near_dups import near_duplicates
 from stranda.llm.packing import pack_documents
 from stranda.llm.quality import quality_rules
@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat earlier ones; documents of which nothing else is left go."""
-    cut = dedup_lines(docs)
+    cut = dedup_lines(docs, least=EQUAL_CHARS)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else cut
 
 

@@ -20,8 +20,10 @@ from .components import connected_components
 
 #: Largest edit distance, in code points, between two lines that count as the same.
 DISTANCE = 2
-#: Shorter lines are left alone.
+#: Shorter lines are compared with none by edit distance, and left alone where the caller asks for no more.
 LEAST_CHARS = 20
+#: Shortest equal lines that the queries take out: all that are not empty.
+EQUAL_CHARS = 1
 #: Letters that are counted where many lines share a segment; an edit changes the sum of differences by two at most.
 COUNTED = "etaoinshrdlu"
 #: Residues of line hashes that the broadcast filter of verified lines may hold.
@@ -35,12 +37,12 @@ def _pos() -> Column:
     return F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line, two hashes of the line and its place, for all lines that are long enough."""
+def occurrences(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
+    """doc_id, line_no, line, two hashes of the line and its place, for all visible lines of ``least`` code points or more."""
     lines = docs.filter("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
     )
-    lines = lines.filter((F.char_length("line") >= LEAST_CHARS) & F.col("line").rlike(r"\S"))
+    lines = lines.filter((F.char_length("line") >= least) & F.col("line").rlike(r"\S"))
     return lines.select(
         "doc_id", "line_no", "line", F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2"), _pos().alias("pos")
     )
@@ -171,7 +173,11 @@ def line_classes(lines: DataFrame) -> DataFrame:
 
 
 def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs (a, b) of hashes of different lines within ``distance``; every such pair of ``lines`` is linked."""
+    """Pairs (a, b) of hashes of different lines within ``distance``; every such pair of ``lines`` is linked.
+
+    Lines under LEAST_CHARS code points are in no pair.
+    """
+    lines = lines.filter(F.char_length("line") >= LEAST_CHARS)
     total = classes.agg(F.sum("held")).head()[0] or 0
     # at most FREQUENT rows
     frequent = classes.filter(F.col("held") > max(8, total // FREQUENT)).select("id", "id2", "first")
@@ -212,15 +218,15 @@ def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE
     return both.filter(edit_distance(F.col("t"), F.col("s"), distance) <= distance).select("a", "b").distinct()
 
 
-def duplicate_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
     """doc_id and the numbers (from 0) of its lines that repeat an earlier line of the corpus, exactly or nearly.
 
     Of each group of lines that are linked, directly or through others, the first stays: that of the smallest
-    doc_id, in it the first. Lines under LEAST_CHARS code points or without a visible character are left
-    alone, as are rows with a null doc_id or text. Repeated rows of one doc_id count once. Only documents
+    doc_id, in it the first. Lines under ``least`` code points or without a visible character are left
+    alone, as are rows with a null doc_id or text; lines under LEAST_CHARS repeat equal ones only. Repeated rows of one doc_id count once. Only documents
     with such lines have a row.
     """
-    lines = occurrences(docs)
+    lines = occurrences(docs, least)
     classes = materialize(line_classes(lines), "line-classes")
     links = materialize(similar_lines(lines, classes, distance), "line-links")
     groups = materialize(connected_components(links), "line-groups").withColumnRenamed("node", "id")
@@ -234,21 +240,21 @@ def duplicate_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))  # bounded by one text
 
 
-def line_report(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def line_report(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
     """For every row of ``docs``: doc_id, its number of lines and the numbers of those that repeat earlier ones."""
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
     counted = counted.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    found = counted.join(duplicate_lines(docs, distance), "doc_id", "left")
+    found = counted.join(duplicate_lines(docs, distance, least), "doc_id", "left")
     removed = F.coalesce("removed", F.expr("cast(array() as array<int>)"))
     return found.select("doc_id", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def dedup_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with repeated lines taken out of the texts; a document that loses all its text goes.
 
     All columns stay. Documents that had no text before stay as they are.
     """
-    removed = duplicate_lines(docs, distance).select(F.col("doc_id").alias("key"), "removed")
+    removed = duplicate_lines(docs, distance, least).select(F.col("doc_id").alias("key"), "removed")
     # the row travels as one value, so its other columns may have any names
     whole = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text"), F.struct("*").alias("row"))
     joined = whole.join(removed, "key", "left")

@@ -10,7 +10,7 @@ from .common import table
 from .decontaminate import leaks
 from .html_wrappers import extract_pages
 from .licenses import scan_licenses
-from .line_dedup import line_report
+from .line_dedup import EQUAL_CHARS, line_report
 from .near_dups import near_duplicates
 from .packing import pack_documents
 from .quality import quality_rules
@@ -24,7 +24,7 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"), least=EQUAL_CHARS)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
