@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat earlier ones; documents of which nothing else is left go."""
-    cut = dedup_lines(docs, least=EQUAL_CHARS)
+    cut = dedup_lines(docs, least=EQUAL_CHARS, by_words=True)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else cut
 
 

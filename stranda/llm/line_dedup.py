@@ -8,10 +8,18 @@ selection leaves. The index holds the smallest and the largest line of each segm
 probe that meets it is a candidate pair; where several lines share a segment, they are joined with those that
 probe it under a bound on their letter counts. Candidates are verified with banded bit-parallel edit distance.
 Only DataFrame functions are used.
+
+Where the caller asks for it, long lines are also compared by words: two lines are near copies if one in
+``WORDS_EACH`` words of the shorter one, or fewer, are changed, added or dropped. Two such lines share a run of
+words whose least length follows from the shorter line's number of words (``RUNS``). Of every window of that
+length each line emits the word sequence at its smallest word hash, so a shared run gives both a key in common.
+Keys of several lines are joined under bounds on places, lengths and word counts; pairs are decided on words.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +34,11 @@ LEAST_CHARS = 20
 EQUAL_CHARS = 1
 #: Letters that are counted where many lines share a segment; an edit changes the sum of differences by two at most.
 COUNTED = "etaoinshrdlu"
+#: One word in so many may differ between long lines that count as the same.
+WORDS_EACH = 10
+#: Words of a key, and for lines from so many words on the length of a run that near copies share.
+KEY_WORDS = 4
+RUNS = ((10, 5), (20, 6), (30, 7), (40, 8), (90, 9))
 #: Residues of line hashes that the broadcast filter of verified lines may hold.
 RESIDUES = 1 << 20
 #: A line with more than this share of all lines is probed once; there are at most so many such lines.
@@ -88,14 +101,14 @@ def _letters(line: Column) -> list[Column]:
     return out
 
 
-def _near_letters(a: str, b: str, distance: int) -> Column:
+def _near_letters(a: str, b: str, distance: int | Column) -> Column:
     total = F.lit(0)
     for half in ("0", "1"):
         for k in range(6):
             byte = lambda x, k=k: F.shiftright(x, 8 * k).bitwiseAND(F.lit(255).cast("long"))
             gap = F.abs(byte(F.col(a + half)) - byte(F.col(b + half)))
             total = total + F.least(gap, 256 - gap)
-    return total <= 2 * distance
+    return total <= distance * 2
 
 
 def _bind(value: Column, body) -> Column:
@@ -218,9 +231,93 @@ def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE
     return both.filter(edit_distance(F.col("t"), F.col("s"), distance) <= distance).select("a", "b").distinct()
 
 
-def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def _tokens(line: Column) -> Column:
+    return F.filter(F.split(line, r"\s+"), lambda w: w != "")
+
+
+def _run(n: Column) -> Column:
+    """The length of a run of words that a line of ``n`` words shares with each near copy that is no shorter."""
+    out = F.lit(None).cast("int")
+    for least, run in RUNS:
+        out = F.when(n >= least, run).otherwise(out)
+    return out
+
+
+def _word_bags(tokens: Column) -> list[Column]:
+    """How many words have each of twelve residues of their hashes, modulo 256, six counts in a number."""
+    residues = F.transform(tokens, lambda w: F.pmod(F.xxhash64(w), F.lit(12)))
+
+    def held(r: Column, residue: int) -> Column:
+        return (F.size(F.filter(r, lambda x: x == residue)) % 256).cast("long")
+
+    def packed(r: Column) -> Column:
+        six = [reduce(lambda total, k: total * 256 + held(r, k), range(first, first + 6), F.lit(0).cast("long")) for first in (0, 6)]
+        return F.struct(six[0].alias("low"), six[1].alias("high"))
+
+    both = _bind(residues, packed)
+    return [both["low"], both["high"]]
+
+
+def _word_keys(lines: DataFrame) -> DataFrame:
+    """(key, id, n, at): the keys of each of ``lines`` (line, id), the line's number of words and the key's place in it."""
+    own = lines.select("id", _tokens(F.col("line")).alias("w")).withColumn("n", F.size("w")).filter(F.col("n") >= WORDS_EACH)
+    # a word's hash with its place in the low 24 bits
+    placed = F.transform("w", lambda w, i: F.xxhash64(w).bitwiseAND(F.lit(~0xFFFFFF)).bitwiseOR(i.cast("long")))
+    shortest = F.col("n") - F.call_function("div", F.col("n"), F.lit(WORDS_EACH)).cast("int")
+    # a line that a shorter near copy may meet under the run of a lower class has the keys of both classes
+    runs = F.array_compact(F.array_distinct(F.array(_run(F.col("n")), _run(shortest))))
+    own = own.select("id", "n", "w", placed.alias("placed"), F.explode(runs).alias("run"))
+    width = F.col("run") - KEY_WORDS + 1
+    windows = F.transform(F.sequence(F.lit(1), F.col("n") - F.col("run") + 1), lambda i: F.array_min(F.slice("placed", i, width)))
+    ats = F.array_distinct(F.transform(windows, lambda v: v.bitwiseAND(F.lit(0xFFFFFF)).cast("int")))
+    spread = own.select("id", "n", "w", "run", F.explode(ats).alias("at"))
+    return spread.select(F.xxhash64("run", F.slice("w", F.col("at") + 1, KEY_WORDS)).alias("key"), "id", "n", "at")
+
+
+def _word_distance(a: Column, b: Column, distance: Column) -> Column:
+    """Whether two arrays of words are within ``distance``: each word of the pair is one code point of its own."""
+
+    def told(v: Column) -> Column:
+        text = lambda words: F.array_join(
+            # code points from U+10000 up, clear of surrogates
+            F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(v["all"], w) + 0xFFFF), 8, "0")), "UTF-32")), ""
+        )
+        return F.call_function("levenshtein", text(v["a"]), text(v["b"]), v["d"])
+
+    return _bind(F.struct(F.array_distinct(F.concat(a, b)).alias("all"), a.alias("a"), b.alias("b"), distance.alias("d")), told) >= 0
+
+
+def similar_by_words(lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of hashes of different lines of which one word in WORDS_EACH of the shorter, or fewer, differ."""
+    lines = lines.filter(F.char_length("line") >= LEAST_CHARS)
+    total = classes.agg(F.sum("held")).head()[0] or 0
+    # at most FREQUENT rows
+    frequent = classes.filter(F.col("held") > max(8, total // FREQUENT)).select("id", "id2", "first")
+    once = lines.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id")
+    keys = materialize(_word_keys(once), "word-keys")
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
+    met = materialize(keys.join(shared, "key", "left_semi").distinct(), "word-hits")
+    wanted = met.select("id").distinct()
+    texts = lines.select("id", "line").join(wanted, "id", "left_semi").groupBy("id", "line").agg(F.count("*")).select("id", _tokens(F.col("line")).alias("w"))
+    low, high = _word_bags(F.col("w"))
+    texts = materialize(texts.withColumns({"n": F.size("w"), "l0": low, "l1": high}), "word-texts")
+    held = met.join(texts.select("id", "n", "l0", "l1").distinct(), ["id", "n"])
+    a, b = (held.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "at")), F.col("l0").alias(f"{s}0"), F.col("l1").alias(f"{s}1")) for s in "ab")
+    d = F.call_function("div", F.col("a_n"), F.lit(WORDS_EACH))
+    more, moved = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
+    near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a_id") < F.col("b_id"))
+    near = near & (F.col("a_id") != F.col("b_id")) & (F.abs(moved) + F.abs(more - moved) <= d) & _near_letters("a", "b", d)
+    pairs = a.join(b, (a["key"] == b["key"]) & near).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    left, right = (texts.select(F.col("id").alias(s), F.col("w").alias(f"{s}_w")) for s in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    distance = F.call_function("div", F.least(F.size("a_w"), F.size("b_w")), F.lit(WORDS_EACH)).cast("int")
+    return both.filter(_word_distance(F.col("a_w"), F.col("b_w"), distance)).select("a", "b").distinct()
+
+
+def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS, by_words: bool = False) -> DataFrame:
     """doc_id and the numbers (from 0) of its lines that repeat an earlier line of the corpus, exactly or nearly.
 
+    Near copies are lines within ``distance`` code points and, with ``by_words``, long lines that differ in few words.
     Of each group of lines that are linked, directly or through others, the first stays: that of the smallest
     doc_id, in it the first. Lines under ``least`` code points or without a visible character are left
     alone, as are rows with a null doc_id or text; lines under LEAST_CHARS repeat equal ones only. Repeated rows of one doc_id count once. Only documents
@@ -229,6 +326,8 @@ def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAS
     lines = occurrences(docs, least)
     classes = materialize(line_classes(lines), "line-classes")
     links = materialize(similar_lines(lines, classes, distance), "line-links")
+    if by_words:
+        links = links.union(materialize(similar_by_words(lines, classes), "line-links"))
     groups = materialize(connected_components(links), "line-groups").withColumnRenamed("node", "id")
     known = classes.withColumnRenamed("first", "pos").join(groups, "id", "left")
     linked = known.filter("component is not null")
@@ -240,21 +339,21 @@ def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAS
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))  # bounded by one text
 
 
-def line_report(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS, by_words: bool = False) -> DataFrame:
     """For every row of ``docs``: doc_id, its number of lines and the numbers of those that repeat earlier ones."""
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
     counted = counted.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    found = counted.join(duplicate_lines(docs, distance, least), "doc_id", "left")
+    found = counted.join(duplicate_lines(docs, distance, least, by_words), "doc_id", "left")
     removed = F.coalesce("removed", F.expr("cast(array() as array<int>)"))
     return found.select("doc_id", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS, by_words: bool = False) -> DataFrame:
     """``docs`` with repeated lines taken out of the texts; a document that loses all its text goes.
 
     All columns stay. Documents that had no text before stay as they are.
     """
-    removed = duplicate_lines(docs, distance, least).select(F.col("doc_id").alias("key"), "removed")
+    removed = duplicate_lines(docs, distance, least, by_words).select(F.col("doc_id").alias("key"), "removed")
     # the row travels as one value, so its other columns may have any names
     whole = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text"), F.struct("*").alias("row"))
     joined = whole.join(removed, "key", "left")

@@ -24,7 +24,7 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"), least=EQUAL_CHARS)
+    return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"), least=EQUAL_CHARS, by_words=True)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
