@@ -97,7 +97,8 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                         [pa.array(c, pa.int64()) for c in zip(*out[k : k + 10_000], strict=True)], schema=schema
                     )
 
-    spread = files.repartition(F.col("path"))
+    # a task for each file; the rows come from one task and are dealt in turn
+    spread = files.repartition(max(1, files.count()))
     return spread.mapInArrow(read, DOCUMENTS)
 
 

@@ -41,8 +41,12 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
+#: Characters below U+0240, combining marks, and what the former lower-case to (U+023A and U+023E leave the range).
+PLAIN = sorted({*map(chr, range(0x370)), *"".join(chr(c).lower() for c in range(0x240))})
+
+
 def _char_class(wanted) -> str:
-    return "".join(re.escape(chr(c)) for c in range(0x370) if wanted(chr(c)))
+    return "".join(re.escape(c) for c in PLAIN if wanted(c))
 
 
 def _plain_pattern() -> re.Pattern[str]:
@@ -174,7 +178,8 @@ class PieceEncoder:
         odd = [k for k, t in enumerate(texts) if len(t.translate(None, HIGH)) < len(t) or any(s in t for s in self.special)]
         if not odd:
             return self._plain(decoded)
-        rest = [k for k in range(len(decoded)) if k not in set(odd)]
+        apart = set(odd)
+        rest = [k for k in range(len(decoded)) if k not in apart]
         parts: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(decoded)
         counts = np.zeros(len(decoded), np.int64)
         for some, way in ((odd, self._whole), (rest, self._plain)):

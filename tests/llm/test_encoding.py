@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stranda.llm import packing, sharding, simple8b, token_files
 from stranda.llm.tokens import PieceEncoder, vocabulary
@@ -66,6 +67,32 @@ def test_encoder_equals_library(tokenizer):
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [ids_of(tokenizer, t) for t in texts]
 
 
+def test_every_plain_character(tokenizer):
+    texts = [t for c in map(chr, range(1, 0x250)) for t in (c, f"a{c}b", f"{c}'{c}s", f"1{c}2 {c}{c}x")]
+    ids, counts = PieceEncoder(vocabulary()).encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [ids_of(tokenizer, t) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x24F, exclude_characters="\0"), st.sampled_from(" 'sStTlL\u023a\u0130\u0345\u1e9e")), max_size=12), min_size=1, max_size=4))
+def test_any_text(tokenizer, texts):
+    ids, counts = PieceEncoder(vocabulary()).encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [ids_of(tokenizer, t) for t in texts]
+
+
+def test_a_task_reads_each_file(spark, llm):
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        folder = token_files.shared_path(spark, "token-ids")
+        files = token_files.write_token_files(llm([(k, f"text {k}") for k in range(40)]), folder)
+        assert files.count() > 1
+        read = token_files.read_token_files(files, folder).select(F.spark_partition_id().alias("task"), "start")
+        assert read.select("task").distinct().count() == files.count()
+    finally:
+        spark.conf.unset(coalesce)
+
+
 def test_other_tokenizer_is_encoded_whole():
     from tokenizers import Tokenizer
 

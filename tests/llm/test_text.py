@@ -40,15 +40,52 @@ def test_quality(spark, llm):
 
 
 def test_log_ratio_is_length_normalised():
-    ratio = quality.log_ratio(np.array([10, 10, 80]), np.array([10, 0, 0]))
+    ratio = quality.log_ratio(np.array([10, 10, 80]), np.array([10, 0, 0])).ratio
     assert ratio[0] > 0 > ratio[1]
     from stranda.llm.words import word_hashes
 
     h, e = word_hashes([b"a b c", b"a b c a b c a b c"])
-    big = np.zeros(1 << 10)
+    big = quality.Ratios(np.zeros(1 << 10, np.float32))
     assert np.array_equal(quality.gram_scores(h, e, big), [0.0, 0.0])
 
 
+def test_own_ngrams_are_left_out_of_the_target():
+    from stranda.llm.words import word_hashes
+
+    buckets = 1 << 8
+    rng = random.Random(2)
+    texts = [prose(rng, n).encode() for n in (30, 1, 200, 60, 0)]
+    h, e = word_hashes(texts)
+    grams, owner = quality._grams(h, e, buckets)
+    count = lambda own: np.bincount(own, minlength=buckets)
+    raw = count(grams) + 3
+    got = quality.gram_scores(h, e, quality.log_ratio(raw, count(grams[owner < 3])), np.array([True, True, True, False, False]))
+    for k in range(5):
+        good = count(grams[(owner < 3) & (owner != k)])
+        p = (raw + 1) / (raw.sum() + buckets)
+        ratio = np.log((good / p + buckets) / (good.sum() + buckets))
+        mine = grams[owner == k]
+        assert abs(got[k] - (ratio[mine].mean() if len(mine) else 0.0)) < 1e-5
+
+
+def test_unlabelled_text_of_the_trusted_kind_is_kept(spark, llm):
+    rng = random.Random(15)
+    vocabulary = prose(rng, 2_000).split(" ")
+    often = [1 / (k + 1) for k in range(len(vocabulary))]
+    rows = [(k, " ".join(rng.choices(vocabulary, often, k=rng.randint(15, 400)))) for k in range(600)]
+    rows += [(1000 + k, " ".join(f"{rng.randrange(10**6)}%" for _ in range(60))) for k in range(20)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(300)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality.quality_rules(llm(rows), labels).collect()}
+    assert sum(kept[k] for k in range(300)) >= 0.98 * 300
+    assert sum(kept[k] for k in range(300, 600)) >= 0.98 * 300
+    assert not any(kept[1000 + k] for k in range(20))
+
+
+def test_buckets_grow_with_the_corpus(spark, llm):
+    assert quality.buckets_for(llm([])) == quality.buckets_for(llm([(1, "short")])) == quality.BUCKETS
+    assert quality.buckets_for(llm([(k, "x" * 100_000) for k in range(4)]).crossJoin(spark.range(1_000))) == 1 << 16
+
+
 def score(passage, item):
     best = 0
     rows = [[0] * (len(passage) + 1)]
