@@ -1,10 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds, then local alignment of words.
 
-The vocabulary of the benchmark is counted over all documents. Of each test item's word trigrams the share
-``RARE_SHARE`` that is least expected in the corpus, by the frequencies of its words and by how many items have
-it, are its seeds; copies of an item in the corpus do not make its seeds less rare. Where a document has
-two seeds of an item near one diagonal, Smith-Waterman alignment scores the passage against the whole item,
-so edited and paraphrased copies count by what is left of them.
+The vocabulary of the benchmark is counted over all documents. Of each stretch of a test item's word trigrams the
+share ``RARE_SHARE`` that is least expected in the corpus, by the frequencies of its words and by how many items
+have it, are its seeds; copies of an item in the corpus do not make its seeds less rare. Around a document's seeds of an
+item near one diagonal, Smith-Waterman alignment scores the passage against the whole item, so edited and
+paraphrased copies count by what is left of them. A passage leaks an item from ``THRESHOLD`` of the item's own
+score on, or from the score of ``LONG_WORDS`` equal words, whichever is less. Items of fewer than ``LEAST_WORDS``
+words are looked for whole and unchanged. Alignment keeps two rows, so its memory grows with the passage only.
 
 Words are lower-cased (A-Z) and ASCII punctuation separates them. The benchmark is applied in blocks of
 about ``BLOCK_WORDS`` words, which bounds what is sent to the executors at any size of it.
@@ -23,15 +25,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import small_batches, text_bytes, tidy
-from .words import word_codes
+from .words import mix, windows, word_codes
 
 SEED = 3
 RARE_SHARE = 0.75
-#: Seeds that a passage needs near one diagonal; items with fewer words than LEAST_WORDS are not searched for.
-LEAST_SEEDS, LEAST_WORDS = 2, 6
+#: Trigrams of which the rare ones are chosen together, so that every part of an item has seeds, and least seeds of each part.
+STRETCH, LEAST_SEEDS = 8, 2
+#: Items with fewer words are searched for whole.
+LEAST_WORDS = 6
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least alignment score as a share of the item's score against itself.
 THRESHOLD = 0.6
+#: So many equal words in a row are a leak of any item, however long.
+LONG_WORDS = 30
 BLOCK_WORDS = 500_000
 
 LEAK = "struct<item_id: bigint, score: double, first_word: bigint, n_words: bigint>"
@@ -43,27 +49,33 @@ def normal(text: bytes | None) -> bytes:
     return (text or b"").lower().translate(_SEPARATE)
 
 
+def _best_cell(passage: np.ndarray, item: np.ndarray, anchored: bool) -> tuple[int, int, int]:
+    """Best alignment score of two sequences, with how much of the item and of the passage it ends after.
+
+    It may begin anywhere, or at both beginnings only if ``anchored``.
+    """
+    ramp = np.arange(len(passage) + 1) * -GAP
+    row = -ramp if anchored else np.zeros(len(passage) + 1, np.int64)
+    best, of_item, of_passage = 0, 0, 0
+    for k, word in enumerate(item):
+        step = row + GAP
+        np.maximum(row[:-1] + np.where(passage == word, MATCH, MISMATCH), step[1:], out=step[1:])
+        if not anchored:
+            np.maximum(step, 0, out=step)
+        row = np.maximum.accumulate(step + ramp) - ramp
+        j = int(row.argmax())
+        if row[j] > best:
+            best, of_item, of_passage = int(row[j]), k + 1, j
+    return best, of_item, of_passage
+
+
 def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment score of two sequences of word ids, and the passage's aligned range."""
-    n = len(passage)
-    at = np.arange(n + 1) * -GAP
-    rows = np.zeros((len(item) + 1, n + 1), np.int64)
-    for k, word in enumerate(item):
-        step = np.zeros(n + 1, np.int64)
-        np.maximum(rows[k, :-1] + np.where(passage == word, MATCH, MISMATCH), rows[k, 1:] + GAP, out=step[1:])
-        np.maximum(step, 0, out=step)
-        rows[k + 1] = np.maximum.accumulate(step + at) - at
-    i, j = np.unravel_index(int(rows.argmax()), rows.shape)
-    score, end = int(rows[i, j]), int(j)
-    while i and j and rows[i, j]:
-        same = passage[j - 1] == item[i - 1]
-        if rows[i, j] == rows[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            i, j = i - 1, j - 1
-        elif rows[i, j] == rows[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return score, int(j), end
+    score, i, end = _best_cell(passage, item, False)
+    # from the end backwards; an alignment that scores at all has no more gaps than its matches pay for
+    first = max(0, end - i - i * MATCH // -GAP)
+    _, _, length = _best_cell(passage[first:end][::-1], item[:i][::-1], True)
+    return score, end - length, end
 
 
 class Items:
@@ -73,11 +85,32 @@ class Items:
         self.vocab: dict[bytes, int] = {}
         self.ids: list[int] = []
         self.words: list[np.ndarray] = []
+        #: Items that are searched for whole, by their number of words.
+        self.short: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
         for item_id, text in rows:
             words = normal(text).split()
+            coded = np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words], np.int64)
             if len(words) >= LEAST_WORDS:
                 self.ids.append(item_id)
-                self.words.append(np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words], np.int64))
+                self.words.append(coded)
+            elif words:
+                self.short[len(words)].append((item_id, coded))
+
+    def short_leaks(self, words: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, dict]]:
+        """Text and leak of the first place in each text of each item that is searched for whole."""
+        spread = mix(words.astype(np.uint64) + np.uint64(1))
+        for n, items in self.short.items():
+            run, first, text = windows(spread, edges, n)
+            own = np.concatenate([windows(mix(w.astype(np.uint64) + np.uint64(1)), np.array([0, n]), n)[0] for _, w in items])
+            order = np.argsort(own, kind="stable")
+            lo, hi = np.searchsorted(own[order], run), np.searchsorted(own[order], run, side="right")
+            seen: set[tuple[int, int]] = set()
+            for k in np.flatnonzero(lo < hi).tolist():
+                for o in order[lo[k] : hi[k]].tolist():
+                    t, at = int(text[k]), int(first[k])
+                    if (t, o) not in seen and np.array_equal(words[at : at + n], items[o][1]):
+                        seen.add((t, o))
+                        yield t, {"item_id": items[o][0], "score": 1.0, "first_word": at - int(edges[t]), "n_words": n}
 
     def key(self, words: np.ndarray) -> np.ndarray:
         """A number for each run of SEED words; negative where one is not of the vocabulary."""
@@ -101,8 +134,10 @@ class Items:
         found: list[tuple[int, int, int]] = []
         for item, (k, w) in enumerate(zip(keys, self.words, strict=True)):
             expected = sum(share[w[j : len(k) + j]] for j in range(SEED)) + np.log([of_items[x] for x in k.tolist()])
-            keep = max(LEAST_SEEDS, int(np.ceil(RARE_SHARE * len(k))))
-            found += [(int(k[o]), item, int(o)) for o in np.argsort(expected, kind="stable")[:keep]]
+            for lo in range(0, len(k), STRETCH):
+                order = lo + np.argsort(expected[lo : lo + STRETCH], kind="stable")
+                keep = max(LEAST_SEEDS, int(np.ceil(RARE_SHARE * len(order))))
+                found += [(int(k[o]), item, int(o)) for o in order[:keep]]
         found.sort()
         self.seeds, first = np.unique(np.array([f[0] for f in found], np.int64), return_index=True)
         self.first = np.append(first, len(found))
@@ -119,6 +154,8 @@ class Items:
         """For each text its leaks: item_id, score, first_word, n_words; the best passage of an item."""
         out: list[list[dict]] = [[] for _ in texts]
         words, edges = self.code(texts)
+        for t, leak in self.short_leaks(words, edges):
+            out[t].append(leak)
         key = self.key(words)
         if not len(key) or not len(self.seeds):
             return out
@@ -138,22 +175,21 @@ class Items:
         order = np.lexsort((diagonal, item, text))
         text, item, offset, diagonal = text[order], item[order], offset[order], diagonal[order]
         size = np.array([len(w) for w in self.words], np.int64)
+        needed = MATCH * np.minimum(THRESHOLD * size, LONG_WORDS)
         new = np.ones(total, bool)
         new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(diagonal) > size[item[1:]] // 4 + 2)
         starts = np.append(np.flatnonzero(new), total)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            if hi - lo < LEAST_SEEDS or len(set(offset[lo:hi].tolist())) < LEAST_SEEDS:
-                continue
             t, i = int(text[lo]), int(item[lo])
             slack = int(size[i]) // 4 + 2
             begin = max(0, int(diagonal[lo]) - slack)
             end = min(int(edges[t + 1] - edges[t]), int(diagonal[hi - 1] + size[i]) + slack)
             passage = words[edges[t] + begin : edges[t] + end]
-            if MATCH * int(np.isin(self.words[i], passage).sum()) < THRESHOLD * MATCH * size[i]:
+            if MATCH * int(np.isin(self.words[i], passage).sum()) < needed[i]:
                 continue
             score, j, k = align(passage, self.words[i])
-            if score >= THRESHOLD * MATCH * size[i] and score > best.get((t, i), (0,))[0]:
+            if score >= needed[i] and score > best.get((t, i), (0,))[0]:
                 best[t, i] = (score, begin + j, k - j)
         for (t, i), (score, first, n) in sorted(best.items()):
             share = score / (MATCH * int(size[i]))
@@ -186,8 +222,8 @@ def screen(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_
     """Every row of ``docs`` with the columns ``keep`` and ``leaks``, an array of what it leaks of ``benchmark``.
 
     A leak has item_id, score (share of the item's own score), first_word and n_words (place in the text's
-    words). Null and empty texts leak nothing; items with a null text or fewer than LEAST_WORDS words are not
-    searched for. Repeated rows and items are each reported. An empty table gives no rows.
+    words). Null and empty texts leak nothing; items without words are in no text. Items of fewer than LEAST_WORDS
+    words leak where they occur whole. Repeated rows and items are each reported. An empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -196,11 +232,12 @@ def screen(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_
     total = texts.agg(F.sum(F.size(F.split(F.col("text").cast("string"), r"\s+")))).head()[0] or 0
     blocks = max(1, -(-int(total) // block_words))
     deal = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out = docs.withColumn("leaks", F.expr(f"cast(array() as array<{LEAK}>)"))
+    none = F.expr(f"cast(array() as array<{LEAK}>)")
+    out = text_bytes(docs, *keep).withColumn("leaks", none).select(*keep, "leaks", "_bytes")
     for block in range(blocks):
         # about block_words words of the benchmark
         items = Items([(r[0], bytes(r[1])) for r in texts.filter(deal == block).orderBy("item_id", "text").collect()])
-        if not items.ids:
+        if not items.vocab:
             continue
         items.choose(_counted(docs, items))
         shared = spark.sparkContext.broadcast(items)
@@ -223,9 +260,8 @@ def screen(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_
                     [*(batch.column(c) for c in names), leaks, *rest], [*names, "leaks", *(["_bytes"] if rest else [])]
                 )
 
-        rows = text_bytes(out, *keep, "leaks") if "_bytes" not in out.columns else out
         full = schema if last else T.StructType([*schema, T.StructField("_bytes", T.BinaryType())])
-        out = rows.mapInArrow(search, full)
+        out = out.mapInArrow(search, full)
     return out.select(*keep, "leaks")
 
 

@@ -3,15 +3,16 @@
 Texts longer than a sequence are cut into full pieces and a shorter last one; everything else stays
 whole. Pieces (a few numbers each, never ids or texts) are dealt by hash into groups of bounded size that
 are packed apart from each other, so no task grows with the input. Best-fit-decreasing gives the first
-packing of a group. Local search then raises the sum of squared fills: pieces of the emptiest bins move
-into other bins or change places, one for one or two for one, with smaller pieces of fuller bins, until
-bins are empty or nothing improves.
+packing of a group. Local search then raises the sum of squared fills: pieces of underfull bins, the emptiest
+first, move into other bins or change places, one for one or two for one, with pieces of any other underfull
+bin. Of all such steps the one that gains most is taken, until no step gains or no fewer bins are possible (the
+sum of sizes fills the bins that are left). Squared fills only grow, so the search ends.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,6 @@ from .tokens import encoder, vocabulary
 LENGTH = 2048
 #: Pieces packed together, on average.
 GROUP_PIECES = 16_384
-#: Passes of local search over a group.
-PASSES = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -58,94 +57,88 @@ def cut_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int | None
 
 
 class _Bins:
-    """Bins of a group with their fills, and the pieces of the bins that are to be emptied in order of size."""
+    """Pieces of a group in their bins, with what local search asks of them."""
 
     def __init__(self, sizes: list[int], bins: list[list[int]], capacity: int):
         self.sizes, self.bins, self.capacity = sizes, bins, capacity
-        self.fill = [sum(sizes[p] for p in b) for b in bins]
-
-    def gain(self, low: int, high: int, moved: int) -> int:
-        """What ``moved`` more ids in bin ``high`` and fewer in bin ``low`` add to the sum of squared fills."""
-        a, b = self.fill[low], self.fill[high]
-        return (a - moved) ** 2 + (b + moved) ** 2 - a * a - b * b
-
-    def exchange(self, low: int, out: tuple[int, ...], high: int, back: tuple[int, ...]) -> None:
-        moved = sum(self.sizes[p] for p in out) - sum(self.sizes[p] for p in back)
-        for p in out:
-            self.bins[low].remove(p)
-        for p in back:
-            self.bins[high].remove(p)
-        self.bins[high].extend(out)
-        self.bins[low].extend(back)
-        self.fill[low] -= moved
-        self.fill[high] += moved
-
-
-def _best(own: list[tuple[int, int]], most: int) -> tuple[tuple[int, ...], int]:
-    """Of a bin's (size, piece) in order: the one or two pieces whose sum comes nearest to ``most`` from below."""
-    k = bisect_right(own, (most, 1 << 62)) - 1
-    chosen, total = ((own[k][1],), own[k][0]) if k >= 0 else ((), 0)
-    lo, hi = 0, len(own) - 1
-    while lo < hi:
-        s = own[lo][0] + own[hi][0]
-        if s > most:
-            hi -= 1
-            continue
-        if s > total:
-            chosen, total = (own[lo][1], own[hi][1]), s
-        lo += 1
-    return chosen, total
-
-
-def local_search(sizes: list[int], bins: list[list[int]], capacity: int, passes: int = PASSES) -> list[list[int]]:
-    """Improve a packing until nothing improves, for at most ``passes`` passes; never needs more bins."""
+        self.size, self.home = np.array(sizes, np.int64), np.zeros(len(sizes), np.int64)
+        for k, b in enumerate(bins):
+            self.home[b] = k
+        self.fill = np.bincount(self.home, self.size, len(bins)).astype(np.int64)
+        # fewer bins than this cannot hold all pieces
+        self.least = -(-int(self.size.sum()) // capacity)
+        self.used = int((self.fill > 0).sum())
+
+    def sums(self, low: int, pieces: int) -> tuple[np.ndarray, dict[int, tuple[int, ...]]]:
+        """The largest sum, up to each size, of one piece of bin ``low`` or of up to two, and the pieces of each sum."""
+        of_size: dict[int, list[int]] = defaultdict(list)
+        for p in self.bins[low]:
+            of_size[self.sizes[p]].append(p)
+        found = {s: (held[0],) for s, held in of_size.items()}
+        if pieces == 2:
+            distinct = sorted(of_size)
+            for k, s in enumerate(distinct):
+                for t in distinct[k:]:
+                    if s + t <= self.capacity and s + t not in found and (s != t or len(of_size[s]) > 1):
+                        found[s + t] = (of_size[s][0], of_size[t][-1])
+        reach = np.zeros(self.capacity + 1, np.int64)
+        at = np.fromiter(found, np.int64, len(found))
+        reach[at] = at
+        return np.maximum.accumulate(reach), found
+
+    def step(self, low: int) -> bool:
+        """Of all moves and exchanges between bin ``low`` and other underfull bins, make the one that gains most, if any gains."""
+        room = self.capacity - self.fill
+        room[low] = 0
+        bins = np.flatnonzero((room > 0) & (self.fill > 0))
+        if not len(bins) or not self.bins[low]:
+            return False
+        one, ones = self.sums(low, 1)
+        two, twos = self.sums(low, 2)
+        others = np.flatnonzero(room[self.home] > 0)
+        at = np.concatenate((bins, self.home[others]))
+        back = np.concatenate((np.zeros(len(bins), np.int64), self.size[others]))
+        out = np.concatenate((one[room[bins]], two[room[self.home[others]] + self.size[others]]))
+        moved = out - back
+        # what ``moved`` more ids in the other bin and fewer in this one add to the sum of squared fills
+        gain = np.where(moved > 0, 2 * moved * (self.fill[at] - self.fill[low] + moved), 0)
+        best = int(gain.argmax())
+        if gain[best] <= 0:
+            return False
+        high, total = int(at[best]), int(out[best])
+        back_piece = None if best < len(bins) else int(others[best - len(bins)])
+        for p in (ones if back_piece is None else twos)[total]:
+            self._put(p, low, high)
+        if back_piece is not None:
+            self._put(back_piece, high, low)
+        if not self.bins[low]:
+            self.used -= 1
+        return True
+
+    def _put(self, p: int, low: int, high: int) -> None:
+        self.bins[low].remove(p)
+        self.bins[high].append(p)
+        self.home[p] = high
+        self.fill[low] -= self.sizes[p]
+        self.fill[high] += self.sizes[p]
+
+
+def local_search(sizes: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
+    """Improve a packing until nothing improves or no fewer bins are possible; never needs more bins."""
     x = _Bins(sizes, bins, capacity)
-    for _ in range(passes):
+    changed = True
+    while changed and x.used > x.least:
         changed = False
-        under = sorted((b for b in range(len(bins)) if 0 < x.fill[b] < capacity), key=lambda b: (x.fill[b], b))
-        if len(under) < 2:
-            break
-        room = sorted((capacity - x.fill[b], b) for b in under)
-        for low in under[: max(1, len(under) // 2)]:
-            if not bins[low] or x.fill[low] >= capacity:
-                continue
-            room.pop(bisect_left(room, (capacity - x.fill[low], low)))
-            # moves: each piece, the largest first, into the tightest other bin that takes it
-            for p in sorted(bins[low], key=lambda p: (-sizes[p], p)):
-                k = bisect_left(room, (sizes[p], -1))
-                if k < len(room) and x.gain(low, room[k][1], sizes[p]) > 0:
-                    left, high = room.pop(k)
-                    x.exchange(low, (p,), high, ())
-                    insort(room, (left - sizes[p], high))
-                    changed = True
-            # exchanges: one or two pieces for a smaller one of a bin that is fuller, which they fill best
-            for left, high in list(room[:64]):
-                if not bins[low]:
-                    break
-                if left == 0 or (left, high) not in room[bisect_left(room, (left, high)) :][:1]:
-                    continue
-                own = sorted((sizes[p], p) for p in bins[low])
-                best, choice = 0, None
-                for q in bins[high]:
-                    out, total = _best(own, left + sizes[q])
-                    if total > sizes[q] and (g := x.gain(low, high, total - sizes[q])) > best:
-                        best, choice = g, (out, q)
-                if choice:
-                    room.pop(bisect_left(room, (left, high)))
-                    x.exchange(low, choice[0], high, (choice[1],))
-                    insort(room, (capacity - x.fill[high], high))
-                    changed = True
-            if bins[low]:
-                insort(room, (capacity - x.fill[low], low))
-        if not changed:
-            break
+        for low in np.lexsort((np.arange(len(bins)), x.fill)).tolist():
+            while x.used > x.least and 0 < x.fill[low] < capacity and x.step(low):
+                changed = True
     return [b for b in bins if b]
 
 
-def pack(sizes: list[int], capacity: int = LENGTH, passes: int = PASSES) -> list[list[int]]:
+def pack(sizes: list[int], capacity: int = LENGTH) -> list[list[int]]:
     """Bins of positions in ``sizes``, each of at most ``capacity``."""
     bins = best_fit_decreasing([(s, k) for k, s in enumerate(sizes)], capacity)
-    return local_search(sizes, bins, capacity, passes)
+    return local_search(sizes, bins, capacity)
 
 
 def pack_pieces(pieces: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECES) -> DataFrame:

@@ -160,6 +160,33 @@ def test_local_search_keeps_pieces(sizes):
     assert sum(sum(sizes[p] for p in b) ** 2 for b in bins) >= fill
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(3, 40), min_size=1, max_size=40))
+def test_local_search_ends_where_no_step_gains(sizes):
+    bins = packing.pack(sizes, 64)
+    if len(bins) == -(-sum(sizes) // 64):
+        return
+    fill = [sum(sizes[p] for p in b) for b in bins]
+    for low, b in enumerate(bins):
+        outs = [(sizes[p],) for p in b] + [(sizes[p], sizes[q]) for k, p in enumerate(b) for q in b[k + 1 :]]
+        for high, c in enumerate(bins):
+            if high == low or fill[low] == 64:
+                continue
+            for out in outs:
+                for back in [0] * (len(out) == 1) + [sizes[q] for q in c]:
+                    moved = sum(out) - back
+                    if fill[high] + moved <= 64 and moved > 0:
+                        assert (fill[high] + moved) ** 2 + (fill[low] - moved) ** 2 <= fill[high] ** 2 + fill[low] ** 2
+
+
+def test_local_search_tries_every_bin():
+    # only one of 200 bins has a piece that the emptiest bin's pieces can change places with, and it has most room
+    sizes = [40, 59] * 199 + [33, 30] + [35, 31]
+    first = [[2 * k, 2 * k + 1] for k in range(199)] + [[398, 399], [400, 401]]
+    fill = lambda bins: sum(sum(sizes[p] for p in b) ** 2 for b in bins)
+    assert fill(packing.local_search(sizes, [list(b) for b in first], 100)) > fill(first)
+
+
 def test_local_search_empties_a_bin():
     # best-fit-decreasing needs one bin more than two-for-one exchanges do
     sizes = [6, 6, 4, 4, 4, 3, 3]
@@ -178,6 +205,14 @@ def test_best_fit_decreasing(sizes, capacity):
     assert sorted(sum(sizes[p] for p in b) for b in got) == sorted(sum(sizes[p] for p in b) for b in want)
 
 
+def test_null_tables(spark, llm, tokenizer):
+    rows = [(None, None)] * 5 + [(1, None)] * 2
+    got = packing.pack_documents(llm(rows)).collect()
+    assert check_packing(rows, got, tokenizer, 2048) == 1
+    check_shards(rows, sharding.shard_documents(llm(rows), shards=3).collect(), 3)
+    assert sorted(r.start for r in token_files.encode_documents(llm(rows)).collect()) == list(range(7))
+
+
 def check_shards(rows, got, shards):
     size = lambda t: len((t or "").encode()) + 8
     assert sorted(((r.doc_id is not None, r.doc_id or 0), r.size, r.text_crc32) for r in got) == sorted(((d is not None, d or 0), size(t), zlib.crc32((t or "").encode())) for d, t in rows)

@@ -110,7 +110,7 @@ def test_alignment():
 
 def test_decontamination(spark, llm):
     rng = random.Random(9)
-    items = [(k, prose(rng, rng.randint(12, 40))) for k in range(20)] + [(20, "too short"), (21, None), (22, "")]
+    items = [(k, prose(rng, rng.randint(12, 40))) for k in range(20)] + [(20, "too short"), (21, None), (22, ""), (0, prose(rng, 14))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     rows, planted = list(corpus()), set()
     for k in range(20):
@@ -139,6 +139,51 @@ def test_decontamination(spark, llm):
     assert decontaminate.leaks(llm(rows), bench.limit(0)).collect() == []
 
 
+def test_alignment_keeps_two_rows():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    item, passage = rng.integers(0, 500, 400), rng.integers(0, 500, 100_000)
+    passage[70_000:70_400] = item
+    tracemalloc.start()
+    assert decontaminate.align(passage, item) == (800, 70_000, 70_400)
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+
+
+def test_short_items_and_long_passages(spark, llm):
+    rng = random.Random(19)
+    whole = prose(rng, 400).split(" ")
+    bench = spark.createDataFrame([(1, "Paris!"), (2, "forty two"), (3, "one, two three four five"), (4, " ".join(whole)), (2, "forty two"), (5, "...")], "item_id long, text string")
+    rows = [
+        (1, "in paris it was forty-two; one two three, four five"), (2, f"{prose(rng, 30)} {' '.join(whole[200:230])} {prose(rng, 30)}"), (3, " ".join(whole[100:110])),
+        (4, "one two three four"), (5, None), (6, "parisian forty two forty two"), (7, "five"),
+    ]
+    got = sorted((r.doc_id, r.item_id, r.first_word, r.n_words) for r in decontaminate.leaks(llm(rows), bench).collect())
+    assert got == [(1, 1, 1, 1), (1, 2, 4, 2), (1, 2, 4, 2), (1, 3, 6, 5), (2, 4, 30, 30), (6, 2, 1, 2), (6, 2, 1, 2)]
+
+
+def test_recall_against_alignment_of_all_pairs(spark, llm):
+    rng = random.Random(29)
+    vocabulary = prose(rng, 300).split(" ")
+    often = [1 / (k + 1) for k in range(len(vocabulary))]
+    text = lambda n: rng.choices(vocabulary, often, k=n)
+    items = [text(rng.randint(6, 50)) for _ in range(40)]
+    rows = []
+    for k in range(160):
+        words = list(items[k % 40])
+        for _ in range(int(len(words) * rng.choice((0, 0.1, 0.2, 0.3)))):
+            at = rng.randrange(len(words))
+            words[at : at + rng.choice((0, 1, 1))] = rng.choice(([], text(1), text(1)))
+        rows.append((k, " ".join(text(rng.randint(0, 60)) + words + text(rng.randint(0, 60)))))
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(llm(rows), bench).collect()}
+    want = {(d, k): s for d, t in rows for k, x in enumerate(items) if (s := score(t.split(" "), x) / (2 * len(x))) >= min(decontaminate.THRESHOLD, decontaminate.LONG_WORDS / len(x))}
+    assert set(got) <= set(want)
+    assert len(want) > 100
+    assert len(got) >= 0.9 * len(want)
+    assert sum(abs(got[k] - want[k]) < 1e-9 for k in got) >= 0.95 * len(got)
+
+
 def test_secrets(spark, llm):
     key, sha = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "9a1fee807a05366fcb8b6c95c7c565ede51a72aa"
     rows = [
