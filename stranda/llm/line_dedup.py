@@ -2,18 +2,20 @@
 
 Lines are known by hashes; texts are shuffled only for lines that may be in a pair, and pairs are decided on texts.
 A line is cut into ``DISTANCE + 1`` segments of nearly equal length; two lines within the distance share one
-of them unchanged. Segments are indexed under their line's length and their number. Lines probe the
-indexes of their own and up to ``DISTANCE`` shorter lengths with the few substrings that multi-match-aware
-selection leaves. The index holds the smallest and the largest line of each segment: where they are one, a
-probe that meets it is a candidate pair; where several lines share a segment, they are joined with those that
-probe it under a bound on their letter counts. Candidates are verified with banded bit-parallel edit distance.
-Only DataFrame functions are used.
+of them unchanged. Segments are indexed under their number and their text, whose length is that of few line
+lengths. Lines probe the index with the few substrings that multi-match-aware selection leaves for their own and up
+to ``DISTANCE`` shorter lengths; substrings that several lengths have in common are probed once. The index holds
+the smallest and the largest line of each segment: where they are one, a probe that meets it is a candidate pair;
+where several lines share a segment, they are joined in blocks with those that probe it under a bound on their
+letter counts. Candidates are verified with banded bit-parallel edit distance. Only DataFrame functions are used.
 
 Where the caller asks for it, long lines are also compared by words: two lines are near copies if one in
 ``WORDS_EACH`` words of the shorter one, or fewer, are changed, added or dropped. Two such lines share a run of
-words whose least length follows from the shorter line's number of words (``RUNS``). Of every window of that
-length each line emits the word sequence at its smallest word hash, so a shared run gives both a key in common.
-Keys of several lines are joined under bounds on places, lengths and word counts; pairs are decided on words.
+words whose least length follows from the shorter line's number of words (``RUNS``). Each line has as keys the
+smallest hashes, in every window of the run's length, of ``KEY_WORDS`` words in a row; so a shared run gives both a
+key in common. Smaller windows only add keys, so lines of different classes meet too. Two edits of code points leave
+a run as long in lines of ``MANY_WORDS`` words or more, so these need no segments. Keys that several lines have are
+joined in blocks under bounds on places, lengths and word counts; pairs are decided on texts.
 """
 
 from __future__ import annotations
@@ -41,8 +43,14 @@ KEY_WORDS = 4
 RUNS = ((10, 5), (20, 6), (30, 7), (40, 8), (90, 9))
 #: Residues of line hashes that the broadcast filter of verified lines may hold.
 RESIDUES = 1 << 20
-#: A line with more than this share of all lines is probed once; there are at most so many such lines.
+#: A line with more than this share of all lines is probed once; there are at most so many such lines, and keys.
 FREQUENT = 1 << 16
+#: Lines of one key that are joined with those that probe it in one place.
+BLOCK = 256
+#: From so many words on, lines within DISTANCE code points share a run of RUNS: (20 - 4) / 3 words, and more in longer lines.
+MANY_WORDS = 20
+#: Most keys of several lines that are broadcast; beyond that all keys are shuffled.
+SHARED = 1 << 21
 
 
 def _pos() -> Column:
@@ -61,33 +69,40 @@ def occurrences(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     )
 
 
-def _shifts(distance: int) -> list[tuple[int, int, int]]:
-    """(how much shorter, segment, shift) of all substrings a line is probed with; the first ones are its own segments."""
-    found = [
-        (shorter, k, shift)
-        for shorter in range(distance + 1)
-        for k in range(distance + 1)
-        for shift in range(max(-k, shorter - (distance - k)), min(k, shorter + (distance - k)) + 1)
-    ]
-    return sorted(found, key=lambda x: (x[0], x[2] != 0, x))
+def _places(distance: int, residue: int) -> list[tuple[int, int, int, bool]]:
+    """What a line of ``q * (distance + 1) + residue`` code points is probed with.
+
+    (segment k, b, c, own): the ``q + c`` code points from ``q * k + b`` on; its own segments are those it is indexed by.
+    """
+    parts, found = distance + 1, {}
+    for shorter in range(parts):
+        less, rest = divmod(residue - shorter, parts)
+        for k in range(parts):
+            size = less + (rest >= parts - k)
+            for shift in range(max(-k, shorter - (distance - k)), min(k, shorter + (distance - k)) + 1):
+                place = (k, k * less + max(0, rest + k - parts) + shift, size)
+                found[place] = found.get(place, False) or (shorter, shift) == (0, 0)
+    return sorted((*place, own) for place, own in found.items())
 
 
 def _keys(lines: DataFrame, distance: int, own: bool) -> DataFrame:
-    """(key, id, own) for the segments of each of ``lines`` (line, id), or for all substrings it is probed with.
+    """(key, id) for the segments of each of ``lines`` (line, id), or for all other substrings it is probed with.
 
     A row for each place comes first and its key after, so the generated code stays small.
     """
-    places = _shifts(distance)[: distance + 1 if own else None]
-    rows = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(k).alias("k"), F.lit(h).alias("h")) for d, k, h in places))
-    spread = lines.select("line", "id", F.char_length("line").alias("n")).select("line", "id", "n", F.explode(rows).alias("x"))
-    k, parts = F.col("x.k"), distance + 1
-    m = F.col("n") - F.col("x.d")
-    short, rest = F.call_function("div", m, F.lit(parts)), m % parts
-    start = short * k + F.greatest(F.lit(0), rest + k - parts) + F.col("x.h")
-    size = short + (rest >= parts - k).cast("int")
-    key = F.xxhash64(m, k, F.substr("line", (start + 1).cast("int"), size.cast("int")))
-    mine = (F.col("x.d") == 0) & (F.col("x.h") == 0)
-    return spread.select(key.alias("key"), "id", mine.alias("own"))
+    parts = distance + 1
+
+    def rows(residue: int) -> Column:
+        some = [p for p in _places(distance, residue) if p[3] == own]
+        return F.array(*(F.struct(F.lit(k).alias("k"), F.lit(b).alias("b"), F.lit(c).alias("c")) for k, b, c, _ in some))
+
+    places = rows(0)
+    for residue in range(1, parts):
+        places = F.when(F.col("n") % parts == residue, rows(residue)).otherwise(places)
+    counted = lines.select("line", "id", F.char_length("line").alias("n"))
+    spread = counted.select("line", "id", F.call_function("div", "n", F.lit(parts)).cast("int").alias("q"), F.explode(places).alias("x"))
+    part = F.substr("line", F.col("q") * F.col("x.k") + F.col("x.b") + 1, F.col("q") + F.col("x.c"))
+    return spread.select(F.xxhash64("x.k", part).alias("key"), "id")
 
 
 def _letters(line: Column) -> list[Column]:
@@ -185,62 +200,140 @@ def line_classes(lines: DataFrame) -> DataFrame:
     return lines.groupBy("id", "id2").agg(F.min("pos").alias("first"), F.count("*").alias("held"))
 
 
-def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs (a, b) of hashes of different lines within ``distance``; every such pair of ``lines`` is linked.
-
-    Lines under LEAST_CHARS code points are in no pair.
-    """
-    lines = lines.filter(F.char_length("line") >= LEAST_CHARS)
+def _once(lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """(line, id) of ``lines`` that may be near copies, frequent ones at their first place only."""
     total = classes.agg(F.sum("held")).head()[0] or 0
     # at most FREQUENT rows
     frequent = classes.filter(F.col("held") > max(8, total // FREQUENT)).select("id", "id2", "first")
-    once = lines.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id")
+    some = lines.filter(F.char_length("line") >= LEAST_CHARS)
+    return some.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id")
+
+
+def _some_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, line) of the lines whose hashes are in ``wanted`` (id), once each."""
+    # at most RESIDUES rows; they only spare the join lines that cannot be in a pair
+    residues = wanted.select(F.pmod("id", F.lit(RESIDUES)).alias("residue")).distinct()
+    some = lines.select("id", "line").join(F.broadcast(residues), F.pmod("id", F.lit(RESIDUES)) == F.col("residue"), "left_semi")
+    return some.groupBy("id", "line").agg(F.count("*")).select("id", "line").join(wanted, "id", "left_semi")
+
+
+def _in_blocks(members: DataFrame, seekers: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join on ``key`` with the columns to join on: members of a large key are dealt to blocks, each
+    of which its seekers meet, so one key is joined in many places.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    total = members.count()
+    # at most FREQUENT rows
+    large = sizes.filter(F.col("size") > max(BLOCK, total // FREQUENT)).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    large = F.broadcast(materialize(large, "large-keys"))
+    dealt = members.join(large, "key", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("a"), "blocks").cast("int"), F.lit(0))).drop("blocks")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
+    return dealt, seekers.join(large, "key", "left").withColumn("block", every).drop("blocks"), ["key", "block"]
+
+
+def _near_by_chars(long: Column, short: Column, distance: int) -> Column:
+    return (F.char_length(long) - F.char_length(short) <= distance) & (edit_distance(long, short, distance) <= distance)
+
+
+def _ordered(both: DataFrame, *more: str) -> DataFrame:
+    """a, b and their lines, the longer as ``t`` and the other as ``s``, and the columns ``more``."""
+    shorter = F.char_length("a_line") <= F.char_length("b_line")
+    s = F.when(shorter, F.col("a_line")).otherwise(F.col("b_line")).alias("s")
+    return both.select("a", "b", *more, s, F.when(shorter, F.col("b_line")).otherwise(F.col("a_line")).alias("t"))
+
+
+def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE, fewer_words: int | None = None) -> DataFrame:
+    """Pairs (a, b) of hashes of different lines within ``distance``; every such pair of ``lines`` is linked.
+
+    Lines under LEAST_CHARS code points are in no pair, nor lines of ``fewer_words`` words or more.
+    """
+    once = _once(lines, classes)
+    if fewer_words is not None:
+        once = once.filter(_n_words(F.col("line")) < fewer_words)
     index = _keys(once, distance, True).groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last"))
     index = materialize(index, "segments")
-    probe = _keys(once, distance, False).select("key", F.col("id").alias("b"), "own")
-    hits = probe.join(index.hint("shuffle_hash"), "key").filter("a <> last or a <> b")
+    found = _keys(once, distance, False).withColumnRenamed("id", "b").join(index.hint("shuffle_hash"), "key").filter("a <> last or a <> b")
     shared = F.col("a") != F.col("last")
-    met = materialize(
-        hits.select(F.when(shared, F.col("key")).alias("key"), F.when(~shared, F.col("a")).alias("a"), "b", (F.col("own") & shared).alias("own")).distinct(),
-        "line-hits",
-    )
+    none = F.lit(None).cast("long")
+    hits = found.select(F.when(shared, F.col("key")).alias("key"), F.when(~shared, F.col("a")).alias("a"), "b", F.lit(False).alias("own")).distinct()
+    crowd = materialize(index.filter(shared).select("key"), "shared-segments")
+    own = _keys(once, distance, True).join(crowd, "key", "left_semi").distinct().select("key", none.alias("a"), F.col("id").alias("b"), F.lit(True).alias("own"))
+    met = materialize(hits.union(own), "line-hits")
     wanted = met.select(F.col("b").alias("id")).union(met.filter("a is not null").select("a")).distinct()
-    # at most RESIDUES rows; they only spare the join lines that cannot be in a pair
-    residues = wanted.select(F.pmod("id", F.lit(RESIDUES)).alias("residue")).distinct()
-    some = lines.select("id", "line").join(F.broadcast(residues), F.pmod("id", F.lit(RESIDUES)) == F.col("residue"), "left_semi")
     low, high = _letters(F.col("line"))
-    texts = materialize(
-        some.groupBy("id", "line").agg(F.count("*")).select("id", "line").join(wanted, "id", "left_semi").withColumns({"l0": low, "l1": high}),
-        "line-texts",
-    )
+    texts = materialize(_some_lines(lines, wanted).withColumns({"l0": low, "l1": high}), "line-texts")
     counts = texts.select("id", F.char_length("line").alias("n"), "l0", "l1").distinct()
-    members = met.filter("own").select("key", "b").distinct().join(counts, F.col("b") == F.col("id"))
-    members = members.select("key", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("l0").alias("a0"), F.col("l1").alias("a1"))
-    seekers = met.filter("key is not null").select(F.col("key").alias("b_key"), "b").distinct().join(counts, F.col("b") == F.col("id"))
-    seekers = seekers.select("b_key", "b", F.col("n").alias("b_n"), F.col("l0").alias("b0"), F.col("l1").alias("b1"))
+    held = materialize(met.filter("key is not null").select("key", "b", "own").join(counts, F.col("b") == F.col("id")).drop("b"), "line-sharers")
+    members = held.filter("own").select("key", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("l0").alias("a0"), F.col("l1").alias("a1"))
+    seekers = held.select("key", F.col("id").alias("b"), F.col("n").alias("b_n"), F.col("l0").alias("b0"), F.col("l1").alias("b1")).distinct()
+    members, seekers, on = _in_blocks(members, seekers)
     near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
     near = near & (F.col("b_n") - F.col("a_n") <= distance) & _near_letters("a", "b", distance)
-    crowded = members.join(seekers, (F.col("key") == F.col("b_key")) & near).select("a", "b")
+    crowded = members.join(seekers, on).filter(near).select("a", "b")
     pairs = met.filter("a is not null").select("a", "b").union(crowded).distinct()
     a, b = (texts.select(F.col("id").alias(s), F.col("line").alias(f"{s}_line")) for s in "ab")
-    both = pairs.join(a, "a").join(b, "b")
-    shorter = F.char_length("a_line") <= F.char_length("b_line")
-    both = both.select(
-        "a", "b", F.when(shorter, F.col("a_line")).otherwise(F.col("b_line")).alias("s"), F.when(shorter, F.col("b_line")).otherwise(F.col("a_line")).alias("t")
-    ).filter(F.char_length("t") - F.char_length("s") <= distance)
-    return both.filter(edit_distance(F.col("t"), F.col("s"), distance) <= distance).select("a", "b").distinct()
+    both = _ordered(pairs.join(a, "a").join(b, "b"))
+    return both.filter(_near_by_chars(F.col("t"), F.col("s"), distance)).select("a", "b").distinct()
 
 
 def _tokens(line: Column) -> Column:
     return F.filter(F.split(line, r"\s+"), lambda w: w != "")
 
 
-def _run(n: Column) -> Column:
-    """The length of a run of words that a line of ``n`` words shares with each near copy that is no shorter."""
-    out = F.lit(None).cast("int")
-    for least, run in RUNS:
-        out = F.when(n >= least, run).otherwise(out)
-    return out
+def _is_odd(line: Column) -> Column:
+    """Whether anything but single spaces stands between words."""
+    odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for other in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        odd = odd | F.contains(line, F.lit(other))
+    return odd
+
+
+def _n_words(line: Column) -> Column:
+    """Words of a line, counted without making them where single spaces separate them."""
+    return F.when(_is_odd(line), F.size(_tokens(line))).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
+
+
+def _words(line: Column) -> Column:
+    return F.when(_is_odd(line), _tokens(line)).otherwise(F.split(line, " "))
+
+
+def _width(n: Column) -> Column:
+    """How many runs of KEY_WORDS words lie in each window that a line of ``n`` words has a key of."""
+    shortest = n - F.call_function("div", n, F.lit(WORDS_EACH)).cast("int")
+    out = F.lit(RUNS[0][1])
+    for least, run in RUNS[1:]:
+        out = F.when(shortest >= least, run).otherwise(out)
+    return out - KEY_WORDS + 1
+
+
+def _shifted(values: Column, by: int | Column, join) -> Column:
+    """``join`` of each value with the one ``by`` places further, as far as there is one."""
+    by = F.lit(by) if isinstance(by, int) else by
+    n = F.greatest(F.size(values) - by, F.lit(0))
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, by + 1, n), join)
+
+
+def _grams(words: Column) -> Column:
+    """Hashes of each KEY_WORDS (4) words in a row."""
+    pairs = _bind(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _shifted(h, 1, lambda x, y: F.xxhash64(x, y)))
+    return _bind(pairs, lambda p: _shifted(p, 2, lambda x, y: F.xxhash64(x, y)))
+
+
+def _word_keys(lines: DataFrame) -> DataFrame:
+    """(id, keys): the distinct keys of each of ``lines`` (line, id) of WORDS_EACH words or more.
+
+    Minima of windows are taken in steps: of two, then of three or four, then of five or six neighbours. Each step is a
+    column of its own, so that no step is worked out twice.
+    """
+    own = lines.select("id", "line", _n_words(F.col("line")).alias("n")).filter(F.col("n") >= WORDS_EACH)
+    own = own.select("id", "n", _words(F.col("line")).alias("w"))
+    least = lambda x, y: F.least(x, y)
+    own = own.select("id", _width(F.col("n")).alias("width"), _grams(F.col("w")).alias("g"))
+    pair = own.select("id", "width", _shifted(F.col("g"), 1, least).alias("m"))
+    four = _shifted(F.col("m"), F.when(F.col("width") == 3, 1).otherwise(2), least)
+    pair = pair.select("id", "width", F.when(F.col("width") > 2, four).otherwise(F.col("m")).alias("m"))
+    six = _shifted(F.col("m"), F.when(F.col("width") == 5, 1).otherwise(2), least)
+    return pair.select("id", F.array_distinct(F.when(F.col("width") > 4, six).otherwise(F.col("m"))).alias("keys"))
 
 
 def _word_bags(tokens: Column) -> list[Column]:
@@ -258,20 +351,9 @@ def _word_bags(tokens: Column) -> list[Column]:
     return [both["low"], both["high"]]
 
 
-def _word_keys(lines: DataFrame) -> DataFrame:
-    """(key, id, n, at): the keys of each of ``lines`` (line, id), the line's number of words and the key's place in it."""
-    own = lines.select("id", _tokens(F.col("line")).alias("w")).withColumn("n", F.size("w")).filter(F.col("n") >= WORDS_EACH)
-    # a word's hash with its place in the low 24 bits
-    placed = F.transform("w", lambda w, i: F.xxhash64(w).bitwiseAND(F.lit(~0xFFFFFF)).bitwiseOR(i.cast("long")))
-    shortest = F.col("n") - F.call_function("div", F.col("n"), F.lit(WORDS_EACH)).cast("int")
-    # a line that a shorter near copy may meet under the run of a lower class has the keys of both classes
-    runs = F.array_compact(F.array_distinct(F.array(_run(F.col("n")), _run(shortest))))
-    own = own.select("id", "n", "w", placed.alias("placed"), F.explode(runs).alias("run"))
-    width = F.col("run") - KEY_WORDS + 1
-    windows = F.transform(F.sequence(F.lit(1), F.col("n") - F.col("run") + 1), lambda i: F.array_min(F.slice("placed", i, width)))
-    ats = F.array_distinct(F.transform(windows, lambda v: v.bitwiseAND(F.lit(0xFFFFFF)).cast("int")))
-    spread = own.select("id", "n", "w", "run", F.explode(ats).alias("at"))
-    return spread.select(F.xxhash64("run", F.slice("w", F.col("at") + 1, KEY_WORDS)).alias("key"), "id", "n", "at")
+def _outline(words: Column) -> Column:
+    """A character of 254 for each word; different words may have the same."""
+    return F.array_join(F.transform(words, lambda w: F.call_function("char", F.pmod(F.xxhash64(w), F.lit(254)) + 1)), "")
 
 
 def _word_distance(a: Column, b: Column, distance: Column) -> Column:
@@ -287,31 +369,50 @@ def _word_distance(a: Column, b: Column, distance: Column) -> Column:
     return _bind(F.struct(F.array_distinct(F.concat(a, b)).alias("all"), a.alias("a"), b.alias("b"), distance.alias("d")), told) >= 0
 
 
-def similar_by_words(lines: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of hashes of different lines of which one word in WORDS_EACH of the shorter, or fewer, differ."""
-    lines = lines.filter(F.char_length("line") >= LEAST_CHARS)
-    total = classes.agg(F.sum("held")).head()[0] or 0
-    # at most FREQUENT rows
-    frequent = classes.filter(F.col("held") > max(8, total // FREQUENT)).select("id", "id2", "first")
-    once = lines.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id")
-    keys = materialize(_word_keys(once), "word-keys")
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
-    met = materialize(keys.join(shared, "key", "left_semi").distinct(), "word-hits")
-    wanted = met.select("id").distinct()
-    texts = lines.select("id", "line").join(wanted, "id", "left_semi").groupBy("id", "line").agg(F.count("*")).select("id", _tokens(F.col("line")).alias("w"))
+def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs (a, b) of hashes of different lines of which one word in WORDS_EACH of the shorter, or fewer, differ.
+
+    Lines of MANY_WORDS words or more within ``distance`` (2 at most) code points are linked too.
+    """
+    keys = materialize(_word_keys(_once(lines, classes)), "word-keys")
+    rows = keys.select("id", F.explode("keys").alias("key"))
+    shared = materialize(rows.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key"), "shared-keys")
+    some = rows.join(F.broadcast(shared) if shared.count() <= SHARED else shared, "key", "left_semi")
+    met = materialize(some.distinct(), "word-hits")
+    several = met.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
+    met = materialize(met.join(several, "key", "left_semi"), "word-hits")
     low, high = _word_bags(F.col("w"))
-    texts = materialize(texts.withColumns({"n": F.size("w"), "l0": low, "l1": high}), "word-texts")
-    held = met.join(texts.select("id", "n", "l0", "l1").distinct(), ["id", "n"])
-    a, b = (held.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "at")), F.col("l0").alias(f"{s}0"), F.col("l1").alias(f"{s}1")) for s in "ab")
-    d = F.call_function("div", F.col("a_n"), F.lit(WORDS_EACH))
+    texts = _some_lines(lines, met.select("id").distinct()).withColumn("w", _words(F.col("line")))
+    texts = materialize(texts.withColumns({"n": F.size("w"), "l0": low, "l1": high, "g": _grams(F.col("w")), "c": _outline(F.col("w"))}), "word-texts")
+    # the first and the last place of the key in the line
+    first = F.array_position("g", F.col("key")).cast("int")
+    last = F.size("g") + 1 - F.array_position(F.reverse("g"), F.col("key")).cast("int")
+    held = materialize(met.join(texts, "id").select("key", "id", "n", "l0", "l1", first.alias("at"), last.alias("end")).distinct(), "word-sharers")
+    named = (("id", ""), ("n", "_n"), ("at", "_at"), ("end", "_end"), ("l0", "0"), ("l1", "1"))
+    a, b = (held.select("key", *(F.col(c).alias(f"{s}{t}") for c, t in named)) for s in "ab")
+    # a near copy has at most a fifth more words, so it is of the same class of lengths or of the next
+    size = lambda n: F.floor(F.log(F.col(n)) / F.log(F.lit(1.25)))
+    a = a.withColumn("key", F.xxhash64("key", size("a_n")))
+    b = b.withColumn("class", F.explode(F.array(size("b_n"), size("b_n") - 1))).withColumn("key", F.xxhash64("key", "class")).drop("class")
+    a, b, on = _in_blocks(a, b)
+    words = F.call_function("div", F.col("a_n"), F.lit(WORDS_EACH)).cast("int")
+    d = F.when(F.col("a_n") >= MANY_WORDS, F.greatest(words, F.lit(2 * distance))).otherwise(words)
     more, moved = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
-    near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a_id") < F.col("b_id"))
-    near = near & (F.col("a_id") != F.col("b_id")) & (F.abs(moved) + F.abs(more - moved) <= d) & _near_letters("a", "b", d)
-    pairs = a.join(b, (a["key"] == b["key"]) & near).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
-    left, right = (texts.select(F.col("id").alias(s), F.col("w").alias(f"{s}_w")) for s in "ab")
+    near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
+    once = (F.col("a_at") == F.col("a_end")) & (F.col("b_at") == F.col("b_end"))
+    apart = (F.col("b_at") - F.col("a_end") <= d) & (F.col("a_at") - F.col("b_end") <= d)
+    near = near & (F.abs(more) <= d) & F.when(once, F.abs(moved) + F.abs(more - moved) <= d).otherwise(apart) & _near_letters("a", "b", d)
+    pairs = a.join(b, on).filter(near).select("a", "b").distinct()
+    pairs = materialize(pairs, "word-pairs")
+    left, right = (texts.select(F.col("id").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("n", "c", "w", "line"))) for s in "ab")
     both = pairs.join(left, "a").join(right, "b")
-    distance = F.call_function("div", F.least(F.size("a_w"), F.size("b_w")), F.lit(WORDS_EACH)).cast("int")
-    return both.filter(_word_distance(F.col("a_w"), F.col("b_w"), distance)).select("a", "b").distinct()
+    # outlines are no further apart than words are
+    most = F.call_function("div", F.least("a_n", "b_n"), F.lit(WORDS_EACH)).cast("int")
+    most = F.when(F.least("a_n", "b_n") >= MANY_WORDS, F.greatest(most, F.lit(2 * distance))).otherwise(most)
+    both = _ordered(both.filter(F.call_function("levenshtein", "a_c", "b_c", most) >= 0), "a_w", "b_w")
+    few = F.call_function("div", F.least(F.size("a_w"), F.size("b_w")), F.lit(WORDS_EACH)).cast("int")
+    near = _word_distance(F.col("a_w"), F.col("b_w"), few) | _near_by_chars(F.col("t"), F.col("s"), distance)
+    return both.filter(near).select("a", "b").distinct()
 
 
 def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS, by_words: bool = False) -> DataFrame:
@@ -325,9 +426,11 @@ def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAS
     """
     lines = occurrences(docs, least)
     classes = materialize(line_classes(lines), "line-classes")
-    links = materialize(similar_lines(lines, classes, distance), "line-links")
+    # lines within two code points differ by two in their number of words at most
+    fewer = MANY_WORDS + 2 if by_words and distance <= 2 else None
+    links = materialize(similar_lines(lines, classes, distance, fewer), "line-links")
     if by_words:
-        links = links.union(materialize(similar_by_words(lines, classes), "line-links"))
+        links = links.union(materialize(similar_by_words(lines, classes, distance), "line-links"))
     groups = materialize(connected_components(links), "line-groups").withColumnRenamed("node", "id")
     known = classes.withColumnRenamed("first", "pos").join(groups, "id", "left")
     linked = known.filter("component is not null")
