@@ -235,11 +235,11 @@ def _near_by_chars(long: Column, short: Column, distance: int) -> Column:
     return (F.char_length(long) - F.char_length(short) <= distance) & (edit_distance(long, short, distance) <= distance)
 
 
-def _ordered(both: DataFrame, *more: str) -> DataFrame:
-    """a, b and their lines, the longer as ``t`` and the other as ``s``, and the columns ``more``."""
+def _ordered(both: DataFrame) -> DataFrame:
+    """a, b and their lines, the longer as ``t`` and the other as ``s``."""
     shorter = F.char_length("a_line") <= F.char_length("b_line")
     s = F.when(shorter, F.col("a_line")).otherwise(F.col("b_line")).alias("s")
-    return both.select("a", "b", *more, s, F.when(shorter, F.col("b_line")).otherwise(F.col("a_line")).alias("t"))
+    return both.select("a", "b", s, F.when(shorter, F.col("b_line")).otherwise(F.col("a_line")).alias("t"))
 
 
 def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE, fewer_words: int | None = None) -> DataFrame:
@@ -313,9 +313,13 @@ def _shifted(values: Column, by: int | Column, join) -> Column:
     return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, by + 1, n), join)
 
 
-def _grams(words: Column) -> Column:
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _grams(hashes: Column) -> Column:
     """Hashes of each KEY_WORDS (4) words in a row."""
-    pairs = _bind(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _shifted(h, 1, lambda x, y: F.xxhash64(x, y)))
+    pairs = _shifted(hashes, 1, lambda x, y: F.xxhash64(x, y))
     return _bind(pairs, lambda p: _shifted(p, 2, lambda x, y: F.xxhash64(x, y)))
 
 
@@ -326,9 +330,9 @@ def _word_keys(lines: DataFrame) -> DataFrame:
     column of its own, so that no step is worked out twice.
     """
     own = lines.select("id", "line", _n_words(F.col("line")).alias("n")).filter(F.col("n") >= WORDS_EACH)
-    own = own.select("id", "n", _words(F.col("line")).alias("w"))
+    own = own.select("id", "n", _hashes(_words(F.col("line"))).alias("h"))
     least = lambda x, y: F.least(x, y)
-    own = own.select("id", _width(F.col("n")).alias("width"), _grams(F.col("w")).alias("g"))
+    own = own.select("id", _width(F.col("n")).alias("width"), _grams(F.col("h")).alias("g"))
     pair = own.select("id", "width", _shifted(F.col("g"), 1, least).alias("m"))
     four = _shifted(F.col("m"), F.when(F.col("width") == 3, 1).otherwise(2), least)
     pair = pair.select("id", "width", F.when(F.col("width") > 2, four).otherwise(F.col("m")).alias("m"))
@@ -336,24 +340,15 @@ def _word_keys(lines: DataFrame) -> DataFrame:
     return pair.select("id", F.array_distinct(F.when(F.col("width") > 4, six).otherwise(F.col("m"))).alias("keys"))
 
 
-def _word_bags(tokens: Column) -> list[Column]:
-    """How many words have each of twelve residues of their hashes, modulo 256, six counts in a number."""
-    residues = F.transform(tokens, lambda w: F.pmod(F.xxhash64(w), F.lit(12)))
-
-    def held(r: Column, residue: int) -> Column:
-        return (F.size(F.filter(r, lambda x: x == residue)) % 256).cast("long")
-
-    def packed(r: Column) -> Column:
-        six = [reduce(lambda total, k: total * 256 + held(r, k), range(first, first + 6), F.lit(0).cast("long")) for first in (0, 6)]
-        return F.struct(six[0].alias("low"), six[1].alias("high"))
-
-    both = _bind(residues, packed)
-    return [both["low"], both["high"]]
+def _outline(hashes: Column) -> Column:
+    """A character of 254 for each word; different words may have the same."""
+    return F.array_join(F.transform(hashes, lambda h: F.call_function("char", F.pmod(h, F.lit(254)) + 1)), "")
 
 
-def _outline(words: Column) -> Column:
-    """A character of 254 for each word; different words may have the same."""
-    return F.array_join(F.transform(words, lambda w: F.call_function("char", F.pmod(F.xxhash64(w), F.lit(254)) + 1)), "")
+def _most_words(n: Column, distance: int) -> Column:
+    """How many words of a line of ``n`` words and a near copy that is no shorter may differ, by the rule of words or of code points."""
+    words = F.call_function("div", n, F.lit(WORDS_EACH)).cast("int")
+    return F.when(n >= MANY_WORDS, F.greatest(words, F.lit(2 * distance))).otherwise(words)
 
 
 def _word_distance(a: Column, b: Column, distance: Column) -> Column:
@@ -381,37 +376,37 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
     met = materialize(some.distinct(), "word-hits")
     several = met.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
     met = materialize(met.join(several, "key", "left_semi"), "word-hits")
-    low, high = _word_bags(F.col("w"))
-    texts = _some_lines(lines, met.select("id").distinct()).withColumn("w", _words(F.col("line")))
-    texts = materialize(texts.withColumns({"n": F.size("w"), "l0": low, "l1": high, "g": _grams(F.col("w")), "c": _outline(F.col("w"))}), "word-texts")
-    # the first and the last place of the key in the line
-    first = F.array_position("g", F.col("key")).cast("int")
-    last = F.size("g") + 1 - F.array_position(F.reverse("g"), F.col("key")).cast("int")
-    held = materialize(met.join(texts, "id").select("key", "id", "n", "l0", "l1", first.alias("at"), last.alias("end")).distinct(), "word-sharers")
-    named = (("id", ""), ("n", "_n"), ("at", "_at"), ("end", "_end"), ("l0", "0"), ("l1", "1"))
+    wanted = met.groupBy("id").agg(F.collect_list("key").alias("keys"))  # bounded by one line
+    texts = _some_lines(lines, wanted.select("id")).join(wanted, "id").withColumn("h", _hashes(_words(F.col("line"))))
+    texts = texts.select("id", "line", "keys", F.size("h").alias("n"), _outline(F.col("h")).alias("c"), _grams(F.col("h")).alias("g"))
+    # the first and the last place of each key in the line
+    last = lambda k: F.size("g") + 1 - F.array_position(F.reverse("g"), k)
+    place = lambda k: F.struct(k.alias("key"), F.array_position("g", k).alias("at"), last(k).alias("end"))
+    texts = materialize(texts.select("id", "line", "n", "c", F.transform("keys", place).alias("places")), "word-texts")
+    held = texts.select("id", "n", F.explode("places").alias("x")).select("id", "n", "x.*").distinct()
+    named = (("id", ""), ("n", "_n"), ("at", "_at"), ("end", "_end"))
     a, b = (held.select("key", *(F.col(c).alias(f"{s}{t}") for c, t in named)) for s in "ab")
     # a near copy has at most a fifth more words, so it is of the same class of lengths or of the next
     size = lambda n: F.floor(F.log(F.col(n)) / F.log(F.lit(1.25)))
     a = a.withColumn("key", F.xxhash64("key", size("a_n")))
     b = b.withColumn("class", F.explode(F.array(size("b_n"), size("b_n") - 1))).withColumn("key", F.xxhash64("key", "class")).drop("class")
     a, b, on = _in_blocks(a, b)
-    words = F.call_function("div", F.col("a_n"), F.lit(WORDS_EACH)).cast("int")
-    d = F.when(F.col("a_n") >= MANY_WORDS, F.greatest(words, F.lit(2 * distance))).otherwise(words)
+    d = _most_words(F.col("a_n"), distance)
     more, moved = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
     near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
     once = (F.col("a_at") == F.col("a_end")) & (F.col("b_at") == F.col("b_end"))
     apart = (F.col("b_at") - F.col("a_end") <= d) & (F.col("a_at") - F.col("b_end") <= d)
-    near = near & (F.abs(more) <= d) & F.when(once, F.abs(moved) + F.abs(more - moved) <= d).otherwise(apart) & _near_letters("a", "b", d)
-    pairs = a.join(b, on).filter(near).select("a", "b").distinct()
-    pairs = materialize(pairs, "word-pairs")
-    left, right = (texts.select(F.col("id").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("n", "c", "w", "line"))) for s in "ab")
-    both = pairs.join(left, "a").join(right, "b")
+    near = near & (F.abs(more) <= d) & F.when(once, F.abs(moved) + F.abs(more - moved) <= d).otherwise(apart)
+    pairs = materialize(a.join(b, on).filter(near).select("a", "b").distinct(), "word-pairs")
+    left, right = (texts.select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), F.col("c").alias(f"{s}_c")) for s in "ab")
     # outlines are no further apart than words are
-    most = F.call_function("div", F.least("a_n", "b_n"), F.lit(WORDS_EACH)).cast("int")
-    most = F.when(F.least("a_n", "b_n") >= MANY_WORDS, F.greatest(most, F.lit(2 * distance))).otherwise(most)
-    both = _ordered(both.filter(F.call_function("levenshtein", "a_c", "b_c", most) >= 0), "a_w", "b_w")
-    few = F.call_function("div", F.least(F.size("a_w"), F.size("b_w")), F.lit(WORDS_EACH)).cast("int")
-    near = _word_distance(F.col("a_w"), F.col("b_w"), few) | _near_by_chars(F.col("t"), F.col("s"), distance)
+    close = F.call_function("levenshtein", "a_c", "b_c", _most_words(F.least("a_n", "b_n"), distance)) >= 0
+    pairs = materialize(pairs.join(left, "a").join(right, "b").filter(close).select("a", "b"), "word-pairs")
+    left, right = (texts.select(F.col("id").alias(s), F.col("line").alias(f"{s}_line")) for s in "ab")
+    both = _ordered(pairs.join(left, "a").join(right, "b"))
+    both = both.select("a", "b", "s", "t", _words(F.col("s")).alias("v"), _words(F.col("t")).alias("w"))
+    few = F.call_function("div", F.least(F.size("v"), F.size("w")), F.lit(WORDS_EACH)).cast("int")
+    near = _word_distance(F.col("v"), F.col("w"), few) | _near_by_chars(F.col("t"), F.col("s"), distance)
     return both.filter(near).select("a", "b").distinct()
 
 
