@@ -83,6 +83,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one key that are joined in one place, and the most keys with more that are told apart (their number is broadcast).
+BLOCK, LARGE_KEYS = 256, 1 << 16
+
+
+def large_keys(rows: DataFrame, key: str) -> DataFrame:
+    """``key`` and ``blocks`` for the keys of ``rows`` (written) that have more than BLOCK rows, LARGE_KEYS keys at most."""
+    least = max(BLOCK, rows.count() // LARGE_KEYS)
+    sizes = rows.groupBy(key).agg(F.count("*").alias("size")).filter(F.col("size") > least)
+    return F.broadcast(materialize(sizes.select(key, F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "large-keys"))
+
+
+def dealt(rows: DataFrame, large: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` with ``block``: rows of a large key are dealt by the hash of ``by``, so one key is joined in many places."""
+    block = F.coalesce(F.pmod(F.xxhash64(by), "blocks").cast("int"), F.lit(0))
+    return rows.join(large, key, "left").withColumn("block", block).drop("blocks")
+
+
+def repeated(rows: DataFrame, large: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``block``: once for each block of their key."""
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
+    return rows.join(large, key, "left").withColumn("block", every).drop("blocks")
+
+
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Before Python work: bound the rows of an Arrow batch, so that one of very long texts still fits a worker."""
     make_importable(spark)

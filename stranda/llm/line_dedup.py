@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import dealt, large_keys, materialize, repeated
 from .components import connected_components
 
 #: Largest edit distance, in code points, between two lines that count as the same.
@@ -45,8 +45,6 @@ RUNS = ((10, 5), (20, 6), (30, 7), (40, 8), (90, 9))
 RESIDUES = 1 << 20
 #: A line with more than this share of all lines is probed once; there are at most so many such lines, and keys.
 FREQUENT = 1 << 16
-#: Lines of one key that are joined with those that probe it in one place.
-BLOCK = 256
 #: From so many words on, lines within DISTANCE code points share a run of RUNS: (20 - 4) / 3 words, and more in longer lines.
 MANY_WORDS = 20
 #: Most keys of several lines that are broadcast; beyond that all keys are shuffled.
@@ -217,20 +215,6 @@ def _some_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return some.groupBy("id", "line").agg(F.count("*")).select("id", "line").join(wanted, "id", "left_semi")
 
 
-def _in_blocks(members: DataFrame, seekers: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides of a join on ``key`` with the columns to join on: members of a large key are dealt to blocks, each
-    of which its seekers meet, so one key is joined in many places.
-    """
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
-    total = members.count()
-    # at most FREQUENT rows
-    large = sizes.filter(F.col("size") > max(BLOCK, total // FREQUENT)).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    large = F.broadcast(materialize(large, "large-keys"))
-    dealt = members.join(large, "key", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("a"), "blocks").cast("int"), F.lit(0))).drop("blocks")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
-    return dealt, seekers.join(large, "key", "left").withColumn("block", every).drop("blocks"), ["key", "block"]
-
-
 def _near_by_chars(long: Column, short: Column, distance: int) -> Column:
     return (F.char_length(long) - F.char_length(short) <= distance) & (edit_distance(long, short, distance) <= distance)
 
@@ -266,10 +250,10 @@ def similar_lines(lines: DataFrame, classes: DataFrame, distance: int = DISTANCE
     held = materialize(met.filter("key is not null").select("key", "b", "own").join(counts, F.col("b") == F.col("id")).drop("b"), "line-sharers")
     members = held.filter("own").select("key", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("l0").alias("a0"), F.col("l1").alias("a1"))
     seekers = held.select("key", F.col("id").alias("b"), F.col("n").alias("b_n"), F.col("l0").alias("b0"), F.col("l1").alias("b1")).distinct()
-    members, seekers, on = _in_blocks(members, seekers)
+    large = large_keys(members, "key")
     near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
     near = near & (F.col("b_n") - F.col("a_n") <= distance) & _near_letters("a", "b", distance)
-    crowded = members.join(seekers, on).filter(near).select("a", "b")
+    crowded = dealt(members, large, "key", "a").join(repeated(seekers, large, "key"), ["key", "block"]).filter(near).select("a", "b")
     pairs = met.filter("a is not null").select("a", "b").union(crowded).distinct()
     a, b = (texts.select(F.col("id").alias(s), F.col("line").alias(f"{s}_line")) for s in "ab")
     both = _ordered(pairs.join(a, "a").join(b, "b"))
@@ -390,14 +374,15 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
     size = lambda n: F.floor(F.log(F.col(n)) / F.log(F.lit(1.25)))
     a = a.withColumn("key", F.xxhash64("key", size("a_n")))
     b = b.withColumn("class", F.explode(F.array(size("b_n"), size("b_n") - 1))).withColumn("key", F.xxhash64("key", "class")).drop("class")
-    a, b, on = _in_blocks(a, b)
+    large = large_keys(a, "key")
     d = _most_words(F.col("a_n"), distance)
     more, moved = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
     near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
     once = (F.col("a_at") == F.col("a_end")) & (F.col("b_at") == F.col("b_end"))
     apart = (F.col("b_at") - F.col("a_end") <= d) & (F.col("a_at") - F.col("b_end") <= d)
     near = near & (F.abs(more) <= d) & F.when(once, F.abs(moved) + F.abs(more - moved) <= d).otherwise(apart)
-    pairs = materialize(a.join(b, on).filter(near).select("a", "b").distinct(), "word-pairs")
+    met = dealt(a, large, "key", "a").join(repeated(b, large, "key"), ["key", "block"])
+    pairs = materialize(met.filter(near).select("a", "b").distinct(), "word-pairs")
     left, right = (texts.select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), F.col("c").alias(f"{s}_c")) for s in "ab")
     # outlines are no further apart than words are
     close = F.call_function("levenshtein", "a_c", "b_c", _most_words(F.least("a_n", "b_n"), distance)) >= 0

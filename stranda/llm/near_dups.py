@@ -5,8 +5,8 @@ a group from one and a group from the other is the key of a table. ``2 * GROUPS
 ``GROUPS ** 2`` tables of ``2 * DEPTH`` minhashes each. At a threshold ``t`` a pair shares no table with
 probability ``2 * (1 - t**DEPTH) ** GROUPS`` at most; lower thresholds take more groups (``groups_for``).
 
-Documents with equal sets are one class from the start. In each bucket all classes are compared with the
-bucket's smallest only, links are confirmed on full sets, and components are formed. What this
+Documents with equal sets are one class from the start, known by a hash of its set. In each bucket all classes are
+compared with the bucket's smallest only, in blocks where that one has many, links are confirmed on full sets, and components are formed. What this
 leaves are buckets whose classes lie in several components. Small ones are compared pair by pair. The
 classes of the larger ones are joined exactly on the rarest shingles of their sets (any two sets that are
 similar enough share one of these), so no bucket is ever expanded into all its pairs and no link is lost.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, text_bytes, tidy
+from .common import dealt, large_keys, materialize, repeated, small_batches, text_bytes, tidy
 from .components import connected_components
 from .words import mix, windows, word_hashes
 
@@ -131,26 +131,43 @@ def _near_sizes(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
+def _class(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("rep", F.xxhash64("set_sum", "set_xor", "n_shingles"))
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sorted shingle hashes of the documents in ``wanted`` (rep)."""
+    """The sorted shingle hashes of the classes ``wanted`` (rep, first), read from the documents that they occur in first."""
 
     @tidy
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets, edges = shingles(batch.column("_bytes").to_pylist())
+            empty = np.diff(edges) == 0
             values = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(sets.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), values], ["rep", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.diff(edges)),
+                    pa.array(_per_text(np.add, mix(sets), edges, empty).astype(np.int64)),
+                    pa.array(_per_text(np.bitwise_xor, mix(~sets), edges, empty).astype(np.int64)),
+                    values,
+                ],
+                ["n_shingles", "set_sum", "set_xor", "shingles"],
+            )
 
-    own = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi")
-    return text_bytes(own, "rep").mapInArrow(read, "rep long, shingles array<long>").dropDuplicates(["rep"])
+    own = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(wanted.select("first"), "first", "left_semi")
+    rows = _class(text_bytes(own).mapInArrow(read, "n_shingles long, set_sum long, set_xor long, shingles array<long>"))
+    # rows of a class are all the same
+    return rows.select("rep", "shingles").join(wanted.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b) whose full sets are similar enough. The set of an ``a`` with many pairs goes to each of its blocks once."""
     left, right = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
+    large = large_keys(pairs, "a")
     both = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - both
-    return pairs.join(left, "a").join(right, "b").filter(100 * both >= percent * union).select("a", "b")
+    met = dealt(pairs, large, "a", "b").join(right, "b").join(repeated(left, large, "a"), ["a", "block"])
+    return met.filter(100 * both >= percent * union).select("a", "b")
 
 
 def _rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,12 +187,15 @@ def _rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> Dat
         .filter("x.df > 1")
         .select("rep", "n", "component", "at", F.col("x.shingle").alias("shingle"))
     )
+    ranked = materialize(ranked, "rare-shingles")
     a, b = (ranked.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", "at"))) for s in "ab")
     rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     needed = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     near = (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
     near = near & _near_sizes(F.col("n_a"), F.col("n_b"), percent) & (rest >= needed)
-    return a.join(b, (a["shingle"] == b["shingle"]) & near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    large = large_keys(ranked, "shingle")
+    met = dealt(a, large, "shingle", "rep_a").join(repeated(b, large, "shingle"), ["shingle", "block"])
+    return met.filter(near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -184,32 +204,34 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Documents are linked where their sets share ``percent`` of their union or more.
     A null or empty text, or one of white space, has no shingles and is linked with nothing. Rows with a
     null doc_id are linked with nothing either: their component is null and they are kept. Repeated rows
-    count as one document; a doc_id with several texts is one node that has the links of each, confirmed on one
-    of them. An empty table gives no rows. Other columns are ignored.
+    count as one document; a doc_id with several texts is one node that has the links of each. An empty table
+    gives no rows. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    signed = materialize(signatures(docs, groups_for(percent)), "signatures")
+    signed = _class(materialize(signatures(docs, groups_for(percent)), "signatures"))
     linked = signed.filter("doc_id is not null and n_shingles > 0")
-    of_set = ["set_sum", "set_xor", "n_shingles"]
-    named = linked.groupBy(*of_set).agg(F.min("doc_id").alias("rep"))
+    named = linked.groupBy("rep").agg(F.min("doc_id").alias("first"))
     classes = materialize(
-        linked.withColumn("rep", F.col("doc_id")).join(named, ["rep", *of_set])
-        .select("rep", F.col("n_shingles").alias("n"), "left", "right").dropDuplicates(["rep", "n"]),
+        linked.withColumnRenamed("doc_id", "first").join(named, ["rep", "first"])
+        .select("rep", "first", F.col("n_shingles").alias("n"), "left", "right").dropDuplicates(["rep"]),
         "classes",
     )
     keys = _keys(classes)
     shared = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"), F.count("*").alias("held"))
     sizes = classes.select("rep", "n")
-    leaders = sizes.toDF("leader", "leader_n")
     buckets = materialize(
         keys.join(shared.filter("leader < last").select("key", "leader", "held"), "key"), "buckets"
     )
+    met = materialize(buckets.filter("rep <> leader").select("leader", "rep").distinct().join(sizes, "rep"), "leader-pairs")
+    large = large_keys(met, "leader")
+    leaders = repeated(sizes.toDF("leader", "leader_n"), large, "leader")
     pairs = materialize(
-        buckets.filter("rep <> leader").select("leader", "rep").distinct().join(sizes, "rep").join(leaders, "leader")
-        .filter(_near_sizes(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(),
+        dealt(met, large, "leader", "rep").join(leaders, ["leader", "block"])
+        .filter(_near_sizes(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("rep").alias("b")),
         "pairs",
     )
-    sets = materialize(_full_sets(docs, buckets.select("rep").distinct()), "sets")
+    wanted = classes.select("rep", "first").join(buckets.select("rep").distinct(), "rep", "left_semi")
+    sets = materialize(_full_sets(docs, wanted), "sets")
     links = materialize(_confirmed(pairs, sets, percent), "confirmed")
     first = materialize(connected_components(links).withColumnRenamed("node", "rep"), "components")
 
@@ -228,12 +250,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = left_over.filter(F.col("held") > SMALL_BUCKET).select("rep", "n", "component").distinct()
     more = materialize(direct.union(_rare_prefix_pairs(members, sets, percent)).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     late = materialize(_confirmed(more, sets, percent), "confirmed")
-    joined = materialize(connected_components(links.union(late)).withColumnRenamed("node", "rep"), "components")
-
-    of_class = named.join(joined, "rep", "left").select(*of_set, F.coalesce("component", "rep").alias("component"))
+    # texts of one doc_id are one node
+    texts = linked.select("doc_id", "rep").distinct()
+    several = texts.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").select("doc_id", "a")
+    same = texts.join(several, "doc_id").select("a", F.col("rep").alias("b"))
+    joined = materialize(connected_components(links.union(late).union(same)).withColumnRenamed("node", "rep"), "components")
+
+    of_class = classes.select("rep", "first").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    smallest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_class = materialize(of_class.join(smallest, "component").select("rep", "component_id"), "class-components")
     # rows of a class meet its one component; a class with very many rows is dealt anew by the join itself
-    found = signed.join(of_class, of_set, "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
+    found = signed.join(of_class, "rep", "left")
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))

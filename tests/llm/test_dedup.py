@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stranda.llm import line_dedup, near_dups
+from stranda.llm import common, line_dedup, near_dups
 from stranda.llm.components import connected_components
 
 from .helpers import WORD, corpus, prose
@@ -159,3 +159,25 @@ def test_near_duplicates_in_large_groups(spark, llm):
                 words[rng.randrange(len(words))] = prose(rng, 1)
         rows.append((k * 7 % 61, " ".join(words)))
     check_near(rows, near_dups.near_duplicates(llm(rows)).collect())
+
+
+def test_texts_of_one_id_are_one_node(spark, llm):
+    rng = random.Random(31)
+    one, two, three = (prose(rng, 60) for _ in range(3))
+    rows = [(5, one), (5, two), (2, f"{one} end"), (9, two), (4, three), (5, one), (5, None), (7, None)]
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dups.near_duplicates(llm(rows)).collect()}
+    assert got == {(5, 56): (2, False), (2, 57): (2, True), (9, 56): (2, False), (4, 56): (4, True), (5, 0): (5, True), (7, 0): (7, True)}
+
+
+def test_large_keys_are_joined_in_blocks(spark, llm, monkeypatch):
+    monkeypatch.setattr(common, "BLOCK", 4)
+    rows = corpus(12, 40)
+    check_near(rows, near_dups.near_duplicates(llm(rows)).collect())
+    rows = line_rows(14)
+    want = brute_lines(rows, 2, line_dedup.LEAST_CHARS)
+    assert all(set(r.removed) == want[r.doc_id] for r in line_dedup.line_report(llm(rows)).collect())
+    pairs = spark.createDataFrame([(0, k) for k in range(30)] + [(1, 2)], "key long, a long")
+    large = common.large_keys(pairs, "key")
+    assert [tuple(r) for r in large.collect()] == [(0, 8)]
+    met = common.dealt(pairs, large, "key", "a").join(common.repeated(pairs.withColumnRenamed("a", "b"), large, "key"), ["key", "block"])
+    assert met.count() == 901
