@@ -5,9 +5,10 @@ a group from one and a group from the other is the key of a table. ``2 * GROUPS
 ``GROUPS ** 2`` tables of ``2 * DEPTH`` minhashes each. At a threshold ``t`` a pair shares no table with
 probability ``2 * (1 - t**DEPTH) ** GROUPS`` at most; lower thresholds take more groups (``groups_for``).
 
-Documents with equal sets are one class from the start, known by a hash of its set. In each bucket all classes are
-compared with the bucket's smallest only, in blocks where that one has many, links are confirmed on full sets, and components are formed. What this
-leaves are buckets whose classes lie in several components. Small ones are compared pair by pair. The
+Documents with equal sets are one class from the start, known by its smallest doc_id. In each bucket all classes are
+compared with the bucket's smallest only, in blocks where that one has many, links are confirmed on full sets, and components are formed.
+Buckets whose classes still lie in several components are compared with ``STARS`` more of their classes, picked by
+hash, in the same way. Of what is left then, small buckets are compared pair by pair. The
 classes of the larger ones are joined exactly on the rarest shingles of their sets (any two sets that are
 similar enough share one of these), so no bucket is ever expanded into all its pairs and no link is lost.
 """
@@ -33,6 +34,8 @@ GROUPS, DEPTH = 9, 2
 MISSED = 2e-5
 #: Buckets of at most so many classes are compared pair by pair where they join several components.
 SMALL_BUCKET = 8
+#: Rounds of comparing buckets of several components with one more of their classes before the exact rest.
+STARS = 2
 
 _U64 = np.uint64
 
@@ -132,11 +135,22 @@ def _near_sizes(a: Column, b: Column, percent: int) -> Column:
 
 
 def _class(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("rep", F.xxhash64("set_sum", "set_xor", "n_shingles"))
+    return rows.withColumn("class", F.xxhash64("set_sum", "set_xor", "n_shingles"))
+
+
+def _classes(linked: DataFrame) -> DataFrame:
+    """rep, class, first, n, left and right of each class: ``rep`` is its smallest doc_id, ``first``, or, where that
+    has several texts, for all but one of their classes the class's hash.
+    """
+    named = linked.groupBy("class").agg(F.min("doc_id").alias("first"))
+    owners = named.groupBy("first").agg(F.min("class").alias("owner"))
+    rep = F.when(F.col("class") == F.col("owner"), F.col("first")).otherwise(F.col("class"))
+    found = linked.withColumnRenamed("doc_id", "first").join(named.join(owners, "first").withColumn("rep", rep), ["class", "first"])
+    return found.select("rep", "class", "first", F.col("n_shingles").alias("n"), "left", "right").dropDuplicates(["class"])
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sorted shingle hashes of the classes ``wanted`` (rep, first), read from the documents that they occur in first."""
+    """The sorted shingle hashes of the classes ``wanted`` (rep, class, first), read from the documents that they occur in first."""
 
     @tidy
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +171,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(wanted.select("first"), "first", "left_semi")
     rows = _class(text_bytes(own).mapInArrow(read, "n_shingles long, set_sum long, set_xor long, shingles array<long>"))
     # rows of a class are all the same
-    return rows.select("rep", "shingles").join(wanted.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
+    return rows.select("class", "shingles").dropDuplicates(["class"]).join(wanted.select("class", "rep"), "class").select("rep", "shingles")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -198,6 +212,24 @@ def _rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> Dat
     return met.filter(near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
+def _with_leaders(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a leader and another class of its bucket, of ``rows`` (leader, rep), that sizes allow."""
+    met = materialize(rows.filter("rep <> leader").distinct().join(sizes, "rep"), "leader-pairs")
+    large = large_keys(met, "leader")
+    leaders = repeated(sizes.toDF("leader", "leader_n"), large, "leader")
+    both = dealt(met, large, "leader", "rep").join(leaders, ["leader", "block"])
+    return both.filter(_near_sizes(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+
+
+def _left_over(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """key, held, rep and component of the buckets whose classes lie in several components of ``links``."""
+    first = materialize(connected_components(links).withColumnRenamed("node", "rep"), "components")
+    held = buckets.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    torn = held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    rows = held.join(torn.select("key"), "key", "left_semi").select("key", "held", "rep", "component")
+    return materialize(rows, "left-over")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text, ...).
 
@@ -210,36 +242,29 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signed = _class(materialize(signatures(docs, groups_for(percent)), "signatures"))
     linked = signed.filter("doc_id is not null and n_shingles > 0")
-    named = linked.groupBy("rep").agg(F.min("doc_id").alias("first"))
-    classes = materialize(
-        linked.withColumnRenamed("doc_id", "first").join(named, ["rep", "first"])
-        .select("rep", "first", F.col("n_shingles").alias("n"), "left", "right").dropDuplicates(["rep"]),
-        "classes",
-    )
+    classes = materialize(_classes(linked), "classes")
     keys = _keys(classes)
     shared = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"), F.count("*").alias("held"))
     sizes = classes.select("rep", "n")
     buckets = materialize(
         keys.join(shared.filter("leader < last").select("key", "leader", "held"), "key"), "buckets"
     )
-    met = materialize(buckets.filter("rep <> leader").select("leader", "rep").distinct().join(sizes, "rep"), "leader-pairs")
-    large = large_keys(met, "leader")
-    leaders = repeated(sizes.toDF("leader", "leader_n"), large, "leader")
-    pairs = materialize(
-        dealt(met, large, "leader", "rep").join(leaders, ["leader", "block"])
-        .filter(_near_sizes(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("rep").alias("b")),
-        "pairs",
-    )
-    wanted = classes.select("rep", "first").join(buckets.select("rep").distinct(), "rep", "left_semi")
+    pairs = materialize(_with_leaders(buckets.select("leader", "rep"), sizes, percent), "pairs")
+    wanted = classes.select("rep", "class", "first").join(buckets.select("rep").distinct(), "rep", "left_semi")
     sets = materialize(_full_sets(docs, wanted), "sets")
     links = materialize(_confirmed(pairs, sets, percent), "confirmed")
-    first = materialize(connected_components(links).withColumnRenamed("node", "rep"), "components")
-
-    held = buckets.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    torn = held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    left_over = materialize(
-        held.join(torn.select("key"), "key", "left_semi").join(sizes, "rep").select("key", "held", "rep", "n", "component"), "left-over"
-    )
+    left_over = _left_over(buckets, links)
+    for star in range(STARS):
+        if left_over.isEmpty():
+            break
+        leaders = left_over.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", F.lit(star))).alias("leader"))
+        some = _with_leaders(left_over.join(leaders, "key").select("leader", "rep"), sizes, percent).join(pairs, ["a", "b"], "left_anti")
+        some = materialize(some, "pairs")
+        pairs = pairs.union(some)
+        links = links.union(materialize(_confirmed(some, sets, percent), "confirmed"))
+        left_over = _left_over(left_over.select("key", "held", "rep"), links)
+
+    left_over = left_over.join(sizes, "rep")
     a, b = (
         left_over.filter(F.col("held") <= SMALL_BUCKET).select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component")))
         for s in "ab"
@@ -248,19 +273,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     near = near & _near_sizes(F.col("n_a"), F.col("n_b"), percent)
     direct = a.join(b, (a["key"] == b["key"]) & near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     members = left_over.filter(F.col("held") > SMALL_BUCKET).select("rep", "n", "component").distinct()
-    more = materialize(direct.union(_rare_prefix_pairs(members, sets, percent)).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = direct.union(_rare_prefix_pairs(members, sets, percent)).distinct()
+    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = materialize(more.join(done, ["a", "b"], "left_anti"), "pairs")
     late = materialize(_confirmed(more, sets, percent), "confirmed")
     # texts of one doc_id are one node
-    texts = linked.select("doc_id", "rep").distinct()
-    several = texts.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").select("doc_id", "a")
-    same = texts.join(several, "doc_id").select("a", F.col("rep").alias("b"))
+    texts = linked.select("doc_id", "class").distinct()
+    several = texts.groupBy("doc_id").agg(F.min("class").alias("one"), F.max("class").alias("last")).filter("one < last").select("doc_id", "one")
+    of = lambda c, name: classes.select(F.col("class").alias(c), F.col("rep").alias(name))
+    same = texts.join(several, "doc_id").join(of("one", "a"), "one").join(of("class", "b"), "class").select("a", "b")
     joined = materialize(connected_components(links.union(late).union(same)).withColumnRenamed("node", "rep"), "components")
 
-    of_class = classes.select("rep", "first").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    of_class = classes.select("rep", "class", "first").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     smallest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_class = materialize(of_class.join(smallest, "component").select("rep", "component_id"), "class-components")
+    of_class = materialize(of_class.join(smallest, "component").select("class", "component_id"), "class-components")
     # rows of a class meet its one component; a class with very many rows is dealt anew by the join itself
-    found = signed.join(of_class, "rep", "left")
+    found = signed.join(of_class, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
