@@ -96,7 +96,7 @@ def large_keys(rows: DataFrame, key: str) -> DataFrame:
 
 def dealt(rows: DataFrame, large: DataFrame, key: str, by: str) -> DataFrame:
     """``rows`` with ``block``: rows of a large key are dealt by the hash of ``by``, so one key is joined in many places."""
-    block = F.coalesce(F.pmod(F.xxhash64(by), "blocks").cast("int"), F.lit(0))
+    block = F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), "blocks").cast("int"))
     return rows.join(large, key, "left").withColumn("block", block).drop("blocks")
 
 
