@@ -14,8 +14,9 @@ Where the caller asks for it, long lines are also compared by words: two lines a
 words whose least length follows from the shorter line's number of words (``RUNS``). Each line has as keys the
 smallest hashes, in every window of the run's length, of ``KEY_WORDS`` words in a row; so a shared run gives both a
 key in common. Smaller windows only add keys, so lines of different classes meet too. Two edits of code points leave
-a run as long in lines of ``MANY_WORDS`` words or more, so these need no segments. Keys that several lines have are
-joined in blocks under bounds on places, lengths and word counts; pairs are decided on texts.
+a run as long in lines of ``MANY_WORDS`` words or more, so these need no segments. The lines of a key are compared
+with one of them, and with ``STARS`` more where links leave them in several components; what is still apart then is
+joined in blocks under bounds on places and lengths. Pairs are decided on texts.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ RESIDUES = 1 << 20
 FREQUENT = 1 << 16
 #: From so many words on, lines within DISTANCE code points share a run of RUNS: (20 - 4) / 3 words, and more in longer lines.
 MANY_WORDS = 20
+#: Rounds in which the lines of a key are compared with one more of them before all pairs that are left.
+STARS = 2
 #: Most keys of several lines that are broadcast; beyond that all keys are shuffled.
 SHARED = 1 << 21
 
@@ -324,9 +327,22 @@ def _word_keys(lines: DataFrame) -> DataFrame:
     return pair.select("id", F.array_distinct(F.when(F.col("width") > 4, six).otherwise(F.col("m"))).alias("keys"))
 
 
-def _outline(hashes: Column) -> Column:
-    """A character of 254 for each word; different words may have the same."""
-    return F.array_join(F.transform(hashes, lambda h: F.call_function("char", F.pmod(h, F.lit(254)) + 1)), "")
+#: Code points that words are told apart by in an outline, from U+10000 up.
+CODES = 1 << 20
+
+
+def _code(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(CODES))
+
+
+def _outline(words: Column) -> Column:
+    """A code point for each word; very few different words have the same."""
+    return F.decode(F.unhex(F.array_join(F.transform(words, lambda w: F.lpad(F.hex(_code(w) + 0x10000), 8, "0")), "")), "UTF-32")
+
+
+def _told_apart(words: Column) -> Column:
+    """Whether different ``words`` have different code points."""
+    return F.size(F.array_distinct(words)) == F.size(F.array_distinct(F.transform(words, _code)))
 
 
 def _most_words(n: Column, distance: int) -> Column:
@@ -361,38 +377,95 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
     several = met.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
     met = materialize(met.join(several, "key", "left_semi"), "word-hits")
     wanted = met.groupBy("id").agg(F.collect_list("key").alias("keys"))  # bounded by one line
-    texts = _some_lines(lines, wanted.select("id")).join(wanted, "id").withColumn("h", _hashes(_words(F.col("line"))))
-    texts = texts.select("id", "line", "keys", F.size("h").alias("n"), _outline(F.col("h")).alias("c"), _grams(F.col("h")).alias("g"))
+    texts = _some_lines(lines, wanted.select("id")).join(wanted, "id").withColumn("w", _words(F.col("line")))
+    texts = texts.select("id", "line", "keys", F.size("w").alias("n"), _outline(F.col("w")).alias("c"), _hashes(F.col("w")).alias("h"))
+    texts = texts.select("id", "line", "keys", "n", "c", _grams(F.col("h")).alias("g"))
     # the first and the last place of each key in the line
     last = lambda k: F.size("g") + 1 - F.array_position(F.reverse("g"), k)
     place = lambda k: F.struct(k.alias("key"), F.array_position("g", k).alias("at"), last(k).alias("end"))
     texts = materialize(texts.select("id", "line", "n", "c", F.transform("keys", place).alias("places")), "word-texts")
-    held = texts.select("id", "n", F.explode("places").alias("x")).select("id", "n", "x.*").distinct()
-    named = (("id", ""), ("n", "_n"), ("at", "_at"), ("end", "_end"))
-    a, b = (held.select("key", *(F.col(c).alias(f"{s}{t}") for c, t in named)) for s in "ab")
+    held = materialize(texts.select("id", "n", F.explode("places").alias("x")).select("id", "n", "x.*").distinct(), "word-sharers")
+    pairs = materialize(_star_pairs(held, F.min("id"), distance), "word-pairs")
+    links = materialize(_confirmed(pairs, texts, distance), "line-links")
+    torn = _torn_keys(held, links)
+    for star in range(STARS):
+        if torn.isEmpty():
+            break
+        some = _star_pairs(torn, F.min_by("id", F.xxhash64("id", F.lit(star))), distance).join(pairs, ["a", "b"], "left_anti")
+        some = materialize(some, "word-pairs")
+        pairs, links = pairs.union(some), links.union(materialize(_confirmed(some, texts, distance), "line-links"))
+        torn = _torn_keys(torn.drop("component"), links)
+    rest = materialize(_cross_pairs(torn, distance).join(pairs, ["a", "b"], "left_anti"), "word-pairs")
+    return links.union(_confirmed(rest, texts, distance))
+
+
+def _sides(rows: DataFrame, *more: str) -> list[DataFrame]:
+    named = (("id", ""), ("n", "_n"), ("at", "_at"), ("end", "_end"), *((c, f"_{c}") for c in more))
+    on = [c for c in ("key", "block") if c in rows.columns]
+    return [rows.select(*on, *(F.col(c).alias(f"{s}{t}") for c, t in named)) for s in "ab"]
+
+
+def _may_be_near(distance: int) -> Column:
+    """What places of a common key and numbers of words say of two lines, of which ``a`` has no more words than ``b``."""
+    d = _most_words(F.col("a_n"), distance)
+    more, moved = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
+    once = (F.col("a_at") == F.col("a_end")) & (F.col("b_at") == F.col("b_end"))
+    apart = (F.col("b_at") - F.col("a_end") <= d) & (F.col("a_at") - F.col("b_end") <= d)
+    return (more <= d) & F.when(once, F.abs(moved) + F.abs(more - moved) <= d).otherwise(apart)
+
+
+def _in_order() -> Column:
+    return (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
+
+
+def _star_pairs(held: DataFrame, leader: Column, distance: int) -> DataFrame:
+    """Pairs (a, b) of a line of each key and the others that may be near it."""
+    chosen = held.select("key", "id").distinct().groupBy("key").agg(leader.alias("id"))
+    large = large_keys(held, "key")
+    lines, leaders = dealt(held, large, "key", "id"), repeated(held.join(chosen, ["key", "id"], "left_semi"), large, "key")
+    found = None
+    for first, second in ((leaders, lines), (lines, leaders)):
+        some = _sides(first)[0].join(_sides(second)[1], ["key", "block"]).filter(_in_order()).filter(_may_be_near(distance)).select("a", "b")
+        found = some if found is None else found.union(some)
+    return found.distinct()
+
+
+def _cross_pairs(torn: DataFrame, distance: int) -> DataFrame:
+    """Pairs (a, b) of lines of a key that may be near and that no links join so far."""
+    a, b = _sides(torn, "component")
     # a near copy has at most a fifth more words, so it is of the same class of lengths or of the next
     size = lambda n: F.floor(F.log(F.col(n)) / F.log(F.lit(1.25)))
     a = a.withColumn("key", F.xxhash64("key", size("a_n")))
     b = b.withColumn("class", F.explode(F.array(size("b_n"), size("b_n") - 1))).withColumn("key", F.xxhash64("key", "class")).drop("class")
     large = large_keys(a, "key")
-    d = _most_words(F.col("a_n"), distance)
-    more, moved = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
-    near = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
-    once = (F.col("a_at") == F.col("a_end")) & (F.col("b_at") == F.col("b_end"))
-    apart = (F.col("b_at") - F.col("a_end") <= d) & (F.col("a_at") - F.col("b_end") <= d)
-    near = near & (F.abs(more) <= d) & F.when(once, F.abs(moved) + F.abs(more - moved) <= d).otherwise(apart)
     met = dealt(a, large, "key", "a").join(repeated(b, large, "key"), ["key", "block"])
-    pairs = materialize(met.filter(near).select("a", "b").distinct(), "word-pairs")
+    return met.filter(_in_order() & (F.col("a_component") != F.col("b_component"))).filter(_may_be_near(distance)).select("a", "b").distinct()
+
+
+def _torn_keys(held: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of ``held`` of keys whose lines lie in several components of ``links``, with the component."""
+    of = materialize(connected_components(links), "line-components").withColumnRenamed("node", "id")
+    rows = held.join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    torn = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    return materialize(rows.join(torn, "key", "left_semi"), "torn-keys")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, distance: int) -> DataFrame:
+    """The pairs (a, b) that are near by words or by code points."""
     left, right = (texts.select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), F.col("c").alias(f"{s}_c")) for s in "ab")
+    few = F.call_function("div", F.least("a_n", "b_n"), F.lit(WORDS_EACH)).cast("int")
+    most = _most_words(F.least("a_n", "b_n"), distance)
     # outlines are no further apart than words are
-    close = F.call_function("levenshtein", "a_c", "b_c", _most_words(F.least("a_n", "b_n"), distance)) >= 0
-    pairs = materialize(pairs.join(left, "a").join(right, "b").filter(close).select("a", "b"), "word-pairs")
+    apart = F.call_function("levenshtein", "a_c", "b_c", most)
+    close = pairs.join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"), few.alias("few")).filter("apart >= 0")
+    close = materialize(close, "word-pairs")
     left, right = (texts.select(F.col("id").alias(s), F.col("line").alias(f"{s}_line")) for s in "ab")
-    both = _ordered(pairs.join(left, "a").join(right, "b"))
-    both = both.select("a", "b", "s", "t", _words(F.col("s")).alias("v"), _words(F.col("t")).alias("w"))
-    few = F.call_function("div", F.least(F.size("v"), F.size("w")), F.lit(WORDS_EACH)).cast("int")
-    near = _word_distance(F.col("v"), F.col("w"), few) | _near_by_chars(F.col("t"), F.col("s"), distance)
-    return both.filter(near).select("a", "b").distinct()
+    both = close.join(left, "a").join(right, "b")
+    v, w = _words(F.col("a_line")), _words(F.col("b_line"))
+    by_words = F.when(F.col("apart") > F.col("few"), False).when(_told_apart(F.concat(v, w)), True).otherwise(_word_distance(v, w, F.col("few")))
+    longer = F.char_length("a_line") >= F.char_length("b_line")
+    t, s = F.when(longer, F.col("a_line")).otherwise(F.col("b_line")), F.when(longer, F.col("b_line")).otherwise(F.col("a_line"))
+    return both.filter(by_words | _near_by_chars(t, s, distance)).select("a", "b").distinct()
 
 
 def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS, by_words: bool = False) -> DataFrame:
