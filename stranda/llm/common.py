@@ -83,6 +83,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``materialize`` of what ``make`` returns; the tables written on the way are deleted then."""
+    start = len(_written)
+    df = materialize(make(), name)
+    for spark, path in _written[start:-1]:
+        _delete(spark, path)
+    del _written[start:-1]
+    return df
+
+
 #: Rows of one key that are joined in one place, and the most keys with more that are told apart (their number is broadcast).
 BLOCK, LARGE_KEYS = 256, 1 << 16
 

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dealt, large_keys, materialize, repeated
+from .common import dealt, large_keys, materialize, repeated, settled
 from .components import connected_components
 
 #: Largest edit distance, in code points, between two lines that count as the same.
@@ -369,13 +369,7 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
 
     Lines of MANY_WORDS words or more within ``distance`` (2 at most) code points are linked too.
     """
-    keys = materialize(_word_keys(_once(lines, classes)), "word-keys")
-    rows = keys.select("id", F.explode("keys").alias("key"))
-    shared = materialize(rows.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key"), "shared-keys")
-    some = rows.join(F.broadcast(shared) if shared.count() <= SHARED else shared, "key", "left_semi")
-    met = materialize(some.distinct(), "word-hits")
-    several = met.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
-    met = materialize(met.join(several, "key", "left_semi"), "word-hits")
+    met = settled("word-hits", lambda: _several_lines(_word_keys(_once(lines, classes))))
     wanted = met.groupBy("id").agg(F.collect_list("key").alias("keys"))  # bounded by one line
     texts = _some_lines(lines, wanted.select("id")).join(wanted, "id").withColumn("w", _words(F.col("line")))
     texts = texts.select("id", "line", "keys", F.size("w").alias("n"), _outline(F.col("w")).alias("c"), _hashes(F.col("w")).alias("h"))
@@ -385,20 +379,32 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
     place = lambda k: F.struct(k.alias("key"), F.array_position("g", k).alias("at"), last(k).alias("end"))
     texts = materialize(texts.select("id", "line", "n", "c", F.transform("keys", place).alias("places")), "word-texts")
     held = materialize(texts.select("id", "n", F.explode("places").alias("x")).select("id", "n", "x.*").distinct(), "word-sharers")
-    pairs = materialize(_star_pairs(held, F.min("id"), distance), "word-pairs")
-    links = materialize(_confirmed(pairs, texts, distance), "line-links")
-    torn = _torn_keys(held, links)
+    pairs = settled("word-pairs", lambda: _star_pairs(held, F.min("id"), distance))
+    links = settled("line-links", lambda: _confirmed(pairs, texts, distance))
+    torn = settled("torn-keys", lambda: _torn_keys(held, links))
     for star in range(STARS):
         if torn.isEmpty():
             break
-        some = _star_pairs(torn, F.min_by("id", F.xxhash64("id", F.lit(star))), distance).join(pairs, ["a", "b"], "left_anti")
-        some = materialize(some, "word-pairs")
-        pairs, links = pairs.union(some), links.union(materialize(_confirmed(some, texts, distance), "line-links"))
-        torn = _torn_keys(torn.drop("component"), links)
-    rest = materialize(_cross_pairs(torn, distance).join(pairs, ["a", "b"], "left_anti"), "word-pairs")
+        leader = F.min_by("id", F.xxhash64("id", F.lit(star)))
+        some = settled("word-pairs", lambda torn=torn, leader=leader, done=pairs: _star_pairs(torn, leader, distance).join(done, ["a", "b"], "left_anti"))
+        more = settled("line-links", lambda some=some: _confirmed(some, texts, distance))
+        pairs, links = pairs.union(some), links.union(more)
+        torn = settled("torn-keys", lambda torn=torn, links=links: _torn_keys(torn.drop("component"), links))
+    rest = settled("word-pairs", lambda: _cross_pairs(torn, distance).join(pairs, ["a", "b"], "left_anti"))
     return links.union(_confirmed(rest, texts, distance))
 
 
+def _several_lines(keys: DataFrame) -> DataFrame:
+    """(key, id) of the keys of ``keys`` (id, keys) that several lines have."""
+    keys = materialize(keys, "word-keys")
+    rows = keys.select("id", F.explode("keys").alias("key"))
+    shared = materialize(rows.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key"), "shared-keys")
+    some = rows.join(F.broadcast(shared) if shared.count() <= SHARED else shared, "key", "left_semi")
+    met = materialize(some.distinct(), "word-hits")
+    several = met.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
+    return met.join(several, "key", "left_semi")
+
+
 def _sides(rows: DataFrame, *more: str) -> list[DataFrame]:
     named = (("id", ""), ("n", "_n"), ("at", "_at"), ("end", "_end"), *((c, f"_{c}") for c in more))
     on = [c for c in ("key", "block") if c in rows.columns]
@@ -447,7 +453,7 @@ def _torn_keys(held: DataFrame, links: DataFrame) -> DataFrame:
     of = materialize(connected_components(links), "line-components").withColumnRenamed("node", "id")
     rows = held.join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
     torn = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    return materialize(rows.join(torn, "key", "left_semi"), "torn-keys")
+    return rows.join(torn, "key", "left_semi")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, distance: int) -> DataFrame:
@@ -481,10 +487,10 @@ def duplicate_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAS
     classes = materialize(line_classes(lines), "line-classes")
     # lines within two code points differ by two in their number of words at most
     fewer = MANY_WORDS + 2 if by_words and distance <= 2 else None
-    links = materialize(similar_lines(lines, classes, distance, fewer), "line-links")
+    links = settled("line-links", lambda: similar_lines(lines, classes, distance, fewer))
     if by_words:
-        links = links.union(materialize(similar_by_words(lines, classes, distance), "line-links"))
-    groups = materialize(connected_components(links), "line-groups").withColumnRenamed("node", "id")
+        links = links.union(settled("line-links", lambda: similar_by_words(lines, classes, distance)))
+    groups = settled("line-groups", lambda: connected_components(links)).withColumnRenamed("node", "id")
     known = classes.withColumnRenamed("first", "pos").join(groups, "id", "left")
     linked = known.filter("component is not null")
     firsts = linked.groupBy("component").agg(F.min("pos").alias("first"))

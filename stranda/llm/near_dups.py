@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dealt, large_keys, materialize, repeated, small_batches, text_bytes, tidy
+from .common import dealt, large_keys, materialize, repeated, settled, small_batches, text_bytes, tidy
 from .components import connected_components
 from .words import mix, windows, word_hashes
 
@@ -226,8 +226,7 @@ def _left_over(buckets: DataFrame, links: DataFrame) -> DataFrame:
     first = materialize(connected_components(links).withColumnRenamed("node", "rep"), "components")
     held = buckets.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     torn = held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rows = held.join(torn.select("key"), "key", "left_semi").select("key", "held", "rep", "component")
-    return materialize(rows, "left-over")
+    return held.join(torn.select("key"), "key", "left_semi").select("key", "held", "rep", "component")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -241,6 +240,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     signed = _class(materialize(signatures(docs, groups_for(percent)), "signatures"))
+    of_class = settled("class-components", lambda: _class_components(docs, signed, percent))
+    # rows of a class meet its one component; a class with very many rows is dealt anew by the join itself
+    found = signed.join(of_class, "class", "left")
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("doc_id").isNotNull(), component)
+    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    )
+
+
+def _class_components(docs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """class and component_id of the classes of ``signed`` documents."""
     linked = signed.filter("doc_id is not null and n_shingles > 0")
     classes = materialize(_classes(linked), "classes")
     keys = _keys(classes)
@@ -249,20 +260,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     buckets = materialize(
         keys.join(shared.filter("leader < last").select("key", "leader", "held"), "key"), "buckets"
     )
-    pairs = materialize(_with_leaders(buckets.select("leader", "rep"), sizes, percent), "pairs")
+    pairs = settled("pairs", lambda: _with_leaders(buckets.select("leader", "rep"), sizes, percent))
     wanted = classes.select("rep", "class", "first").join(buckets.select("rep").distinct(), "rep", "left_semi")
     sets = materialize(_full_sets(docs, wanted), "sets")
-    links = materialize(_confirmed(pairs, sets, percent), "confirmed")
-    left_over = _left_over(buckets, links)
+    links = settled("confirmed", lambda: _confirmed(pairs, sets, percent))
+    left_over = settled("left-over", lambda: _left_over(buckets, links))
     for star in range(STARS):
         if left_over.isEmpty():
             break
         leaders = left_over.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", F.lit(star))).alias("leader"))
-        some = _with_leaders(left_over.join(leaders, "key").select("leader", "rep"), sizes, percent).join(pairs, ["a", "b"], "left_anti")
-        some = materialize(some, "pairs")
+        met, done = left_over.join(leaders, "key").select("leader", "rep"), pairs
+        some = settled("pairs", lambda met=met, done=done: _with_leaders(met, sizes, percent).join(done, ["a", "b"], "left_anti"))
         pairs = pairs.union(some)
-        links = links.union(materialize(_confirmed(some, sets, percent), "confirmed"))
-        left_over = _left_over(left_over.select("key", "held", "rep"), links)
+        links = links.union(settled("confirmed", lambda some=some: _confirmed(some, sets, percent)))
+        before = left_over.select("key", "held", "rep")
+        left_over = settled("left-over", lambda before=before, links=links: _left_over(before, links))
 
     left_over = left_over.join(sizes, "rep")
     a, b = (
@@ -282,15 +294,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     several = texts.groupBy("doc_id").agg(F.min("class").alias("one"), F.max("class").alias("last")).filter("one < last").select("doc_id", "one")
     of = lambda c, name: classes.select(F.col("class").alias(c), F.col("rep").alias(name))
     same = texts.join(several, "doc_id").join(of("one", "a"), "one").join(of("class", "b"), "class").select("a", "b")
-    joined = materialize(connected_components(links.union(late).union(same)).withColumnRenamed("node", "rep"), "components")
+    joined = settled("components", lambda: connected_components(links.union(late).union(same))).withColumnRenamed("node", "rep")
 
     of_class = classes.select("rep", "class", "first").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     smallest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_class = materialize(of_class.join(smallest, "component").select("class", "component_id"), "class-components")
-    # rows of a class meet its one component; a class with very many rows is dealt anew by the join itself
-    found = signed.join(of_class, "class", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    return of_class.join(smallest, "component").select("class", "component_id")
