@@ -51,7 +51,7 @@ MANY_WORDS = 20
 #: Rounds in which the lines of a key are compared with one more of them before all pairs that are left.
 STARS = 2
 #: Most keys of several lines that are broadcast; beyond that all keys are shuffled.
-SHARED = 1 << 21
+SHARED = 1 << 22
 
 
 def _pos() -> Column:
