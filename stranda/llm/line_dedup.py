@@ -50,8 +50,8 @@ FREQUENT = 1 << 16
 MANY_WORDS = 20
 #: Rounds in which the lines of a key are compared with one more of them before all pairs that are left.
 STARS = 2
-#: Most keys of several lines that are broadcast; beyond that all keys are shuffled.
-SHARED = 1 << 22
+#: Most keys of several lines that are broadcast (about 64 bytes each); beyond that all keys are shuffled.
+SHARED = 1 << 20
 
 
 def _pos() -> Column:
@@ -202,12 +202,12 @@ def line_classes(lines: DataFrame) -> DataFrame:
 
 
 def _once(lines: DataFrame, classes: DataFrame) -> DataFrame:
-    """(line, id) of ``lines`` that may be near copies, frequent ones at their first place only."""
+    """(line, id, pos) of ``lines`` that may be near copies, frequent ones at their first place only."""
     total = classes.agg(F.sum("held")).head()[0] or 0
     # at most FREQUENT rows
     frequent = classes.filter(F.col("held") > max(8, total // FREQUENT)).select("id", "id2", "first")
     some = lines.filter(F.char_length("line") >= LEAST_CHARS)
-    return some.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id")
+    return some.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id", "pos")
 
 
 def _some_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -311,20 +311,20 @@ def _grams(hashes: Column) -> Column:
 
 
 def _word_keys(lines: DataFrame) -> DataFrame:
-    """(id, keys): the distinct keys of each of ``lines`` (line, id) of WORDS_EACH words or more.
+    """(id, pos, keys): the distinct keys of each of ``lines`` (line, id, pos) of WORDS_EACH words or more.
 
     Minima of windows are taken in steps: of two, then of three or four, then of five or six neighbours. Each step is a
     column of its own, so that no step is worked out twice.
     """
-    own = lines.select("id", "line", _n_words(F.col("line")).alias("n")).filter(F.col("n") >= WORDS_EACH)
-    own = own.select("id", "n", _hashes(_words(F.col("line"))).alias("h"))
+    own = lines.select("id", "pos", "line", _n_words(F.col("line")).alias("n")).filter(F.col("n") >= WORDS_EACH)
+    own = own.select("id", "pos", "n", _hashes(_words(F.col("line"))).alias("h"))
     least = lambda x, y: F.least(x, y)
-    own = own.select("id", _width(F.col("n")).alias("width"), _grams(F.col("h")).alias("g"))
-    pair = own.select("id", "width", _shifted(F.col("g"), 1, least).alias("m"))
+    own = own.select("id", "pos", _width(F.col("n")).alias("width"), _grams(F.col("h")).alias("g"))
+    pair = own.select("id", "pos", "width", _shifted(F.col("g"), 1, least).alias("m"))
     four = _shifted(F.col("m"), F.when(F.col("width") == 3, 1).otherwise(2), least)
-    pair = pair.select("id", "width", F.when(F.col("width") > 2, four).otherwise(F.col("m")).alias("m"))
+    pair = pair.select("id", "pos", "width", F.when(F.col("width") > 2, four).otherwise(F.col("m")).alias("m"))
     six = _shifted(F.col("m"), F.when(F.col("width") == 5, 1).otherwise(2), least)
-    return pair.select("id", F.array_distinct(F.when(F.col("width") > 4, six).otherwise(F.col("m"))).alias("keys"))
+    return pair.select("id", "pos", F.array_distinct(F.when(F.col("width") > 4, six).otherwise(F.col("m"))).alias("keys"))
 
 
 #: Code points that words are told apart by in an outline, from U+10000 up.
@@ -369,7 +369,7 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
 
     Lines of MANY_WORDS words or more within ``distance`` (2 at most) code points are linked too.
     """
-    met = settled("word-hits", lambda: _several_lines(_word_keys(_once(lines, classes))))
+    met = settled("word-hits", lambda: _several_lines(_word_keys(_once(lines, classes)), classes))
     wanted = met.groupBy("id").agg(F.collect_list("key").alias("keys"))  # bounded by one line
     texts = _some_lines(lines, wanted.select("id")).join(wanted, "id").withColumn("w", _words(F.col("line")))
     texts = texts.select("id", "line", "keys", F.size("w").alias("n"), _outline(F.col("w")).alias("c"), _hashes(F.col("w")).alias("h"))
@@ -394,9 +394,19 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
     return links.union(_confirmed(rest, texts, distance))
 
 
-def _several_lines(keys: DataFrame) -> DataFrame:
-    """(key, id) of the keys of ``keys`` (id, keys) that several lines have."""
-    keys = materialize(keys, "word-keys")
+def _first_places(keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, keys) of ``keys`` (id, pos, keys) at the first place of each line; rows of lines that occur once are not shuffled for it."""
+    held = classes.filter("held > 1").groupBy("id").agg(F.min("first").alias("first"))
+    # at most RESIDUES rows
+    residues = F.broadcast(held.select(F.pmod("id", F.lit(RESIDUES)).alias("residue")).distinct())
+    on = F.pmod("id", F.lit(RESIDUES)) == F.col("residue")
+    some = keys.join(residues, on, "left_semi").join(held, "id", "left").filter("first is null or first = pos")
+    return keys.join(residues, on, "left_anti").select("id", "keys").union(some.select("id", "keys"))
+
+
+def _several_lines(keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id) of the keys of ``keys`` (id, pos, keys) that several lines have."""
+    keys = settled("first-keys", lambda: _first_places(materialize(keys, "word-keys"), classes))
     rows = keys.select("id", F.explode("keys").alias("key"))
     shared = materialize(rows.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key"), "shared-keys")
     some = rows.join(F.broadcast(shared) if shared.count() <= SHARED else shared, "key", "left_semi")
