@@ -210,11 +210,16 @@ def _once(lines: DataFrame, classes: DataFrame) -> DataFrame:
     return some.join(F.broadcast(frequent), ["id", "id2"], "left").filter("first is null or first = pos").select("line", "id", "pos")
 
 
+def _sieved(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` (id and more) without most of those whose id is not in ``wanted`` (id); it only spares a join rows it would drop."""
+    # at most RESIDUES rows
+    residues = wanted.select(F.pmod("id", F.lit(RESIDUES)).alias("residue")).distinct()
+    return rows.join(F.broadcast(residues), F.pmod("id", F.lit(RESIDUES)) == F.col("residue"), "left_semi")
+
+
 def _some_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, line) of the lines whose hashes are in ``wanted`` (id), once each."""
-    # at most RESIDUES rows; they only spare the join lines that cannot be in a pair
-    residues = wanted.select(F.pmod("id", F.lit(RESIDUES)).alias("residue")).distinct()
-    some = lines.select("id", "line").join(F.broadcast(residues), F.pmod("id", F.lit(RESIDUES)) == F.col("residue"), "left_semi")
+    some = _sieved(lines.select("id", "line"), wanted)
     return some.groupBy("id", "line").agg(F.count("*")).select("id", "line").join(wanted, "id", "left_semi")
 
 
@@ -468,14 +473,15 @@ def _torn_keys(held: DataFrame, links: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, distance: int) -> DataFrame:
     """The pairs (a, b) that are near by words or by code points."""
-    left, right = (texts.select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), F.col("c").alias(f"{s}_c")) for s in "ab")
+    side = lambda found, s: _sieved(texts, found.select(F.col(s).alias("id")))
+    left, right = (side(pairs, s).select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), F.col("c").alias(f"{s}_c")) for s in "ab")
     few = F.call_function("div", F.least("a_n", "b_n"), F.lit(WORDS_EACH)).cast("int")
     most = _most_words(F.least("a_n", "b_n"), distance)
     # outlines are no further apart than words are
     apart = F.call_function("levenshtein", "a_c", "b_c", most)
     close = pairs.join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"), few.alias("few")).filter("apart >= 0")
     close = materialize(close, "word-pairs")
-    left, right = (texts.select(F.col("id").alias(s), F.col("line").alias(f"{s}_line")) for s in "ab")
+    left, right = (side(close, s).select(F.col("id").alias(s), F.col("line").alias(f"{s}_line")) for s in "ab")
     both = close.join(left, "a").join(right, "b")
     v, w = _words(F.col("a_line")), _words(F.col("b_line"))
     by_words = F.when(F.col("apart") > F.col("few"), False).when(_told_apart(F.concat(v, w)), True).otherwise(_word_distance(v, w, F.col("few")))
