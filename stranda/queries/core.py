@@ -220,12 +220,12 @@ def transcript_spans(spark: SparkSession, sf: str) -> DataFrame:
     return grouped.withColumn("spans", F.array_join(text, ","))
 
 
-_AB = f"{s.REGIONS}, a as (select * from regions where category = '1-URGENT'), b as (select * from regions where category = '5-LOW' and ord % 3 = 0)"
+_AB = f"{s.REGIONS}, a as (select * from regions where category = '1-URGENT'), b as (select * from regions where category = '5-LOW')"
 
 
 def _ab(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     r = s.regions(spark, sf)
-    return r.filter("category = '1-URGENT'"), r.filter("category = '5-LOW' and ord % 3 = 0").select("chrom", "start", "end")
+    return r.filter("category = '1-URGENT'"), r.filter("category = '5-LOW'").select("chrom", "start", "end")
 
 
 @query(f'with {_AB} select ord, chrom, s as "start", e as "end" from a where exists (select 1 from b where b.chrom = a.chrom and b.s < a.e and a.s < b.e)')
@@ -241,7 +241,7 @@ def overlap_anti(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"with {_AB} select a.ord as a_ord, b.ord as b_ord, least(a.e, b.e) - greatest(a.s, b.s) as shared from a join b on a.chrom = b.chrom and a.s < b.e and b.s < a.e")
 def overlap_pairs(spark: SparkSession, sf: str) -> DataFrame:
     r = s.regions(spark, sf).select("chrom", "start", "end", "ord", "category")
-    found = intervals.overlap_pairs(r.filter("category = '1-URGENT'"), r.filter("category = '5-LOW' and ord % 3 = 0"), 1024)
+    found = intervals.overlap_pairs(r.filter("category = '1-URGENT'"), r.filter("category = '5-LOW'"), 1024)
     return found.select("a_ord", "b_ord", (F.least("a_end", "b_end") - F.greatest("a_start", "b_start")).alias("shared"))
 
 
@@ -367,7 +367,7 @@ def digest(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- nearest ----
 
-_NEAR = f"{s.REGIONS}, anchors as (select ord, chrom, s as pos from regions where category = '1-URGENT'), sites as (select distinct chrom, e as pos from regions where category = '5-LOW' and ord % 7 = 0)"
+_NEAR = f"{s.REGIONS}, anchors as (select ord, chrom, s as pos from regions where category = '1-URGENT'), sites as (select distinct chrom, e as pos from regions where category = '5-LOW')"
 
 
 def _near_sql(least: int, most: str) -> str:
@@ -382,7 +382,7 @@ def _near_sql(least: int, most: str) -> str:
 def _nearest(spark: SparkSession, sf: str, least: int, most: int | None) -> DataFrame:
     r = s.regions(spark, sf)
     anchors = r.filter("category = '1-URGENT'").select("ord", "chrom", col("start").alias("pos"))
-    sites = r.filter("category = '5-LOW' and ord % 7 = 0").select("chrom", col("end").alias("pos"))
+    sites = r.filter("category = '5-LOW'").select("chrom", col("end").alias("pos"))
     return nearest.nearest_at_distance(anchors, sites, least, most).select("ord", "pos", "near_pos", "near_delta")
 
 
@@ -530,11 +530,11 @@ def union_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.union_distinct([r.filter(f"category = '{c}'").select("chrom", "k") for c in ("1-URGENT", "5-LOW")])
 
 
-@query(f"""with {s.REGIONS}, a as (select chrom, s % 50 as k from regions where ord % 2 = 0), b as (select chrom, s % 50 as k from regions where ord % 3 = 0)
+@query(f"""with {s.REGIONS}, a as (select chrom, s % 50 as k from regions where category = '1-URGENT'), b as (select chrom, s % 50 as k from regions where category = '5-LOW')
  select chrom, k, 'a' as side from (select * from a except all select * from b) union all select chrom, k, 'b' from (select * from b except all select * from a)""")
 def differing_rows(spark: SparkSession, sf: str) -> DataFrame:
     r = s.regions(spark, sf).withColumn("k", col("start") % 50)
-    return checks.differing_rows(r.filter("ord % 2 = 0").select("chrom", "k"), r.filter("ord % 3 = 0").select("chrom", "k"))
+    return checks.differing_rows(*(r.filter(f"category = '{c}'").select("chrom", "k") for c in ("1-URGENT", "5-LOW")))
 
 
 # ---- score statistics ----
