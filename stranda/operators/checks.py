@@ -83,13 +83,29 @@ def compare_trees(a: DataFrame, b: DataFrame, first: int = 10) -> list[str]:
     return [f"{r['path']}: {r['kind']}" for r in rows]
 
 
+def split_faults(df: DataFrame, complete: bool = False) -> list[str]:
+    """What is wrong with the splits of a dataset; if ``complete``, both must be there and the test rows on each held-out contig."""
+    splits = df.select("split", "chrom").distinct().collect()  # two for each contig at most
+    wrong = []
+    if {r["split"] for r in splits} - {"train", "test"}:
+        wrong.append("an unknown split")
+    if any((r["chrom"] in TEST_CONTIGS) != (r["split"] == "test") for r in splits):
+        wrong.append("contigs in the wrong split")
+    if complete and {r["split"] for r in splits} != {"train", "test"}:
+        wrong.append("a split is missing")
+    if complete and {r["chrom"] for r in splits if r["split"] == "test"} != set(TEST_CONTIGS):
+        wrong.append("test rows on other than the held-out contigs")
+    return wrong
+
+
 def validate(
     df: DataFrame, schema: T.StructType, kind: str, policy: str | None = None, control: str | None = None, scope: str | None = None,
-    expected: int | None = None, noncoding: bool = False,
+    expected: int | None = None, noncoding: bool = False, complete: bool = False,
 ) -> int:
     """Check a ``binary``, ``multiclass`` or ``codon`` dataset; its number of rows, or CheckError with all that is wrong.
 
-    ``expected`` counts the rows outside the non-coding category.
+    ``expected`` counts the rows outside the non-coding category. ``complete`` asks for what a dataset of all contigs
+    has: both splits, every held-out contig among the test rows, and the non-coding category.
     """
     wrong = schema_differences(df, schema)
     if wrong:
@@ -103,12 +119,8 @@ def validate(
             wrong.append(f"{n} pairs without the five labels")
         count = found["n_rows"]
     else:
-        splits = df.select("split", "chrom").distinct().collect()
-        if {r["split"] for r in splits} - {"train", "test"}:
-            wrong.append("an unknown split")
-        if any((r["chrom"] in TEST_CONTIGS) != (r["split"] == "test") for r in splits):
-            wrong.append("contigs in the wrong split")
-        if noncoding and NONCODING not in distinct_values(df, "category"):
+        wrong += split_faults(df, complete)
+        if (noncoding or complete) and NONCODING not in distinct_values(df, "category"):
             wrong.append("no non-coding category")
         count = df.filter(F.col("category") != NONCODING).count()
         if kind == "binary":

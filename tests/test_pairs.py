@@ -29,3 +29,14 @@ def test_checks(spark):
     wrong = checks.wrong_pairs(df.filter("label in ('feature', 'random')"), ["feature", "random"]).collect()
     assert sorted((r.pair_id, r.n_rows) for r in wrong) == [("0", 3), ("1", 1)]
     assert checks.distinct_values(df, "category") == ["x"]
+
+
+def test_split_faults(spark):
+    held_out = [("test", c) for c in ("chr2", "chr3", "chr16", "chr22")]
+    faults = lambda rows, complete=True: checks.split_faults(spark.createDataFrame(rows, "split string, chrom string"), complete)
+    assert faults([*held_out, ("train", "chr1")]) == []
+    assert faults([("train", "chr1")]) == ["a split is missing", "test rows on other than the held-out contigs"]
+    assert faults([*held_out[:1], ("train", "chr1")]) == ["test rows on other than the held-out contigs"]
+    assert faults(held_out) == ["a split is missing"]
+    assert faults([*held_out[:1], ("train", "chr1")], False) == []
+    assert faults([("train", "chr2")], False) == ["contigs in the wrong split"]
