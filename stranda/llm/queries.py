@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import leaks
+from .filter_audit import AUDIT_SQL, audit_documents
 from .html_wrappers import extract_pages
 from .licenses import scan_licenses
 from .line_dedup import EQUAL_CHARS, line_report
@@ -17,6 +18,7 @@ from .quality import quality_rules
 from .secrets import scan_secrets
 from .sharding import shard_documents
 from .token_files import encode_documents
+from .topk_search import SEARCH_SQL, search_embeddings
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +61,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html_extraction,
@@ -71,9 +81,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_best_fit_packing,
         op9_license_scan,
         op10_sharding,
+        op11_filter_audit,
+        op12_exact_top_k,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_filter_audit": AUDIT_SQL, "op12_exact_top_k": SEARCH_SQL}
