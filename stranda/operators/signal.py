@@ -20,6 +20,20 @@ def round_score(value: Column) -> Column:
     return F.rint(value.cast("double") * 100) / 100
 
 
+def hundredths(value: Column) -> Column:
+    """``round_score`` as a whole number of hundredths, of which sums are exact in any order."""
+    return F.rint(value.cast("double") * 100).cast("long")
+
+
+def statistics_of_sums(n: Column, s: Column, ss: Column, n_pos: Column, n_neg: Column, s_pos: Column, s_neg: Column) -> dict[str, Column]:
+    """The six statistics of ``n`` bases (null where none counts) from the sums of scores, squares, and of positive and negative ones."""
+    over = lambda total, count: F.when(count > 0, total / F.when(count > 0, count)).otherwise(F.lit(0.0))
+    mean = s / n
+    spread = F.sqrt(F.greatest(ss / n - mean * mean, F.lit(0.0)))
+    values = (mean, spread, n_pos / n, n_neg / n, over(s_pos, n_pos), over(s_neg, n_neg))
+    return dict(zip(STATISTICS, values, strict=True))
+
+
 def signal_lookup(spans: DataFrame, track: DataFrame, bin_size: int = BIN) -> DataFrame:
     """(span_id, at, bases, value): what each of ``spans`` (span_id, chrom, start, end) shares with the track's records."""
     met = overlap_pairs(spans.select("span_id", "chrom", "start", "end"), track.select("chrom", "start", "end", "value"), bin_size)
@@ -50,16 +64,7 @@ def score_stats(spans: DataFrame, track: DataFrame, prefix: str = "", bin_size:
     c = {k: F.coalesce(k, zero) for k in ("s", "ss", "odd", "np", "nn", "sp", "sn")}
     n = F.greatest(F.col("size"), zero) - c["odd"]
     n = F.when(n > 0, n)  # null where nothing counts, so nothing is divided by 0
-    over = lambda total, count: F.when(count > 0, total / F.when(count > 0, count)).otherwise(zero)
-    mean = c["s"] / n
-    values = {
-        "mean": mean,
-        "std": F.sqrt(F.greatest(c["ss"] / n - mean * mean, zero)),
-        "frac_pos": c["np"] / n,
-        "frac_neg": c["nn"] / n,
-        "mean_pos": over(c["sp"], c["np"]),
-        "mean_neg": over(c["sn"], c["nn"]),
-    }
+    values = statistics_of_sums(n, c["s"], c["ss"], c["np"], c["nn"], c["sp"], c["sn"])
     nan = F.lit(float("nan"))
     return sized.select("span_id", *(F.when(n.isNotNull(), v).otherwise(nan).alias(f"{prefix}{k}") for k, v in values.items()))
 
