@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.attributes import has_tag, parse_attributes
 from ..functions.geometry import upstream_tss
-from ..functions.sequence import blocks_length, genomic_position, motif_positions, spliced_sequence, trimmed_blocks
+from ..functions.sequence import blocks_length, genomic_position, motif_positions, reverse_complement, slice_of, trimmed_blocks
 from ..schemas import FLANK_DISTANCE
 from .intervals import introns, merge_intervals
+from .windows import TILE
 
 CANONICAL_TAGS = ("Ensembl_canonical", "CCDS")
 SELECT_TAG = "MANE_Select"
@@ -99,12 +100,35 @@ def coding_spans(transcripts: DataFrame) -> DataFrame:
     return merge_intervals(spans)
 
 
-def codon_sites(transcripts: DataFrame, genome: DataFrame, compat: bool = True) -> DataFrame:
-    """``transcripts`` whose spliced sequence starts with ATG, with ``anchor`` and the ascending genome positions of further
-    ATGs in and out of frame. ``genome`` has (chrom, seq)."""
-    spliced = transcripts.join(genome.select("chrom", "seq"), "chrom")
-    spliced = spliced.withColumn("spliced", F.upper(spliced_sequence(F.col("seq"), F.col("blocks"), F.col("strand"), compat))).drop("seq")
-    coding = spliced.filter(F.col("spliced").startswith("ATG")).withColumn("_at", motif_positions(F.col("spliced")))
+def spliced_transcripts(transcripts: DataFrame, tiles: DataFrame, compat: bool = True, tile: int = TILE) -> DataFrame:
+    """(chrom, transcript_id, spliced): the bases of the blocks on the strand, in upper case, stitched from a tiled genome.
+
+    Blocks are cut at tile edges and each piece is looked up by contig and tile, so no row is longer than a tile or a
+    transcript. ``compat`` and without it: the two orders of ``spliced_sequence``. (chrom, transcript_id) is unique in ``transcripts``.
+    What lies beyond the contig has no bases; a transcript none of whose blocks meets a tile goes.
+    """
+    block = transcripts.select("chrom", "transcript_id", "strand", F.posexplode("blocks").alias("place", "b")).filter("b.end > b.start")
+    within = F.sequence(F.floor(F.col("b.start") / tile), F.floor((F.col("b.end") - 1) / tile))
+    pieces = block.withColumn("tile", F.explode(within)).select(
+        "chrom", "transcript_id", "strand", "place", "tile", F.greatest("b.start", F.col("tile") * tile).alias("low"), F.least("b.end", (F.col("tile") + 1) * tile).alias("high")
+    )
+    found = pieces.join(tiles.select("chrom", "tile", "tile_start", "seq"), ["chrom", "tile"])
+    text = F.upper(slice_of(F.col("seq"), F.col("low") - F.col("tile_start"), F.col("high") - F.col("tile_start")))
+    # complementing block by block on - is complementing the blocks joined the other way round
+    order = F.col("place") if compat else F.when(F.col("strand") == "-", -F.col("place")).otherwise(F.col("place"))
+    stitched = found.select("chrom", "transcript_id", "strand", F.struct(order.alias("place"), "low", text.alias("text")).alias("piece"))
+    grouped = stitched.groupBy("chrom", "transcript_id").agg(F.first("strand").alias("strand"), F.array_sort(F.collect_list("piece")).alias("pieces"))
+    plain = F.array_join(F.transform("pieces", lambda p: p["text"]), "")
+    return grouped.withColumn("spliced", plain).select(
+        "chrom", "transcript_id", F.when(F.col("strand") == "-", reverse_complement(F.col("spliced"))).otherwise(F.col("spliced")).alias("spliced")
+    )
+
+
+def codon_sites(transcripts: DataFrame, tiles: DataFrame, compat: bool = True, tile: int = TILE) -> DataFrame:
+    """``transcripts`` whose spliced sequence starts with ATG, with ``spliced``, ``anchor`` and the ascending genome positions of
+    further ATGs in and out of frame. ``tiles`` is the tiled genome."""
+    spliced = spliced_transcripts(transcripts, tiles, compat, tile).filter(F.col("spliced").startswith("ATG"))
+    coding = transcripts.join(spliced, ["chrom", "transcript_id"]).withColumn("_at", motif_positions(F.col("spliced")))
     place = lambda o: genomic_position(F.col("blocks"), o, F.col("strand"))
     some = lambda keep: F.array_sort(F.filter(F.transform(F.filter("_at", keep), place), lambda p: p.isNotNull()))
     return coding.withColumns(

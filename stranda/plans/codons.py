@@ -10,23 +10,24 @@ from ..operators.nearest import nearest_at_distance, nearest_in_list
 from ..operators.pairs import complete_examples, label_rows
 from ..operators.selection import even_sample, hash_rank, sample_per_contig
 from ..operators.transcripts import coding_spans, coding_transcripts, codon_sites
-from ..operators.windows import context_windows, motif_scan, tile_genome
+from ..operators.windows import context_windows, contig_lengths, motif_scan
 from ..schemas import AUTOSOMES, POLICIES, START_CODON_DATASET, conform, with_scores
 from ..sources import readers
+from ..sources.fasta import scan_fasta
+from ..sources.scratch import stored
 from ..sources.writers import write_dataset, write_tsv
 from .annotate import annotate
 
 NEAR, FAR = (2000, 5000), (100_000, None)
 
 
-def label_table(genome: DataFrame, gtf: DataFrame, per_contig: int = 10_000, seed: int = 42, compat: bool = True) -> DataFrame:
+def label_table(tiles: DataFrame, gtf: DataFrame, per_contig: int = 10_000, seed: int = 42, compat: bool = True) -> DataFrame:
     """Wide rows of positions: the start, the nearest ATG outside coding sequence at two distances, and the
     nearest in and out of frame."""
     transcripts = coding_transcripts(gtf)
-    tiles = tile_genome(genome)
     contigs = transcripts.select("chrom").distinct()
     background = outside_intervals(motif_scan(tiles.join(contigs, "chrom", "left_semi")), coding_spans(transcripts))
-    sites = codon_sites(transcripts, genome, compat)
+    sites = codon_sites(transcripts, tiles, compat)
     if per_contig:
         sites = sample_per_contig(sites, per_contig, seed, "transcript_id", "anchor")
     kept = sites.select("chrom", "transcript_id", "gene_id", "strand", "anchor", "inframe", "outframe", "line_no")
@@ -48,9 +49,9 @@ def sampled_examples(table: DataFrame, total: int = 2000, seed: int = 42, contig
     return even_sample(complete_examples(table), total, hash_rank(seed, "chrom", "transcript_id"), F.col("transcript_id"), contigs=contigs)
 
 
-def dataset(examples: DataFrame, genome: DataFrame, policy: str) -> DataFrame:
+def dataset(examples: DataFrame, tiles: DataFrame, policy: str) -> DataFrame:
     """Five rows for each example whose five windows all exist."""
-    windows = context_windows(label_rows(examples), tile_genome(genome), policy)
+    windows = context_windows(label_rows(examples), tiles, policy)
     five = windows.withColumn("_n", F.count("*").over(Window.partitionBy("pair_id"))).filter("_n = 5").drop("_n")
     typed = five.withColumns(
         {
@@ -66,18 +67,18 @@ def run(
     track: DataFrame | None = None, skip_source: bool = False, contigs: tuple[str, ...] = AUTOSOMES,
 ) -> dict[str, int]:
     """Write the label tables and both datasets; the number of rows of each."""
-    genome = readers.scan_fasta(spark, f"{data_root}/genome.fa").filter(F.col("chrom").isin(*contigs))
+    tiles = stored(scan_fasta(spark, f"{data_root}/genome.fa").filter(F.col("chrom").isin(*contigs)), "tiles")
     whole = f"{source_dir}/all_contigs.tsv"
     if not skip_source:
         gtf = readers.scan_gtf(spark, f"{data_root}/gtfs", list(contigs))
-        write_tsv(label_table(genome, gtf, per_contig, seed), whole)
+        write_tsv(label_table(tiles, gtf, per_contig, seed), whole)
     examples = sampled_examples(readers.scan_codon_table(spark, whole), n_examples, seed, contigs).persist()
     write_tsv(examples, f"{source_dir}/sampled_examples.tsv")
-    lengths = genome.select("chrom", F.char_length("seq").cast("long").alias("length"))
+    lengths = contig_lengths(tiles)
     counts = {}
     for policy in POLICIES:
         name = f"atg-{ {'symmetric': 'bidi'}.get(policy, policy)}"
-        rows = dataset(examples, genome, policy)
+        rows = dataset(examples, tiles, policy)
         schema = START_CODON_DATASET if track is None else with_scores(START_CODON_DATASET)
         counts[name] = write_dataset(rows if track is None else annotate(rows, track, lengths), f"{output_dir}/{name}.parquet", schema)
     n = examples.count()

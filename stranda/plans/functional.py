@@ -13,9 +13,11 @@ from ..operators.intervals import complement
 from ..operators.pairs import binary_rows, multiclass_rows
 from ..operators.selection import exact_shuffle_order, greedy_nonoverlap, hash_rank
 from ..operators.transcripts import annotated_spans, gene_features
-from ..operators.windows import context_windows, dataset_rows, tile_genome
+from ..operators.windows import context_windows, contig_lengths, dataset_rows
 from ..schemas import CATEGORIES, CONTROLS, DATASET, DATASET_CONTIGS, NONCODING, POLICIES, with_scores
 from ..sources import readers
+from ..sources.fasta import scan_fasta
+from ..sources.scratch import stored
 from ..sources.writers import write_bed_tree, write_dataset
 from .annotate import annotate
 
@@ -102,14 +104,12 @@ def with_controls(anchors: DataFrame, lengths: DataFrame, options: Options) -> D
     return plain.unionByName(up).unionByName(drawn)
 
 
-def build_regions(spark: SparkSession, root: str, options: Options) -> DataFrame:
-    """Rows of all roles and categories.
+def build_regions(spark: SparkSession, root: str, lengths: DataFrame, options: Options) -> DataFrame:
+    """Rows of all roles and categories on the contigs of ``lengths`` (chrom, length).
 
     With the non-coding category, controls are made a second time on all anchors, and of that second run only the non-coding
     rows count; the other categories stay as they are without it.
     """
-    genome = readers.scan_fasta(spark, f"{root}/genome.fa")
-    lengths = genome.select("chrom", F.char_length("seq").cast("long").alias("length")).persist()
     known = [r["chrom"] for r in lengths.select("chrom").orderBy("chrom").collect()]  # contig names
     gtf = readers.scan_gtf(spark, f"{root}/gtfs", known)
     regions, order = source_regions(spark, root, known, gtf), list(CATEGORIES)
@@ -127,10 +127,9 @@ def write_regions(rows: DataFrame, root: str) -> None:
     write_bed_tree(rows.withColumn("category", named), root)
 
 
-def datasets(rows: DataFrame, genome: DataFrame, options: Options) -> dict[str, DataFrame]:
+def datasets(rows: DataFrame, tiles: DataFrame, options: Options) -> dict[str, DataFrame]:
     """The datasets by name: three binary ones and two multiclass ones for each policy."""
     own = rows.filter(F.col("chrom").isin(*options.contigs)).persist()
-    tiles = tile_genome(genome).persist()
     out: dict[str, DataFrame] = {}
     for policy in options.policies:
         name = {"symmetric": "bidi"}.get(policy, policy)
@@ -152,8 +151,10 @@ def run(
     options = options or Options()
     if not options.skip_scores and track is None:
         raise FileNotFoundError("a score track is needed unless scores are skipped")
+    tiles = stored(scan_fasta(spark, f"{data_root}/genome.fa"), "tiles")
+    lengths = stored(contig_lengths(tiles), "lengths")
     if not options.skip_regions:
-        write_regions(build_regions(spark, data_root, options), regions_dir)
+        write_regions(build_regions(spark, data_root, lengths, options), regions_dir)
     if options.skip_datasets:
         return {}
     from ..sources.writers import read_bed_partitions
@@ -163,10 +164,8 @@ def run(
     roles = F.array(*(F.struct(F.lit(c if r == "feature" else f"{c}_{r}").alias("f"), F.lit(c).alias("c"), F.lit(r).alias("r")) for c in categories for r in ("feature", *CONTROLS)))
     hit = F.get(F.filter(roles, lambda p: p["f"] == F.col("category")), F.lit(0))
     rows = tree.withColumn("_hit", hit).filter("_hit is not null").withColumns({"category": F.col("_hit.c"), "role": F.col("_hit.r")}).drop("_hit")
-    genome = readers.scan_fasta(spark, f"{data_root}/genome.fa")
-    lengths = genome.select("chrom", F.char_length("seq").cast("long").alias("length"))
     counts = {}
-    for name, df in datasets(rows, genome, options).items():
+    for name, df in datasets(rows, tiles, options).items():
         schema = DATASET if options.skip_scores else with_scores(DATASET)
         whole = df if options.skip_scores else annotate(df, track, lengths)
         counts[name] = write_dataset(whole, f"{output_dir}/{name}.parquet", schema)

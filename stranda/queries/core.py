@@ -14,6 +14,7 @@ from ..functions.hashing import stable_subspan
 from ..operators import checks, controls, intervals, nearest, pairs, selection, signal, transcripts, windows
 from ..schemas import AUTOSOMES
 from ..sources import readers
+from ..sources.scratch import stored
 from . import surrogates as s
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,18 +312,31 @@ def reading_frame(spark: SparkSession, sf: str) -> DataFrame:
     return hits.withColumn("frame", q.reading_frame(col("pos")))
 
 
-@query(f"""with {s.GENOME}, cut as (select chrom, instr(seq, 'ATG') - 1 as a, substring(seq, instr(seq, 'ATG')) as x, length(seq) as n from genome where instr(seq, 'ATG') > 0),
- hits as (select chrom, a, o from (select chrom, a, x, unnest(range(greatest(length(x) - 2, 0))) as o from cut) where substring(x, o + 1, 3) = 'ATG')
- select chrom, a as anchor, count(*) filter (o > 0 and o % 3 = 0) as n_inframe, count(*) filter (o % 3 <> 0) as n_outframe,
-  cast(coalesce(sum(a + o) filter (o > 0 and o % 3 = 0), 0) as bigint) as inframe_sum from hits group by 1, 2""")
+_SPLICED = f"""{s.GENOME}, placed as (
+  select chrom, seq, length(seq) as n, case when doc_id % 2 = 0 then '+' else '-' end as strand, case when doc_id % 2 = 0 then instr(seq, 'ATG') - 1 else instr(seq, 'CAT') - 1 end as p from genome),
+ cut as (select chrom, strand, case when strand = '+' then p else greatest(0, p - 300) end as s1, case when strand = '+' then least(n, p + 300) else p + 3 end as e1,
+   case when strand = '+' then p + 400 else p + 100 end as s2, least(n, p + 900) as e2, seq from placed where p >= 0),
+ joined as (select chrom, strand, s1, e1, s2, greatest(s2, e2) as e2, substring(seq, s1 + 1, e1 - s1) as a, substring(seq, s2 + 1, greatest(0, e2 - s2)) as b from cut),
+ spliced as (select *, case when strand = '+' then a || b else reverse(translate(b || a, 'ACGTN', 'TGCAN')) end as x from joined),
+ hits as (select *, unnest(range(greatest(length(x) - 2, 0))) as o from spliced where starts_with(x, 'ATG')),
+ found as (select chrom, o, case when strand = '+' then (case when o < e1 - s1 then s1 + o else s2 + o - (e1 - s1) end) else (case when o < e2 - s2 then e2 - 1 - o else e1 - 1 - (o - (e2 - s2)) end) end as pos
+  from hits where substring(x, o + 1, 3) = 'ATG')"""
+
+
+@query(f"""with {_SPLICED} select chrom, min(pos) filter (o = 0) as anchor, coalesce(string_agg(cast(pos as varchar), ',' order by pos) filter (o > 0 and o % 3 = 0), '') as inframe,
+ coalesce(string_agg(cast(pos as varchar), ',' order by pos) filter (o % 3 <> 0), '') as outframe from found group by chrom""")
 def codon_sites(spark: SparkSession, sf: str) -> DataFrame:
-    genome = s.genome(spark, sf).select("chrom", "seq")
-    first = F.instr("seq", "ATG").cast("long") - 1
-    block = F.array(F.struct(first.alias("start"), F.char_length("seq").cast("long").alias("end"), lit(0).cast("long").alias("offset")))
-    whole = genome.filter(first >= 0).select("chrom", col("chrom").alias("transcript_id"), lit("g").alias("gene_id"), lit("+").alias("strand"), block.alias("blocks"))
-    found = transcripts.codon_sites(whole, genome)
-    total = F.aggregate("inframe", lit(0).cast("long"), lambda a, x: a + x)
-    return found.select("chrom", "anchor", F.size("inframe").cast("long").alias("n_inframe"), F.size("outframe").cast("long").alias("n_outframe"), total.alias("inframe_sum"))
+    """Transcripts of two blocks on either strand, from tiles that are shorter than most blocks."""
+    at, n, plus = col("p"), F.char_length("seq").cast("long"), col("strand") == "+"
+    # written once: expressions over it would each evaluate the text again
+    genome = stored(s.genome(spark, sf), "genome")
+    placed = genome.withColumn("strand", F.when(col("doc_id") % 2 == 0, "+").otherwise("-"))
+    placed = placed.withColumn("p", F.instr("seq", F.when(plus, "ATG").otherwise("CAT")).cast("long") - 1).filter("p >= 0")
+    low = F.struct(F.when(plus, at).otherwise(F.greatest(lit(0), at - 300)).alias("start"), F.when(plus, F.least(n, at + 300)).otherwise(at + 3).alias("end"), lit(0).alias("phase"))
+    high = F.struct(F.when(plus, at + 400).otherwise(at + 100).alias("start"), F.least(n, at + 900).alias("end"), lit(0).alias("phase"))
+    whole = placed.select("chrom", col("chrom").alias("transcript_id"), "strand", q.trimmed_blocks(F.array(low, high), col("strand")).alias("blocks"))
+    found = transcripts.codon_sites(whole, windows.tile_genome(genome, 128, 2), tile=128)
+    return found.select("chrom", "anchor", *(F.array_join(F.transform(c, lambda p: p.cast("string")), ",").alias(c) for c in ("inframe", "outframe")))
 
 
 @query(f"""with {s.ANNOTATION} select event_id, regexp_extract(attrs, 'gene_id "([^"]*)"', 1) as gene_id, regexp_extract(attrs, 'transcript_id "([^"]*)"', 1) as transcript_id,

@@ -12,6 +12,7 @@ from ..functions.hashing import stable_subspan as subspan
 from ..operators import checks, intervals, selection, transcripts, windows
 from ..schemas import AUTOSOMES, DATASET
 from ..sources import readers, writers
+from ..sources import fasta as fasta_files
 from ..sources.scratch import scratch_path
 from . import surrogates as s
 from .core import query
@@ -26,11 +27,11 @@ def _text(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return path
 
 
-@query(f"with {s.GENOME} select chrom, seq from genome")
+@query(f"""with {s.GENOME}, sized as (select *, length(seq) as n from genome)
+ select chrom, tile, tile * 1000 as tile_start, n as length, substring(seq, tile * 1000 + 1, 1050) as seq from (select *, unnest(range(greatest(1, (n + 999) // 1000))) as tile from sized)""")
 def scan_fasta(spark: SparkSession, sf: str) -> DataFrame:
-    half = (F.char_length("seq") / 2).cast("int")
-    record = F.concat(lit(">"), col("chrom"), lit(" a header\n"), F.substr("seq", lit(1), half), lit("\n"), F.substr("seq", half + 1))
-    return readers.scan_fasta(spark, _text(spark, s.genome(spark, sf).select(record.alias("value")), "fasta"))
+    record = F.concat(lit(">"), col("chrom"), lit(" a > header\n"), F.regexp_replace("seq", "(.{60})", "$1\n"))
+    return fasta_files.scan_fasta(spark, _text(spark, s.genome(spark, sf).select(record.alias("value")), "fasta"), 1000, 50)
 
 
 @query(f"""with {s.REGIONS} select chrom, s as "start", e as "end", case when ord % 3 = 0 then 'x' else name end as name, case when ord % 3 < 2 then 0.0::double else ord / 2.0::double end as score,

@@ -13,15 +13,6 @@ COORDINATE_COLUMNS = ("coordinate_hg38", "coord", "Element Coordinates")
 ID_COLUMNS = ("vista_id", "Element ID")
 
 
-def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, seq) of a FASTA file; the name is the first word after ``>``, white space in sequences goes."""
-    records = spark.read.text(path, lineSep="\n>")
-    body = F.regexp_replace("value", "^>", "")
-    return records.select(
-        F.regexp_extract(body, r"^(\S+)", 1).alias("chrom"), F.regexp_replace(F.regexp_replace(body, r"^[^\n]*", ""), r"\s+", "").alias("seq")
-    ).filter("chrom <> ''")
-
-
 def _fields(line: Column) -> Column:
     return F.split(F.regexp_replace(line, "\r$", ""), "\t", -1)
 

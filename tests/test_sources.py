@@ -8,6 +8,7 @@ from stranda.operators.checks import CheckError, compare_trees, validate
 from stranda.plans import codons, functional
 from stranda.schemas import DATASET, START_CODON_DATASET
 from stranda.sources import readers
+from stranda.sources.fasta import scan_fasta
 from stranda.sources.writers import read_bed_partitions, split_gtf, write_bed_tree, write_dataset, write_tsv
 
 KNOWN = ["chr1", "chr2", "chrX"]
@@ -61,7 +62,7 @@ def root(tmp_path_factory):
 
 
 def test_fasta(spark, root):
-    got = {r.chrom: r.seq for r in readers.scan_fasta(spark, str(root / "genome.fa")).collect()}
+    got = {r.chrom: r.seq for r in scan_fasta(spark, str(root / "genome.fa")).collect()}
     assert sorted(got) == KNOWN
     assert all(len(s) == 20_000 for s in got.values())
     assert got["chr1"][5000:5006] == "ATGAAA"
@@ -165,7 +166,7 @@ def test_functional_pipeline(spark, root, tmp_path, noncoding):
 
 
 def test_codon_pipeline(spark, root, tmp_path):
-    genome = readers.scan_fasta(spark, str(root / "genome.fa"))
+    genome = scan_fasta(spark, str(root / "genome.fa"))
     labels = codons.label_table(genome, readers.scan_gtf(spark, str(root / "gtfs"), KNOWN))
     table = labels.collect()
     by = {r.transcript_id: r for r in table}
@@ -183,12 +184,11 @@ def test_codon_pipeline(spark, root, tmp_path):
 
 
 def test_window_stream(spark, root, tmp_path):
-    from stranda.operators.windows import tile_genome
     from stranda.streaming import window_stream
 
     schema = "chrom string, start long, end long, strand string, name string, category string, pair_id string"
     spark.createDataFrame([("chr1", 100, 200, "+", "n", "x", "0"), ("chr2", 50, 90, "-", "m", "x", "1")], schema).write.parquet(str(tmp_path / "in"))
-    tiles = tile_genome(readers.scan_fasta(spark, str(root / "genome.fa")))
+    tiles = scan_fasta(spark, str(root / "genome.fa"))
     q = window_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), tiles, str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
