@@ -15,14 +15,18 @@ BIN = 4096
 MERGE_BIN = 1 << 20
 
 
-def _islands(df: DataFrame, by: list[str], touching: bool) -> DataFrame:
+def with_islands(df: DataFrame, by: list[str], touching: bool = False) -> DataFrame:
+    """``df`` with ``_island``, a number within ``by`` that rows share which overlap (or touch) directly or by way of others."""
     ordered = Window.partitionBy(*by).orderBy("start", "end")
     reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.col("start") > reached if touching else F.col("start") >= reached
-    numbered = df.withColumn("_new", F.when(reached.isNull() | apart, 1).otherwise(0)).withColumn(
+    return df.withColumn("_new", F.when(reached.isNull() | apart, 1).otherwise(0)).withColumn(
         "_island", F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    return numbered.groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+    ).drop("_new")
+
+
+def _islands(df: DataFrame, by: list[str], touching: bool) -> DataFrame:
+    return with_islands(df, by, touching).groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def merge_intervals(df: DataFrame, touching: bool = True, bin_size: int = MERGE_BIN) -> DataFrame:
@@ -81,6 +85,12 @@ def _overlap_keys(left: DataFrame, right: DataFrame, bin_size: int) -> DataFrame
     return found.select(F.col("a_chrom").alias("chrom"), F.col("a_start").alias("start"), F.col("a_end").alias("end")).distinct()
 
 
+def clear_of(rows: DataFrame, key: list[str], disjoint: DataFrame, bin_size: int = BIN) -> DataFrame:
+    """Rows of ``rows`` (``key``, chrom, start, end, ...), each of its own key, that share no base with disjoint intervals."""
+    hit = overlap_pairs(rows.select(*key, "chrom", "start", "end"), disjoint.select("chrom", "start", "end"), bin_size)
+    return rows.join(hit.select(*(F.col(f"a_{k}").alias(k) for k in key)), key, "left_anti")
+
+
 def overlap_semi(left: DataFrame, right: DataFrame, bin_size: int = BIN) -> DataFrame:
     """Rows of ``left`` that share a base with some interval of ``right``."""
     return left.join(_overlap_keys(left, right, bin_size), ["chrom", "start", "end"], "left_semi")

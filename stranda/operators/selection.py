@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 from bisect import bisect_left
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import AUTOSOMES
+from ..sources.scratch import scratch_path, stored
+from .ids import dense_pair_id
+from .intervals import clear_of, with_islands
 
 
 class Occupied:
@@ -38,8 +41,8 @@ class Occupied:
 
 
 def hash_rank(seed: int, *keys: str) -> Column:
-    """A pseudo-random order of rows that depends on their keys alone."""
-    return F.xxhash64(F.lit(seed), *keys)
+    """A pseudo-random order of rows that depends on their keys alone: the MD5 of the seed and the keys as text."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
 
 
 def exact_shuffle_order(spark: SparkSession, sizes: list[int], seed: int) -> DataFrame:
@@ -56,40 +59,69 @@ def exact_shuffle_order(spark: SparkSession, sizes: list[int], seed: int) -> Dat
     return spark.createDataFrame(out, "pool int, ordinal long, rank long")
 
 
-def greedy_nonoverlap(rows: DataFrame, order: list[str], limit: int = 0, rank: str = "rank") -> DataFrame:
-    """Rows (chrom, start, end, category, ``rank``, ...) that overlap nothing kept before them.
+#: Rows of one category that are decided together at first, and the longest run of overlapping rows that is decided in one place.
+BATCH, ISLAND = 1 << 16, 1 << 12
+
+
+def _decided(batch: DataFrame, pos: str) -> DataFrame:
+    """One row for each island of overlapping rows of ``batch``: its size, and what is kept of it by ascending ``pos``.
+
+    Within an island a row is kept if it overlaps none that was kept before it: a fold over the island's rows in order.
+    Islands of more than ISLAND rows are not decided.
+    """
+    rows = batch.select("chrom", "start", "end", pos)
+    islands = with_islands(rows, ["chrom"]).groupBy("chrom", "_island").agg(F.sort_array(F.collect_list(F.struct(pos, "start", "end"))).alias("rows"))
+    none = F.array().cast(f"array<struct<{pos}:bigint,start:bigint,end:bigint>>")
+    clear = lambda kept, x: ~F.exists(kept, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"]))
+    fold = F.aggregate("rows", none, lambda kept, x: F.when(clear(kept, x), F.array_append(kept, x)).otherwise(kept))
+    return islands.select("chrom", F.size("rows").alias("n"), F.when(F.size("rows") <= ISLAND, fold).otherwise(none).alias("kept"))
+
+
+def greedy_nonoverlap(rows: DataFrame, order: list[str], limit: int = 0, rank: str | Sequence[str] = "rank") -> DataFrame:
+    """Rows (chrom, start, end, category, columns of ``rank``, ...) that overlap nothing kept before them.
 
     Categories come one after the other in ``order``, rows of a category by rank; ``limit`` keeps the first rows of
-    each category (0: all). Contigs are independent within a category, so each is one task's work and a
-    category takes one pass; cutting at a rank does not change what was decided before it. Ranks are unique in
-    a category.
+    each category (0: all). Empty intervals and categories that ``order`` lacks go. Ranks are unique in a category.
+
+    A category is decided in batches of its order: what overlaps rows kept before goes by a join, and the rest falls into
+    islands of overlapping rows that are independent of each other. Batches double while islands stay small. Under a random rank
+    they do, since the batch before has thinned every crowded place; a batch with a large island is cut to a fourth.
+    A step has the same plan whatever the number of categories, and a category ends once its limit is met.
     """
-    spark = rows.sparkSession
-    columns = rows.columns
-    schema = rows.schema
-    taken = spark.createDataFrame([], "chrom string, start long, end long")
-    out = None
-
-    def choose(key: tuple, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        held = Occupied(list(zip(old["start"].tolist(), old["end"].tolist(), strict=True)))
-        new = new.sort_values(rank, kind="stable")
-        keep = []
-        for start, end in zip(new["start"].tolist(), new["end"].tolist(), strict=True):
-            good = end > start and not held.overlaps(start, end)
-            keep.append(good)
-            if good:
-                held.add(start, end)
-        return new[keep]
-
-    for category in order:
-        pool = rows.filter(F.col("category") == category)
-        kept = pool.groupBy("chrom").cogroup(taken.groupBy("chrom")).applyInPandas(choose, schema)
-        if limit:
-            kept = kept.orderBy(rank).limit(limit)
-        kept = kept.checkpoint() if spark.sparkContext.getCheckpointDir() else kept.persist()
-        taken = taken.unionByName(kept.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")))
-        out = kept if out is None else out.unionByName(kept)
-    return (out if out is not None else rows.limit(0)).select(*columns)
+    spark, columns = rows.sparkSession, rows.columns
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("category")) - 1 if order else F.lit(-1)
+    listed = rows.withColumn("_category", place.cast("int")).filter("_category >= 0 and end > start and chrom is not null")
+    numbered = stored(dense_pair_id(listed, "_category", *([rank] if isinstance(rank, str) else rank), name="_pos"), "ranked")
+    spans = numbered.select("_pos", "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    sizes = {r["_category"]: r["count"] for r in numbered.groupBy("_category").count().collect()}  # a row for each category
+    paths: list[str] = []
+    kept_schema = "chrom string, _pos long, start long, end long"
+    end = 0
+    for category in range(len(order)):
+        low, end, taken = end, end + sizes.get(category, 0), 0
+        size = min(BATCH, max(ISLAND, 4 * limit)) if limit else BATCH
+        while low < end and not (limit and taken >= limit):
+            batch = spans.filter(F.col("_pos").between(low, min(low + size, end) - 1))
+            if paths:
+                batch = clear_of(batch, ["_pos"], spark.read.schema(kept_schema).parquet(*paths))
+            seen = Observation()
+            decided = _decided(batch, "_pos").observe(seen, F.max("n").alias("largest"), F.coalesce(F.sum(F.size("kept")), F.lit(0)).alias("kept"))
+            kept = decided.select("chrom", F.inline("kept"))
+            path = scratch_path(spark, "kept")
+            kept.write.parquet(path)
+            if (seen.get["largest"] or 0) > ISLAND:
+                size = max(1, size // 4)
+                continue
+            if limit and taken + seen.get["kept"] > limit:
+                first = spark.read.schema(kept_schema).parquet(path).orderBy("_pos").limit(limit - taken)
+                path = scratch_path(spark, "kept")
+                first.write.parquet(path)
+            taken += seen.get["kept"]
+            paths.append(path)
+            low, size = low + size, size * 2
+    if not paths:
+        return numbered.limit(0).select(*columns)
+    return numbered.join(spark.read.schema(kept_schema).parquet(*paths).select("_pos"), "_pos", "left_semi").select(*columns)
 
 
 def limit_per_category(rows: DataFrame, limit: int, *order: Column, by: str = "category") -> DataFrame:

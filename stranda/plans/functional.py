@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import stable_subspan
 from ..operators.controls import random_controls, upstream_controls
+from ..operators.ids import dense_pair_id
 from ..operators.intervals import complement
 from ..operators.pairs import binary_rows, multiclass_rows
 from ..operators.selection import exact_shuffle_order, greedy_nonoverlap, hash_rank
@@ -73,9 +74,8 @@ def ranked(regions: DataFrame, order: list[str], seed: int, exact: bool) -> Data
     place = F.row_number().over(Window.partitionBy("category").orderBy("_place", "chrom", "start", "end")) - 1
     numbered = regions.withColumn("category_ord", F.array_position(F.array(*map(F.lit, order)), F.col("category")).cast("int"))
     if not exact:
-        rank = hash_rank(seed, "category", "chrom", "start", "end", "strand", "name")
-        dealt = numbered.withColumn("_h", rank)
-        return dealt.withColumn("rank", F.row_number().over(Window.partitionBy("category").orderBy("_h", "_place", "chrom", "start", "end")).cast("long")).drop("_h")
+        dealt = numbered.withColumn("_h", hash_rank(seed, "category", "chrom", "start", "end", "strand", "name"))
+        return dense_pair_id(dealt, "category_ord", "_h", "_place", "chrom", "start", "end", name="rank").drop("_h")
     rows = numbered.withColumn("ordinal", place.cast("long")).persist()
     sizes = {r["category"]: r["count"] for r in rows.groupBy("category").count().collect()}  # a row for each category
     shuffled = exact_shuffle_order(rows.sparkSession, [sizes.get(c, 0) for c in order], seed)

@@ -425,7 +425,7 @@ def nearest_in_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {s.REGIONS} select ord, row_number() over (order by s, ord) - 1 as pair_id from regions")
 def dense_pair_id(spark: SparkSession, sf: str) -> DataFrame:
-    return controls.dense_pair_id(s.regions(spark, sf), "start", "ord", ranges=16).select("ord", "pair_id")
+    return controls.dense_pair_id(s.regions(spark, sf), "start", "ord").select("ord", "pair_id")
 
 
 @query(f"""with {s.REGIONS}, f as (select *, case when strand = '-' then e + 2000 else s - 2000 - (e - s) end as a, case when strand = '-' then e + 2000 + (e - s) else s - 2000 end as b from regions),
@@ -444,28 +444,43 @@ def limit_per_category(spark: SparkSession, sf: str) -> DataFrame:
     return selection.limit_per_category(s.regions(spark, sf), 100, (col("ord") * 7919) % 10007, col("ord")).select("ord", "category")
 
 
-@query()
+@query(f"""with {s.REGIONS} select chrom, s as "start", e as "end", strand, category, ord, name
+ from (select *, row_number() over (partition by chrom order by md5('42|' || cast(ord as varchar)), ord) as k from regions) where k <= 50""")
 def sample_per_contig(spark: SparkSession, sf: str) -> DataFrame:
     return selection.sample_per_contig(s.regions(spark, sf), 50, 42, "ord")
 
 
+_CATEGORIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
 def _ranked_regions(spark: SparkSession, sf: str) -> DataFrame:
-    order = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    place = F.array_position(F.array(*map(F.lit, order)), col("category")).cast("int")
-    ranked = s.regions(spark, sf).withColumn("category_ord", place).withColumn("_h", selection.hash_rank(42, "ord"))
-    return ranked.withColumn("rank", F.row_number().over(Window.partitionBy("category").orderBy("_h", "ord")).cast("long")).drop("_h")
+    place = F.array_position(F.array(*map(F.lit, _CATEGORIES)), col("category")).cast("int")
+    return s.regions(spark, sf).withColumn("category_ord", place).withColumn("rank", selection.hash_rank(42, "ord"))
 
 
-@query()
+def _greedy_sql(limit: int) -> str:
+    """A stage for each category: rows free of what is kept so far, folded along each contig by rank, and the first of them by rank."""
+    steps = [f"{s.REGIONS}, ranked as (select *, md5('42|' || cast(ord as varchar)) as rank from regions)", "kept0 as (select chrom, s, e, ord from regions where false)"]
+    for k, category in enumerate(_CATEGORIES, 1):
+        steps.append(f"""pool{k} as (select * from ranked r where category = '{category}' and not exists (select 1 from kept{k - 1} x where x.chrom = r.chrom and x.s < r.e and r.s < x.e)),
+ folded{k} as (select chrom, list_reduce(list([{{'s': s, 'e': e, 'ord': ord, 'rank': rank}}] order by rank),
+   lambda a, b: case when len(list_filter(a, lambda x: x.s < b[1].e and b[1].s < x.e)) > 0 then a else list_concat(a, b) end) as f from pool{k} group by chrom),
+ first{k} as (select chrom, u.s as s, u.e as e, u.ord as ord from (select chrom, unnest(f) as u from folded{k}) order by u.rank limit {limit}),
+ kept{k} as (select * from kept{k - 1} union all select * from first{k})""")
+    place = " ".join(f"when '{c}' then {k}" for k, c in enumerate(_CATEGORIES, 1))
+    return f"""with {", ".join(steps)} select chrom, s as "start", e as "end", strand, category, ord, name, cast(case category {place} end as integer) as category_ord, rank
+ from ranked join (select ord from kept{len(_CATEGORIES)}) using (ord)"""
+
+
+@query(_greedy_sql(400))
 def greedy_nonoverlap(spark: SparkSession, sf: str) -> DataFrame:
-    order = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    return selection.greedy_nonoverlap(_ranked_regions(spark, sf), order, 400)
+    return selection.greedy_nonoverlap(_ranked_regions(spark, sf), list(_CATEGORIES), 400)
 
 
 @query()
 def random_controls(spark: SparkSession, sf: str) -> DataFrame:
     kept = greedy_nonoverlap(spark, sf)
-    anchors = controls.dense_pair_id(kept, "category_ord", "rank", ranges=8)
+    anchors = controls.dense_pair_id(kept, "category_ord", "rank")
     return controls.random_controls(anchors, s.lengths(spark, sf), 42, 200)
 
 
@@ -490,7 +505,7 @@ def even_sample(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"with {s.REGIONS} select ord, row_number() over (order by cast(ord as varchar)) as place from regions")
 def lexical_sort(spark: SparkSession, sf: str) -> DataFrame:
     rows = s.regions(spark, sf).withColumn("key", col("ord").cast("string"))
-    return controls.dense_pair_id(rows, "key", name="n", ranges=16).select("ord", (col("n") + 1).alias("place"))
+    return controls.dense_pair_id(rows, "key", name="n").select("ord", (col("n") + 1).alias("place"))
 
 
 # ---- pairs ----

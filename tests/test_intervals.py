@@ -89,3 +89,17 @@ def test_nearest_brute(spark, sites, at, least):
     good = [x for x in sites if abs(x - at) >= least]
     want = min(good, key=lambda x: (abs(x - at), -x)) if good else None
     assert (r.near_pos, r.near_delta) == (want, None if want is None else want - at)
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from("cd"), st.integers(0, 400)), max_size=25), st.lists(st.tuples(st.sampled_from("cde"), st.integers(0, 400)), max_size=12), st.integers(0, 60), st.sampled_from([None, 90]))
+def test_nearest_over_bins(spark, sites, anchors, least, most):
+    """Bins of a few bases, so that most sites are carried over from another bin."""
+    rows = [(c, p, k) for k, (c, p) in enumerate(anchors)] + [(None, 5, -1), ("c", None, -2)]
+    a, s = spark.createDataFrame(rows, "chrom string, pos long, k long"), spark.createDataFrame(sites, "chrom string, pos long")
+    got = {r.k: r.near_delta for r in nearest_at_distance(a, s, least, most, bin_size=16).collect()}
+    want = {}
+    for k, (c, p) in enumerate(anchors):
+        deltas = [x - p for d, x in sites if d == c and abs(x - p) >= least and (most is None or abs(x - p) <= most)]
+        want[k] = min(deltas, key=lambda d: (abs(d), -d), default=None)
+    assert got == want

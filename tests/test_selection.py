@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stranda.operators.controls import dense_pair_id, random_controls, upstream_controls
+from stranda.operators import selection
+from stranda.operators.controls import dense_pair_id, free_space, random_controls, upstream_controls
 from stranda.operators.selection import Occupied, even_quotas, even_sample, exact_shuffle_order, greedy_nonoverlap
 
 SCHEMA = "chrom string, start long, end long, category string, category_ord int, ord long, rank long, strand string, name string"
@@ -29,21 +30,55 @@ def test_occupied():
     assert len(held.starts) == 2
 
 
+def sequential(rows, order, limit):
+    """What one pass over all rows keeps."""
+    kept = []
+    for cat in order:
+        n = 0
+        for r in sorted((r for r in rows if r[3] == cat), key=lambda r: r[6]):
+            if limit and n == limit:
+                break
+            if r[2] > r[1] and not any(t[0] == r[0] and t[1] < r[2] and r[1] < t[2] for t in kept):
+                kept.append(r)
+                n += 1
+    return sorted(kept)
+
+
 def test_greedy_is_sequential(spark):
     rows = rows_of(120)
     for limit in (0, 9):
-        kept, taken = [], []
-        for cat in "xyz":
-            n = 0
-            for r in sorted((r for r in rows if r[3] == cat), key=lambda r: r[6]):
-                if limit and n == limit:
-                    break
-                if r[2] > r[1] and not any(t[0] == r[0] and t[1] < r[2] and r[1] < t[2] for t in taken):
-                    taken.append(r)
-                    kept.append(r)
-                    n += 1
         got = greedy_nonoverlap(spark.createDataFrame(rows, SCHEMA), list("xyz"), limit).collect()
-        assert sorted(tuple(r) for r in got) == sorted(kept)
+        assert sorted(tuple(r) for r in got) == sequential(rows, "xyz", limit)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 12])
+def test_greedy_in_batches(spark, monkeypatch, limit):
+    """Ten categories, long and short rows, a crowded place, and batches and islands of a few rows."""
+    monkeypatch.setattr(selection, "BATCH", 16)
+    monkeypatch.setattr(selection, "ISLAND", 8)
+    rng = random.Random(13)
+    out = []
+    for k in range(700):
+        s = 400 if k % 7 == 0 else rng.randrange(3000)
+        c = rng.randrange(10)
+        out.append([f"c{rng.randrange(3)}", s, s + rng.choice((0, 1, 5, 40, 300)), "abcdefghij"[c], c, k, None, rng.choice("+-."), f"n{k}"])
+    for c in range(10):
+        own = [r for r in out if r[4] == c]
+        for rank, r in enumerate(rng.sample(own, len(own))):
+            r[6] = rank * 3 + 7  # any unique numbers
+    out = [tuple(r) for r in out]
+    order = rng.sample("abcdefghi", 9)  # one category is not asked for
+    got = greedy_nonoverlap(spark.createDataFrame(out, SCHEMA), order, limit).collect()
+    assert sorted(tuple(r) for r in got) == sequential(out, order, limit)
+
+
+def test_greedy_edges(spark):
+    assert greedy_nonoverlap(spark.createDataFrame([], SCHEMA), list("xyz")).collect() == []
+    rows = spark.createDataFrame(rows_of(20), SCHEMA)
+    assert greedy_nonoverlap(rows, []).collect() == []
+    assert greedy_nonoverlap(rows, ["no such"], 5).collect() == []
+    nulls = spark.createDataFrame([(None, 1, 5, "x", 0, 0, 0, "+", "n"), ("c", None, 5, "x", 0, 1, 1, "+", "n"), ("c", 1, 5, "x", 0, 2, 2, None, None)], SCHEMA)
+    assert [r.ord for r in greedy_nonoverlap(nulls.filter("chrom is not null"), ["x"]).collect()] == [2]
 
 
 def test_upstream(spark):
@@ -89,6 +124,46 @@ def test_random_controls(spark, exact):
     assert all(r.end - r.start == sizes[r.pair_id] and 0 <= r.start and r.end <= 3000 for r in got)
 
 
+def test_random_places_are_uniform(spark):
+    """Starts in two gaps of unlike size, against the rejection of draws from the whole contig."""
+    fixed = [("c", 100, 400, "x", 0, 0, 0, "+", "n0"), ("c", 460, 1000, "x", 0, 1, 0, "+", "n1")]
+    many = [(f"d{k}", 0, 40, "x", 0, k + 2, 0, "+", f"n{k + 2}") for k in range(600)]
+    # contigs of one row each have the gaps [40, 100), [400, 460) and [1000, 1200) once the fixed rows lie on them too
+    anchors = [(*r, i) for i, r in enumerate(many)]
+    anchors += [(f"d{k}", s, e, "x", 0, 10_000 + 2 * k + j, 0, "+", "f", 10_000 + 2 * k + j) for k in range(600) for j, (_, s, e, *_) in enumerate(fixed)]
+    n = spark.createDataFrame([(f"d{k}", 1200) for k in range(600)], "chrom string, length long")
+    df = spark.createDataFrame(anchors, SCHEMA + ", pair_id long")
+    got = [r.start for r in random_controls(df, n, 3, 400).filter("category = 'x_random-noannot' and pair_id < 600").collect()]
+    rng, want = random.Random(1), []
+    taken = [(0, 40), (100, 400), (460, 1000)]
+    while len(want) < 6000:
+        s = rng.randint(0, 1200 - 40)
+        if not any(a < s + 40 and s < b for a, b in taken):
+            want.append(s)
+    share = lambda x, a, b: sum(a <= s < b for s in x) / len(x)
+    assert len(got) > 590
+    for a, b in ((40, 100), (400, 460), (1000, 1050), (1050, 1100), (1100, 1161)):
+        assert abs(share(got, a, b) - share(want, a, b)) < 0.06
+
+
+def test_free_space(spark):
+    rows = [("k", "c", 5, 10), ("k", "c", 8, 20), ("k", "c", 30, 35), ("j", "c", 0, 50), ("j", "d", 10, 11), ("k", "d", 0, 1)]
+    n = spark.createDataFrame([("c", 50), ("d", 12)], "chrom string, length long")
+    got = free_space(spark.createDataFrame(rows, "key string, chrom string, start long, end long"), n, "key").collect()
+    assert sorted(tuple(r) for r in got) == [
+        ("j", "d", 0, 10, 0, 11), ("j", "d", 11, 12, 10, 11), ("k", "c", 0, 5, 0, 30), ("k", "c", 20, 30, 5, 30), ("k", "c", 35, 50, 15, 30), ("k", "d", 1, 12, 0, 11),
+    ]
+
+
+def test_no_room(spark):
+    """Rows that nothing can take have no control, in either mode."""
+    rows = [("c", 0, 60, "x", 0, 0, 0, "+", "a", 0), ("c", 70, 100, "x", 0, 1, 0, "+", "b", 1), ("c", 60, 70, "y", 1, 2, 0, "+", "d", 2)]
+    n = spark.createDataFrame([("c", 100)], "chrom string, length long")
+    df = spark.createDataFrame(rows, SCHEMA + ", pair_id long")
+    for exact in (False, True):
+        assert {(r.pair_id, r.category) for r in random_controls(df, n, 4, 50, exact).collect()} == {(2, "y_random")}
+
+
 def test_too_long_region_raises(spark):
     df = spark.createDataFrame([("c", 0, 50, "x", 0, 0, 0, "+", "n", 0)], SCHEMA + ", pair_id long")
     n = spark.createDataFrame([("c", 20)], "chrom string, length long")
