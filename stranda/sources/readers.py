@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import normalize_contig
 from ..schemas import BED7, ROLES
+from .bigwig import scan_bigwig
 
 #: Names under which coordinate tables have their coordinates and ids. Fixed values.
 COORDINATE_COLUMNS = ("coordinate_hg38", "coord", "Element Coordinates")
@@ -92,7 +93,9 @@ def scan_gtf(spark: SparkSession, path: str | list[str], contigs: list[str] | No
 
 
 def scan_signal(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, start, end, value) of a track: Parquet with these columns, or bedGraph text."""
+    """(chrom, start, end, value) of a track: Parquet with these columns, a bigWig file by its name, or else bedGraph text."""
+    if path.lower().endswith((".bw", ".bigwig")):
+        return scan_bigwig(spark, path)
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path).select("chrom", F.col("start").cast("long"), F.col("end").cast("long"), F.col("value").cast("double"))
     lines = spark.read.text(path).filter(~F.col("value").rlike(r"^(#|track|browser)") & (F.trim("value") != ""))
