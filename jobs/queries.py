@@ -52,10 +52,10 @@ MOTIF_PAIRS_SQL = f"""with {GENOME},
 
 SCORE_TRACKS_SQL = """with records as (select 'u' || cast(user_id as varchar) as chrom, event_id // 1000 as w, cast(round_even((value - 245.0) * 100, 0) as bigint) as x from events
    where event_id is not null and user_id is not null and value is not null and not isnan(value) and abs(value) < 1e9),
- sums as (select chrom, w, count(*) as n, cast(sum(x) as double) as s, cast(sum(x * x) as double) as ss, cast(count(*) filter (x > 0) as double) as np, cast(count(*) filter (x < 0) as double) as nn,
+ sums as (select chrom, w, count(*) as n, sum(x) as s, sum(x * x) as ss, cast(count(*) filter (x > 0) as double) as np, cast(count(*) filter (x < 0) as double) as nn,
    cast(coalesce(sum(x) filter (x > 0), 0) as double) as sp, cast(coalesce(sum(x) filter (x < 0), 0) as double) as sn from records group by 1, 2)
- select chrom, w * 1000 as "start", w * 1000 + 1000 as "end", n as n_records, s / 100 / 1000.0::double as mean,
-  sqrt(greatest(ss / 10000 / 1000.0::double - (s / 100 / 1000.0::double) * (s / 100 / 1000.0::double), 0)) as std, np / 1000.0::double as frac_pos, nn / 1000.0::double as frac_neg,
+ select chrom, w * 1000 as "start", w * 1000 + 1000 as "end", n as n_records, cast(s as double) / 100 / 1000 as mean,
+  sqrt(cast(1000 * ss - s * s as double)) / 1000 / 100 as std, np / 1000.0::double as frac_pos, nn / 1000.0::double as frac_neg,
   case when np > 0 then sp / 100 / np else 0 end as mean_pos, case when nn > 0 then sn / 100 / nn else 0 end as mean_neg from sums"""
 
 QUERIES = {"job1_motif_pairs": job1_motif_pairs, "job2_score_tracks": job2_score_tracks}

@@ -47,10 +47,7 @@ def statistics(parts: DataFrame, config: dict) -> DataFrame:
     """Statistics of windows from the sums of any number of batches; bases without a record count as 0."""
     whole = ("n_records", "s", "ss", "n_pos", "n_neg", "s_pos", "s_neg")
     total = parts.groupBy("bucket", "chrom", "window").agg(*(F.sum(c).alias(c) for c in whole))
-    d = {c: F.col(c).cast("double") for c in whole}
-    values = statistics_of_sums(
-        F.lit(float(config["window"])), d["s"] / 100, d["ss"] / 10_000, d["n_pos"], d["n_neg"], d["s_pos"] / 100, d["s_neg"] / 100
-    )
+    values = statistics_of_sums(F.lit(config["window"]), *map(F.col, whole[1:]))
     start = F.col("window") * config["window"]
     return total.select("chrom", start.alias("start"), (start + config["window"]).alias("end"), "n_records", *(v.alias(k) for k, v in values.items()), "bucket")
 

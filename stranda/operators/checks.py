@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +23,8 @@ def schema_differences(df: DataFrame, schema: T.StructType) -> list[str]:
     )
 
 
-def row_violations(df: DataFrame, policy: str | None = None) -> DataFrame:
-    """One row with the number of rows and how many break each condition on a single row."""
+def _broken(df: DataFrame, policy: str | None = None) -> dict[str, Column]:
+    """Conditions on single rows that rows of ``df`` may break."""
     size = F.char_length("sequence")
     broken = {
         "bad_length": ~F.coalesce(size.between(1, CONTEXT_LENGTH), F.lit(False)),
@@ -40,7 +40,12 @@ def row_violations(df: DataFrame, policy: str | None = None) -> DataFrame:
         for c in scores:
             odd = odd | F.col(c).isNull() | F.isnan(c)
         broken["missing_scores"] = odd
-    return df.agg(F.count("*").alias("n_rows"), *(F.count_if(c).alias(k) for k, c in broken.items()))
+    return broken
+
+
+def row_violations(df: DataFrame, policy: str | None = None) -> DataFrame:
+    """One row with the number of rows and how many break each condition on a single row."""
+    return df.agg(F.count("*").alias("n_rows"), *(F.count_if(c).alias(k) for k, c in _broken(df, policy).items()))
 
 
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
@@ -83,60 +88,69 @@ def compare_trees(a: DataFrame, b: DataFrame, first: int = 10) -> list[str]:
     return [f"{r['path']}: {r['kind']}" for r in rows]
 
 
-def split_faults(df: DataFrame, complete: bool = False) -> list[str]:
-    """What is wrong with the splits of a dataset; if ``complete``, both must be there and the test rows on each held-out contig."""
-    splits = df.select("split", "chrom").distinct().collect()  # two for each contig at most
-    wrong = []
-    if {r["split"] for r in splits} - {"train", "test"}:
-        wrong.append("an unknown split")
-    if any((r["chrom"] in TEST_CONTIGS) != (r["split"] == "test") for r in splits):
-        wrong.append("contigs in the wrong split")
-    if complete and {r["split"] for r in splits} != {"train", "test"}:
-        wrong.append("a split is missing")
-    if complete and {r["chrom"] for r in splits if r["split"] == "test"} != set(TEST_CONTIGS):
-        wrong.append("test rows on other than the held-out contigs")
-    return wrong
+def assertions(
+    df: DataFrame, kind: str, policy: str | None = None, control: str | None = None, scope: str | None = None, expected: int | None = None,
+    complete: bool = True,
+) -> DataFrame:
+    """(assertion, violations): a row for each assertion on a ``binary``, ``multiclass`` or ``codon`` dataset, broken or not, and ``n_rows``.
+
+    One pass: rows are added up by pair, pairs are judged, and both are added up again. ``expected`` is the number of rows
+    outside the non-coding category; the violation is the difference. ``complete`` asks for what a dataset of all contigs has: both
+    splits, test rows on every held-out contig and no other, and the non-coding category.
+    """
+    if kind == "binary" and control not in CONTROLS:
+        raise ValueError("a binary dataset needs its control")
+    if kind not in ("binary", "multiclass", "codon"):
+        raise ValueError(f"unknown kind {kind!r} of dataset")
+    count = lambda c: F.count_if(F.coalesce(c, F.lit(True)))
+    test = F.col("split") == "test"
+    rows = {k: F.count_if(c) for k, c in _broken(df, policy).items()}
+    if kind != "codon":
+        rows["unknown_split"] = count(~F.col("split").isin("train", "test"))
+        rows["contig_in_wrong_split"] = count(F.col("chrom").isin(*TEST_CONTIGS) != test)
+    if kind == "multiclass":
+        rows["label_is_not_category"] = count(~F.col("label").eqNullSafe(F.col("category")))
+        rows["another_scope"] = count(~F.col("scope").eqNullSafe(F.lit(scope)))
+        if scope == "100bp":
+            rows["pool_of_another_width"] = count(F.col("pool_end") - F.col("pool_start") != 100)
+    kept = {"n_rows": F.count("*"), "_canonical": F.count_if(~F.col("category").eqNullSafe(F.lit(NONCODING)))} | rows
+    seen = {"_train": F.col("split") == "train", "_test": test, "_noncoding": F.col("category") == NONCODING}
+    seen |= {f"_held_{c}": test & (F.col("chrom") == c) for c in TEST_CONTIGS}
+    labels = {"binary": ["feature", control], "codon": list(CODON_LABELS)}.get(kind)
+    # a pair has a few rows
+    pairs = df.groupBy(*(["pair_id"] if kind == "codon" else ["category", "pair_id"])).agg(
+        *(c.alias(k) for k, c in kept.items()), *(F.max(F.coalesce(c, F.lit(False))).alias(k) for k, c in seen.items()),
+        F.collect_list(F.struct("scope", "category", "label")).alias("_keys"),
+    )
+    own = F.transform("_keys", lambda k: k["label"])
+    repeated = F.size("_keys") - F.size(F.array_distinct("_keys"))
+    total = {k: F.coalesce(F.sum(k), F.lit(0)) for k in kept} | {"repeated_keys": F.coalesce(F.sum(repeated), F.lit(0))}
+    if labels:
+        want = F.array(*map(F.lit, sorted(labels)))
+        total["pair_without_its_labels"] = F.count_if(F.coalesce(F.array_sort(own) != want, F.lit(True)))
+    found = pairs.agg(*(c.cast("long").alias(k) for k, c in total.items()), *(F.coalesce(F.max(k), F.lit(False)).alias(k) for k in seen))
+    missing = lambda c: F.when(c, F.lit(0)).otherwise(F.lit(1)).cast("long")
+    values = {k: F.col(k) for k in total if not k.startswith("_")}
+    if complete and kind != "codon":
+        values["split_missing"] = missing(F.col("_train")) + missing(F.col("_test"))
+        values["held_out_contig_missing"] = sum((missing(F.col(f"_held_{c}")) for c in TEST_CONTIGS), F.lit(0).cast("long"))
+        values["noncoding_missing"] = missing(F.col("_noncoding"))
+    if expected is not None:
+        values["rows_more_or_less"] = F.abs(F.col("_canonical") - F.lit(expected))
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("assertion"), v.cast("long").alias("violations")) for k, v in values.items())))
+    return found.select(each.alias("x")).select("x.assertion", "x.violations")
 
 
 def validate(
     df: DataFrame, schema: T.StructType, kind: str, policy: str | None = None, control: str | None = None, scope: str | None = None,
-    expected: int | None = None, noncoding: bool = False, complete: bool = False,
+    expected: int | None = None, complete: bool = True,
 ) -> int:
-    """Check a ``binary``, ``multiclass`` or ``codon`` dataset; its number of rows, or CheckError with all that is wrong.
-
-    ``expected`` counts the rows outside the non-coding category. ``complete`` asks for what a dataset of all contigs
-    has: both splits, every held-out contig among the test rows, and the non-coding category.
-    """
+    """The number of rows of a dataset that keeps its schema and all ``assertions``, or CheckError with all that is wrong."""
     wrong = schema_differences(df, schema)
     if wrong:
         raise CheckError("; ".join(wrong))
-    found = row_violations(df, policy).head().asDict()
-    wrong += [f"{n} rows: {k}" for k, n in found.items() if k != "n_rows" and n]
-    if n := repeated_keys(df).count():
-        wrong.append(f"{n} repeated keys")
-    if kind == "codon":
-        if n := wrong_pairs(df, list(CODON_LABELS), "pair_id").count():
-            wrong.append(f"{n} pairs without the five labels")
-        count = found["n_rows"]
-    else:
-        wrong += split_faults(df, complete)
-        if (noncoding or complete) and NONCODING not in distinct_values(df, "category"):
-            wrong.append("no non-coding category")
-        count = df.filter(F.col("category") != NONCODING).count()
-        if kind == "binary":
-            if control not in CONTROLS:
-                raise ValueError("a binary dataset needs its control")
-            if n := wrong_pairs(df, ["feature", control]).count():
-                wrong.append(f"{n} pairs without feature and control")
-        else:
-            if n := df.filter(~F.col("label").eqNullSafe(F.col("category"))).count():
-                wrong.append(f"{n} labels other than the category")
-            if distinct_values(df, "scope") not in ([], [scope]):
-                wrong.append("another scope")
-            if scope == "100bp" and (n := df.filter("pool_end - pool_start <> 100").count()):
-                wrong.append(f"{n} pools of another width")
-    if expected is not None and count != expected:
-        wrong.append(f"{count} rows instead of {expected}")
-    if wrong:
+    found = {r["assertion"]: r["violations"] for r in assertions(df, kind, policy, control, scope, expected, complete).collect()}
+    n = found.pop("n_rows")
+    if wrong := [f"{k}: {v}" for k, v in found.items() if v]:
         raise CheckError("; ".join(wrong))
-    return found["n_rows"]
+    return n

@@ -6,6 +6,7 @@ import random
 from bisect import bisect_left
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -137,6 +138,77 @@ def sample_per_contig(rows: DataFrame, n: int, seed: int, *keys: str) -> DataFra
     return limit_per_category(rows, n, hash_rank(seed, *keys), *map(F.col, keys), by="chrom")
 
 
+def _numbered_by_contig(rows: DataFrame, order: Sequence[str], counts: dict[str, int]) -> DataFrame:
+    """``rows`` with ``ordinal``, their place from 0 among those of their contig in the order of ``order``."""
+    first, before = [], 0
+    for chrom in sorted(counts, key=lambda c: c.encode()):
+        first += [F.lit(chrom), F.lit(before)]
+        before += counts[chrom]
+    dense = dense_pair_id(rows, "chrom", *order, name="_dense")
+    return dense.withColumn("ordinal", F.col("_dense") - F.element_at(F.create_map(*first), F.col("chrom"))).drop("_dense") if first else rows.withColumn("ordinal", F.lit(0).cast("long"))
+
+
+def _contig_counts(rows: DataFrame) -> dict[str, int]:
+    return {r["chrom"]: r["count"] for r in rows.filter("chrom is not null").groupBy("chrom").count().collect()}  # a row for each contig
+
+
+def exact_sample_per_contig(rows: DataFrame, n: int, seed: int, *order: str) -> DataFrame:
+    """``rows`` with ``place``: of each contig with more than ``n`` rows those that one seeded generator of the standard library samples.
+
+    Rows of a contig are taken in the order of ``order``, which tells all of them apart. ``place`` counts from 0 in the order of the draws; a
+    contig that has no more rows keeps them all in their order. The driver holds the drawn numbers: ``n`` a contig.
+    """
+    counts = _contig_counts(rows)
+    numbered = _numbered_by_contig(rows.filter("chrom is not null"), order, counts)
+    drawn = [(c, i, k) for c, size in counts.items() if n < size for k, i in enumerate(random.Random(seed).sample(range(size), n))]
+    some = rows.sparkSession.createDataFrame(drawn, "chrom string, ordinal long, place long")
+    large = [c for c, size in counts.items() if n < size]
+    whole = numbered.filter(~F.col("chrom").isin(*large)).withColumn("place", F.col("ordinal").cast("long"))
+    return numbered.join(some, ["chrom", "ordinal"]).select(*rows.columns, "place").unionByName(whole.select(*rows.columns, "place"))
+
+
+def exact_even_draws(counts: dict[str, int], total: int, seed: int, contigs: Sequence[str] = AUTOSOMES) -> list[tuple[str, int]]:
+    """(contig, ordinal) of ``total`` rows in the order in which one seeded NumPy generator draws them, contig by contig.
+
+    Equal shares come first, the remainder goes to the first contigs. What contigs are short of is dealt in turn to those with rows left, which
+    are then drawn from again, out of what they have left.
+    """
+    rng = np.random.default_rng(seed)
+    share, extra = divmod(total, len(contigs))
+    due = {c: share + (k < extra) for k, c in enumerate(contigs)}
+    gone: dict[str, list[int]] = {c: [] for c in contigs}
+    out: list[tuple[str, int]] = []
+    while any(due.values()):
+        short = 0
+        for c in contigs:
+            rest = counts.get(c, 0) - len(gone[c])
+            take = min(due[c], rest)
+            if take:
+                # a draw is a place among the rows that are left: move it past the drawn ones before it
+                earlier = np.sort(np.array(gone[c], np.int64))
+                at = rng.choice(rest, size=take, replace=False)
+                at = at + np.searchsorted(earlier - np.arange(len(earlier)), at, side="right")
+                out += [(c, int(i)) for i in at]
+                gone[c] += at.tolist()
+            short += due[c] - take
+            due[c] = 0
+        able = [c for c in contigs if counts.get(c, 0) > len(gone[c])]
+        if not short or not able:
+            return out
+        for k in range(short):
+            due[able[k % len(able)]] += 1
+    return out
+
+
+def exact_even_sample(rows: DataFrame, total: int, seed: int, *order: str, contigs: Sequence[str] = AUTOSOMES) -> DataFrame:
+    """``rows`` with ``place``: the sample of ``exact_even_draws``, rows of a contig taken in the order of ``order``. The driver holds ``total`` numbers."""
+    own = rows.filter(F.col("chrom").isin(*contigs))
+    counts = _contig_counts(own)
+    drawn = [(c, i, k) for k, (c, i) in enumerate(exact_even_draws(counts, total, seed, contigs))]
+    some = rows.sparkSession.createDataFrame(drawn, "chrom string, ordinal long, place long")
+    return _numbered_by_contig(own, order, counts).join(some, ["chrom", "ordinal"]).select(*rows.columns, "place")
+
+
 def even_quotas(counts: dict[str, int], total: int, contigs: tuple[str, ...] = AUTOSOMES) -> dict[str, int]:
     """Rows to take from each contig: equal shares, the remainder to the first, shortfalls dealt in turn to those with rows left."""
     base, extra = divmod(total, len(contigs))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import baseline_roi_span, context_bounds
 from ..operators.signal import exact_score_stats, score_stats
 from ..schemas import SCORE_PREFIXES, SCORES, STATISTICS
-from ..sources.writers import publish
+from ..sources.writers import publish, standing
 
 
 def span_table(dataset: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -61,4 +61,4 @@ def _keyed(spans: DataFrame) -> DataFrame:
 
 def annotate_in_place(spark: SparkSession, path: str, track: DataFrame, lengths: DataFrame, exact: bool = False) -> DataFrame:
     """Replace a Parquet dataset by itself with statistics."""
-    return publish(annotate(spark.read.parquet(path), track, lengths, exact), path)
+    return publish(annotate(spark.read.parquet(standing(spark, path)), track, lengths, exact), path)

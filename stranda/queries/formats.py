@@ -14,6 +14,7 @@ from ..schemas import AUTOSOMES, DATASET
 from ..sources import readers, writers
 from ..sources import fasta as fasta_files
 from ..sources.scratch import scratch_path
+from . import core
 from . import surrogates as s
 from .core import query
 
@@ -131,13 +132,56 @@ def write_bed_tree(spark: SparkSession, sf: str) -> DataFrame:
     return writers.read_bed_partitions(spark, path).select("category", "chrom", "start", "end", "name", "strand", "pair_id")
 
 
-@query(f"with {s.DOC_REGIONS} select count(*) as n_written, count(*) as n_read from doc_regions where e > s")
+@query(core.ORACLES["context_window_causal"])
 def write_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    from .core import context_window_causal
-
+    """The dataset as read back, after it has replaced an older one."""
     path = scratch_path(spark, "dataset")
-    n = writers.write_dataset(context_window_causal(spark, sf), path, DATASET)
-    return spark.read.parquet(path).agg(lit(n).cast("long").alias("n_written"), F.count("*").alias("n_read"))
+    rows = core.context_window_causal(spark, sf)
+    writers.write_dataset(rows.filter("strand = '-'"), path, DATASET)
+    if writers.write_dataset(rows, path, DATASET) != spark.read.parquet(path).count():
+        raise AssertionError("the dataset has another number of rows than were counted")
+    return spark.read.parquet(path)
+
+
+@query(f"""with {s.REGIONS} select chrom, ord, s as "start", row_number() over (order by chrom, ord) - 1 as place from regions""")
+def concat_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "files")
+    rows = s.regions(spark, sf).select("chrom", "ord", "start", col("chrom").alias("contig"))
+    sorted_files = rows.repartition("contig").sortWithinPartitions("contig", "ord")
+    sorted_files.write.partitionBy("contig").option("header", "true").option("sep", "\t").csv(path)
+    return readers.concat_files(spark, f"{path}/contig=*", "chrom string, ord long, start long")
+
+
+_PLANTED = f"""{core.ORACLES["context_window_causal"].replace("select 'train' as split", ", good as (select 'train' as split", 1)}),
+ numbered as (select *, cast(pair_id as bigint) as k from good),
+ planted as (select case when k % 101 = 1 then 'dev' else split end as split, case when k % 67 = 2 then '' else sequence end as sequence, 'feature' as label, pair_id, category, scope,
+   case when k % 83 = 3 then 'symmetric' else context_policy end as context_policy, chrom, case when k % 59 = 4 then roi_end else roi_start end as roi_start, roi_end, pool_start,
+   case when k % 71 = 5 then 4000 else pool_end end as pool_end from numbered union all
+  select split, sequence, case when k % 53 = 6 then 'feature' else 'upstream' end, pair_id, category, scope, context_policy, chrom, roi_start, roi_end, pool_start, pool_end from numbered where k % 7 <> 0),
+ pairs as (select category, pair_id, count(*) as n, count(*) - count(distinct label) as again, string_agg(label, ',' order by label) as labels from planted group by 1, 2)"""
+
+_ASSERTED = {
+    "n_rows": "count(*)", "bad_length": "count(*) filter (length(sequence) not between 1 and 2048)", "bad_roi": "count(*) filter (roi_start < 0 or roi_start >= roi_end)",
+    "bad_pool": "count(*) filter (pool_start < 0 or pool_start >= pool_end or pool_end > length(sequence))", "pool_outside_roi": "count(*) filter (pool_start < roi_start or pool_end > roi_end)",
+    "bad_policy": "count(*) filter (context_policy <> 'causal')", "unknown_split": "count(*) filter (split not in ('train', 'test'))", "contig_in_wrong_split": "0",
+    "split_missing": "1", "held_out_contig_missing": "4", "noncoding_missing": "1",
+    "repeated_keys": "(select sum(again) from pairs)", "pair_without_its_labels": "(select count(*) filter (labels <> 'feature,upstream') from pairs)",
+}
+
+
+@query(f"with {_PLANTED.removeprefix('with ')} " + " union all ".join(f"select '{k}' as assertion, cast({v} as bigint) as violations{' from planted' if v.startswith('count') else ''}" for k, v in _ASSERTED.items()))
+def validate_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    """Every assertion on a dataset of pairs with planted violations, in one pass."""
+    good = core.context_window_causal(spark, sf).withColumn("k", col("pair_id").cast("long"))
+    put = lambda c, n, k, v: F.when(col("k") % n == k, v).otherwise(col(c))
+    feature = good.withColumns(
+        {
+            "label": lit("feature"), "split": put("split", 101, 1, lit("dev")), "sequence": put("sequence", 67, 2, lit("")), "context_policy": put("context_policy", 83, 3, lit("symmetric")),
+            "roi_start": put("roi_start", 59, 4, col("roi_end")), "pool_end": put("pool_end", 71, 5, lit(4000)),
+        }
+    )
+    control = good.filter("k % 7 <> 0").withColumn("label", F.when(col("k") % 53 == 6, "feature").otherwise("upstream"))
+    return checks.assertions(feature.unionByName(control).drop("k"), "binary", "causal", "upstream")
 
 
 # ---- smaller operators on their own ----

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import normalize_contig
+from ..operators.ids import dense_pair_id
 from ..schemas import BED7, ROLES
 from .bigwig import scan_bigwig
 
@@ -28,6 +29,17 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return lines.select(F.col("_metadata.file_name").alias("source"), F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
 
 
+def in_file_order(rows: DataFrame, name: str = "place") -> DataFrame:
+    """Rows just read from files, with their place from 0 over all files: by path, then by place in the file."""
+    where = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return dense_pair_id(rows.select("*", where.alias("_where")), "_where", name=name).drop("_where")
+
+
+def concat_files(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """The rows of tab-separated files with a header each, with ``place``: one file after the other in the order of their paths."""
+    return in_file_order(spark.read.csv(path, header=True, sep="\t", quote='"', escape='"', schema=schema))
+
+
 def scan_bed(
     spark: SparkSession, path: str, category: str, known: list[str], contigs: list[str] | None = None, blocked: DataFrame | None = None
 ) -> DataFrame:
@@ -116,14 +128,15 @@ def scan_bed_tree(spark: SparkSession, root: str, categories: list[str], contigs
     )
 
 
-def scan_codon_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Wide rows of label positions; ``.`` is null but for strands, where it is a value."""
+def scan_codon_table(spark: SparkSession, path: str | list[str], ordered: bool = False) -> DataFrame:
+    """Wide rows of label positions; ``.`` is null but for strands, where it is a value. ``ordered`` adds their place in the files."""
     kinds = ["string"] * 4 + ["long"] * 9
     names = (
         "chrom transcript_id gene_id strand label1_start_pos label2_noncoding_near_pos label2_delta_bp label3_noncoding_far_pos "
         "label3_delta_bp label4_same_inframe_met_pos label4_delta_bp label5_same_outframe_atg_pos label5_delta_bp"
     ).split()
     rows = spark.read.csv(path, header=True, sep="\t", nullValue=".", schema=", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    rows = in_file_order(rows) if ordered else rows
     return rows.withColumn("strand", F.coalesce("strand", F.lit(".")))
 
 

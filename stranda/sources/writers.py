@@ -12,12 +12,17 @@ ROW_GROUP = 2048
 
 
 def write_dataset(df: DataFrame, path: str, schema: T.StructType, row_group: int = ROW_GROUP, files: int | None = None) -> int:
-    """Write a dataset of a fixed schema (zstd, bounded row groups); its number of rows, counted on the way."""
+    """Write a dataset of a fixed schema (zstd, bounded row groups); its number of rows, counted on the way.
+
+    The rows may come from the dataset itself: it is replaced by ``put_in_place`` when the new one is whole.
+    """
     seen = Observation()
     typed = conform(df, schema).observe(seen, F.count(F.lit(1)).alias("n"))
     if files is not None:
         typed = typed.coalesce(files)
-    typed.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", str(row_group)).parquet(path)
+    new = f"{path.rstrip('/')}.next"
+    typed.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", str(row_group)).parquet(new)
+    put_in_place(df.sparkSession, new, path)
     return seen.get["n"]
 
 
@@ -53,15 +58,48 @@ def split_gtf(spark: SparkSession, path: str, out: str) -> None:
     kept.repartition("contig").sortWithinPartitions("contig", "n").select("value", "contig").write.mode("overwrite").partitionBy("contig").text(out)
 
 
-def publish(df: DataFrame, path: str) -> DataFrame:
-    """Replace a Parquet folder by rows that may come from it: written beside it, then renamed."""
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    new, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.next", path))
-    df.write.mode("overwrite").parquet(f"{path}.next")
-    store = target.getFileSystem(conf)
-    store.delete(target, True)
-    if not store.rename(new, target):
-        raise OSError(f"cannot rename {path}.next")
+class Store:
+    """Existence, renaming and deletion of paths of one file system."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+    def rename(self, a: str, b: str) -> None:
+        if not self._fs.rename(self._path(a), self._path(b)):
+            raise OSError(f"cannot rename {a} to {b}")
+
+
+def put_in_place(spark: SparkSession, new: str, path: str) -> None:
+    """Let the whole dataset at ``new`` take the name ``path``. What had it is set aside until the new one stands.
+
+    Stopped at any step, the old or the new dataset is whole under ``path`` or aside, and ``standing`` finds it.
+    """
+    path, store = path.rstrip("/"), Store(spark, path)
+    aside = f"{path}.aside"
+    if store.exists(path):
+        store.delete(aside)
+        store.rename(path, aside)
+    store.rename(new, path)
+    store.delete(aside)
     spark.catalog.refreshByPath(path)
+
+
+def standing(spark: SparkSession, path: str) -> str:
+    """Where the dataset of this name is whole: under its name, or aside if a replacement was stopped before the last one stood."""
+    path, store = path.rstrip("/"), Store(spark, path)
+    return path if store.exists(path) or not store.exists(f"{path}.aside") else f"{path}.aside"
+
+
+def publish(df: DataFrame, path: str) -> DataFrame:
+    """Replace a Parquet folder by rows that may come from it: written beside it, then put in its place."""
+    spark, new = df.sparkSession, f"{path.rstrip('/')}.next"
+    df.write.mode("overwrite").parquet(new)
+    put_in_place(spark, new, path)
     return spark.read.parquet(path)

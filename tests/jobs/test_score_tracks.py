@@ -32,7 +32,7 @@ def brute(events, config):
     for (chrom, w), x in dense.items():
         s, ss, up, down = sum(x) / 100, sum(v * v for v in x) / 10_000, [v for v in x if v > 0], [v for v in x if v < 0]
         mean = s / window
-        values = mean, math.sqrt(max(0, ss / window - mean * mean)), len(up) / window, len(down) / window, sum(up) / 100 / len(up) if up else 0.0, sum(down) / 100 / len(down) if down else 0.0
+        values = mean, math.sqrt(window * round(ss * 10_000) - round(s * 100) ** 2) / window / 100, len(up) / window, len(down) / window, sum(up) / 100 / len(up) if up else 0.0, sum(down) / 100 / len(down) if down else 0.0
         out[chrom, w * window] = (w * window + window, seen[chrom, w], *values)
     return out
 

@@ -1,11 +1,20 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stranda.operators import selection
 from stranda.operators.controls import dense_pair_id, free_space, random_controls, upstream_controls
-from stranda.operators.selection import Occupied, even_quotas, even_sample, exact_shuffle_order, greedy_nonoverlap
+from stranda.operators.selection import (
+    Occupied,
+    even_quotas,
+    even_sample,
+    exact_even_sample,
+    exact_sample_per_contig,
+    exact_shuffle_order,
+    greedy_nonoverlap,
+)
 
 SCHEMA = "chrom string, start long, end long, category string, category_ord int, ord long, rank long, strand string, name string"
 
@@ -191,3 +200,45 @@ def test_quotas(spark):
     assert even_quotas({"chr5": 3}, 100)["chr5"] == 3
     df = spark.createDataFrame([(f"chr{1 + k % 3}", k) for k in range(30)], "chrom string, k long")
     assert even_sample(df, 9, F.col("k"), contigs=("chr1", "chr2", "chr3")).groupBy("chrom").count().filter("count = 3").count() == 3
+
+
+def test_exact_contig_sample(spark):
+    """What the standard library samples of each contig's list, in its order."""
+    rng = random.Random(2)
+    rows = [(f"chr{1 + k % 4}", k, rng.random()) for k in range(90) if k % 4 < 3 or k < 20]
+    got = exact_sample_per_contig(spark.createDataFrame(rng.sample(rows, len(rows)), "chrom string, k long, x double"), 7, 42, "k").collect()
+    for chrom in ("chr1", "chr2", "chr3", "chr4"):
+        own = [r for r in rows if r[0] == chrom]
+        want = random.Random(42).sample(own, 7) if len(own) > 7 else own
+        assert [(r.chrom, r.k, r.x) for r in sorted((r for r in got if r.chrom == chrom), key=lambda r: r.place)] == want
+    assert exact_sample_per_contig(spark.createDataFrame([], "chrom string, k long"), 7, 42, "k").collect() == []
+
+
+@pytest.mark.parametrize("total", [0, 5, 40, 300])
+def test_exact_even_sample(spark, total):
+    """Draws from lists that shrink, with shares that contigs are short of."""
+    contigs = ("chr1", "chr2", "chr3", "chr10")
+    sizes = {"chr1": 3, "chr2": 40, "chr10": 90, "chrX": 9}
+    rows = [(c, k) for c, n in sizes.items() for k in range(n)]
+    generator, want = np.random.default_rng(7), []
+    left = {c: list(range(sizes.get(c, 0))) for c in contigs}
+    base, extra = divmod(total, 4)
+    due = [base + (k < extra) for k in range(4)]
+    while any(due):
+        carry = 0
+        for k, c in enumerate(contigs):
+            n = min(due[k], len(left[c]))
+            if n:
+                chosen = generator.choice(np.array(left[c]), size=n, replace=False).tolist()
+                want += [(c, x) for x in chosen]
+                left[c] = [x for x in left[c] if x not in chosen]
+            carry, due[k] = carry + due[k] - n, 0
+        able = [k for k, c in enumerate(contigs) if left[c]]
+        if not carry or not able:
+            break
+        for k in range(carry):
+            due[able[k % len(able)]] += 1
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "chrom string, k long")
+    got = sorted(exact_even_sample(df, total, 7, "k", contigs=contigs).collect(), key=lambda r: r.place)
+    assert [(r.chrom, r.k) for r in got] == want
+    assert [r.place for r in got] == list(range(min(total, 133)))

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +81,36 @@ def test_annotate(spark, tmp_path):
     data.write.parquet(path)
     assert len(annotate_in_place(spark, path, t, lengths, exact=True).columns) == 30
     assert spark.read.parquet(path).count() == 3
+
+
+def test_running_sums(spark):
+    """Long spans over many bins, records that overlap, lie across bins and hold odd values, against arrays."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(300):
+        s = rng.randrange(900)
+        rows.append((rng.choice("cd"), s, s + rng.choice((0, 1, 1, 3, 70)), rng.choice((rng.uniform(-5, 5), rng.uniform(-5, 5), 0.0, float("nan"), float("inf"), None))))
+    spans = [(f"s{k}", rng.choice("cde"), a, a + rng.choice((0, 1, 2, 15, 16, 400, 2000))) for k, a in enumerate(rng.randrange(-5, 950) for _ in range(80))]
+    df = spark.createDataFrame(rows, "chrom string, start long, end long, value double")
+    got = {r.span_id: tuple(r)[1:] for r in score_stats(spark.createDataFrame(spans, "span_id string, chrom string, start long, end long"), df, bin_size=16).collect()}
+    for i, chrom, a, b in spans:
+        inside = [(max(s, a), min(e, b), v) for c, s, e, v in rows if c == chrom and max(s, a) < min(e, b)]
+        good = [(e - s, round(v, 2)) for s, e, v in inside if v is not None and np.isfinite(v)]
+        n = b - a - sum(e - s for s, e, v in inside if v is None or not np.isfinite(v))
+        if n <= 0:
+            assert np.isnan(got[i]).all()
+            continue
+        total = lambda f: sum(w * f(x) for w, x in good)
+        up, down = total(lambda x: x > 0), total(lambda x: x < 0)
+        mean = total(lambda x: x) / n
+        want = (mean, max(0, total(lambda x: x * x) / n - mean**2) ** 0.5, up / n, down / n, total(lambda x: max(x, 0)) / up if up else 0, total(lambda x: min(x, 0)) / down if down else 0)
+        assert np.allclose(got[i], want, rtol=1e-9, atol=1e-7), i
+
+
+def test_statistics_in_place_of_stopped_ones(spark, tmp_path):
+    """A dataset whose replacement was stopped is found aside and annotated from there."""
+    t, _ = track(spark)
+    path = str(tmp_path / "d.parquet")
+    rows_for(spark).write.parquet(f"{path}.aside")
+    assert annotate_in_place(spark, path, t, spark.createDataFrame([("c", 95)], "chrom string, length long")).count() == 3
+    assert not (tmp_path / "d.parquet.aside").exists()

@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from stranda.functions.attributes import has_tag, parse_attributes
 from stranda.operators.checks import CheckError, compare_trees, validate
 from stranda.plans import codons, functional
 from stranda.schemas import DATASET, START_CODON_DATASET
-from stranda.sources import readers
+from stranda.sources import readers, writers
 from stranda.sources.fasta import scan_fasta
 from stranda.sources.writers import read_bed_partitions, split_gtf, write_bed_tree, write_dataset, write_tsv
 
@@ -152,15 +153,15 @@ def test_functional_pipeline(spark, root, tmp_path, noncoding):
         policy = "symmetric" if name.endswith("bidi") else "causal"
         if "multiclass" in name:
             scope = "100bp" if "100bp" in name else "full"
-            assert validate(df, DATASET, "multiclass", policy, scope=scope) == n
+            assert validate(df, DATASET, "multiclass", policy, scope=scope, complete=False) == n
         else:
             control = name.removeprefix("functional-").removesuffix("-bidi").removesuffix("-causal")
-            assert validate(df, DATASET, "binary", policy, control=control) == n
+            assert validate(df, DATASET, "binary", policy, control=control, complete=False) == n
     df = spark.read.parquet(str(tmp_path / "out" / "functional-upstream-causal.parquet"))
     with pytest.raises(CheckError, match="bad_policy"):
-        validate(df, DATASET, "binary", "symmetric", control="upstream")
-    with pytest.raises(CheckError, match="repeated keys"):
-        validate(df.union(df), DATASET, "binary", "causal", control="upstream")
+        validate(df, DATASET, "binary", "symmetric", control="upstream", complete=False)
+    with pytest.raises(CheckError, match="repeated_keys"):
+        validate(df.union(df), DATASET, "binary", "causal", control="upstream", complete=False)
     with pytest.raises(CheckError, match="instead of"):
         validate(df.drop("name"), DATASET, "binary")
 
@@ -192,3 +193,75 @@ def test_window_stream(spark, root, tmp_path):
     q = window_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), tiles, str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+ROWS = [("chr1", 5, 2), ("chr1", 1, 0), ("chr2", 9, None)]
+
+
+@pytest.mark.parametrize("stop", range(1, 5))
+def test_a_stopped_replacement_leaves_a_dataset(spark, tmp_path, monkeypatch, stop):
+    """Whatever step breaks, the old or the new dataset is whole, and the next run succeeds."""
+    path, schema = str(tmp_path / "d"), "chrom string, start long, roi_start int"
+    old, new = spark.createDataFrame(ROWS[:1], schema), spark.createDataFrame(ROWS, schema)
+    assert write_dataset(old, path, DATASET) == 1
+    steps = []
+
+    def broken(name):
+        act = getattr(writers.Store, name)
+
+        def step(self, *paths):
+            steps.append(name)
+            if len(steps) == stop:
+                raise OSError("stopped")
+            act(self, *paths)
+
+        return step
+
+    with monkeypatch.context() as m:
+        for name in ("delete", "rename"):
+            m.setattr(writers.Store, name, broken(name))
+        with pytest.raises(OSError, match="stopped"):
+            write_dataset(new, path, DATASET)
+    assert len(steps) == stop
+    at = writers.standing(spark, path)
+    assert spark.read.parquet(at).count() == (3 if stop == 4 else 1)
+    # rows that come from the dataset itself
+    assert write_dataset(spark.read.parquet(at).unionByName(spark.read.parquet(at)), path, DATASET) == (6 if stop == 4 else 2)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["d"]
+    assert writers.standing(spark, path) == path
+
+
+def test_files_in_order(spark, tmp_path):
+    """Rows of files in the order of their names, not of their sizes, across splits of a file."""
+    want = []
+    for name, n in (("chr1", 40), ("chr10", 700), ("chr2", 3), ("chrX", 0)):
+        rows = [(name, k, None if k % 5 == 0 else f"v {k}") for k in range(n)]
+        want += rows
+        (tmp_path / f"{name}.tsv").write_text("a\tb\tc\n" + "".join(f"{a}\t{b}\t{'' if c is None else c}\n" for a, b, c in rows))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k, v in zip(before, ("900b", "1b"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        df = readers.concat_files(spark, str(tmp_path), "a string, b long, c string")
+        assert [tuple(r) for r in df.orderBy("place").collect()] == [(*r, k) for k, r in enumerate(want)]
+        some = readers.concat_files(spark, [str(tmp_path / "chr2.tsv"), str(tmp_path / "chr1.tsv")], "a string, b long, c string")
+        assert [r.a for r in some.orderBy("place").collect()] == ["chr1"] * 40 + ["chr2"] * 3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_digests(spark, tmp_path):
+    for name, data in (("a", b"ab"), ("b", b"x" * 5000)):
+        (tmp_path / name).write_bytes(data)
+    got = {r.path.rsplit("/", 1)[-1]: (r.length, r.sha256) for r in readers.verify_digest(spark, str(tmp_path)).collect()}
+    assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in (("a", b"ab"), ("b", b"x" * 5000))}
+
+
+def test_exact_codon_plan(spark, root, tmp_path):
+    """The plan repeats seeded samples: the rows of each contig in file order, sampled, put together by name, and sampled again."""
+    counts = codons.run(spark, str(root), str(tmp_path / "src"), str(tmp_path / "out"), 2, 1, 42, contigs=("chr1", "chr2", "chrX"), exact=True)
+    again = codons.run(spark, str(root), str(tmp_path / "src2"), str(tmp_path / "out2"), 2, 1, 42, contigs=("chr1", "chr2", "chrX"), exact=True)
+    assert counts == again
+    table = readers.scan_codon_table(spark, str(tmp_path / "src" / "all_contigs.tsv"), ordered=True).orderBy("place").collect()
+    assert [r.transcript_id for r in table] == ["T1", "T2"]
