@@ -143,8 +143,8 @@ def random_controls(
     end, and a draw counts where the region fits its gap, so that each place that fits is as likely as another. Of draws
     that overlap each other the earliest row's stays, in the order of (category_ord, ord); the others are drawn again in the next
     round, which has four times the draws. No step is bound to a contig. ``exact`` repeats the published draws, for which a single
-    generator must run through all rows in order, each after the other's control: one task, which takes 30,000 rows in
-    about ten seconds and has no place beyond some million.
+    generator must run through all rows in order, each after the other's control: one task, which took 6.5 s for 30,000 rows on
+    23 contigs and ends where its memory does.
     """
     columns = anchors.columns
     if not exact:

@@ -83,9 +83,7 @@ def running_sums(points: DataFrame, track: DataFrame, bin_size: int = SUM_BIN) -
     carried = every.select("chrom", "_bin", *(F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"c_{k}") for k in SUMS))
     own = cut.join(asked, ["chrom", "_bin"], "left_semi")
     sides = F.explode(F.array(F.struct(F.col("low").alias("at"), F.lit(1).alias("sign")), F.struct(F.col("high").alias("at"), F.lit(-1).alias("sign"))))
-    changes = own.select("chrom", "_bin", sides.alias("x"), *SUMS).groupBy("chrom", "_bin", F.col("x.at").alias("at")).agg(
-        *(F.sum(F.col(k) * F.col("x.sign")).alias(k) for k in SUMS)
-    )
+    changes = own.select("chrom", "_bin", sides.alias("x"), *SUMS).select("chrom", "_bin", F.col("x.at").alias("at"), *((F.col(k) * F.col("x.sign")).alias(k) for k in SUMS))
     rows = placed.select(F.struct("*").alias("row"), "chrom", "_bin", (F.col("pos") - F.col("_bin") * bin_size).alias("at"))
     both = rows.unionByName(changes, allowMissingColumns=True)
     so_far = Window.partitionBy("chrom", "_bin").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
