@@ -46,6 +46,16 @@ def hash_rank(seed: int, *keys: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
 
 
+def seeded_shuffle(rows: DataFrame, seed: int, *keys: str, by: str = "category", name: str = "rank") -> DataFrame:
+    """``rows`` with their place from 0 in a pseudo-random order of each ``by``, which depends on seed and keys alone. Keys tell rows apart.
+
+    Rows are ordered and counted in ranges, so neither the driver nor one task sees a whole group.
+    """
+    counts = {r[by]: r["count"] for r in rows.filter(F.col(by).isNotNull()).groupBy(by).count().collect()}  # a row for each group
+    hashed = rows.filter(F.col(by).isNotNull()).withColumn("_hash", hash_rank(seed, *keys))
+    return _numbered(hashed, by, ["_hash", *keys], counts, name).drop("_hash")
+
+
 def exact_shuffle_order(spark: SparkSession, sizes: list[int], seed: int) -> DataFrame:
     """(pool, ordinal, rank): where one seeded generator's successive shuffles put the rows of each pool.
 
@@ -138,14 +148,16 @@ def sample_per_contig(rows: DataFrame, n: int, seed: int, *keys: str) -> DataFra
     return limit_per_category(rows, n, hash_rank(seed, *keys), *map(F.col, keys), by="chrom")
 
 
-def _numbered_by_contig(rows: DataFrame, order: Sequence[str], counts: dict[str, int]) -> DataFrame:
-    """``rows`` with ``ordinal``, their place from 0 among those of their contig in the order of ``order``."""
+def _numbered(rows: DataFrame, by: str, order: Sequence[str], counts: dict[str, int], name: str) -> DataFrame:
+    """``rows`` with their place from 0 among those of their ``by``, a column of few values with the given counts, in the order of ``order``."""
     first, before = [], 0
-    for chrom in sorted(counts, key=lambda c: c.encode()):
-        first += [F.lit(chrom), F.lit(before)]
-        before += counts[chrom]
-    dense = dense_pair_id(rows, "chrom", *order, name="_dense")
-    return dense.withColumn("ordinal", F.col("_dense") - F.element_at(F.create_map(*first), F.col("chrom"))).drop("_dense") if first else rows.withColumn("ordinal", F.lit(0).cast("long"))
+    for value in sorted(counts, key=lambda v: v.encode()):
+        first += [F.lit(value), F.lit(before).cast("long")]
+        before += counts[value]
+    if not first:
+        return rows.withColumn(name, F.lit(0).cast("long"))
+    dense = dense_pair_id(rows, by, *order, name="_dense")
+    return dense.withColumn(name, F.col("_dense") - F.element_at(F.create_map(*first), F.col(by))).drop("_dense")
 
 
 def _contig_counts(rows: DataFrame) -> dict[str, int]:
@@ -159,7 +171,7 @@ def exact_sample_per_contig(rows: DataFrame, n: int, seed: int, *order: str) ->
     contig that has no more rows keeps them all in their order. The driver holds the drawn numbers: ``n`` a contig.
     """
     counts = _contig_counts(rows)
-    numbered = _numbered_by_contig(rows.filter("chrom is not null"), order, counts)
+    numbered = _numbered(rows.filter("chrom is not null"), "chrom", order, counts, "ordinal")
     drawn = [(c, i, k) for c, size in counts.items() if n < size for k, i in enumerate(random.Random(seed).sample(range(size), n))]
     some = rows.sparkSession.createDataFrame(drawn, "chrom string, ordinal long, place long")
     large = [c for c, size in counts.items() if n < size]
@@ -206,7 +218,7 @@ def exact_even_sample(rows: DataFrame, total: int, seed: int, *order: str, conti
     counts = _contig_counts(own)
     drawn = [(c, i, k) for k, (c, i) in enumerate(exact_even_draws(counts, total, seed, contigs))]
     some = rows.sparkSession.createDataFrame(drawn, "chrom string, ordinal long, place long")
-    return _numbered_by_contig(own, order, counts).join(some, ["chrom", "ordinal"]).select(*rows.columns, "place")
+    return _numbered(own, "chrom", order, counts, "ordinal").join(some, ["chrom", "ordinal"]).select(*rows.columns, "place")
 
 
 def even_quotas(counts: dict[str, int], total: int, contigs: tuple[str, ...] = AUTOSOMES) -> dict[str, int]:

@@ -241,10 +241,9 @@ def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(v,) for v in checks.distinct_values(s.role_rows(spark, sf), "role")], "role string")
 
 
-@query()
+@query(f"""with {s.REGIONS} select category, ord, row_number() over (partition by category order by md5('42|' || cast(ord as varchar)), ord) - 1 as rank from regions""")
 def seeded_shuffle(spark: SparkSession, sf: str) -> DataFrame:
-    counts = {r["category"]: r["count"] for r in s.regions(spark, sf).groupBy("category").count().collect()}
-    return selection.exact_shuffle_order(spark, [counts[c] for c in sorted(counts)], 42)
+    return selection.seeded_shuffle(s.regions(spark, sf), 42, "ord").select("category", "ord", "rank")
 
 
 @query(f"with {s.BLOCKS} select ord, string_agg(cast(s as varchar), ',' order by case when strand = '-' then -s else s end) as starts from segments group by ord")

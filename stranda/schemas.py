@@ -7,22 +7,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType(), "l": T.LongType(), "i": T.IntegerType(), "b": T.ByteType(), "f": T.FloatType(), "d": T.DoubleType()}
-    return T.StructType([T.StructField(n, kinds[k], True) for n, k in (x.split(":") for x in spec.split())])
+def _field(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, True)
 
 
 # Column names, types and order of the published outputs.
-DATASET = _struct(
-    "split:s sequence:s label:s pair_id:s category:s scope:s context_policy:s chrom:s start:l end:l strand:s "
-    "context_start:l context_end:l roi_start:i roi_end:i pool_start:i pool_end:i name:s"
+DATASET = T.StructType(
+    [
+        _field("split", T.StringType()),
+        _field("sequence", T.StringType()),
+        _field("label", T.StringType()),
+        _field("pair_id", T.StringType()),
+        _field("category", T.StringType()),
+        _field("scope", T.StringType()),
+        _field("context_policy", T.StringType()),
+        _field("chrom", T.StringType()),
+        _field("start", T.LongType()),
+        _field("end", T.LongType()),
+        _field("strand", T.StringType()),
+        _field("context_start", T.LongType()),
+        _field("context_end", T.LongType()),
+        _field("roi_start", T.IntegerType()),
+        _field("roi_end", T.IntegerType()),
+        _field("pool_start", T.IntegerType()),
+        _field("pool_end", T.IntegerType()),
+        _field("name", T.StringType()),
+    ]
+)
+START_CODON_DATASET = T.StructType(
+    [
+        *DATASET,
+        _field("transcript_id", T.StringType()),
+        _field("gene_id", T.StringType()),
+        _field("label_id", T.ByteType()),
+        _field("delta_bp", T.LongType()),
+    ]
 )
-START_CODON_DATASET = T.StructType([*DATASET, *_struct("transcript_id:s gene_id:s label_id:b delta_bp:l")])
 STATISTICS = ("mean", "std", "frac_pos", "frac_neg", "mean_pos", "mean_neg")
 SCORE_PREFIXES = ("phylop", "phylop_context")
-SCORES = _struct(" ".join(f"{p}_{s}:f" for p in SCORE_PREFIXES for s in STATISTICS))
-REGION = _struct("chrom:s start:l end:l name:s score:d strand:s category:s ord:l")
-BED7 = _struct("chrom:s start:l end:l name:s score:d strand:s pair_id:s")
+SCORES = T.StructType([_field(f"{p}_{s}", T.FloatType()) for p in SCORE_PREFIXES for s in STATISTICS])
+REGION = T.StructType(
+    [
+        _field("chrom", T.StringType()),
+        _field("start", T.LongType()),
+        _field("end", T.LongType()),
+        _field("name", T.StringType()),
+        _field("score", T.DoubleType()),
+        _field("strand", T.StringType()),
+        _field("category", T.StringType()),
+        _field("ord", T.LongType()),
+    ]
+)
+BED7 = T.StructType(
+    [
+        _field("chrom", T.StringType()),
+        _field("start", T.LongType()),
+        _field("end", T.LongType()),
+        _field("name", T.StringType()),
+        _field("score", T.DoubleType()),
+        _field("strand", T.StringType()),
+        _field("pair_id", T.StringType()),
+    ]
+)
 
 # Enumerations of the published outputs.
 CATEGORIES = ("repeats", "UCNE", "vista_enhancer", "promoters", "UTR5", "UTR3", "coding_regions", "exons", "introns", "upstream_TSS")

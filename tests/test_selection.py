@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -14,6 +15,7 @@ from stranda.operators.selection import (
     exact_sample_per_contig,
     exact_shuffle_order,
     greedy_nonoverlap,
+    seeded_shuffle,
 )
 
 SCHEMA = "chrom string, start long, end long, category string, category_ord int, ord long, rank long, strand string, name string"
@@ -242,3 +244,15 @@ def test_exact_even_sample(spark, total):
     got = sorted(exact_even_sample(df, total, 7, "k", contigs=contigs).collect(), key=lambda r: r.place)
     assert [(r.chrom, r.k) for r in got] == want
     assert [r.place for r in got] == list(range(min(total, 133)))
+
+
+def test_seeded_shuffle(spark):
+    rows = [("abc"[k % 3], k) for k in range(50)] + [(None, 99)]
+    df = spark.createDataFrame(rows, "category string, k long")
+    got = {(r.category, r.rank): r.k for r in seeded_shuffle(df, 5, "k").collect()}
+    for c in "abc":
+        own = [k for x, k in rows if x == c]
+        assert [got[c, i] for i in range(len(own))] == sorted(own, key=lambda k: hashlib.md5(f"5|{k}".encode()).hexdigest())
+    assert len(got) == 50
+    assert {(r.category, r.rank): r.k for r in seeded_shuffle(df, 6, "k").collect()} != got
+    assert seeded_shuffle(df.limit(0), 5, "k").collect() == []
