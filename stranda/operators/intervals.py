@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bases of a bin of range joins; near the length of most intervals is best.
+#: Bases of the finest bins of range joins; near the length of most intervals is best.
 BIN = 4096
+#: Each level of bins is this many times as wide as the one below; an interval has at most this many bins, and one for an edge, of its own level.
+WIDER = 8
+#: Levels of bins: the widest hold any interval of a 64-bit length below 2^42 in a few bins.
+LEVELS = 11
 #: Bases of a bin within which intervals are merged first.
 MERGE_BIN = 1 << 20
 
@@ -59,23 +63,53 @@ def introns(df: DataFrame, key: str = "transcript_id") -> DataFrame:
     ).drop("_next")
 
 
-def _bins(start: Column, end: Column, size: int) -> Column:
-    return F.sequence(F.floor(start / size), F.floor((end - 1) / size))
+def _level(start: Column, end: Column, bin_size: int) -> Column:
+    """The finest level of which the interval fills WIDER bins or fewer."""
+    length = end - start
+    return F.coalesce(*(F.when(length <= bin_size * WIDER ** (k + 1), k) for k in range(LEVELS - 1)), F.lit(LEVELS - 1))
+
+
+def _width(level: Column, bin_size: int) -> Column:
+    return F.element_at(F.array(*(F.lit(bin_size * WIDER**k).cast("long") for k in range(LEVELS))), level + 1)
+
+
+def _keyed(rows: DataFrame, prefix: str, other: DataFrame, owns_ties: bool, bin_size: int) -> DataFrame:
+    """``rows`` once for each key (_wider, _level, _bin) under which they may meet a row of ``other``.
+
+    A pair meets at the wider level of the two. The side that has it gives the bins of its own level, the other side one or
+    two bins of each wider level that ``other`` has; on equal levels the side that ``owns_ties`` counts as the wider one.
+    """
+    own, start, end = F.col(f"_{prefix}_level"), F.col(f"{prefix}_start"), F.col(f"{prefix}_end")
+    theirs = "b" if prefix == "a" else "a"
+    # at most LEVELS numbers
+    levels = other.agg(F.collect_set(f"_{theirs}_level").alias("levels")).scalar()
+    above = F.filter("_levels", lambda k: (k >= own) if not owns_ties else (k > own))
+    keys = F.concat(
+        F.array(F.struct(F.lit(prefix).alias("_wider"), own.alias("_level"))),
+        F.transform(above, lambda k: F.struct(F.lit(theirs).alias("_wider"), k.alias("_level"))),
+    )
+    keyed = rows.withColumn("_levels", levels).withColumn("_key", F.explode(keys)).select(*rows.columns, "_key.*")
+    width = _width(F.col("_level"), bin_size)
+    return keyed.withColumn("_bin", F.explode(F.sequence(F.floor(start / width), F.floor((end - 1) / width))))
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, bin_size: int = BIN) -> DataFrame:
     """Rows of both sides, columns prefixed ``a_`` and ``b_``, for each pair that shares a base.
 
-    A pair shares several bins at times; it is taken in the first that both have.
+    Bins come in levels of growing width, and an interval is put into few bins of each, however long it is. A
+    pair meets at one level only; where it shares several bins there it is taken in the first.
     """
     a = left.filter("end > start").select(*(F.col(c).alias(f"a_{c}") for c in left.columns))
     b = right.filter("end > start").select(*(F.col(c).alias(f"b_{c}") for c in right.columns))
-    a = a.withColumn("_bin", F.explode(_bins(F.col("a_start"), F.col("a_end"), bin_size)))
-    b = b.withColumn("_b_bin", F.explode(_bins(F.col("b_start"), F.col("b_end"), bin_size)))
-    meet = (F.col("a_chrom") == F.col("b_chrom")) & (F.col("_bin") == F.col("_b_bin"))
-    meet = meet & (F.col("a_start") < F.col("b_end")) & (F.col("b_start") < F.col("a_end"))
-    first = F.greatest(F.floor(F.col("a_start") / bin_size), F.floor(F.col("b_start") / bin_size))
-    return a.join(b, meet & (F.col("_bin") == first)).drop("_bin", "_b_bin")
+    a = a.withColumn("_a_level", _level(F.col("a_start"), F.col("a_end"), bin_size))
+    b = b.withColumn("_b_level", _level(F.col("b_start"), F.col("b_end"), bin_size))
+    x = _keyed(a, "a", b, True, bin_size)
+    y = _keyed(b, "b", a, False, bin_size).withColumnsRenamed({"_wider": "_b_wider", "_level": "_at", "_bin": "_b_bin"})
+    meet = (F.col("a_chrom") == F.col("b_chrom")) & (F.col("_wider") == F.col("_b_wider")) & (F.col("_level") == F.col("_at"))
+    meet = meet & (F.col("_bin") == F.col("_b_bin")) & (F.col("a_start") < F.col("b_end")) & (F.col("b_start") < F.col("a_end"))
+    first = F.floor(F.greatest("a_start", "b_start") / _width(F.col("_level"), bin_size))
+    found = x.join(y, meet & (F.col("_bin") == first))
+    return found.select(*(f"a_{c}" for c in left.columns), *(f"b_{c}" for c in right.columns))
 
 
 def _overlap_keys(left: DataFrame, right: DataFrame, bin_size: int) -> DataFrame:
@@ -104,12 +138,10 @@ def overlap_anti(left: DataFrame, right: DataFrame, bin_size: int = BIN) -> Data
 def outside_intervals(sites: DataFrame, intervals: DataFrame, width: int = 3, bin_size: int = BIN) -> DataFrame:
     """Rows of ``sites`` (chrom, pos, ...) whose ``[pos, pos + width)`` lies inside no merged interval."""
     inside = merge_intervals(intervals).filter(F.col("end") - F.col("start") >= width)
-    inside = inside.withColumn("_bin", F.explode(_bins(F.col("start"), F.col("end"), bin_size)))
-    found = (
-        (sites["chrom"] == inside["chrom"]) & (F.floor(sites["pos"] / bin_size) == inside["_bin"])
-        & (sites["pos"] >= inside["start"]) & (sites["pos"] + width <= inside["end"])
-    )
-    return sites.join(inside, found, "left_anti")
+    spans = sites.select("chrom", F.col("pos").alias("start"), (F.col("pos") + width).alias("end")).distinct()
+    whole = (F.col("a_start") >= F.col("b_start")) & (F.col("a_end") <= F.col("b_end"))
+    found = overlap_pairs(spans, inside, bin_size).filter(whole).select(F.col("a_chrom").alias("chrom"), F.col("a_start").alias("pos"))
+    return sites.join(found, ["chrom", "pos"], "left_anti")
 
 
 def sorted_intervals(intervals: Column, descending: Column | None = None) -> Column:

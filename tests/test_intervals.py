@@ -6,6 +6,7 @@ from stranda.operators import intervals as iv
 from stranda.operators.nearest import nearest_at_distance, nearest_in_list
 
 SPAN = st.tuples(st.sampled_from(["c1", "c2"]), st.integers(0, 60), st.integers(0, 25)).map(lambda x: (x[0], x[1], x[1] + x[2]))
+LONG = st.tuples(st.sampled_from(["c1", "c2"]), st.integers(0, 3000), st.sampled_from([0, 1, 3, 16, 17, 120, 900, 40_000])).map(lambda x: (x[0], x[1], x[1] + x[2]))
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 SCHEMA = "chrom string, start long, end long"
 
@@ -38,6 +39,40 @@ def test_overlaps(spark, left, right, size):
     assert sorted(map(tuple, iv.overlap_anti(a, b, size).collect())) == sorted(x for x in left if not any(meet(x, y) for y in right))
 
 
+@FEW
+@given(st.lists(LONG, max_size=9), st.lists(LONG, max_size=9))
+def test_overlaps_of_all_levels(spark, left, right):
+    a, b = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    meet = lambda x, y: x[0] == y[0] and x[1] < y[2] and y[1] < x[2] and x[1] < x[2] and y[1] < y[2]
+    got = sorted((r.a_chrom, r.a_start, r.a_end, r.b_start, r.b_end) for r in iv.overlap_pairs(a, b, 2).collect())
+    assert got == sorted((*x, *y[1:]) for x in left for y in right if meet(x, y))
+    sites = sorted({(c, s) for c, s, _ in left})
+    whole = brute_merge(right, True)
+    clear = [x for x in sites if not any(x[0] == c and s <= x[1] and x[1] + 3 <= e for c, s, e in whole)]
+    found = iv.outside_intervals(spark.createDataFrame(sites or [("none", 0)], "chrom string, pos long"), b, 3, 2)
+    assert sorted(map(tuple, found.collect())) == (clear if sites else [("none", 0)])
+
+
+def test_an_interval_has_few_keys_however_long(spark):
+    lengths = [1, 4096, 4097, 10**6, 248_956_422, 2**40]
+    rows = spark.createDataFrame([("c", 4095, 4095 + n) for n in lengths], SCHEMA).select(*(F.col(c).alias(f"a_{c}") for c in ("chrom", "start", "end")))
+    rows = rows.withColumn("_a_level", iv._level(F.col("a_start"), F.col("a_end"), iv.BIN))
+    other = rows.withColumnsRenamed({c: c.replace("a_", "b_", 1) for c in rows.columns})
+    assert rows.select("_a_level").distinct().count() >= 4
+    keys = {r.a_end - 4095: r["count"] for r in iv._keyed(rows, "a", other, True, iv.BIN).groupBy("a_end").count().collect()}
+    assert set(keys) == set(lengths) and max(keys.values()) <= iv.WIDER + 1 + 2 * iv.LEVELS
+
+
+def test_overlaps_of_edge_rows(spark):
+    """Rows with a null place or of no length meet nothing, repeated rows meet each by itself, other columns come along."""
+    wide = SCHEMA + ", _level string"
+    a = spark.createDataFrame([("c", 0, 9, "x"), ("c", 0, 9, "x"), ("c", None, 9, "n"), (None, 0, 9, "n"), ("c", 4, 4, "e")], wide)
+    b = spark.createDataFrame([("c", 8, 10**9, "y"), ("c", 9, 10, "no")], wide)
+    assert [(r.a__level, r.b__level) for r in iv.overlap_pairs(a, b).collect()] == [("x", "y")] * 2
+    assert iv.overlap_pairs(a, b.limit(0)).count() == iv.overlap_pairs(a.limit(0), b).count() == 0
+    assert sorted(r._level for r in iv.overlap_anti(a, b).collect()) == ["e", "n", "n"]
+
+
 def test_merge_rules(spark):
     df = spark.createDataFrame([("c", 0, 10), ("c", 10, 20)], SCHEMA)
     assert [tuple(r) for r in iv.merge_intervals(df).collect()] == [("c", 0, 20)]
