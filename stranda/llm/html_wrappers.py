@@ -10,7 +10,9 @@ number at a time. Nesting may be of any depth: steps that follow it keep their o
 Each wrapper then decides which of its slots hold the article: slots below an article or main container,
 or, on hosts without one, below the container that holds most text which is no link and not equal on all pages.
 Slots below containers whose tag, class, id or role names menus, headers, footers, sidebars, notices, adverts, forms
-or comments do not; but a name of that kind counts for nothing on a container without which no article would be left.
+or comments do not; but a name of that kind counts for nothing on a container without which no article would be left,
+and some names count for nothing on a section of the article whose text differs from page to page and is no list of links.
+A first-level heading before an article that has none belongs to it. What is marked as hidden is left out.
 A page's text is what its own stream has in these slots.
 """
 
@@ -24,6 +26,7 @@ import re
 from collections.abc import Callable, Generator, Iterator
 from functools import lru_cache, wraps
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,8 +40,8 @@ FAN_IN = 32
 #: Hosts that a task holds before it passes their wrappers on.
 HELD_HOSTS = 2_000
 
-#: Most neighbours that are looked at as one repeated group of several.
-GROUP = 8
+#: Lists of more neighbours than this are searched for repeated groups by whole rows of comparisons; the result is the same.
+LONG_LIST = 64
 #: Pages of one host that a task of the join with rules reads, about.
 HOST_PAGES = 200_000
 
@@ -55,7 +58,7 @@ DROPPED = frozenset("audio button canvas datalist iframe label legend noscript o
 BOILERPLATE_TAGS = frozenset("aside dialog fieldset footer form header menu nav".split())
 MAIN_TAGS = frozenset(("article", "main"))
 BOILERPLATE_WORDS = frozenset(
-    "ad ads advert advertisement adverts adsense banner banners breadcrumb breadcrumbs byline comment comments cookie cookies copyright "
+    "ad ads advert advertisement adverts adsense alert alerts banner banners breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright "
     "disclaimer discussion disqus footer foot form gdpr header login masthead menu menubar meta modal nav navbar navigation newsletter "
     "notice notices pagination paywall popup promo promotion recommended related replies reply respond search share sharing sidebar "
     "signup skip skyscraper social sponsor sponsored subscribe subscription tags toolbar widget widgets".split()
@@ -63,6 +66,12 @@ BOILERPLATE_WORDS = frozenset(
 MAIN_WORDS = frozenset("article articlebody content entry main post postbody story".split())
 #: A name with one of these words tells the state or the layout of a container, not its role.
 STATE_WORDS = frozenset("has have is no not with without show hide layout".split())
+#: Names that a section of an article may have for its subject; other evidence decides there.
+SUBJECT_WORDS = frozenset("copyright disclaimer discussion form login reply search share sharing subscription tags widget widgets".split())
+#: Elements within a line with one of these names are adverts.
+ADVERT_WORDS = frozenset("ad ads advert advertisement adverts adsense sponsored".split())
+#: Stands in a label for an element that is not shown.
+HIDDEN = "!hidden"
 #: A header of these is the headline of an article.
 HEADLINE_WORDS = frozenset("article entry post story".split())
 
@@ -74,6 +83,9 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _NAMED = re.compile(r"""(?:^|[\s/"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
+_UNSEEN = re.compile(r"""(?:^|[\s/])hidden(?=[\s/=]|$)""", re.IGNORECASE)
+_STYLED = re.compile(r"""(?:^|[\s/"'])style\s*=\s*(?:"[^"]*?display\s*:\s*none|'[^']*?display\s*:\s*none|display:none)""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -127,9 +139,16 @@ def _label(name: str, rest: str) -> str:
                 words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
                 if words:
                     names.add("-".join(words))
+    if rest and (_UNSEEN.search(_QUOTED.sub("''", rest)) or "=" in rest and _STYLED.search(rest)):
+        names.add(HIDDEN)
     return " ".join([name, *sorted(names)])
 
 
+def _is_advert(label: str) -> bool:
+    """Whether an element within a line is left out with what it holds."""
+    return HIDDEN in label or any(set(name.split("-")) <= ADVERT_WORDS for name in label.split(" ")[1:])
+
+
 def page_tree(page: str) -> Node:
     """Containers and slots of one page; blocks of text in page order, neighbours with equal labels in one slot."""
     root = Node("page")
@@ -139,6 +158,8 @@ def page_tree(page: str) -> Node:
     parts: list[str] = []
     links = inside_link = 0
     unclosed: set[str] = set()
+    #: Open elements ``span`` and ``ins`` since one that is left out.
+    skipped = 0
 
     def flush() -> None:
         nonlocal links
@@ -160,6 +181,8 @@ def page_tree(page: str) -> Node:
 
     def text(piece: str) -> None:
         nonlocal links
+        if skipped:
+            return
         piece = entities.unescape(piece) if "&" in piece else piece
         parts.append(piece)
         if inside_link:
@@ -186,11 +209,18 @@ def page_tree(page: str) -> Node:
                 unclosed.add(name)
         elif name == "a":
             inside_link = 0 if ends else 1
+        elif name in ("ins", "span"):
+            if skipped:
+                skipped += -1 if ends else 1
+            elif not ends and m["rest"] and _is_advert(_label(name, m["rest"])):
+                skipped = 1
         elif name in LEAVES:
             flush()
-            leaf = "#" if ends or name in ("br", "hr") else _label(name, m["rest"]).replace(name, "#", 1)
+            skipped = 0
+            leaf = "#" if ends or name in ("br", "hr") else _label(name, m["rest"]).replace(name, "#h1" if name == "h1" else "#", 1)
         elif name in CONTAINERS:
             flush()
+            skipped = 0
             leaf = "#"
             inside_link = 0
             if not ends:
@@ -283,16 +313,45 @@ def _group(members: list[Node]) -> Node:
     return out
 
 
+def _periods(kinds: list) -> Callable[[int], int]:
+    """The least number of labels, two or more and not all equal, that stand twice in a row from a place on; 0 for none."""
+    n = len(kinds)
+    if n <= LONG_LIST:
+
+        def least(i: int) -> int:
+            for k in range(2, (n - i) // 2 + 1):
+                if kinds[i] == kinds[i + k] and kinds[i : i + k] == kinds[i + k : i + 2 * k] and len(set(kinds[i : i + k])) > 1:
+                    return k
+            return 0
+
+        return least
+    numbers: dict = {}
+    row = np.array([numbers.setdefault(x, len(numbers)) for x in kinds])
+    # how many labels from a place on are equal to it
+    ends = np.flatnonzero(np.append(row[1:] != row[:-1], True))
+    equal = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1
+    found = np.zeros(n, dtype=np.int64)
+    for k in range(2, n // 2 + 1):
+        same = row[:-k] == row[k:]
+        if np.count_nonzero(same) < k:
+            continue
+        # places from which the next k comparisons all hold
+        stops = np.flatnonzero(np.append(~same, True))
+        run = stops[np.searchsorted(stops, np.arange(len(same)))] - np.arange(len(same))
+        places = np.flatnonzero((run >= k) & (found[: len(same)] == 0) & (equal[: len(same)] < k))
+        found[places] = k
+    return lambda i: int(found[i])
+
+
 def _runs(kinds: list, known: dict) -> list[tuple[int, int]]:
     """(first, length) of the items of a list of labels: single ones, and groups that repeat or are ``known``."""
     out, i = [], 0
+    period = _periods(kinds)
     while i < len(kinds):
         group = next((k for k in known.get(kinds[i], ()) if tuple(kinds[i : i + len(k)]) == k), None)
         if group is None:
-            for k in range(2, min(GROUP, (len(kinds) - i) // 2) + 1):
-                if kinds[i : i + k] == kinds[i + k : i + 2 * k] and len(set(kinds[i : i + k])) > 1:
-                    group = tuple(kinds[i : i + k])
-                    break
+            k = period(i)
+            group = tuple(kinds[i : i + k]) if k else None
         if group is None:
             out.append((i, 1))
             i += 1
@@ -440,6 +499,8 @@ def _is_boilerplate(label: str, in_main: bool, by_name: bool) -> bool:
     if label.startswith("("):
         return False
     tag, names = label.split(" ", 1)[0], _names(label)
+    if HIDDEN in label:
+        return True
     if tag in ("nav", "menu") or tag in BOILERPLATE_TAGS and by_name and not (in_main and tag == "header"):
         return True
     if not by_name or tag in ("main", "body", "page"):
@@ -462,6 +523,23 @@ def _is_main(label: str) -> bool:
     return tag in MAIN_TAGS or tag != "body" and named
 
 
+@lru_cache(maxsize=65_536)
+def _may_be_subject(label: str) -> bool:
+    """Whether the names of a section that are those of boilerplate may also be its subject."""
+    found = [words for words in _names(label) if words & BOILERPLATE_WORDS]
+    return label.startswith("section ") and all(words & BOILERPLATE_WORDS <= SUBJECT_WORDS or "related" in words and len(words) > 1 for words in found)
+
+
+def _is_subject(node: Node, pages: int) -> bool:
+    """Whether a section of an article tells its subject by its name: it occurs once, is no list, and texts differ from page to page."""
+    if not _may_be_subject(node.label) or HIDDEN in node.label or node.repeated or pages < 2:
+        return False
+    inner = list(_bottom_up(node))
+    slots = [x for x in inner if x.children is None]
+    told = 2 * sum(x.links for x in slots) < sum(x.chars for x in slots) and any(x.constant is None for x in slots)
+    return told and not any(x is not node and x.children is not None and (x.repeated or x.label.startswith("(")) for x in inner)
+
+
 def _roles(wrapper: Node, by_name: bool) -> tuple[list[Node], list[Node]]:
     """The slots in main containers, and the others that are in no boilerplate."""
     named: list[Node] = []
@@ -470,7 +548,7 @@ def _roles(wrapper: Node, by_name: bool) -> tuple[list[Node], list[Node]]:
     while stack:
         node, in_main = stack.pop()
         for child in node.children:
-            if _is_boilerplate(child.label, in_main, by_name):
+            if _is_boilerplate(child.label, in_main, by_name) and not (in_main and child.children is not None and _is_subject(child, wrapper.pages)):
                 continue
             if child.children is None:
                 (named if in_main else other).append(child)
@@ -483,12 +561,14 @@ def main_slots(wrapper: Node) -> set[int]:
     """The slots (by identity) of a wrapper that hold the article."""
     named, other = _roles(wrapper, True)
     if named:
+        if not any(s.label.startswith("#h1") for s in named):
+            named += [s for s in other if s.label.startswith("#h1") and s.constant is None and wrapper.pages > 1 and 2 * s.links < max(1, s.chars)]
         return set(map(id, named))
     loose, rest = _roles(wrapper, False)
     if loose:
         return set(map(id, loose))
     for slots in (other, rest):
-        usable = {id(s) for s in slots if 2 * s.links < max(1, s.chars) and not (wrapper.pages >= 5 and s.constant is not None)}
+        usable = {id(s) for s in slots if 2 * s.links < max(1, s.chars) and not (wrapper.pages > 1 and s.constant is not None)}
         usable = usable or {id(s) for s in slots if 2 * s.links < max(1, s.chars)}
         if usable:
             break

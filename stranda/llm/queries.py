@@ -12,7 +12,7 @@ from .filter_audit import AUDIT_SQL, audit_documents
 from .html_wrappers import extract_pages
 from .licenses import scan_licenses
 from .line_dedup import EQUAL_CHARS, line_report
-from .near_dups import near_duplicates
+from .near_dups import COMPONENTS_SQL, near_duplicates
 from .packing import pack_documents
 from .quality import quality_rules
 from .secrets import scan_secrets
@@ -88,4 +88,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_filter_audit": AUDIT_SQL, "op12_exact_top_k": SEARCH_SQL}
+    return {"op6_near_duplicates": COMPONENTS_SQL, "op11_filter_audit": AUDIT_SQL, "op12_exact_top_k": SEARCH_SQL}

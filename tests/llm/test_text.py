@@ -348,6 +348,72 @@ def test_groups_of_several_elements():
         assert w.extract(f"<article>{pair * 4}</article>", w.rule_of(both)) == "question\nanswer\nquestion\nanswer\nquestion\nanswer\nquestion\nanswer"
 
 
+def extracted(pages):
+    """Texts of pages of one host by the rule of all."""
+    whole = None
+    for p in pages:
+        one = html_wrappers.wrapper_of(html_wrappers.page_tree(p))
+        whole = one if whole is None else html_wrappers.align(whole, one)
+    rule = html_wrappers.rule_of(html_wrappers.load(html_wrappers.dump(whole)))
+    return [html_wrappers.extract(p, rule) for p in pages]
+
+
+def test_sections_named_for_their_subject():
+    names = "id=discussion,id=related-work,class=reply,class=copyright,id=search,id=tags,class=share,id=login,class=widgets,id=subscription,id=form"
+    for name in names.split(","):
+        body = "<html><body><nav><a href=/>Home</a></nav><article><p>Lead {k}</p><section {n}><h2>Part</h2><p>Told at length {k}</p></section></article></body></html>"
+        assert extracted([body.format(n=name, k=k) for k in range(3)]) == [f"Lead {k}\nPart\nTold at length {k}" for k in range(3)], name
+    # the same names on lists of links, on words that all pages have and on threads of readers, and names that tell a role
+    for n, inner in (
+        ("section class=share", "<p><a href=x>Send {k}</a></p>"), ("section class=copyright", "<p>All rights</p>"), ("section id=comments", "<p>Said {k}</p>"),
+        ("section id=discussion", "<div><p>Said {k}</p></div><div><p>Replied {k}</p></div>"), ("div class=share", "<p>Send {k}</p>"),
+    ):
+        pages = [f"<html><body><article><p>Lead {k}</p><{n}>{inner.format(k=k)}</{n.split()[0]}></article></body></html>" for k in range(3)]
+        assert extracted(pages) == [f"Lead {k}" for k in range(3)], n
+
+
+def test_headline_before_an_article():
+    page = "<html><body><div><h1>{h}</h1></div><article>{a}<p>Body {k}</p></article></body></html>"
+    assert extracted([page.format(h=f"Head {k}", a="", k=k) for k in range(2)]) == [f"Head {k}\nBody {k}" for k in range(2)]
+    # the name of the site, a link to it, or the headline of an article that has one
+    assert extracted([page.format(h="Site", a="", k=k) for k in range(2)]) == [f"Body {k}" for k in range(2)]
+    assert extracted([page.format(h=f"<a href=/>Site {k}</a>", a="", k=k) for k in range(2)]) == [f"Body {k}" for k in range(2)]
+    assert extracted([page.format(h=f"Section {k}", a=f"<h1>Head {k}</h1>", k=k) for k in range(2)]) == [f"Head {k}\nBody {k}" for k in range(2)]
+
+
+def test_what_is_not_shown():
+    for gone in (
+        "<p hidden>x</p>", "<div hidden><p>x</p></div>", "<div style='color:red; display: none'>x</div>", "<p style=display:none>x</p>",
+        "<div class=alert>x</div>", "<div id=consent><p>x</p></div>", "<p><span class=ad>x <span>y</span> z</span></p>", "<ins class=adsense>x</ins>",
+    ):
+        assert own(f"<html><body><article><p>One</p>{gone}<p>Two</p></article></body></html>") == "One\nTwo", gone
+    kept = '<p>One <span class="added">two</span> <span>three</span></p><p aria-hidden="false" title="hidden text">Four</p><p style="display:block">Five'
+    assert own(f"<html><body><article>{kept}</article></body></html>") == "One two three\nFour\nFive"
+    # an advert that is never closed ends with its block
+    assert own("<html><body><article><p>One <span class=ad>x<p>Two</article></body></html>") == "One\nTwo"
+
+
+def test_constant_words_on_hosts_of_few_pages():
+    for n in (2, 3, 4, 5, 8):
+        page = "<html><body><div class=q><p>Fixed words of the site on every page</p></div><div class=r><p>Told {k} at some length, more than once</p></div></body></html>"
+        assert extracted([page.format(k=k) for k in range(n)]) == [f"Told {k} at some length, more than once" for k in range(n)]
+
+
+def test_groups_of_any_length():
+    for n in (2, 8, 9, 20, 70):
+        row = "".join(f"<p class={'x' * (j + 1)}>t</p>" for j in range(n))
+        wrapper = html_wrappers.wrapper_of(html_wrappers.page_tree(f"<html><body><article>{row * 5}</article></body></html>"))
+        assert sum(1 for _ in html_wrappers._bottom_up(wrapper)) == n + 4, n
+    rng = random.Random(5)
+    for letters in ("ab", "abc", "abcdefgh"):
+        for _ in range(6):
+            row = [rng.choice(letters) for _ in range(90)]
+            row[20:20] = row[:19]
+            plain = [next((k for k in range(2, (len(row) - i) // 2 + 1) if row[i : i + k] == row[i + k : i + 2 * k] and len(set(row[i : i + k])) > 1), 0) for i in range(len(row))]
+            fast = html_wrappers._periods(row)
+            assert [fast(i) for i in range(len(row))] == plain
+
+
 def test_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(200):
