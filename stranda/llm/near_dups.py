@@ -305,12 +305,12 @@ def _class_components(docs: DataFrame, signed: DataFrame, percent: int) -> DataF
 COMPONENTS_SQL = rf"""with recursive worded as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x20\x09-\x0D]+') as w from documents),
 sets as (select doc_id, case when len(w) = 0 then [] when len(w) < {WORDS} then [array_to_string(w, ' ')]
-  else list_sort(list_distinct(list_transform(range(1, len(w) - {WORDS} + 2), i -> array_to_string(list_slice(w, i, i + {WORDS} - 1), ' ')))) end as shingles from worded),
+  else list_sort(list_distinct([array_to_string(list_slice(w, i, i + {WORDS} - 1), ' ') for i in range(1, len(w) - {WORDS} + 2)])) end as shingles from worded),
 led as (select doc_id, len(shingles) as n, shingles, case when len(shingles) = 0 then doc_id else min(doc_id) over (partition by shingles) end as leader from sets),
 members as (select leader, n, unnest(shingles) as shingle from led where doc_id = leader),
-shared as (select a.leader as x, b.leader as y, a.n as nx, b.n as ny, count(*) as both
+shared as (select a.leader as x, b.leader as y, a.n as nx, b.n as ny, count(*) as common
   from members a join members b on a.shingle = b.shingle and a.leader < b.leader group by all),
-links as (select x, y from shared where 100 * both >= {PERCENT} * (nx + ny - both)),
+links as (select x, y from shared where 100 * common >= {PERCENT} * (nx + ny - common)),
 edges as (select x, y from links union all select y, x from links),
 reach as (select distinct leader as x, leader as y from led union select r.x, e.y from reach r join edges e on r.y = e.x),
 roots as (select x, min(y) as root from reach group by x)
