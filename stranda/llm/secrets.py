@@ -1,8 +1,9 @@
 """Secret scans: candidates by pattern, and a random forest that removes false positives.
 
-A candidate is a run of 16 or more key characters with a digit. The forest looks at its length, its
-characters and the transitions between their kinds, how much of it dictionary words cover, at path and
-address marks, and at the neighbouring words on both sides. It is trained here from labelled findings: a
+A candidate is a run of 16 or more key characters with a digit; a value of 8 or more characters that a word such as
+password or token names; the password in the credentials of an address; or a block of a private key. The
+forest looks at its length, its characters, the transitions between their kinds and between letters as dictionary words have them, how
+much of it dictionary words cover, at path and address marks, and at the neighbouring words on both sides. It is trained here from labelled findings: a
 table of (before, candidate, after, label), by default ``labelled_findings``, a bounded set made from the
 shapes that keys, hashes, identifiers, paths and placeholders have. Only DataFrame functions are used.
 """
@@ -22,7 +23,21 @@ TREES, DEPTH, SEED = 24, 7, 7
 FINDINGS = 4_000
 THRESHOLD = 0.5
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]{0,200}[0-9])[A-Za-z0-9_+/.\-]{15,}[A-Za-z0-9_+/](?:={1,2}(?![A-Za-z0-9]))?"
+# Words that name a secret in front of its value.
+NAMING = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret"
+#: A naming word and what stands between it and a value: a quote, blanks and one mark. Java's look-behind needs the bounds; three blanks are the most.
+_NAMED = rf"(?<=(?i:{NAMING})[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}"
+_RUN = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]*+[0-9])[A-Za-z0-9_+/.\-]{15,}[A-Za-z0-9_+/](?:={1,2}(?![A-Za-z0-9]))?"
+CANDIDATE = "|".join(
+    (
+        r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[^-]*+-----END (?:[A-Z]+ )*PRIVATE KEY-----",
+        # user names of up to 64 characters
+        r"(?<=://[^\s/:@]{1,64}:)[^\s/@]{3,}+(?=@)",
+        rf"{_NAMED}[\"'`])[^\s\"'`]{{8,}}+(?=[\"'`])",
+        _RUN,
+        rf"{_NAMED})[^\s\"'`,;<>()\[\]{{}}]{{8,}}+",
+    )
+)
 
 # Words and prefixes that tell secrets from other identifiers.
 KEY_WORDS = "token|secret|passwd|password|pwd|apikey|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?|client[_-]?secret|signing[_-]?key"
@@ -47,6 +62,15 @@ DICTIONARY = (
 ).split()
 
 
+def _letter_pairs() -> str:
+    """A pattern that matches where two letters begin that follow each other in some dictionary word."""
+    after: dict[str, set[str]] = {}
+    for word in DICTIONARY:
+        for x, y in zip(word, word[1:], strict=False):
+            after.setdefault(x, set()).add(y)
+    return "(?=" + "|".join(f"{x}[{''.join(sorted(after[x]))}]" for x in sorted(after)) + ")"
+
+
 def _share(part: Column, whole: Column) -> Column:
     return part / F.greatest(whole, F.lit(1))
 
@@ -66,6 +90,10 @@ def features(before: Column, candidate: Column, after: Column) -> dict[str, Colu
         "upper": _share(_matches(candidate, "[A-Z]"), n),
         "symbols": _share(_matches(candidate, r"[^A-Za-z0-9]"), n),
         "transitions": _share(_matches(candidate, "[a-z](?=[A-Z0-9])|[A-Z](?=[a-z0-9])|[0-9](?=[A-Za-z])"), n),
+        "letter_pairs": _share(_matches(lower, _letter_pairs()), _matches(lower, "(?=[a-z][a-z])")),
+        "block": F.when(candidate.startswith("-----BEGIN "), 1.0).otherwise(0.0),
+        "credentials": F.when(before.rlike(r"://[^\s/:@]+:$") & after.startswith("@"), 1.0).otherwise(0.0),
+        "variable": F.when(candidate.rlike(r"[$%{}<>()\[\]]|^[A-Z_]+$|^[a-z]+(?:[._][a-z]+)+$"), 1.0).otherwise(0.0),
         "distinct": _share(F.size(F.array_distinct(F.split(candidate, ""))).cast("double"), F.least(n, F.lit(36.0))),
         "runs": _share(_matches(lower, r"(.)\1\1+"), n),
         "hex": F.when(candidate.rlike("^(?:0x)?[0-9a-fA-F]+$"), 1.0).otherwise(0.0),
@@ -128,12 +156,15 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     sets = _pick(2, " = \"", "=", ": ", "=\"", ": \"", " = ", " = '", "\": \"")
     close = _pick(3, "\" ", "\"", " ", "\n", "' ", ", ", "\"### ", "\"!! ")
     lead = F.concat(word(4), F.lit(" "), word(5), _pick(6, " ", "\n", ". ", "; "))
+    phrase = F.concat(word(51), _pick(52, "-", "", "_", "."), word(53), _pick(54, "!", "#", "&", "1", "?"), F.substring(_hex(55, 3), 1, 3))
+    spelled = F.concat(_mixed(56, 5), _pick(57, "!", "&", "#", "9", "*"), _mixed(58, 6))
     secret = F.element_at(
         F.array(
+            phrase, spelled, F.concat(word(59), word(60), word(61)),
             _hex(11, 40), _hex(12, 32), _hex(13, 64), _mixed(14, 40), _mixed(15, 32), F.concat(F.lit("ghp_"), _mixed(16, 36)), F.upper(_hex(10, 40)),
             F.concat(F.lit("AKIA"), F.upper(_mixed(17, 16)), F.lit("7")), F.concat(F.lit("sk-"), _mixed(18, 44)), F.concat(F.lit("AIza"), _mixed(19, 35)),
         ),
-        (F.pmod("id", F.lit(10)) + 1).cast("int"),
+        (F.pmod("id", F.lit(13)) + 1).cast("int"),
     )
     sha = F.concat(_pick(21, "sha256", "md5", "checksum", "commit", "digest", "etag", "revision", "sha1"), _pick(22, ":", ": ", "=", " "))
     false = F.element_at(
@@ -148,12 +179,27 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
             F.struct(F.lit("the ").alias("b"), F.regexp_replace(F.conv(_hex(42, 15), 16, 10), "^", "1").alias("c"), F.lit(" ").alias("a")),
             F.struct(F.lit("call ").alias("b"), F.concat(F.lit("+1-"), F.substring(F.conv(_hex(43, 12), 16, 10), 1, 10), F.lit("-555-01")).alias("c"), F.lit(" ").alias("a")),
             F.struct(F.lit("== ").alias("b"), F.concat(F.repeat(_pick(44, "-", "=", "_", "a"), 20), F.lit("1")).alias("c"), F.lit("\n").alias("a")),
+            F.struct(F.concat(keys, sets).alias("b"), _pick(62, "required", "changeme", "optional", "placeholder", "undefined", "disabled", "redacted", "your-password", "xxxxxxxx", "********").alias("c"), close.alias("a")),
+            F.struct(F.concat(keys, sets).alias("b"), F.concat(_pick(63, "${", "%(", "{{", "os.environ.", "config.", "process.env."), word(64), F.lit("_"), word(65), _pick(66, "}", ")s", "}}", "")).alias("c"), close.alias("a")),
+            F.struct(F.concat(F.lit("the "), keys, F.lit(": ")).alias("b"), F.concat(_pick(67, "re", "un", "inter", "over"), word(68), _pick(69, "ing", "ed", "able", "ment")).alias("c"), F.lit(" ").alias("a")),
+            F.struct(F.concat(_pick(70, "https", "postgres", "redis"), F.lit("://user:")).alias("b"), _pick(71, "password", "pass", "<password>", "PASSWORD", "$PASSWORD", "xxx").alias("c"), F.lit("@host/").alias("a")),
             F.struct(F.lit("mail ").alias("b"), F.concat(word(45), F.lit("."), word(46), F.substring(_hex(47, 4), 1, 4), F.lit("99")).alias("c"), F.lit("@mail.example.com").alias("a")),
         ),
-        (F.pmod("id", F.lit(11)) + 1).cast("int"),
+        (F.pmod("id", F.lit(15)) + 1).cast("int"),
     )
     ids = spark.range(n // 2)
-    good = ids.select(F.concat(lead, keys, sets).alias("before"), secret.alias("candidate"), close.alias("after"), F.lit(1.0).alias("label"))
+    named = F.struct(F.concat(lead, keys, sets).alias("b"), secret.alias("c"), close.alias("a"))
+    address = F.struct(
+        F.concat(lead, _pick(72, "https", "postgres", "mysql", "amqp", "redis"), F.lit("://"), word(73), F.lit(":")).alias("b"),
+        F.when(F.col("id") % 2 == 0, phrase).otherwise(spelled).alias("c"), F.concat(F.lit("@"), word(74), _pick(75, ".net/", ":5432/", "/")).alias("a"),
+    )
+    kind = _pick(76, "RSA ", "EC ", "OPENSSH ", "")
+    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.left(F.base64(F.unhex(F.sha2(F.concat_ws("-", "id", i), 512))), F.lit(64))), "\n")
+    block = F.struct(lead.alias("b"), F.concat(F.lit("-----BEGIN "), kind, F.lit("PRIVATE KEY-----\n"), body, F.lit("\n-----END "), kind, F.lit("PRIVATE KEY-----")).alias("c"), close.alias("a"))
+    form = F.pmod(F.xxhash64("id", F.lit(77)), F.lit(8))
+    good = ids.select(F.when(form == 0, address).when(form == 1, block).otherwise(named).alias("x")).select(
+        F.col("x.b").alias("before"), F.col("x.c").alias("candidate"), F.col("x.a").alias("after"), F.lit(1.0).alias("label")
+    )
     bad = ids.select(false.alias("x"), lead.alias("l")).select(
         F.concat("l", "x.b").alias("before"), F.col("x.c").alias("candidate"), F.col("x.a").alias("after"), F.lit(0.0).alias("label")
     )
@@ -172,6 +218,18 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
     return forest.fit(_with_features(findings).select("features", "label"))
 
 
+#: The model of the default findings, by application: trained once in each.
+_trained: dict[str, RandomForestClassificationModel] = {}
+
+
+def default_model(spark: SparkSession) -> RandomForestClassificationModel:
+    key = spark.sparkContext.applicationId
+    if key not in _trained:
+        _trained.clear()
+        _trained[key] = train(labelled_findings(spark))
+    return _trained[key]
+
+
 def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, start, length, candidate, probability and is_secret for every candidate of ``docs`` (doc_id, text, ...).
 
@@ -179,7 +237,7 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold:
     texts have none; null doc_ids and repeated rows are scanned like others. An empty table gives no rows. Other columns are
     ignored.
     """
-    model = train(labelled_findings(docs.sparkSession) if findings is None else findings)
+    model = default_model(docs.sparkSession) if findings is None else train(findings)
     scored = model.transform(_with_features(candidates(docs.select("doc_id", "text"))))
     p = F.round(vector_to_array("probability")[1], 6)
     return scored.select(
