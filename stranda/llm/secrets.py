@@ -25,6 +25,7 @@ THRESHOLD = 0.5
 
 # Words that name a secret in front of its value.
 NAMING = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret"
+# A long look-behind is tried at every length, so a short one that few places pass stands before each.
 #: A naming word and what stands between it and a value: a quote, blanks and one mark. Java's look-behind needs the bounds; three blanks are the most.
 _NAMED = rf"(?<=(?i:{NAMING})[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}"
 _RUN = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]*+[0-9])[A-Za-z0-9_+/.\-]{15,}[A-Za-z0-9_+/](?:={1,2}(?![A-Za-z0-9]))?"
@@ -32,10 +33,10 @@ CANDIDATE = "|".join(
     (
         r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[^-]*+-----END (?:[A-Z]+ )*PRIVATE KEY-----",
         # user names of up to 64 characters
-        r"(?<=://[^\s/:@]{1,64}:)[^\s/@]{3,}+(?=@)",
-        rf"{_NAMED}[\"'`])[^\s\"'`]{{8,}}+(?=[\"'`])",
+        r"(?<=:)(?<=://[^\s/:@]{1,64}:)[^\s/@]{3,}+(?=@)",
+        rf"(?<=[\"'`]){_NAMED}[\"'`])[^\s\"'`]{{8,}}+(?=[\"'`])",
         _RUN,
-        rf"{_NAMED})[^\s\"'`,;<>()\[\]{{}}]{{8,}}+",
+        rf"(?<=[=:][ \t]{{0,3}}){_NAMED})[^\s\"'`,;<>()\[\]{{}}]{{8,}}+",
     )
 )
 
