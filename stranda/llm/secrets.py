@@ -40,6 +40,16 @@ CANDIDATE = "|".join(
     )
 )
 
+#: What a text with a candidate has for certain, found at a fraction of the pattern's cost: (parts that it contains, a pattern in it) for each kind.
+_SIGNS = (
+    (("PRIVATE KEY-----",), None),
+    (("://", "@"), None),
+    (("",), r"[A-Za-z0-9_+/.\-]{16}"),
+    (("",), r"[DEYTNdeytn][\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"'`]?[^\s\"'`]{8}"),
+)
+#: Candidates of a text whose places are added up in one array; the sums of such blocks are added up after.
+PLACES = 1024
+
 # Words and prefixes that tell secrets from other identifiers.
 KEY_WORDS = "token|secret|passwd|password|pwd|apikey|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?|client[_-]?secret|signing[_-]?key"
 HASH_WORDS = "sha|sha1|sha256|sha512|md5|checksum|digest|commit|revision|etag|integrity|uuid|guid|blob|tree|parent|fingerprint|build|version|id"
@@ -114,25 +124,44 @@ def features(before: Column, candidate: Column, after: Column) -> dict[str, Colu
     }
 
 
+def may_have_candidate(text: Column) -> Column:
+    """False for texts without a candidate only."""
+    found = F.lit(False)
+    for parts, pattern in _SIGNS:
+        sign = F.lit(True)
+        for part in filter(None, parts):
+            sign = sign & F.contains(text, F.lit(part))
+        found = found | (sign if pattern is None else sign & text.rlike(pattern))
+    return found
+
+
+def _running(lengths: Column) -> Column:
+    """Sums of the items before each item of an array, in blocks of ``PLACES`` items, so that no long array is copied for each item."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("all"))
+    before = lambda xs: F.aggregate(
+        xs, zero, lambda a, x: F.struct((a["at"] + x).alias("at"), F.array_append(a["all"], a["at"]).alias("all")), lambda a: a["all"]
+    )
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(lengths) / PLACES).cast("int") - 1), lambda b: F.slice(lengths, b * PLACES + 1, F.lit(PLACES)))
+    sums = before(F.transform(blocks, lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)))
+    return F.flatten(F.zip_with(blocks, sums, lambda xs, at: F.transform(before(xs), lambda x: x + at)))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, start (code points before it), before, candidate, after for each candidate of ``docs`` (doc_id, text)."""
-    found = docs.filter(F.col("text").rlike(CANDIDATE)).select(
+    text = F.col("text")
+    found = docs.filter(may_have_candidate(text) & text.rlike(CANDIDATE)).select(
         "doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), 0).alias("c"), F.split("text", CANDIDATE, -1).alias("gaps")
     )
-    spans = F.arrays_zip(
-        F.col("c"), F.col("gaps"), F.slice("gaps", 2, F.size("c")).alias("next")
-    )
-    rows = found.select(
+    steps = F.zip_with("gaps", "c", lambda g, c: (F.char_length(g) + F.coalesce(F.char_length(c), F.lit(0))).cast("long"))
+    spans = F.arrays_zip(F.col("c"), F.col("gaps"), F.slice("gaps", 2, F.size("c")).alias("next"), F.col("ends").alias("from"))
+    rows = found.withColumn("ends", _running(steps)).select(
         "doc_id",
-        F.posexplode(F.transform(F.filter(spans, lambda s: s["c"].isNotNull()), lambda s: F.struct(
-            F.right(s["gaps"], F.lit(CONTEXT)).alias("before"), s["c"].alias("candidate"), F.left(s["next"], F.lit(CONTEXT)).alias("after"),
-            (F.char_length(s["gaps"])).alias("gap"), F.char_length(s["c"]).alias("size"),
-        ))).alias("k", "x"),
-        F.expr("aggregate(transform(arrays_zip(gaps, c), s -> named_struct('g', char_length(s.gaps), 'n', coalesce(char_length(s.c), 0))),"
-               " named_struct('at', cast(0 as bigint), 'all', cast(array() as array<bigint>)),"
-               " (a, s) -> named_struct('at', a.at + s.g + s.n, 'all', array_append(a.all, a.at + s.g)), a -> a.all)").alias("starts"),
+        F.explode(F.transform(F.filter(spans, lambda s: s["c"].isNotNull()), lambda s: F.struct(
+            (s["from"] + F.char_length(s["gaps"])).alias("start"), F.right(s["gaps"], F.lit(CONTEXT)).alias("before"),
+            s["c"].alias("candidate"), F.left(s["next"], F.lit(CONTEXT)).alias("after"),
+        ))).alias("x"),
     )
-    return rows.select("doc_id", F.get("starts", F.col("k")).alias("start"), "x.before", "x.candidate", "x.after")
+    return rows.select("doc_id", "x.*")
 
 
 def _pick(seed: int, *choices: str) -> Column:

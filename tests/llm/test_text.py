@@ -485,3 +485,24 @@ def test_alignment_gives_groups_options_and_slots():
     assert (z.label, z.optional) == ("div z", True)
     assert (y.optional, y.children[0].constant) == (False, a.children[1].children[0].constant)
     assert w.dump(w.load(w.dump(both))) == w.dump(both)
+
+
+def test_secret_places_in_a_text_of_many_candidates(spark):
+    line = "token=\"ab12cd34ef56gh78\" postgres://a:S3c!t@h pwd: hunter2hunter\n"
+    text = "😀 " + line * 1500
+    found = secrets.candidates(spark.createDataFrame([(1, text), (None, "none"), (2, None), (3, "")], "doc_id long, text string")).collect()
+    assert len(found) == 4500
+    assert all(text[r["start"] : r["start"] + len(r["candidate"])] == r["candidate"] for r in found)
+    assert {r["candidate"] for r in found} == {"ab12cd34ef56gh78", "S3c!t", "hunter2hunter"}
+
+
+def test_secret_signs_miss_no_candidate(spark):
+    texts = [
+        "pwd: hunter2hunter", "PASSWORD = 'correcthorse'", "api-key\t=\t`longvalue`", "amqp://u:abc@h", "a1" * 8, "x" * 300 + "1", "access_key\"  :   \"abcdefgh\"",
+        "client_secret:=abcdefghi", "tokenabcdefgh", "password: short", "://nothing @", "Passphrase==abcdefgh", "token=\n", "no sign at all",
+        "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    has, may = F.col("text").rlike(secrets.CANDIDATE), secrets.may_have_candidate(F.col("text"))
+    assert rows.filter(has).count() >= 9
+    assert rows.filter(has & ~may).count() == 0
