@@ -506,3 +506,21 @@ def test_secret_signs_miss_no_candidate(spark):
     has, may = F.col("text").rlike(secrets.CANDIDATE), secrets.may_have_candidate(F.col("text"))
     assert rows.filter(has).count() >= 9
     assert rows.filter(has & ~may).count() == 0
+
+
+def test_licenses_wrapped(spark, llm):
+    isc = (
+        "# Permission to use, copy, modify, and/or distribute this software for any\n# purpose with or without fee is hereby granted, provided that the above\n"
+        "# copyright notice and this permission notice appear in all copies.\n"
+    )
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance\nwith the License.'
+    gpl = "/*\n * This program is free software: you can redistribute it and/or\n * modify it under the terms of the GNU General\n * Public License\n */"
+    zlib = "Intro\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and\nredistribute it freely\n\nEnd"
+    rows = [(1, isc), (2, apache), (3, gpl), (4, zlib), (5, "A warrant was out.\nThe copyright of the\npainting was sold."), (6, "This is free and unencumbered software\nreleased into the public domain.")]
+    got = {r.doc_id: (r.family, r.confirmed) for r in licenses.scan_licenses(llm(rows)).collect() if r.family != "unknown"}
+    assert got == {1: ("ISC", True), 2: ("Apache-2.0", True), 3: ("GPL", True), 4: ("zlib", True), 6: ("Unlicense", True)}
+
+
+def test_every_template_has_a_cue():
+    assert all(re.search(licenses.CUE, t) for ts in licenses.TEMPLATES.values() for t in ts)
+    assert not set(licenses.UNTRAINED) & set(licenses.NEUTRAL)
