@@ -29,9 +29,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat earlier ones; documents of which nothing else is left go."""
+    """Documents without lines that repeat earlier ones; documents of which nothing else is left go. Columns may have any names."""
     cut = dedup_lines(docs, least=EQUAL_CHARS, by_words=True)
-    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else cut
+    if "n_chars" not in docs.columns:
+        return cut
+    names = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*names)
 
 
 #: Least similarity, in percent, of documents that count as near duplicates in the pipeline.
