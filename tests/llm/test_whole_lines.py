@@ -37,3 +37,12 @@ def test_pipeline_takes_out_short_equal_lines(spark):
     want = equal_lines(rows)
     cut = {r.doc_id: r.text for r in p.lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
     assert cut == {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[d]) for d, t in rows}
+
+
+def test_line_stage_keeps_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    rows = [(1, "one line here of some words\nother line", 38, "x"), (2, "one line here of some words\nthird", 33, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, `a.b` string")
+    got = {r["doc_id"]: tuple(r) for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {1: rows[0], 2: (2, "third", 5, "y")}
