@@ -9,8 +9,9 @@ target without its own n-grams; so trusted and other documents are judged by cou
 
 The number of buckets grows with the square root of the corpus, as the vocabulary of a language does
 (``buckets_for``): 2^16 at 0.5 GB, 2^25 at 100 TB. Counts stay in a written table; ratios reach the workers in blocks of
-``BLOCK`` buckets of four bytes. The labels used are at most ``TRUSTED`` (those with the smallest hashes of
-doc_id), which bounds the broadcast list of doc_ids and the n-grams of the target.
+``BLOCK`` buckets of four bytes, those of the target in blocks of 24. All documents that the labels call good are trusted: the target,
+the threshold and what is judged without its own n-grams come from every one of them. Up to ``FEW`` doc_ids are broadcast, more are
+joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ from .words import mix, windows, word_hashes
 
 #: Least number of buckets, buckets for each unit of the square root of the corpus' bytes, and buckets of a block.
 BUCKETS, GROWTH, BLOCK = 1 << 15, 2, 1 << 20
-#: Largest number of trusted documents that the target is counted from.
-TRUSTED = 20_000
+#: Largest number of trusted doc_ids that are broadcast.
+FEW = 1 << 20
 #: Quantile of trusted scores and the margin below it, in nats an n-gram, at which documents are still kept.
 QUANTILE, MARGIN = 0.005, 0.01
+#: Parts of a range of scores that are counted at once.
+PARTS = 1 << 10
 #: Added to each bucket's count.
 SMOOTHING = 1.0
 
@@ -99,7 +102,7 @@ def buckets_for(docs: DataFrame) -> int:
 def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """A row for each bucket that occurs: its raw n-grams and those of the target (``good``), over all documents.
 
-    ``trusted`` (trusted_id) has at most TRUSTED rows.
+    ``trusted`` (trusted_id) has distinct doc_ids, any number of them.
     """
     small_batches(docs.sparkSession)
 
@@ -153,7 +156,7 @@ def log_ratio(raw: np.ndarray, good: np.ndarray) -> Ratios:
 
 def gathered_ratios(counts: DataFrame, buckets: int) -> Ratios:
     """``log_ratio`` of a written table of counts, read a block of buckets at a time."""
-    raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int32)
+    raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
     for lo in range(0, buckets, BLOCK):
         rows = counts.filter((F.col("bucket") >= lo) & (F.col("bucket") < lo + BLOCK)).toArrow()  # at most BLOCK rows
         at = rows.column("bucket").to_numpy()
@@ -167,10 +170,12 @@ class Shared:
     def __init__(self, spark, ratios: Ratios):
         send = spark.sparkContext.broadcast
         self.blocks: list[Broadcast] = [send(ratios.ratio[k : k + BLOCK]) for k in range(0, len(ratios.ratio), BLOCK)]
-        self.target: Broadcast = send((ratios.held, ratios.good, ratios.share))
+        target = (ratios.held, ratios.good, ratios.share)
+        self.target: list[Broadcast] = [send([x[k : k + BLOCK] for x in target]) for k in range(0, max(1, len(ratios.held)), BLOCK)]
 
     def ratios(self) -> Ratios:
-        return Ratios(np.concatenate([b.value for b in self.blocks]), *self.target.value)
+        target = zip(*(b.value for b in self.target), strict=True)
+        return Ratios(np.concatenate([b.value for b in self.blocks]), *map(np.concatenate, target))
 
 
 def gram_scores(hashes: np.ndarray, edges: np.ndarray, ratios: Ratios, trusted: np.ndarray | None = None) -> np.ndarray:
@@ -185,11 +190,23 @@ def gram_scores(hashes: np.ndarray, edges: np.ndarray, ratios: Ratios, trusted:
     return np.bincount(owner, value, n) / np.maximum(1, total)
 
 
+def _few(trusted: DataFrame) -> bool:
+    return trusted.count() <= FEW
+
+
 def _flagged(docs: DataFrame, trusted: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """The columns ``keep``, the text as ``_bytes`` and whether the row is ``_trusted``."""
     rows = docs.select(*keep, F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_bytes"))
-    flagged = rows.join(F.broadcast(trusted), rows["_id"] == trusted["trusted_id"], "left")
-    return flagged.select(*(rows[k] for k in keep), "_bytes", F.col("trusted_id").isNotNull().alias("_trusted"))
+
+    def flagged(of: DataFrame, ids: DataFrame) -> DataFrame:
+        found = of.join(ids, of["_id"] == ids["trusted_id"], "left")
+        return found.select(*(of[k] for k in keep), "_bytes", F.col("trusted_id").isNotNull().alias("_trusted"))
+
+    if _few(trusted):
+        return flagged(rows, F.broadcast(trusted))
+    # rows without an id stay where they are, so that they do not all meet in one task
+    unknown = rows.filter("_id is null").select(*keep, "_bytes", F.lit(False).alias("_trusted"))
+    return flagged(rows.filter("_id is not null"), trusted.hint("shuffle_hash")).unionByName(unknown)
 
 
 def _scored(docs: DataFrame, trusted: DataFrame, shared: Shared, threshold: float | None, keep: tuple[str, ...]) -> DataFrame:
@@ -218,13 +235,36 @@ def _scored(docs: DataFrame, trusted: DataFrame, shared: Shared, threshold: floa
     return _flagged(docs, trusted, keep).mapInArrow(score, schema)
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """At most ``most`` distinct doc_ids that the labels call good and not toxic, as trusted_id."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The distinct doc_ids that the labels call good and not toxic, as trusted_id."""
     good = labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    ids = good.select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
-    spark = labels.sparkSession
-    chosen = [tuple(r) for r in ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most).collect()]
-    return spark.createDataFrame(chosen, "trusted_id long")
+    return materialize(good.select(F.col("doc_id").cast("long").alias("trusted_id")).distinct(), "trusted")
+
+
+def ranked_score(scores: DataFrame, rank: int) -> float:
+    """The score of this rank from 0: the range is counted in PARTS parts, then the part that holds the rank, until it is one value."""
+    low, high = scores.agg(F.min("score"), F.max("score")).head()
+    while low < high:
+        part = F.floor((F.col("score") - low) / (high - low) * PARTS)
+        counted = scores.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+        for r in sorted(counted.collect()):  # at most PARTS + 1 rows
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+        low, high = r["low"], r["high"]
+        scores = scores.filter(F.col("score").between(low, high))
+    return low
+
+
+def low_quantile(scores: DataFrame, share: float = QUANTILE) -> float | None:
+    """The exact quantile of ``score`` (written) that ``percentile`` gives, without a task that holds all scores; null if there are none."""
+    n = scores.count()
+    if not n:
+        return None
+    at = share * (n - 1)
+    below = math.floor(at)
+    low, high = (ranked_score(scores, min(k, n - 1)) for k in (below, below + 1))
+    return low if at == below or low == high else (below + 1 - at) * low + (at - below) * high
 
 
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> tuple[Shared, float]:
@@ -235,9 +275,9 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> tupl
         return Shared(spark, Ratios(np.zeros(BUCKETS, np.float32))), 0.0
     buckets = buckets or buckets_for(docs)
     shared = Shared(spark, gathered_ratios(gram_counts(docs, trusted, buckets), buckets))
-    own = docs.join(F.broadcast(trusted), F.col("doc_id").cast("long") == F.col("trusted_id"), "left_semi")
-    scores = _scored(own, trusted, shared, None, ("doc_id",)).filter("not base_failed")
-    low = scores.agg(F.percentile("score", F.lit(QUANTILE))).head()[0]
+    ids = F.broadcast(trusted) if _few(trusted) else trusted
+    own = docs.join(ids, F.col("doc_id").cast("long") == F.col("trusted_id"), "left_semi")
+    low = low_quantile(materialize(_scored(own, trusted, shared, None, ("doc_id",)).filter("not base_failed").select("score"), "scores"))
     return shared, (low if low is not None else 0.0) - MARGIN
 
 

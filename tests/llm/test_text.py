@@ -81,6 +81,29 @@ def test_unlabelled_text_of_the_trusted_kind_is_kept(spark, llm):
     assert not any(kept[1000 + k] for k in range(20))
 
 
+def test_every_good_label_is_trusted(spark, llm, monkeypatch):
+    labels = spark.range(21_000).selectExpr("id as doc_id", "1 as quality", "cast(0 as int) as toxic")
+    assert quality.trusted_ids(labels.unionByName(labels)).count() == 21_000
+    rng = random.Random(16)
+    rows = corpus() + [(300 + k, prose(rng, 30)) for k in range(40)]
+    labels = spark.createDataFrame([(d, int(d % 3 > 0), 0) for d, t in rows if d is not None], "doc_id long, quality int, toxic int")
+    wanted = sorted(map(repr, quality.quality_rules(llm(rows), labels, ("doc_id", "text")).collect()))
+    monkeypatch.setattr(quality, "FEW", 0)
+    assert sorted(map(repr, quality.quality_rules(llm(rows), labels, ("doc_id", "text")).collect())) == wanted
+
+
+def test_threshold_is_the_exact_quantile(spark, monkeypatch):
+    rng = random.Random(17)
+    monkeypatch.setattr(quality, "PARTS", 8)
+    for n in (1, 2, 3, 201, 5_000):
+        values = [rng.choice((0.25, -1.5, rng.gauss(0, 1), rng.gauss(0, 1e-9))) for _ in range(n)]
+        scores = spark.createDataFrame([(x,) for x in values], "score double")
+        for share in (0.0, 0.005, 0.3, 1.0):
+            want = scores.agg(F.percentile("score", F.lit(share))).head()[0]
+            assert abs(quality.low_quantile(scores, share) - want) < 1e-12
+    assert quality.low_quantile(scores.limit(0)) is None
+
+
 def test_buckets_grow_with_the_corpus(spark, llm):
     assert quality.buckets_for(llm([])) == quality.buckets_for(llm([(1, "short")])) == quality.BUCKETS
     assert quality.buckets_for(llm([(k, "x" * 100_000) for k in range(4)]).crossJoin(spark.range(1_000))) == 1 << 16
