@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
+
 #: Bases of the finest bins of range joins; near the length of most intervals is best.
 BIN = 4096
 #: Each level of bins is this many times as wide as the one below; an interval has at most this many bins, and one for an edge, of its own level.
@@ -137,11 +139,17 @@ def overlap_anti(left: DataFrame, right: DataFrame, bin_size: int = BIN) -> Data
 
 def outside_intervals(sites: DataFrame, intervals: DataFrame, width: int = 3, bin_size: int = BIN) -> DataFrame:
     """Rows of ``sites`` (chrom, pos, ...) whose ``[pos, pos + width)`` lies inside no merged interval."""
-    inside = merge_intervals(intervals).filter(F.col("end") - F.col("start") >= width)
-    spans = sites.select("chrom", F.col("pos").alias("start"), (F.col("pos") + width).alias("end")).distinct()
-    whole = (F.col("a_start") >= F.col("b_start")) & (F.col("a_end") <= F.col("b_end"))
-    found = overlap_pairs(spans, inside, bin_size).filter(whole).select(F.col("a_chrom").alias("chrom"), F.col("a_start").alias("pos"))
-    return sites.join(found, ["chrom", "pos"], "left_anti")
+    merged = merge_intervals(intervals).filter(F.col("end") - F.col("start") >= width)
+    inside = stored(merged.withColumn("_level", _level(F.col("start"), F.col("end"), bin_size)), "inside")
+    # a site has one bin of a level, so sites are read once and joined as they are, once for each level there is
+    for level in sorted(r[0] for r in inside.select("_level").distinct().collect()):
+        size = F.lit(bin_size * WIDER**level).cast("long")
+        bins = F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size)))
+        held = inside.filter(F.col("_level") == level).select(F.col("chrom").alias("_in_chrom"), F.col("start").alias("_in_start"), F.col("end").alias("_in_end"), bins.alias("_in_bin"))
+        same = (F.col("chrom") == F.col("_in_chrom")) & (F.floor(F.col("pos") / size) == F.col("_in_bin"))
+        within = (F.col("pos") >= F.col("_in_start")) & (F.col("pos") + width <= F.col("_in_end"))
+        sites = sites.join(held, same & within, "left_anti")
+    return sites
 
 
 def sorted_intervals(intervals: Column, descending: Column | None = None) -> Column:
