@@ -15,21 +15,19 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stranda.functions.sequence import reverse_complement
+from stranda.functions.sequence import BASES, letters_as_bases, reverse_complement  # noqa: F401
 from stranda.operators import checks
 from stranda.operators.controls import upstream_controls
 from stranda.operators.intervals import merge_intervals
 from stranda.operators.windows import context_windows, contig_lengths, dataset_rows, motif_scan, tile_genome
 from stranda.schemas import DATASET
-from stranda.sources.scratch import scratch_path
+from stranda.sources.scratch import scratch_path, stored
 
 from .config import arguments, load
 
 log = logging.getLogger("jobs.motif_pairs")
 
 PARTITIONS = ("context_policy", "split")
-# Letters and the bases they are read as.
-LETTERS, BASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTNN"
 
 
 def contigs(documents: DataFrame) -> DataFrame:
@@ -37,8 +35,7 @@ def contigs(documents: DataFrame) -> DataFrame:
     again = documents.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").limit(3).collect()
     if again:
         raise ValueError("documents of one id: " + ", ".join(str(r["doc_id"]) for r in again))
-    seq = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), LETTERS, BASES)
-    named = documents.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("chrom"), seq.alias("seq"))
+    named = documents.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("chrom"), letters_as_bases(F.col("text")).alias("seq"))
     return named.filter("chrom is not null and seq <> ''")
 
 
@@ -67,8 +64,9 @@ def faults(rows: DataFrame, policies: list[str]) -> list[str]:
 def run(spark: SparkSession, documents: str, output: str, config: dict) -> dict[str, int]:
     """Build the dataset from the table at ``documents`` in the folder ``output``; the number of rows of each partition."""
     table = spark.read.parquet(documents).select("doc_id", "text")
-    tiles = tile_genome(contigs(table))
-    found = features(tiles, config["motif"], config["category"])
+    # tiles and features are read by many steps; texts are read as bases once
+    tiles = stored(tile_genome(contigs(table)), "tiles")
+    found = stored(features(tiles, config["motif"], config["category"]), "features")
     anchors, controls = upstream_controls(found, contig_lengths(tiles), ["chrom", "start", "strand"], config["flank_distance"])
     both = anchors.withColumn("label", F.lit("feature")).unionByName(controls.withColumn("label", F.lit("upstream")))
     both = both.withColumn("category", F.lit(config["category"]))
