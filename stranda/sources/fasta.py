@@ -1,8 +1,9 @@
 """FASTA files as tiles of their contigs, without a row that holds a contig.
 
-Lines are numbered within the file split they come from. Running sums of bases within a split, and one small row for each
-split that carries the open record and its bases on to the next one, give every line its record and its offset there. A
-tile is then made of the lines that reach into it. All steps are linear in the size of the file.
+Lines are numbered within the file split they come from, and a split is taken in runs of ``RUN`` lines. Running sums of bases
+within a run, and one small row for each run that carries the open record and its bases on to the next one, give every
+line its record and its offset there. No task has to sort a split. A tile is then made of the lines that reach into it. All
+steps are linear in the size of the file.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from ..operators.windows import OVERLAP, TILE
 
 #: Longest piece of a line that is one row; only unwrapped sequences have longer lines.
 PIECE = 1 << 16
+#: Lines, as a power of two, that are summed up in one place.
+RUN = 13
 
 
 def fasta_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -38,19 +41,20 @@ def fasta_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def line_index(lines: DataFrame) -> DataFrame:
     """(chrom, at, n, bases, header) of ``fasta_lines``: the record of each piece and its offset there. What no header precedes goes."""
-    split = ["source", "block"]
+    lines = lines.withColumn("run", F.shiftright("line_no", RUN))
+    split = ["source", "block", "run"]
     order = Window.partitionBy(*split).orderBy("line_no", "piece")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     header = F.col("name").isNotNull()
     placed = lines.withColumns({"seg": F.sum(header.cast("long")).over(so_far), "_name": F.last("name", ignorenulls=True).over(so_far)})
     before = Window.partitionBy(*split, "seg").orderBy("line_no", "piece").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_at", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    # from here a row for each split of a file: what the records that are open at its end have so far
+    # from here a row for each run of a file: what the records that are open at its end have so far
     segments = placed.groupBy(*split, "seg").agg(F.sum("n").alias("n"), F.max("_name").alias("name"))
     splits = segments.groupBy(*split).agg(F.max("seg").alias("heads"), F.max_by("n", "seg").alias("tail"), F.max_by("name", "seg").alias("name"))
-    in_file = Window.partitionBy("source").orderBy("block")
+    in_file = Window.partitionBy("source").orderBy("block", "run")
     splits = splits.withColumn("_open", F.sum((F.col("heads") > 0).cast("long")).over(in_file))
-    reach = F.sum("tail").over(Window.partitionBy("source", "_open").orderBy("block"))
+    reach = F.sum("tail").over(Window.partitionBy("source", "_open").orderBy("block", "run"))
     named = F.last("name", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, 0))
     splits = splits.withColumns({"_reach": reach, "_named": named})
     carried = splits.select(*split, F.lag("_reach").over(in_file).alias("_carry"), F.lag("_named").over(in_file).alias("_open_name"))
