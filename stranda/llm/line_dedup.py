@@ -10,13 +10,14 @@ where several lines share a segment, they are joined in blocks with those that p
 letter counts. Candidates are verified with banded bit-parallel edit distance. Only DataFrame functions are used.
 
 Where the caller asks for it, long lines are also compared by words: two lines are near copies if one in
-``WORDS_EACH`` words of the shorter one, or fewer, are changed, added or dropped. Two such lines share a run of
-words whose least length follows from the shorter line's number of words (``RUNS``). Each line has as keys the
-smallest hashes, in every window of the run's length, of ``KEY_WORDS`` words in a row; so a shared run gives both a
-key in common. Smaller windows only add keys, so lines of different classes meet too. Two edits of code points leave
-a run as long in lines of ``MANY_WORDS`` words or more, so these need no segments. The lines of a key are compared
-with one of them, and with ``STARS`` more where links leave them in several components; what is still apart then is
-joined in blocks under bounds on places and lengths. Pairs are decided on texts.
+``WORDS_EACH`` words of the shorter one, or fewer, are changed, added or dropped. Words have one order for all lines,
+long ones first. Two lines that differ in d words have ``LEVELS`` words in common among the first d + LEVELS of each
+line's words in that order, so these are its keys. Lines that share a key of ``FEW_LINES`` lines or fewer are joined;
+a key of more lines is told apart by a second such word, but not in lines of ``LONG`` words or more, which have many. The lines
+of a key that still has more are compared with a few of them, and with ``STARS`` more where links leave them in several
+components; what is still apart then is joined in blocks. All joins carry a bound on words that only one of two lines
+has, from the parities of their words in 128 bits, 256 in long lines. Two edits of code points change four words at most, so lines of ``MANY_WORDS``
+words or more need no segments. Pairs are decided on texts.
 """
 
 from __future__ import annotations
@@ -39,19 +40,22 @@ EQUAL_CHARS = 1
 COUNTED = "etaoinshrdlu"
 #: One word in so many may differ between long lines that count as the same.
 WORDS_EACH = 10
-#: Words of a key, and for lines from so many words on the length of a run that near copies share.
-KEY_WORDS = 4
-RUNS = ((10, 5), (20, 6), (30, 7), (40, 8), (90, 9))
+#: Lines of a key that are joined as they are, and the most words of the keys that tell more lines apart.
+FEW_LINES, LEVELS = 64, 2
+#: Lines from so many words on have keys of one word only; those of up to a fourth more have the others too.
+LONG = 200
 #: Residues of line hashes that the broadcast filter of verified lines may hold.
 RESIDUES = 1 << 20
 #: A line with more than this share of all lines is probed once; there are at most so many such lines, and keys.
 FREQUENT = 1 << 16
-#: From so many words on, lines within DISTANCE code points share a run of RUNS: (20 - 4) / 3 words, and more in longer lines.
+#: From so many words on, lines within DISTANCE code points are found by their words: two edits change four words at most.
 MANY_WORDS = 20
 #: Rounds in which the lines of a key are compared with one more of them before all pairs that are left.
 STARS = 2
-#: Most keys of several lines that are broadcast (about 64 bytes each); beyond that all keys are shuffled.
-SHARED = 1 << 20
+#: Rows of keys that are still torn for which another such round is worth its jobs; fewer are joined at once.
+TORN_ROWS = 1 << 17
+#: Most keys of many lines that are broadcast (about 64 bytes each); beyond that all keys are shuffled.
+SHARED = 1 << 16
 
 
 def _pos() -> Column:
@@ -289,47 +293,31 @@ def _words(line: Column) -> Column:
     return F.when(_is_odd(line), _tokens(line)).otherwise(F.split(line, " "))
 
 
-def _width(n: Column) -> Column:
-    """How many runs of KEY_WORDS words lie in each window that a line of ``n`` words has a key of."""
-    shortest = n - F.call_function("div", n, F.lit(WORDS_EACH)).cast("int")
-    out = F.lit(RUNS[0][1])
-    for least, run in RUNS[1:]:
-        out = F.when(shortest >= least, run).otherwise(out)
-    return out - KEY_WORDS + 1
+def _rank(word: Column) -> Column:
+    """The place of a word in the order of all words: long ones first, then by hash."""
+    short = (F.lit(63) - F.least(F.octet_length(word), F.lit(63))).cast("long")
+    return F.shiftleft(short, 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 8))
 
 
-def _shifted(values: Column, by: int | Column, join) -> Column:
-    """``join`` of each value with the one ``by`` places further, as far as there is one."""
-    by = F.lit(by) if isinstance(by, int) else by
-    n = F.greatest(F.size(values) - by, F.lit(0))
-    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, by + 1, n), join)
-
-
-def _hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
-
-
-def _grams(hashes: Column) -> Column:
-    """Hashes of each KEY_WORDS (4) words in a row."""
-    pairs = _shifted(hashes, 1, lambda x, y: F.xxhash64(x, y))
-    return _bind(pairs, lambda p: _shifted(p, 2, lambda x, y: F.xxhash64(x, y)))
+def _parity(ranks: Column, mask: int, which: int) -> Column:
+    """Whether the number of words of each of 64 classes is odd, of those words of which two bits under ``mask`` are ``which``.
 
+    A word more or less changes one bit.
+    """
+    at = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    own = lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(mask).cast("long")) == which
+    return F.aggregate(ranks, F.lit(0).cast("long"), lambda s, x: F.when(own(x), s.bitwiseXOR(at(x))).otherwise(s))
 
-def _word_keys(lines: DataFrame) -> DataFrame:
-    """(id, pos, keys): the distinct keys of each of ``lines`` (line, id, pos) of WORDS_EACH words or more.
 
-    Minima of windows are taken in steps: of two, then of three or four, then of five or six neighbours. Each step is a
-    column of its own, so that no step is worked out twice.
-    """
-    own = lines.select("id", "pos", "line", _n_words(F.col("line")).alias("n")).filter(F.col("n") >= WORDS_EACH)
-    own = own.select("id", "pos", "n", _hashes(_words(F.col("line"))).alias("h"))
-    least = lambda x, y: F.least(x, y)
-    own = own.select("id", "pos", _width(F.col("n")).alias("width"), _grams(F.col("h")).alias("g"))
-    pair = own.select("id", "pos", "width", _shifted(F.col("g"), 1, least).alias("m"))
-    four = _shifted(F.col("m"), F.when(F.col("width") == 3, 1).otherwise(2), least)
-    pair = pair.select("id", "pos", "width", F.when(F.col("width") > 2, four).otherwise(F.col("m")).alias("m"))
-    six = _shifted(F.col("m"), F.when(F.col("width") == 5, 1).otherwise(2), least)
-    return pair.select("id", "pos", F.array_distinct(F.when(F.col("width") > 4, six).otherwise(F.col("m"))).alias("keys"))
+def _word_sets(lines: DataFrame, distance: int) -> DataFrame:
+    """(id, KNOWN, keys) of ``lines`` (line, id) of WORDS_EACH words or more, with the first of their words as keys."""
+    own = lines.select("id", "line", _n_words(F.col("line")).alias("n")).filter(F.col("n") >= WORDS_EACH)
+    own = own.select("id", "n", F.transform(_words(F.col("line")), _rank).alias("r"))
+    none, long = F.lit(0).cast("long"), F.col("n") >= LONG
+    halves = [_parity(F.col("r"), 1, k) for k in (0, 1)]
+    fourths = [F.when(long, _parity(F.col("r"), 3, k)).otherwise(none) for k in (2, 3)]
+    keys = F.slice(F.sort_array("r"), F.lit(1), _most_words(F.col("n"), distance) + LEVELS)
+    return own.select("id", "n", *(p.alias(f"p{k}") for k, p in enumerate(halves + fourths)), keys.alias("keys"))
 
 
 #: Code points that words are told apart by in an outline, from U+10000 up.
@@ -351,7 +339,7 @@ def _told_apart(words: Column) -> Column:
 
 
 def _most_words(n: Column, distance: int) -> Column:
-    """How many words of a line of ``n`` words and a near copy that is no shorter may differ, by the rule of words or of code points."""
+    """How many words of a line of ``n`` words and a near copy that has no fewer may differ, by the rule of words or of code points."""
     words = F.call_function("div", n, F.lit(WORDS_EACH)).cast("int")
     return F.when(n >= MANY_WORDS, F.greatest(words, F.lit(2 * distance))).otherwise(words)
 
@@ -374,24 +362,27 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
 
     Lines of MANY_WORDS words or more within ``distance`` (2 at most) code points are linked too.
     """
-    met = settled("word-hits", lambda: _several_lines(_word_keys(_once(lines, classes)), classes))
-    wanted = met.groupBy("id").agg(F.collect_list("key").alias("keys"))  # bounded by one line
-    texts = _some_lines(lines, wanted.select("id")).join(wanted, "id").withColumn("w", _words(F.col("line")))
-    texts = texts.select("id", "line", "keys", F.size("w").alias("n"), _outline(F.col("w")).alias("c"), _hashes(F.col("w")).alias("h"))
-    texts = texts.select("id", "line", "keys", "n", "c", _grams(F.col("h")).alias("g"))
-    # the first and the last place of each key in the line
-    last = lambda k: F.size("g") + 1 - F.array_position(F.reverse("g"), k)
-    place = lambda k: F.struct(k.alias("key"), F.array_position("g", k).alias("at"), last(k).alias("end"))
-    texts = materialize(texts.select("id", "line", "n", "c", F.transform("keys", place).alias("places")), "word-texts")
-    held = materialize(texts.select("id", "n", F.explode("places").alias("x")).select("id", "n", "x.*").distinct(), "word-sharers")
-    pairs = settled("word-pairs", lambda: _star_pairs(held, F.min("id"), distance))
-    links = settled("line-links", lambda: _confirmed(pairs, texts, distance))
+    sets = materialize(_word_sets(_once(lines, classes), distance), "word-sets")
+    # lines that are near each other are both short or both long, or in between
+    found, held = _few_and_many(sets.filter(F.col("n") < LONG * 5 // 4), distance, LEVELS)
+    more, long = _few_and_many(sets.filter(F.col("n") >= LONG), distance, 1)
+    found, held = found.union(more), held.union(long)
+    first = [F.min("id"), F.max("id"), *(F.min_by("id", F.xxhash64("id", F.lit(STARS + k))) for k in range(2))]
+    pairs = materialize(found.union(_star_pairs(held, first, distance)).distinct(), "word-pairs")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(held.select("id")).distinct()
+    texts = _some_lines(lines, materialize(wanted, "wanted-lines")).withColumn("w", _words(F.col("line")))
+    texts = materialize(texts.select("id", "line", F.size("w").alias("n"), _outline(F.col("w")).alias("c")), "word-texts")
+    links = materialize(_confirmed(pairs, texts, distance), "line-links")
+    if held.isEmpty():
+        return links
     torn = settled("torn-keys", lambda: _torn_keys(held, links))
     for star in range(STARS):
-        if torn.isEmpty():
+        if torn.count() < TORN_ROWS:
             break
         leader = F.min_by("id", F.xxhash64("id", F.lit(star)))
-        some = settled("word-pairs", lambda torn=torn, leader=leader, done=pairs: _star_pairs(torn, leader, distance).join(done, ["a", "b"], "left_anti"))
+        some = settled("word-pairs", lambda torn=torn, leader=leader, done=pairs: _star_pairs(torn, [leader], distance).join(done, ["a", "b"], "left_anti"))
+        if some.isEmpty():
+            break
         more = settled("line-links", lambda some=some: _confirmed(some, texts, distance))
         pairs, links = pairs.union(some), links.union(more)
         torn = settled("torn-keys", lambda torn=torn, links=links: _torn_keys(torn.drop("component"), links))
@@ -399,54 +390,73 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
     return links.union(_confirmed(rest, texts, distance))
 
 
-def _first_places(keys: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, keys) of ``keys`` (id, pos, keys) at the first place of each line; rows of lines that occur once are not shuffled for it."""
-    held = classes.filter("held > 1").groupBy("id").agg(F.min("first").alias("first"))
-    # at most RESIDUES rows
-    residues = F.broadcast(held.select(F.pmod("id", F.lit(RESIDUES)).alias("residue")).distinct())
-    on = F.pmod("id", F.lit(RESIDUES)) == F.col("residue")
-    some = keys.join(residues, on, "left_semi").join(held, "id", "left").filter("first is null or first = pos")
-    return keys.join(residues, on, "left_anti").select("id", "keys").union(some.select("id", "keys"))
+#: What is known of a line where only its keys are: its number of words, and the parities of halves and fourths of them.
+KNOWN = ("n", "p0", "p1", "p2", "p3")
+
+
+def _frequent(rows: DataFrame) -> DataFrame:
+    """The keys of ``rows`` (key and more) that have more than FEW_LINES rows."""
+    keys = materialize(rows.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > FEW_LINES).select("key"), "frequent-keys")
+    return F.broadcast(keys) if keys.count() <= SHARED else keys
+
+
+def _longer_keys(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, KNOWN, key, rest) with the words of ``rest`` added to their keys, one to each."""
+    spread = rows.select("id", *KNOWN, "key", "rest", F.posexplode("rest").alias("at", "word"))
+    rest = F.slice("rest", F.col("at") + 2, F.size("rest"))
+    return spread.select("id", *KNOWN, F.xxhash64("key", "word").alias("key"), rest.alias("rest"))
+
+
+def _few_and_many(sets: DataFrame, distance: int, levels: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that may be near of lines that share a key of few lines, and (key, id, KNOWN) of keys of ``levels`` words that have many."""
+    rows = sets.select("id", *KNOWN, F.explode(F.array_distinct("keys")).alias("key"))
+    frequent = _frequent(rows)
+    found = _near_pairs(rows.join(frequent, "key", "left_anti"), distance)
+    if levels == LEVELS:
+        words = sets.select("id", *KNOWN, F.posexplode("keys").alias("at", "key")).join(frequent, "key", "left_semi")
+        # bounded by one line
+        words = words.groupBy("id", *KNOWN).agg(F.array_sort(F.collect_set(F.struct("at", "key"))).alias("rest"))
+        words = words.select("id", *KNOWN, F.lit(0).cast("long").alias("key"), F.col("rest")["key"].alias("rest"))
+        rows = _longer_keys(_longer_keys(materialize(words, "frequent-words")))
+        frequent = _frequent(rows)
+        found = found.union(_near_pairs(rows.join(frequent, "key", "left_anti"), distance))
+    many = rows.join(frequent, "key", "left_semi").select("key", "id", *KNOWN).distinct()
+    return found, materialize(many, "large-word-keys")
 
 
-def _several_lines(keys: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, id) of the keys of ``keys`` (id, pos, keys) that several lines have."""
-    keys = settled("first-keys", lambda: _first_places(materialize(keys, "word-keys"), classes))
-    rows = keys.select("id", F.explode("keys").alias("key"))
-    shared = materialize(rows.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key"), "shared-keys")
-    some = rows.join(F.broadcast(shared) if shared.count() <= SHARED else shared, "key", "left_semi")
-    met = materialize(some.distinct(), "word-hits")
-    several = met.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
-    return met.join(several, "key", "left_semi")
+def _near_pairs(rows: DataFrame, distance: int) -> DataFrame:
+    a, b = _sides(rows)
+    return a.join(b, "key").filter(_in_order() & _may_be_near(distance)).select("a", "b")
 
 
 def _sides(rows: DataFrame, *more: str) -> list[DataFrame]:
-    named = (("id", ""), ("n", "_n"), ("at", "_at"), ("end", "_end"), *((c, f"_{c}") for c in more))
+    named = (("id", ""), *((c, f"_{c}") for c in (*KNOWN, *more)))
     on = [c for c in ("key", "block") if c in rows.columns]
     return [rows.select(*on, *(F.col(c).alias(f"{s}{t}") for c, t in named)) for s in "ab"]
 
 
 def _may_be_near(distance: int) -> Column:
-    """What places of a common key and numbers of words say of two lines, of which ``a`` has no more words than ``b``."""
-    d = _most_words(F.col("a_n"), distance)
-    more, moved = F.col("b_n") - F.col("a_n"), F.col("b_at") - F.col("a_at")
-    once = (F.col("a_at") == F.col("a_end")) & (F.col("b_at") == F.col("b_end"))
-    apart = (F.col("b_at") - F.col("a_end") <= d) & (F.col("a_at") - F.col("b_end") <= d)
-    return (more <= d) & F.when(once, F.abs(moved) + F.abs(more - moved) <= d).otherwise(apart)
+    """What numbers and parities of words say of two lines, of which ``a`` has no more words than ``b``."""
+    most = _most_words(F.col("a_n"), distance)
+    odd = [F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}")) for p in ("p0", "p1", "p2", "p3")]
+    halves, fourths = odd[:2], [odd[0].bitwiseXOR(odd[2]), odd[1].bitwiseXOR(odd[3]), *odd[2:]]
+    # of lines of which one is long and one is not, only halves compare
+    parities = F.when(F.col("a_n") < LONG, sum(map(F.bit_count, halves))).otherwise(sum(map(F.bit_count, fourths)))
+    return (F.col("b_n") - F.col("a_n") <= most) & (parities <= most * 2)
 
 
 def _in_order() -> Column:
     return (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b"))
 
 
-def _star_pairs(held: DataFrame, leader: Column, distance: int) -> DataFrame:
-    """Pairs (a, b) of a line of each key and the others that may be near it."""
-    chosen = held.select("key", "id").distinct().groupBy("key").agg(leader.alias("id"))
+def _star_pairs(held: DataFrame, leaders: list[Column], distance: int) -> DataFrame:
+    """Pairs (a, b) of some lines of each key and the others that may be near them."""
+    chosen = held.groupBy("key").agg(F.array_distinct(F.array(*leaders)).alias("ids")).select("key", F.explode("ids").alias("id"))
     large = large_keys(held, "key")
     lines, leaders = dealt(held, large, "key", "id"), repeated(held.join(chosen, ["key", "id"], "left_semi"), large, "key")
     found = None
     for first, second in ((leaders, lines), (lines, leaders)):
-        some = _sides(first)[0].join(_sides(second)[1], ["key", "block"]).filter(_in_order()).filter(_may_be_near(distance)).select("a", "b")
+        some = _sides(first)[0].join(_sides(second)[1], ["key", "block"]).filter(_in_order() & _may_be_near(distance)).select("a", "b")
         found = some if found is None else found.union(some)
     return found.distinct()
 
@@ -460,7 +470,7 @@ def _cross_pairs(torn: DataFrame, distance: int) -> DataFrame:
     b = b.withColumn("class", F.explode(F.array(size("b_n"), size("b_n") - 1))).withColumn("key", F.xxhash64("key", "class")).drop("class")
     large = large_keys(a, "key")
     met = dealt(a, large, "key", "a").join(repeated(b, large, "key"), ["key", "block"])
-    return met.filter(_in_order() & (F.col("a_component") != F.col("b_component"))).filter(_may_be_near(distance)).select("a", "b").distinct()
+    return met.filter(_in_order() & (F.col("a_component") != F.col("b_component")) & _may_be_near(distance)).select("a", "b").distinct()
 
 
 def _torn_keys(held: DataFrame, links: DataFrame) -> DataFrame:
