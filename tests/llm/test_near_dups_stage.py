@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from stranda.llm import near_dups
+from stranda.llm import components, near_dups
+from stranda.llm.common import materialize
 
 from .helpers import prose
 from .test_dedup import find, shingle_set
@@ -55,3 +57,42 @@ def test_threshold_is_a_parameter(spark):
         got = near_dups.near_duplicates(docs, percent).select("doc_id", F.col("component_id")).collect()
         assert dict(map(tuple, got)) == brute(rows, percent)
         assert 2 * (1 - (percent / 100) ** near_dups.DEPTH) ** near_dups.groups_for(percent) <= near_dups.MISSED
+
+
+def test_copies_that_are_too_far_apart_are_no_candidates(spark):
+    """Copies of one text that differ in too much are not looked at pair by pair, and documents that share no group are in no table."""
+    rng = random.Random(8)
+    base = prose(rng, 80).split(" ")
+    rows = []
+    for k in range(60):
+        copy = list(base)
+        for at in (10, 40, 70):
+            copy[at] = f"changed{k % 30}x{at}" if k < 30 else f"changed{k}"
+        rows.append((k, " ".join(copy)))
+    rows += [(100 + k, prose(rng, 60)) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = materialize(near_dups._classes(near_dups._class(near_dups.signatures(docs)).filter("n_shingles > 0")), "classes")
+    shared = {r.rep for r in near_dups._shared_groups(classes).collect()}
+    assert len(shared) > 30
+    assert max(shared) < 100
+    sets = near_dups._full_sets(docs, classes.select("rep", "class", "first"))
+    members = classes.select("rep", "n", "bits", F.col("rep").alias("component"))
+    assert near_dups._rare_prefix_pairs(members, sets, 85).count() == 0
+
+
+def test_parities_bound_what_only_one_set_has():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 2**64, 300, np.uint64)
+    for less in (0, 1, 40, 300):
+        x, y = near_dups.parities(np.concatenate((a, a[less:])), np.array([0, 300, 600 - less]))
+        assert int(np.bitwise_count(x ^ y).sum()) <= less
+        assert less > 40 or int(np.bitwise_count(x ^ y).sum()) >= less * 0.8
+
+
+def test_settled_links_take_no_round(spark, monkeypatch):
+    """Links that all lead to the smallest of their component are told at once; any others go on."""
+    monkeypatch.setattr(components, "MOST_ROUNDS", 1)
+    stars = spark.createDataFrame([(1, 2), (1, 3), (5, 4)], "a long, b long")
+    assert {tuple(r) for r in components.connected_components(stars).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)}
+    for rows in ([(1, 2), (2, 3)], [(1, 3), (2, 3)]):
+        assert not components._is_settled(spark.createDataFrame(rows, "b long, a long"))
