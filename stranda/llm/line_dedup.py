@@ -15,7 +15,7 @@ long ones first. Two lines that differ in d words have ``LEVELS`` words in commo
 line's words in that order, so these are its keys. Lines that share a key of ``FEW_LINES`` lines or fewer are joined;
 a key of more lines is told apart by a second such word, but not in lines of ``LONG`` words or more, which have many. The lines
 of a key that still has more are compared with a few of them, and with ``STARS`` more where links leave them in several
-components; what is still apart then is joined in blocks. All joins carry a bound on words that only one of two lines
+components; what is still apart then is joined in blocks, each pair under the first key that its lines share only. All joins carry a bound on words that only one of two lines
 has, from the parities of their words in 128 bits, 256 in long lines. Two edits of code points change four words at most, so lines of ``MANY_WORDS``
 words or more need no segments. Pairs are decided on texts.
 """
@@ -401,14 +401,24 @@ def _frequent(rows: DataFrame) -> DataFrame:
 
 
 def _longer_keys(rows: DataFrame) -> DataFrame:
-    """``rows`` (id, KNOWN, key, rest) with the words of ``rest`` added to their keys, one to each."""
-    spread = rows.select("id", *KNOWN, "key", "rest", F.posexplode("rest").alias("at", "word"))
+    """``rows`` (id, KNOWN, key, last, before, rest) with the words of ``rest`` added to their keys, one to each.
+
+    ``last`` is the last word of a key and ``before`` has the other words up to it that the key leaves out. A key of one word twice leaves out none.
+    """
+    spread = rows.select("id", *KNOWN, "key", "last", "before", "rest", F.posexplode("rest").alias("at", "word"))
     rest = F.slice("rest", F.col("at") + 2, F.size("rest"))
-    return spread.select("id", *KNOWN, F.xxhash64("key", "word").alias("key"), rest.alias("rest"))
+    # bounded by one line
+    passed = F.array_distinct(F.concat("before", F.slice("rest", F.lit(1), F.col("at"))))
+    passed = F.array_except(passed, F.array("last", "word"))
+    before = F.when(F.col("last").eqNullSafe(F.col("word")), F.array().cast("array<long>")).otherwise(passed)
+    return spread.select("id", *KNOWN, F.xxhash64("key", "word").alias("key"), F.col("word").alias("last"), before.alias("before"), rest.alias("rest"))
 
 
 def _few_and_many(sets: DataFrame, distance: int, levels: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) that may be near of lines that share a key of few lines, and (key, id, KNOWN) of keys of ``levels`` words that have many."""
+    """Pairs (a, b) that may be near of lines that share a key of few lines, and (key, id, KNOWN, before) of keys of ``levels`` words that have many.
+
+    ``before`` has the words that come before a line's last word of the key and are not in it.
+    """
     rows = sets.select("id", *KNOWN, F.explode(F.array_distinct("keys")).alias("key"))
     frequent = _frequent(rows)
     found = _near_pairs(rows.join(frequent, "key", "left_anti"), distance)
@@ -416,11 +426,14 @@ def _few_and_many(sets: DataFrame, distance: int, levels: int) -> tuple[DataFram
         words = sets.select("id", *KNOWN, F.posexplode("keys").alias("at", "key")).join(frequent, "key", "left_semi")
         # bounded by one line
         words = words.groupBy("id", *KNOWN).agg(F.array_sort(F.collect_set(F.struct("at", "key"))).alias("rest"))
-        words = words.select("id", *KNOWN, F.lit(0).cast("long").alias("key"), F.col("rest")["key"].alias("rest"))
+        words = words.select("id", *KNOWN, F.lit(0).cast("long").alias("key"), F.lit(None).cast("long").alias("last"), F.array().cast("array<long>").alias("before"), F.col("rest")["key"].alias("rest"))
         rows = _longer_keys(_longer_keys(materialize(words, "frequent-words")))
         frequent = _frequent(rows)
         found = found.union(_near_pairs(rows.join(frequent, "key", "left_anti"), distance))
-    many = rows.join(frequent, "key", "left_semi").select("key", "id", *KNOWN).distinct()
+    else:
+        rows = sets.select("id", *KNOWN, F.array_distinct("keys").alias("words")).select("id", *KNOWN, "words", F.posexplode("words").alias("at", "key"))
+        rows = rows.select("id", *KNOWN, "key", F.slice("words", F.lit(1), F.col("at")).alias("before"))
+    many = rows.join(frequent, "key", "left_semi").select("key", "id", *KNOWN, "before").distinct()
     return found, materialize(many, "large-word-keys")
 
 
@@ -462,15 +475,19 @@ def _star_pairs(held: DataFrame, leaders: list[Column], distance: int) -> DataFr
 
 
 def _cross_pairs(torn: DataFrame, distance: int) -> DataFrame:
-    """Pairs (a, b) of lines of a key that may be near and that no links join so far."""
-    a, b = _sides(torn, "component")
+    """Pairs (a, b) of lines of a key that may be near and that no links join so far, each under the first key that both lines have.
+
+    The lines of a pair of which the first key is none of ``torn`` are in one component, or that key has few lines, which were all compared.
+    """
+    a, b = _sides(torn, "component", "before")
     # a near copy has at most a fifth more words, so it is of the same class of lengths or of the next
     size = lambda n: F.floor(F.log(F.col(n)) / F.log(F.lit(1.25)))
     a = a.withColumn("key", F.xxhash64("key", size("a_n")))
     b = b.withColumn("class", F.explode(F.array(size("b_n"), size("b_n") - 1))).withColumn("key", F.xxhash64("key", "class")).drop("class")
     large = large_keys(a, "key")
     met = dealt(a, large, "key", "a").join(repeated(b, large, "key"), ["key", "block"])
-    return met.filter(_in_order() & (F.col("a_component") != F.col("b_component")) & _may_be_near(distance)).select("a", "b").distinct()
+    first = ~F.arrays_overlap("a_before", "b_before")
+    return met.filter(_in_order() & (F.col("a_component") != F.col("b_component")) & _may_be_near(distance) & first).select("a", "b").distinct()
 
 
 def _torn_keys(held: DataFrame, links: DataFrame) -> DataFrame:

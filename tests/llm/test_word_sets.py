@@ -69,3 +69,28 @@ def test_lines_that_share_a_passage_are_no_candidates(spark):
     assert held.select("id").distinct().count() == 90
     assert a.join(b, "key").filter(line_dedup._in_order() & line_dedup._may_be_near(line_dedup.DISTANCE)).count() == 0
     assert sets.filter(F.size("keys") > 60).count() == 0
+
+
+def test_pairs_that_are_left_are_made_once(spark):
+    """Lines that share many keys and may be near are paired under the first of these only, and no pair is lost."""
+    rng = random.Random(7)
+    base = prose(rng, 60).split(" ")
+    lines = []
+    for k in range(80):
+        copy = list(base)
+        for at in rng.sample(range(60), 4):
+            copy[at] = f"w{k}"
+        lines.append(" ".join([*copy, "again", "again"]))
+    rows = line_dedup.occurrences(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    sets = common.materialize(line_dedup._word_sets(rows.select("line", "id"), line_dedup.DISTANCE), "word-sets")
+    for levels in (1, line_dedup.LEVELS):
+        found, held = line_dedup._few_and_many(sets, line_dedup.DISTANCE, levels)
+        torn = common.materialize(held.withColumn("component", F.col("id")), "torn")
+        a, b = line_dedup._sides(torn)
+        every = a.join(b, "key").filter(line_dedup._in_order() & line_dedup._may_be_near(line_dedup.DISTANCE)).select("a", "b")
+        done = found.distinct()
+        once = line_dedup._cross_pairs(torn, line_dedup.DISTANCE)
+        assert every.distinct().exceptAll(once.union(done).distinct()).isEmpty()
+        a, b = line_dedup._sides(torn, "before")
+        met = a.join(b, "key").filter(line_dedup._in_order() & line_dedup._may_be_near(line_dedup.DISTANCE) & ~F.arrays_overlap("a_before", "b_before"))
+        assert met.count() == met.select("a", "b").distinct().count() < every.count() / 5
