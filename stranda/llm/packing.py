@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gathered, materialize, small_batches, text_bytes
+from .common import gathered, materialize, release, small_batches, text_bytes
 from .sharding import best_fit_decreasing
 from .token_files import with_ends
 from .tokens import encoder, vocabulary
@@ -29,31 +29,35 @@ from .tokens import encoder, vocabulary
 LENGTH = 2048
 #: Pieces packed together, on average.
 GROUP_PIECES = 16_384
+#: Bytes of text encoded at once, and what an encoder remembers: little, as the pipeline packs in executors that earlier stages have filled.
+BATCH_BYTES, REMEMBERED = 1 << 20, {"max_pieces": 100_000, "max_ids": 1_000_000}
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 0, length: int = LENGTH) -> DataFrame:
-    """A row for each piece of ``docs`` (doc_id, text, ...): doc_id, piece, start, length, ids_crc32."""
-    small_batches(docs.sparkSession)
-    path = tokenizer or vocabulary()
+def piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, length: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of batches of doc_id and ``_bytes``."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), *((c, pa.int64()) for c in ("start", "length", "ids_crc32"))]
     )
+    for batch in gathered(batches, BATCH_BYTES):
+        ids, counts = with_ends(*encoder(path, **REMEMBERED).encode(batch.column("_bytes").to_pylist()), end_id)
+        raw, at, out = memoryview(ids.astype("<u4").tobytes()), 0, []
+        for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist(), strict=True):
+            for piece, k in enumerate(range(0, n, length)):
+                m = min(length, n - k)
+                out.append((doc_id, piece, k, m, zlib.crc32(raw[4 * (at + k) : 4 * (at + k + m)])))
+            at += n
+        if out:
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        release()
+
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches):
-            ids, counts = with_ends(*encoder(path).encode(batch.column("_bytes").to_pylist()), end_id)
-            raw, at, out = memoryview(ids.astype("<u4").tobytes()), 0, []
-            for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist(), strict=True):
-                for piece, k in enumerate(range(0, n, length)):
-                    m = min(length, n - k)
-                    out.append((doc_id, piece, k, m, zlib.crc32(raw[4 * (at + k) : 4 * (at + k + m)])))
-                at += n
-            if out:
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return text_bytes(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id").mapInArrow(cut, PIECES)
+def cut_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 0, length: int = LENGTH) -> DataFrame:
+    """A row for each piece of ``docs`` (doc_id, text, ...): doc_id, piece, start, length, ids_crc32."""
+    small_batches(docs.sparkSession)
+    path = tokenizer or vocabulary()
+    return text_bytes(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id").mapInArrow(lambda batches: piece_batches(batches, path, end_id, length), PIECES)
 
 
 class _Bins:

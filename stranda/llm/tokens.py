@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from . import words
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[tuple, PieceEncoder] = {}
 
 #: The pre-tokenizer's pattern for which pieces are cut here. A fixed value of the public vocabulary file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -33,12 +33,14 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str) -> PieceEncoder:
-    """One encoder for each worker process, kept between tasks."""
+def encoder(path: str, **bounds: int) -> PieceEncoder:
+    """One encoder for each worker process, kept between tasks; ``bounds`` are those of ``PieceEncoder``."""
     words.forget()
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    key = (path, *sorted(bounds.items()))
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = PieceEncoder(path, **bounds)
+    return _encoders[key]
 
 
 #: Characters below U+0240, combining marks, and what the former lower-case to (U+023A and U+023E leave the range).

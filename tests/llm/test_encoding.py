@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stranda.llm import packing, sharding, simple8b, token_files
+from stranda.llm import packing, sharding, simple8b, token_files, tokens
 from stranda.llm.tokens import PieceEncoder, vocabulary
 
 from .helpers import corpus
@@ -147,6 +147,19 @@ def test_packing(spark, llm, tokenizer):
     assert packing.pack_documents(llm([])).collect() == []
 
 
+def test_packing_remembers_little(tokenizer):
+    import pyarrow as pa
+
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    texts = [" ".join(f"{n * 5_000 + k:x}".translate(letters) for k in range(5_000)) for n in range(60)]
+    rows = [pa.RecordBatch.from_pydict({"doc_id": [n], "_bytes": [t.encode()]}) for n, t in enumerate(texts)]
+    got = [r for b in packing.piece_batches(iter(rows), vocabulary(), 0, 1 << 30) for r in b.to_pylist()]
+    assert [(r["length"], r["ids_crc32"]) for r in got] == [(len(i), crc(i)) for i in ([*ids_of(tokenizer, t), 0] for t in texts)]
+    (held,) = tokens._encoders.values()
+    # one batch of new pieces at most beyond the bound
+    assert 10_000 < len(held.slot) < 200_000
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=80))
 def test_local_search_keeps_pieces(sizes):
