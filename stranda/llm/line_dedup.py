@@ -15,7 +15,8 @@ long ones first. Two lines that differ in d words have ``LEVELS`` words in commo
 line's words in that order, so these are its keys. Lines that share a key of ``FEW_LINES`` lines or fewer are joined;
 a key of more lines is told apart by a second such word, but not in lines of ``LONG`` words or more, which have many. The lines
 of a key that still has more are compared with a few of them, and with ``STARS`` more where links leave them in several
-components; what is still apart then is joined in blocks, each pair under the first key that its lines share only. All joins carry a bound on words that only one of two lines
+components; what is still apart then is joined in blocks, each pair under the first key that its lines share only, if its outlines (a code
+point for each word) are near. All joins carry a bound on words that only one of two lines
 has, from the parities of their words in 128 bits, 256 in long lines. Two edits of code points change four words at most, so lines of ``MANY_WORDS``
 words or more need no segments. Pairs are decided on texts.
 """
@@ -386,7 +387,7 @@ def similar_by_words(lines: DataFrame, classes: DataFrame, distance: int = DISTA
         more = settled("line-links", lambda some=some: _confirmed(some, texts, distance))
         pairs, links = pairs.union(some), links.union(more)
         torn = settled("torn-keys", lambda torn=torn, links=links: _torn_keys(torn.drop("component"), links))
-    rest = settled("word-pairs", lambda: _cross_pairs(torn, distance).join(pairs, ["a", "b"], "left_anti"))
+    rest = settled("word-pairs", lambda: _cross_pairs(torn, distance, texts).join(pairs, ["a", "b"], "left_anti"))
     return links.union(_confirmed(rest, texts, distance))
 
 
@@ -474,12 +475,16 @@ def _star_pairs(held: DataFrame, leaders: list[Column], distance: int) -> DataFr
     return found.distinct()
 
 
-def _cross_pairs(torn: DataFrame, distance: int) -> DataFrame:
+def _cross_pairs(torn: DataFrame, distance: int, texts: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of lines of a key that may be near and that no links join so far, each under the first key that both lines have.
 
+    With ``texts`` (id, c) only those of which the outlines ``c`` are near, so that pairs near the threshold are not written.
     The lines of a pair of which the first key is none of ``torn`` are in one component, or that key has few lines, which were all compared.
     """
-    a, b = _sides(torn, "component", "before")
+    if texts is None:
+        a, b = _sides(torn, "component", "before")
+    else:
+        a, b = _sides(torn.join(_sieved(texts.select("id", "c"), torn.select("id")), "id"), "component", "before", "c")
     # a near copy has at most a fifth more words, so it is of the same class of lengths or of the next
     size = lambda n: F.floor(F.log(F.col(n)) / F.log(F.lit(1.25)))
     a = a.withColumn("key", F.xxhash64("key", size("a_n")))
@@ -487,7 +492,10 @@ def _cross_pairs(torn: DataFrame, distance: int) -> DataFrame:
     large = large_keys(a, "key")
     met = dealt(a, large, "key", "a").join(repeated(b, large, "key"), ["key", "block"])
     first = ~F.arrays_overlap("a_before", "b_before")
-    return met.filter(_in_order() & (F.col("a_component") != F.col("b_component")) & _may_be_near(distance) & first).select("a", "b").distinct()
+    close = _in_order() & (F.col("a_component") != F.col("b_component")) & _may_be_near(distance) & first
+    if texts is not None:
+        close = close & (F.call_function("levenshtein", "a_c", "b_c", _most_words(F.col("a_n"), distance)) >= 0)
+    return met.filter(close).select("a", "b").distinct()
 
 
 def _torn_keys(held: DataFrame, links: DataFrame) -> DataFrame:

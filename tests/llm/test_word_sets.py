@@ -94,3 +94,19 @@ def test_pairs_that_are_left_are_made_once(spark):
         a, b = line_dedup._sides(torn, "before")
         met = a.join(b, "key").filter(line_dedup._in_order() & line_dedup._may_be_near(line_dedup.DISTANCE) & ~F.arrays_overlap("a_before", "b_before"))
         assert met.count() == met.select("a", "b").distinct().count() < every.count() / 5
+
+
+def test_lines_of_the_same_words_in_other_orders_are_not_paired(spark):
+    """Pairs that only numbers and parities of words allow are not written; a near copy is."""
+    rng = random.Random(8)
+    words = prose(rng, 40).split(" ")
+    lines = [" ".join(rng.sample(words, len(words))) for _ in range(70)]
+    lines.append(" ".join([*lines[0].split(" ")[:-1], "other"]))
+    rows = line_dedup.occurrences(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    sets = common.materialize(line_dedup._word_sets(rows.select("line", "id"), line_dedup.DISTANCE), "word-sets")
+    _, held = line_dedup._few_and_many(sets, line_dedup.DISTANCE, 1)
+    torn = common.materialize(held.withColumn("component", F.col("id")), "torn")
+    texts = common.materialize(rows.select("id", line_dedup._outline(line_dedup._words(F.col("line"))).alias("c")), "texts")
+    number = {r.id: r.doc_id for r in rows.select("id", "doc_id").collect()}
+    assert line_dedup._cross_pairs(torn, line_dedup.DISTANCE).count() > 2_000
+    assert [{number[r.a], number[r.b]} for r in line_dedup._cross_pairs(torn, line_dedup.DISTANCE, texts).collect()] == [{0, 70}]
