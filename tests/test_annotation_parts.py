@@ -41,3 +41,33 @@ def test_annotation_is_written_in_several_files(spark):
         assert lines.groupBy("transcript_id").agg(F.count_distinct("source").alias("n")).filter("n > 1").isEmpty()
     finally:
         spark.conf.unset(key)
+
+
+def test_only_lines_that_count_are_kept_by_kind(spark, tmp_path):
+    ids = lambda t, gene="g", kind="protein_coding": f'gene_id "{gene}"; transcript_id "{t}"; transcript_type "{kind}";'
+    lines = [
+        ("exon", 1, ids("early")), ("transcript", 2, ids("early")), ("exon", 3, 'transcript_id "early"'), ("CDS", 4, ids("early", kind="lncRNA")),
+        ("transcript", 5, ids("rna", kind="lncRNA")), ("CDS", 6, ids("rna")), ("gene", 7, ids("rna")),
+        ("transcript", 8, ids("no_gene", gene="")), ("exon", 9, ids("no_gene")), ("transcript", 10, 'gene_id "g"; transcript_id "no_type";'), ("CDS", 11, ids("no_type")),
+        ("transcript", 12, ids("")), ("exon", 13, ids("")), ("exon", 14, ids("unknown")),
+        ("transcript", 15, ids("twice")), ("exon", 16, ids("twice")), ("transcript", 17, ids("twice", kind="lncRNA")), ("CDS", 18, ids("twice")),
+        ("transcript", 19, ids("twice", gene="")), ("exon", 20, ids("twice")),
+    ]
+    kept = {2: False, 3: False, 4: True, 5: False, 6: False, 17: False, 18: False, 20: False}  # by end, with whether it is a coding region
+    (tmp_path / "a.gtf").write_text("".join(f"chr1\tx\t{kind}\t1\t{end}\t.\t+\t0\t{attrs}\n" for kind, end, attrs in lines))
+    (tmp_path / "b.gtf").write_text(f"chr1\tx\texon\t1\t21\t.\t+\t0\t{ids('early')}\n")
+    from stranda.sources.readers import scan_gtf
+
+    rows = transcripts.feature_lines(scan_gtf(spark, str(tmp_path))).collect()
+    assert sorted((r.end, r.coding) for r in rows) == sorted(kept.items())
+
+
+@needs_data
+def test_feature_kind_leaves_out_what_does_not_count(spark, tmp_path, monkeypatch):
+    lines = [("transcript", 't"; gene_id "g"; transcript_type "lncRNA'), ("exon", "t"), ("CDS", "t"), ("transcript", 'u"; gene_id "g'), ("exon", 'u"; gene_id "g'), ("CDS", 'v"; gene_id "g')]
+    (tmp_path / "a.gtf").write_text("".join(f'chr1\tx\t{kind}\t1\t5\t.\t+\t0\ttranscript_id "{rest}";\n' for kind, rest in lines))
+    scan = formats.readers.scan_gtf
+    monkeypatch.setattr(formats.readers, "scan_gtf", lambda spark, path: scan(spark, str(tmp_path)))
+    row = formats.feature_kind(spark, SF).head().asDict()
+    assert [row[n] for n in ("n_transcripts", "n_exons", "n_cds")] == [1, 1, 1]
+    assert row["n_coding_regions"] == 0
